@@ -114,8 +114,8 @@ def _hits(ids, texts, index: Index, essential, stride: int, threshold: float, ov
                 if len(question) >= 5:
                     asked = grams(question)
                     q = len(asked & own) / len(asked)
-                else:  # a question too short for a shingle, word by word
-                    q = sum(w in single for w in question) / len(question) if question else 1.0
+                else:  # too short for a shingle: it stands there or not
+                    q = float(not question or tuple(question) in grams(passage, len(question)))
                 a = sum(w in single for w in answer) / len(answer)
                 if q >= overlap and a >= overlap and (n not in best or best[n][4] < score):
                     best[n] = (doc, item, int(p), int(at[p]), score, q, a)
