@@ -13,6 +13,9 @@ of the other dictionary phrases that have the same trigger; two of them share
 their first ``length`` bytes or they don't, so suffixes are grouped by the hash of
 these bytes and the first of a group in corpus order is kept. Text without
 repeats falls out after the triggers have been counted.
+
+What repeats within one document is marked where the document is parsed, so
+between documents the smallest doc_id decides.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 
 from isoloom.llm.common import Staged
 
-GRAM = 24
+GRAM = 40
 _RNG = np.random.default_rng(77)
 _BYTE = _RNG.integers(1, 2**63, 256, np.int64).astype(np.uint64)
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -67,35 +70,70 @@ def _least(x: np.ndarray, k: int) -> np.ndarray:
     return np.minimum(x[: len(x) - rest], x[rest:]) if rest else x
 
 
-def phrases(raw: bytes, length: int, step: int = 1 << 22):
-    """Arrays (trigger, phrase, start, more) of a document: hashes of trigger and
-    phrase, first start, and how many starts follow it in the phrase."""
-    found = [_phrases(raw[i : i + step + length - 1], i, length) for i in range(0, max(1, len(raw) - length + 1), step)]
-    return [np.concatenate(c) for c in zip(*found)]
+def phrases(texts: list[bytes], length: int, block: int = 1 << 18):
+    """Arrays (row, trigger, phrase, start, more) of all phrases of some texts: hashes of
+    trigger and phrase, first start, and how many starts follow it in the phrase."""
+    found = [_phrases(rows, raw, sizes, starts, length) for rows, raw, sizes, starts in _blocks(texts, length, block)]
+    return [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)]
+
+
+def _blocks(texts: list[bytes], length: int, block: int):
+    """Texts laid end to end, about ``block`` bytes at a time; longer ones in overlapping slices."""
+    held, size = [], 0
+    for row, raw in enumerate(texts):
+        for at in range(0, len(raw) - length + 1, 4 * block):
+            held.append((row, raw[at : at + 4 * block + length - 1] if len(raw) > 4 * block else raw, at))
+            size += len(held[-1][1])
+            if size >= block:
+                yield _block(held)
+                held, size = [], 0
+    if held:
+        yield _block(held)
 
 
-def _phrases(raw: bytes, at: int, length: int):
-    if len(raw) < length:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+def _block(held):
+    return np.array([h[0] for h in held]), b"".join(h[1] for h in held), np.array([len(h[1]) for h in held]), np.array([h[2] for h in held])
+
+
+def _phrases(rows, raw: bytes, sizes, starts, length: int):
     hashes = Hashes(raw)
     gram, window = hashes.width(GRAM), hashes.width(length)
     place = np.arange(len(gram), dtype=np.uint64)
     least = _least(gram & ~_LOW | _LOW - place, length - GRAM + 1)
     trigger = (_LOW - (least & _LOW)).astype(np.int64)
-    first = np.flatnonzero(np.concatenate(([True], trigger[1:] != trigger[:-1])))
-    last = np.concatenate((first[1:], [len(trigger)])) - 1
+    # a string that runs into the next text is none
+    ends = np.cumsum(sizes)
+    text = np.repeat(np.arange(len(sizes)), sizes)[: len(trigger)]
+    whole = np.arange(len(trigger)) + length <= ends[text]
+    new = np.concatenate(([True], (trigger[1:] != trigger[:-1]) | ~whole[:-1]))
+    first = np.flatnonzero(new & whole)
+    last = np.flatnonzero(np.concatenate((new[1:] | ~whole[1:], [True])) & whole)
     more = last - first
-    whole = _mix(_mix(window[first], window[last]), more.astype(np.uint64))
-    return gram[trigger[first]], whole, first + at, more
-
-
-def suffixes(raw: bytes, starts: np.ndarray, more: np.ndarray, length: int):
-    """(start, hash of its length bytes) of all starts of some phrases."""
-    at, out = [], []
-    for a, n in zip(starts.tolist(), more.tolist()):
-        at.append(np.arange(a, a + n + 1))
-        out.append(Hashes(raw[a : a + n + length]).width(length))
-    return np.concatenate(at), np.concatenate(out)
+    phrase = _mix(_mix(window[first], window[last]), more.astype(np.uint64))
+    t = text[first]
+    return rows[t], gram[trigger[first]], phrase, first - (ends - sizes)[t] + starts[t], more
+
+
+def suffixes(texts: list[bytes], starts: list[np.ndarray], more: list[np.ndarray], length: int):
+    """(row, trigger, suffix, start) of all starts of some phrases of each text."""
+    rows, parts, at = [], [], []
+    for row, (raw, s, m) in enumerate(zip(texts, starts, more)):
+        for a, n in zip(s.tolist(), m.tolist()):
+            if a + n + length <= len(raw):  # of rows that share a doc_id, one may be shorter
+                rows.append(row)
+                parts.append(raw[a : a + n + length])
+                at.append(a)
+    got = phrases(parts, length) if parts else phrases([], length)
+    if not parts:
+        return got[0], got[1], got[2], got[3]
+    n = got[4] + 1
+    # every slice is one phrase, so its starts follow each other
+    each = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    size = np.array([len(p) for p in parts])
+    window = Hashes(b"".join(parts)).width(length)
+    begin = (np.cumsum(size) - size)[got[0]] + got[3]
+    rows, at = np.array(rows), np.array(at)
+    return np.repeat(rows[got[0]], n), np.repeat(got[1], n), window[np.repeat(begin, n) + each], np.repeat(at[got[0]] + got[3], n) + each
 
 
 _TEXT = "doc_id long, text string"
@@ -105,20 +143,33 @@ def _long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64), pa.int64())
 
 
+def _utf8(column) -> list[bytes]:
+    return [(t or "").encode("utf-8", "surrogatepass") for t in column.to_pylist()]
+
+
+def _once(*cols: np.ndarray) -> np.ndarray:
+    """Marks the first of equal rows."""
+    order = np.lexsort(cols[::-1])
+    new = np.ones(len(order), bool)
+    if len(order):
+        new[1:] = np.any([c[order][1:] != c[order][:-1] for c in cols], axis=0)
+    out = np.zeros(len(order), bool)
+    out[order[new]] = True
+    return out
+
+
 def _parse(texts: DataFrame, length: int) -> DataFrame:
-    """The parse: (trigger, phrase, doc_id, start, more)."""
+    """The parse: (trigger, phrase, doc_id, start, more, own), own for a phrase's first place in its document."""
 
     def run(batches):
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
-                docs = part.column(0).to_pylist()
-                found = [phrases((t or "").encode("utf-8", "surrogatepass"), length) for t in part.column(1).to_pylist()]
-                doc = np.repeat(np.array(docs, np.int64), [len(f[0]) for f in found])
-                t, p, s, m = (np.concatenate(c) for c in zip(*found))
-                yield pa.record_batch([_long(t), _long(p), _long(doc), _long(s), pa.array(m, pa.int32())], names=["trigger", "phrase", "doc_id", "start", "more"])
+                row, t, p, s, m = phrases(_utf8(part.column(1)), length)
+                doc = part.column(0).to_numpy(zero_copy_only=False)[row]
+                yield pa.record_batch([_long(t), _long(p), _long(doc), pa.array(s, pa.int32()), pa.array(m, pa.int32()), pa.array(_once(row, t, p))], names=["trigger", "phrase", "doc_id", "start", "more", "own"])
 
-    return texts.mapInArrow(run, "trigger long, phrase long, doc_id long, start long, more int")
+    return texts.mapInArrow(run, "trigger long, phrase long, doc_id long, start int, more int, own boolean")
 
 
 def _triggers(texts: DataFrame, length: int) -> DataFrame:
@@ -126,14 +177,32 @@ def _triggers(texts: DataFrame, length: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for i in range(0, batch.num_rows, 8192):
-                found = [phrases((t or "").encode("utf-8", "surrogatepass"), length)[0] for t in batch.column(0).slice(i, 8192).to_pylist()]
+            found = [phrases(_utf8(batch.column(0).slice(i, 512)), length)[1] for i in range(0, batch.num_rows, 512)]
+            if found:
                 t, n = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.record_batch([_long(t), pa.array(n, pa.int64())], names=["trigger", "n"])
 
     return texts.select("text").mapInArrow(run, "trigger long, n long")
 
 
+def _suffixes(listed: DataFrame, length: int) -> DataFrame:
+    """(suffix, trigger, doc_id, start, own) of (doc_id, text, open)."""
+
+    def run(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, 512):
+                part = batch.slice(i, 512)
+                lists = [x.values for x in part.column(2)]
+                s, m = ([x.field(k).to_numpy(zero_copy_only=False) for x in lists] for k in ("start", "more"))
+                row, t, h, at = suffixes(_utf8(part.column(1)), s, m, length)
+                order = np.lexsort((at, row))
+                row, t, h, at = row[order], t[order], h[order], at[order]
+                doc = part.column(0).to_numpy(zero_copy_only=False)[row]
+                yield pa.record_batch([_long(h), pa.array((t >> np.uint64(32)).astype(np.uint32).view(np.int32)), _long(doc), pa.array(at, pa.int32()), pa.array(_once(row, t, h))], names=["suffix", "trigger", "doc_id", "start", "own"])
+
+    return listed.mapInArrow(run, "suffix long, trigger int, doc_id long, start int, own boolean")
+
+
 OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
 
@@ -156,32 +225,22 @@ def cut_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text
 
     common = _triggers(known, length).groupBy("trigger").agg(F.sum("n").alias("n")).where("n > 1").select("trigger")
     parse = staged.write(_parse(known, length).join(common, "trigger"), "parse")
-    first = F.min(F.struct("doc_id", "start")).alias("first")
-    dictionary = staged.write(parse.groupBy("trigger", "phrase").agg(first, F.first("more").alias("more"), F.count("*").alias("n")), "dictionary")
-    again = parse.join(dictionary.where("n > 1").select("trigger", "phrase", "first"), ["trigger", "phrase"]).where("struct(doc_id, start) > first")
-    whole = again.select("doc_id", "start", (F.col("start") + F.col("more") + length).alias("end"))
-
-    several = dictionary.groupBy("trigger").agg(F.count("*").alias("phrases")).where("phrases > 1").select("trigger")
-    open_ = dictionary.join(several, "trigger").select("trigger", "first.doc_id", "first.start", "more")
-    by_doc = open_.groupBy("doc_id").agg(F.collect_list(F.struct("trigger", "start", "more")).alias("open"))
-
-    def run(batches):
-        for batch in batches:
-            for doc, text, listed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                raw, flat = (text or "").encode("utf-8", "surrogatepass"), listed.values
-                t, s, m = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("trigger", "start", "more"))
-                fits = s + m + length <= len(raw)  # of rows that share a doc_id, one may be shorter
-                if fits.any():
-                    at, h = suffixes(raw, s[fits], m[fits], length)
-                    yield pa.record_batch([_long(np.repeat(t[fits], m[fits] + 1)), _long(h), _long(np.full(len(at), doc)), _long(at)], names=["trigger", "suffix", "doc_id", "start"])
-
-    listed = staged.write(known.join(by_doc, "doc_id").select("doc_id", "text", "open").mapInArrow(run, "trigger long, suffix long, doc_id long, start long"), "suffixes")
-    groups = listed.groupBy("trigger", "suffix").agg(first, F.max(F.struct("doc_id", "start")).alias("last")).where("first <> last").select("trigger", "suffix", "first")
-    late = listed.join(groups, ["trigger", "suffix"]).where("struct(doc_id, start) > first")
-    steps = late.select("doc_id", "start", (F.col("start") + length).alias("end"))
-    spans = whole.unionByName(steps).groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    dictionary = staged.write(parse.groupBy("trigger", "phrase").agg(F.min("doc_id").alias("first")), "dictionary")
+    several = dictionary.groupBy("trigger").agg(F.count("*").alias("n")).where("n > 1").select("trigger", F.lit(True).alias("several"))
+    placed = parse.join(dictionary, ["trigger", "phrase"]).withColumn("gone", (F.col("doc_id") > F.col("first")) | ~F.col("own"))
+    placed = placed.join(several, "trigger", "left").where("gone or several").select("doc_id", "start", "more", "gone")
+    placed = staged.write(placed, "placed")
+    staged.drop("parse", "dictionary")
+
+    by_doc = placed.where("not gone").groupBy("doc_id").agg(F.collect_list(F.struct("start", "more")).alias("open"))
+    listed = staged.write(_suffixes(known.join(by_doc, "doc_id").select("doc_id", "text", "open"), length), "suffixes")
+    groups = listed.groupBy("suffix", "trigger").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("suffix", "trigger", "first")
+    groups = staged.write(groups, "groups")
+    late = listed.join(groups, ["suffix", "trigger"], "left").where("not own or doc_id > first").select("doc_id", "start", (F.col("start") + length).alias("end"))
+    whole = placed.where("gone").select("doc_id", "start", (F.col("start") + F.col("more") + length).alias("end"))
+    spans = whole.unionByName(late).groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     spans = staged.write(spans, "spans")
-    staged.drop("parse", "dictionary", "suffixes")
+    staged.drop("placed", "suffixes", "groups")
 
     def cut(batches):
         for batch in batches:
