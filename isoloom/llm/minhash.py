@@ -7,7 +7,8 @@ corrected for chance agreement; and what may reach the limit is confirmed on
 the whole texts.
 
 Candidates never are all pairs of a bucket. First every class is compared with
-the best of the smallest members of its buckets, which joins nearly all of a
+the best of its buckets' leaders, the members that share most buckets with others:
+a text that many others vary leads nearly everywhere, and joins nearly all of its
 group. Then, exactly, the members of a bucket that are not yet in its main
 component are compared with the rest of it.
 """
@@ -154,16 +155,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, id_col: str
     members = staged.write(full.select("doc_id", "set_hash").join(classes, "set_hash").select("doc_id", "id").distinct(), "members")
     own = full.join(members.where("doc_id = id").select("doc_id"), "doc_id").select(F.col("doc_id").alias("id"), "bands", "sig")
     keys = own.select("id", F.explode("bands").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("last")).where("leader <> last").select("key", "leader")
-    hits = staged.write(keys.join(shared, "key").select("key", "id", "leader"), "hits")
-    ids = hits.select("id").distinct()
-    own = staged.write(own.join(ids, "id").select("id", "sig"), "signatures")
-    texts = docs.where("doc_id is not null").join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
+    shared = keys.groupBy("key").agg(F.min("id").alias("one"), F.max("id").alias("last"), F.count("*").alias("n")).where("one <> last").select("key", "n")
+    met = staged.write(keys.join(shared, "key").select("key", "id", "n"), "met")
+    ids = staged.write(met.groupBy("id").agg(F.sum("n").alias("met")), "ids")
+    leaders = met.join(ids, "id").groupBy("key").agg(F.max("met").alias("most"))
+    named = met.join(ids, "id").join(leaders, "key").where("met = most").groupBy("key").agg(F.min("id").alias("leader"))
+    hits = staged.write(met.join(named, "key").select("key", "id", "leader"), "hits")
+    staged.drop("met")
+    own = staged.write(own.join(ids, "id").select("id", "bands", "sig"), "signatures")
+    texts = docs.where("doc_id is not null").join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
     texts = staged.write(texts.select(F.col("doc_id").alias("id"), "text"), "texts")
 
     likely = F.lit(limit - MARGIN)
     to_leader = hits.where("id <> leader").select("id", "leader").distinct()
-    scored = to_leader.join(own, "id").join(own.select(F.col("id").alias("leader"), F.col("sig").alias("other")), "leader").withColumn("e", estimate(F.col("sig"), F.col("other")))
+    scored = to_leader.join(own.select("id", "sig"), "id").join(own.select(F.col("id").alias("leader"), F.col("sig").alias("other")), "leader").withColumn("e", estimate(F.col("sig"), F.col("other")))
     best = scored.where(F.col("e") >= likely).groupBy("id").agg(F.max_by("leader", F.struct("e", -F.col("leader"))).alias("leader"))
     # rows of one doc_id with different texts are linked as well
     same = members.where("doc_id <> id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
@@ -175,9 +180,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, id_col: str
     sizes = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
     main = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("n")).where("n > 1").select("key", "main")
     open_ = staged.write(placed.join(main, "key").join(own, "id"), "open")
-    x = open_.where("component <> main").select("key", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("sig").alias("sa"))
-    y = open_.select("key", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("sig").alias("sb"), "main")
-    near = x.join(y, "key").where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") > F.col("b"))) & (estimate(F.col("sa"), F.col("sb")) >= likely))
+    x = open_.where("component <> main").select("key", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("sig").alias("sa"), F.col("bands").alias("ba"))
+    y = open_.select("key", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("sig").alias("sb"), F.col("bands").alias("bb"), "main")
+    # of the buckets that two share, only the first pairs them
+    near = x.join(y, "key").where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") > F.col("b"))) & (estimate(F.col("sa"), F.col("sb")) >= likely) & (F.get(F.array_intersect("ba", "bb"), F.lit(0)) == F.col("key")))
     near = near.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     more = staged.write(confirm(near, texts, k, percent), "links-2")
     staged.drop("hits", "open", "texts")
