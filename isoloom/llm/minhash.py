@@ -10,7 +10,9 @@ Candidates never are all pairs of a bucket. First every class is compared with
 the best of its buckets' leaders, the members that share most buckets with others:
 a text that many others vary leads nearly everywhere, and joins nearly all of its
 group. Then, exactly, the members of a bucket that are not yet in its main
-component are compared with the rest of it.
+component are compared with the rest of it, but for those that cannot reach the
+limit: of a text's shingles, the ones that no other open text has are in no
+intersection.
 """
 
 from __future__ import annotations
@@ -134,6 +136,23 @@ def confirm(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
     return pairs.join(first, "a").join(second, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
+def lone_shingles(texts: DataFrame, k: int) -> DataFrame:
+    """(id, lone): how many of a text's shingles are in no other of these texts (id, text)."""
+
+    def run(batches):
+        for batch in batches:
+            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found = words(text)
+                s = shingles(np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found)), k)
+                yield pa.record_batch([pa.array(s.view(np.int64)), pa.array(np.full(len(s), i), pa.int64())], names=["shingle", "id"])
+
+    seen = texts.mapInArrow(run, "shingle long, id long")
+    lone = seen.groupBy("shingle").agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n = 1")
+    # texts that share an id keep all their shingles
+    single = texts.groupBy("id").agg(F.count("*").alias("rows")).where("rows = 1").select("id")
+    return lone.groupBy("id").agg(F.count("*").alias("lone")).join(single, "id", "left_semi")
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row.
 
@@ -153,7 +172,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, id_col: str
     full = rows.where("set_hash is not null and doc_id is not null")
     classes = full.groupBy("set_hash").agg(F.min("doc_id").alias("id"))
     members = staged.write(full.select("doc_id", "set_hash").join(classes, "set_hash").select("doc_id", "id").distinct(), "members")
-    own = full.join(members.where("doc_id = id").select("doc_id"), "doc_id").select(F.col("doc_id").alias("id"), "bands", "sig")
+    own = full.join(members.where("doc_id = id").select("doc_id"), "doc_id").select(F.col("doc_id").alias("id"), "bands", "sig", "n_shingles")
     keys = own.select("id", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.min("id").alias("one"), F.max("id").alias("last"), F.count("*").alias("n")).where("one <> last").select("key", "n")
     met = staged.write(keys.join(shared, "key").select("key", "id", "n"), "met")
@@ -162,7 +181,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, id_col: str
     named = met.join(ids, "id").join(leaders, "key").where("met = most").groupBy("key").agg(F.min("id").alias("leader"))
     hits = staged.write(met.join(named, "key").select("key", "id", "leader"), "hits")
     staged.drop("met")
-    own = staged.write(own.join(ids, "id").select("id", "bands", "sig"), "signatures")
+    own = staged.write(own.join(ids, "id").select("id", "bands", "sig", "n_shingles"), "signatures")
     texts = docs.where("doc_id is not null").join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
     texts = staged.write(texts.select(F.col("doc_id").alias("id"), "text"), "texts")
 
@@ -179,14 +198,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, id_col: str
     placed = hits.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     sizes = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
     main = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("n")).where("n > 1").select("key", "main")
-    open_ = staged.write(placed.join(main, "key").join(own, "id"), "open")
-    x = open_.where("component <> main").select("key", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("sig").alias("sa"), F.col("bands").alias("ba"))
-    y = open_.select("key", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("sig").alias("sb"), F.col("bands").alias("bb"), "main")
+    open_ = staged.write(placed.join(main, "key"), "places")
+    lone = staged.write(lone_shingles(texts.join(open_.select("id").distinct(), "id", "left_semi"), k), "lone")
+    own = own.join(lone, "id", "left").withColumn("common", F.col("n_shingles") - F.coalesce("lone", F.lit(0)))
+    own = own.where(100 * F.col("common") >= percent * F.col("n_shingles"))
+    open_ = staged.write(open_.join(own, "id"), "open")
+    x = open_.where("component <> main").select("key", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("sig").alias("sa"), F.col("bands").alias("ba"), F.col("n_shingles").alias("na"), F.col("common").alias("ma"))
+    y = open_.select("key", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("sig").alias("sb"), F.col("bands").alias("bb"), F.col("n_shingles").alias("nb"), F.col("common").alias("mb"), "main")
+    most = F.least("ma", "mb")
+    reach = 100 * most >= percent * (F.col("na") + F.col("nb") - most)
     # of the buckets that two share, only the first pairs them
-    near = x.join(y, "key").where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") > F.col("b"))) & (estimate(F.col("sa"), F.col("sb")) >= likely) & (F.get(F.array_intersect("ba", "bb"), F.lit(0)) == F.col("key")))
+    near = x.join(y, "key").where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") > F.col("b"))) & reach & (estimate(F.col("sa"), F.col("sb")) >= likely) & (F.get(F.array_intersect("ba", "bb"), F.lit(0)) == F.col("key")))
     near = near.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     more = staged.write(confirm(near, texts, k, percent), "links-2")
-    staged.drop("hits", "open", "texts")
+    staged.drop("hits", "places", "open", "texts")
 
     component = components(links.unionByName(more).unionByName(same), staged, "all")
     named = component.withColumnRenamed("id", "doc_id")

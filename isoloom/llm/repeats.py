@@ -226,11 +226,13 @@ def cut_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text
     common = _triggers(known, length).groupBy("trigger").agg(F.sum("n").alias("n")).where("n > 1").select("trigger")
     parse = staged.write(_parse(known, length).join(common, "trigger"), "parse")
     dictionary = staged.write(parse.groupBy("trigger", "phrase").agg(F.min("doc_id").alias("first")), "dictionary")
+    # written, so that the join with it can split a trigger that many documents have
     several = dictionary.groupBy("trigger").agg(F.count("*").alias("n")).where("n > 1").select("trigger", F.lit(True).alias("several"))
+    several = staged.write(several, "several")
     placed = parse.join(dictionary, ["trigger", "phrase"]).withColumn("gone", (F.col("doc_id") > F.col("first")) | ~F.col("own"))
     placed = placed.join(several, "trigger", "left").where("gone or several").select("doc_id", "start", "more", "gone")
     placed = staged.write(placed, "placed")
-    staged.drop("parse", "dictionary")
+    staged.drop("parse", "dictionary", "several")
 
     by_doc = placed.where("not gone").groupBy("doc_id").agg(F.collect_list(F.struct("start", "more")).alias("open"))
     listed = staged.write(_suffixes(known.join(by_doc, "doc_id").select("doc_id", "text", "open"), length), "suffixes")
