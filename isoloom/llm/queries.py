@@ -34,14 +34,14 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP1_SQL = r"""
 WITH l AS (
-  SELECT doc_id, u.i AS at, u.line,
+  SELECT doc_id, u.i AS pos, u.line,
          translate(trim(u.line, E' \t\n\x0b\x0c\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
        LATERAL (SELECT unnest(ls) AS line, generate_subscripts(ls, 1) AS i) u),
 c AS (SELECT key, max(doc_id) AS keeper FROM l WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
 m AS (SELECT l.*, c.keeper IS NOT NULL AND l.doc_id < c.keeper AS gone FROM l LEFT JOIN c USING (key))
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT gone), '')) AS kept_sha256
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM m GROUP BY doc_id
 """
 
