@@ -34,7 +34,7 @@ def token_counts(docs: DataFrame, tokenizer: str, fields: tuple[str, ...] = ("te
 
     def run(batches):
         enc = encoder(tokenizer)
-        sizes = _byte_lengths(enc) if enc.kind == "joined" else None
+        sizes = enc.sizes
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
@@ -45,14 +45,6 @@ def token_counts(docs: DataFrame, tokenizer: str, fields: tuple[str, ...] = ("te
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), *cols).mapInArrow(run, SECTIONS)
 
 
-def _byte_lengths(enc) -> np.ndarray:
-    vocab = enc.tokenizer.get_vocab()
-    out = np.zeros(max(vocab.values()) + 1, np.int64)
-    for token, i in vocab.items():
-        out[i] = len(token)  # a byte-level token has one character a byte
-    return out
-
-
 def _count(ids, docs, names, enc, sizes, separator, rule):
     texts = [separator.join(d) for d in docs]
     if sizes is not None:

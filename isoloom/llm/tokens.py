@@ -10,6 +10,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: Places that end a token under every byte-level pattern: a blank after a non-blank.
+_APART = re.compile(r"[ \n\t]\S(.*\S)?\Z", re.DOTALL)
 _CUT = re.compile(r"(?<=\S)(?=[ \n\t])")
 
 
@@ -23,7 +24,7 @@ class Encoder:
     other tokenizers are encoded whole. Ids equal those of encoding whole texts.
     """
 
-    def __init__(self, path: str, limit: int = 150_000, longest: int = 48):
+    def __init__(self, path: str, limit: int = 500_000, longest: int = 48):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.tokenizer = Tokenizer.from_file(path)
@@ -34,12 +35,30 @@ class Encoder:
             self.kind = "dropped"
         else:
             self.kind = "whole"
+        self.sizes = byte_lengths(self.tokenizer) if self.kind == "joined" else None
         self.limit, self.longest = limit, longest
         self.memo: dict[str, bytes] = {}
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _each(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece, from one encoding of them all end to end: a call costs much
+        more than a piece."""
+        if self.kind == "whole" or len(pieces) < 2:
+            return self._raw(pieces)
+        if self.sizes is not None:
+            ids = np.frombuffer(self._raw(["".join(pieces)])[0], "<u4")
+            ends = np.cumsum(self.sizes[ids])
+            cut = np.searchsorted(ends, np.cumsum([len(x.encode("utf-8")) for x in pieces]), "right")
+        else:
+            e = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False)
+            ids = np.asarray(e.ids, "<u4")
+            starts = np.array([a for a, _ in e.offsets], np.int64)
+            cut = np.searchsorted(starts, np.cumsum([len(x) + 1 for x in pieces]), "left")
+        raw = ids.tobytes()
+        return [raw[4 * a : 4 * b] for a, b in zip([0, *cut[:-1].tolist()], cut.tolist())]
+
     def _pieces(self, text: str) -> list[str]:
         if self.kind == "whole":
             return [text]
@@ -59,15 +78,33 @@ class Encoder:
             memo.clear()
             new = list(set(chain.from_iterable(cut)))
         got: dict[str, bytes] = {}
+        if self.kind == "joined":
+            # a piece whose ends could join its neighbours is encoded alone
+            apart: list[str] = []
+            alone: list[str] = []
+            for x in new:
+                (apart if _APART.match(x) else alone).append(x)
+            for x, ids in zip(alone, self._raw(alone)):
+                (memo if len(x) <= self.longest and len(memo) < self.limit else got)[x] = ids
+            new = apart
         for i in range(0, len(new), 4096):
             part = new[i : i + 4096]
-            for x, ids in zip(part, self._raw(part)):
+            for x, ids in zip(part, self._each(part)):
                 (memo if len(x) <= self.longest and len(memo) < self.limit else got)[x] = ids
         if not got:
             return [b"".join(map(memo.__getitem__, c)) for c in cut]
         return [b"".join([memo[x] if x in memo else got[x] for x in c]) for c in cut]
 
 
+def byte_lengths(tokenizer: Tokenizer) -> np.ndarray:
+    """Bytes of each id of a byte-level vocabulary: a token has one character a byte."""
+    vocab = tokenizer.get_vocab()
+    out = np.zeros(max(vocab.values()) + 1, np.int64)
+    for token, i in vocab.items():
+        out[i] = len(token)
+    return out
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
