@@ -39,7 +39,7 @@ def grams(found: list[bytes], k: int = 5) -> set[tuple[bytes, ...]]:
 class Index:
     """Postings of items, in blocks of items with the greatest impact of each term."""
 
-    def __init__(self, items: list[tuple[int, str, dict[bytes, float]]], mean: float, block: int = 64):
+    def __init__(self, items: list[tuple[int, str, dict[bytes, float]]], mean: float, block: int = 8):
         self.items = [(i, *question_answer(text)) for i, text, _ in items]
         self.terms: dict[bytes, int] = {}
         posts: list[list[tuple[int, float]]] = [[]]
@@ -56,14 +56,20 @@ class Index:
                 if t == len(posts):
                     posts.append([])
                 posts[t].append((n, x / whole))
-        self.block = block
-        self.posts = [(np.array([p[0] for p in x], np.int64), np.array([p[1] for p in x])) for x in posts]
+        self.block, self.n = block, len(items)
         self.most = np.array([max((p[1] for p in x), default=0.0) for x in posts])
-        blocks = -(-len(items) // block)
-        self.block_most = np.zeros((len(posts), blocks))
-        for t, x in enumerate(posts):
+        self.starts, self.item, self.impact = _flat(posts)
+        heads = []
+        for x in posts:
+            best: dict[int, float] = {}
             for n, v in x:
-                self.block_most[t, n // block] = max(self.block_most[t, n // block], v)
+                best[n // block] = max(best.get(n // block, 0.0), v)
+            heads.append(sorted(best.items()))
+        self.block_starts, self.block_of, self.block_most = _flat(heads)
+
+    def postings(self, term: int) -> tuple[np.ndarray, np.ndarray]:
+        a, b = self.starts[term], self.starts[term + 1]
+        return self.item[a:b], self.impact[a:b]
 
     def essential(self, threshold: float) -> np.ndarray:
         """Terms of which a passage above the threshold must hold one: all others together stay below it."""
@@ -74,19 +80,30 @@ class Index:
         return essential
 
     def search(self, terms: np.ndarray, threshold: float) -> list[tuple[int, float]]:
-        """Items whose score for the distinct terms reaches the threshold. Blocks whose
-        greatest impacts cannot reach it are passed over."""
-        bound = self.block_most[terms].sum(0)
-        found = []
-        for b in np.flatnonzero(bound >= threshold - 1e-9):
-            lo = b * self.block
-            score = np.zeros(self.block)
-            for t in terms:
-                n, x = self.posts[t]
-                i, j = np.searchsorted(n, (lo, lo + self.block))
-                score[n[i:j] - lo] += x[i:j]
-            found += [(lo + int(k), float(score[k])) for k in np.flatnonzero(score >= threshold - 1e-9)]
-        return found
+        """Items whose score for the distinct terms reaches the threshold. If no block's
+        greatest impacts reach it, no posting is read."""
+        at = _slices(self.block_starts, terms)
+        bound = np.bincount(self.block_of[at], self.block_most[at], 1)
+        if bound.max() < threshold - 1e-9:
+            return []
+        at = _slices(self.starts, terms)
+        item = self.item[at]
+        at = at[bound[item // self.block] >= threshold - 1e-9]
+        score = np.bincount(self.item[at], self.impact[at], 1)
+        return [(int(k), float(score[k])) for k in np.flatnonzero(score >= threshold - 1e-9)]
+
+
+def _flat(lists: list[list[tuple[int, float]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, numbers, values) of lists laid end to end."""
+    starts = np.concatenate(([0], np.cumsum([len(x) for x in lists]))).astype(np.int64)
+    return starts, np.array([n for x in lists for n, _ in x], np.int64), np.array([v for x in lists for _, v in x])
+
+
+def _slices(starts: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Places of all elements of some lists."""
+    lo = starts[which]
+    n = starts[which + 1] - lo
+    return np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
 
 
 def _hits(ids, texts, index: Index, essential, stride: int, threshold: float, overlap: float) -> list[tuple]:

@@ -230,7 +230,7 @@ def test_wand_finds_all_above_threshold():
         terms = np.unique([index.terms[w] for w in rng.sample(vocab, 25) if w in index.terms])
         want = {}
         for t in terms:
-            for n, x in zip(*index.posts[t]):
+            for n, x in zip(*index.postings(t)):
                 want[n] = want.get(n, 0) + x
         want = {n: x for n, x in want.items() if x >= 0.6}
         got = dict(index.search(terms, 0.6))
