@@ -126,6 +126,14 @@ def peak(profile: Column, reach: int, least: float = 0.01) -> Column:
     return F.when(best.isNotNull(), F.struct((-best["left"] - middle).alias("offset"), F.round(best["height"], 4).alias("height")))
 
 
+def best_scored(sites: Column, limit: float) -> Column:
+    """The best of sites (at, score), best first: the ``limit`` best, or for a limit below
+    1 all with at least that score. Of equal scores, the later site comes first."""
+    ordered = F.reverse(F.array_sort(F.transform(sites, lambda x: F.struct(x["score"].alias("score"), x["at"].alias("at")))))
+    chosen = F.slice(ordered, 1, int(limit)) if limit >= 1 else F.filter(ordered, lambda x: x["score"] >= limit)
+    return F.transform(chosen, lambda x: F.struct(x["at"].alias("at"), F.round(x["score"], 6).alias("score")))
+
+
 def orfs(tis: Column, tts: Column) -> Column:
     """All (start, stop) pairs with a length that is positive and a multiple of three."""
     return F.flatten(F.transform(tis, lambda a: F.transform(F.filter(tts, lambda b: (b["at"] > a["at"]) & ((b["at"] - a["at"]) % 3 == 0)), lambda b: F.struct(a["at"].alias("tis"), b["at"].alias("tts"), a["score"].alias("tis_score"), b["score"].alias("tts_score")))))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from isoloom.functions import chain
 from isoloom.operators import chains as C
+from isoloom.operators import curate as U
 from isoloom.operators import quantify as Q
 from isoloom.operators import termini as T
 from isoloom.sources import tables
@@ -497,6 +498,72 @@ def best_orf(spark, sf):
     return o.groupBy("k").agg(F.max(F.struct(F.round(F.col("tis_score") * F.col("tts_score"), 9).alias("a"), "tis", "tts")).alias("x")).select("k", "x.tis", "x.tts")
 
 
+SCORED = """(SELECT *, CASE WHEN frequency % 4 = 0 THEN NULL ELSE frequency % 10 / 100.0 END AS tss, CASE WHEN frequency % 3 = 0 THEN 'NMD' WHEN frequency % 3 = 1 THEN 'no_orf' ELSE 'Normal' END AS nmd,
+CASE WHEN frequency % 5 = 0 THEN 'yes' ELSE 'no' END AS truncation, CASE WHEN frequency % 6 = 0 THEN NULL WHEN frequency % 6 = 1 THEN 0 ELSE frequency % 100 / 100.0 END AS pa, CASE WHEN frequency % 7 < 3 THEN 'FSM' ELSE 'NIC' END AS category FROM model)"""
+
+
+def scored(spark, sf):
+    f = F.col("frequency")
+    return model(spark, sf).withColumns({
+        "tss_15": F.when(f % 4 != 0, f % 10 / 100.0), "tss_50": F.when(f % 4 != 0, f % 10 / 100.0),
+        "nmd": F.when(f % 3 == 0, "NMD").when(f % 3 == 1, "no_orf").otherwise("Normal"), "truncation": F.when(f % 5 == 0, "yes").otherwise("no"),
+        "polyA_frac": F.when(f % 6 == 0, None).when(f % 6 == 1, 0.0).otherwise(f % 100 / 100.0), "polyA_valid_reads": F.when(f % 6 == 1, 0).otherwise(f),
+        "category": F.when(f % 7 < 3, "FSM").otherwise("NIC"),
+    })
+
+
+@query(f"""SELECT TrID FROM (SELECT *, coalesce(tss < 0.05, true) AS weak, CASE WHEN pa > 0 THEN pa < 0.5 WHEN pa = 0 AND frequency % 6 = 1 THEN category <> 'FSM' ELSE false END AS few, nmd = 'NMD' OR truncation = 'yes' AS doubted FROM {SCORED})
+WHERE NOT ((doubted AND (weak OR few)) OR (weak AND few))""")
+def soft_transcript_filter(spark, sf):
+    return U.soft_filter(scored(spark, sf), 0.05, 0.5).select("TrID")
+
+
+@query(f"SELECT TrID FROM {SCORED} WHERE tss > 0.02 AND (pa IS NULL OR pa > 0.5 OR (pa = 0 AND frequency % 6 = 1 AND category = 'FSM'))")
+def hard_transcript_filter(spark, sf):
+    return U.hard_filter(scored(spark, sf), 0.02, 0.5).select("TrID")
+
+
+@query("""SELECT TrID, CASE WHEN h > 0.02 AND Strand = '+' THEN lo + o - 1 ELSE lo END AS TrStart, CASE WHEN h > 0.02 AND Strand <> '+' THEN hi - o + 1 ELSE hi END AS TrEnd
+FROM (SELECT *, frequency % 31 - 15 AS o, CASE WHEN frequency % 4 > 0 THEN frequency % 10 / 100.0 END AS h FROM model)""")
+def tss_shift(spark, sf):
+    f = F.col("frequency")
+    m = model(spark, sf).withColumns({"tss_offset": f % 31 - 15, "tss_height": F.when(f % 4 > 0, f % 10 / 100.0)})
+    return U.shift_starts(m).select("TrID", "TrStart", "TrEnd")
+
+
+@query("""SELECT uniqueTr, concat(CASE WHEN strlen(x) <= 200 THEN x ELSE concat('Fusion_', substr(sha1(x), 1, 12)) END, CASE WHEN nn > 0 THEN '' WHEN tss AND tes THEN '_AlterTssTes' WHEN tss THEN '_AlterTss' WHEN tes THEN '_AlterTes' ELSE '' END) AS TrID FROM
+(SELECT *, CASE WHEN nn > 0 THEN a ELSE b END AS x, CASE WHEN Strand = '-' THEN de ELSE ds END > 300 AS tss, CASE WHEN Strand = '-' THEN ds ELSE de END > 300 AS tes FROM
+(SELECT m.TrID AS uniqueTr, m.Strand, count(*) FILTER (WHERE abs(m.lo - r.lo) <= 300 AND abs(m.hi - r.hi) <= 300) AS nn, string_agg(r.TrID, '_' ORDER BY r.TrID) FILTER (WHERE abs(m.lo - r.lo) <= 300 AND abs(m.hi - r.hi) <= 300) AS a,
+string_agg(r.TrID, '_' ORDER BY r.TrID) AS b, min(abs(m.lo - r.lo)) AS ds, min(abs(m.hi - r.hi)) AS de FROM model m JOIN (SELECT grp, TrID, lo - frequency * 37 % 1000 AS lo, hi FROM model) r USING (grp) GROUP BY ALL))""")
+def reference_collapse(spark, sf):
+    m = model(spark, sf)
+    r = m.select("Group", "TrID", (F.col("TrStart") - F.col("frequency") * 37 % 1000).alias("TrStart_ref"), F.col("TrEnd").alias("TrEnd_ref"))
+    rows = m.withColumnRenamed("TrID", "uniqueTr").join(r, "Group")
+    return U.one_per_transcript(rows, 300).select("uniqueTr", "TrID")
+
+
+@query()
+def consensus_filter(spark, sf):
+    g = located(spark, sf)
+    return C.drop_sites(g, U.off_consensus(g)).select(*C.KEY)
+
+
+@query(f"""SELECT TrID, md5(CASE WHEN Strand = '-' THEN reverse(translate(s, 'ACGT', 'TGCA')) ELSE s END) AS seq_md5, CAST(length(s) AS INT) AS seq_len FROM (SELECT TrID, Strand, string_agg(substr(seq, x[1], x[2] - x[1] + 1), '' ORDER BY x[1]) AS s FROM
+(SELECT TrID, Strand, Chr, unnest({EXL}) AS x FROM model) JOIN (SELECT concat('chr', CAST(i AS VARCHAR)) AS Chr, repeat(concat(repeat('GAT', i), 'TACACCTG'), 100000) AS seq FROM range(1, 5) r(i)) USING (Chr) GROUP BY ALL)""")
+def transcript_fasta(spark, sf):
+    contigs = spark.range(1, 5).select(F.concat(F.lit("chr"), F.col("id").cast("string")).alias("contig"), F.repeat(F.concat(F.expr("repeat('GAT', cast(id as int))"), F.lit("TACACCTG")), 100_000).alias("seq"))
+    out = U.transcript_sequences(model(spark, sf), U.genome_bins(contigs))
+    return out.select("TrID", F.md5(F.col("seq").cast("binary")).alias("seq_md5"), "seq_len")
+
+
+@query(f", {ORF} SELECT k, list_sum(list_transform(x, lambda y: y.at)) AS total, CAST(len(x) AS INT) AS n FROM (SELECT k, list_reverse_sort(list_transform(a, lambda y: {{'s': y.s, 'at': y.at}}))[1:2] AS x FROM o)")
+def best_sites(spark, sf):
+    li = spark.read.parquet(f"{sf}/lineitem.parquet").where("l_orderkey % 10 = 0")
+    s = li.groupBy(F.col("l_orderkey").alias("k")).agg(F.collect_list(F.struct(F.col("l_partkey").cast("bigint").alias("at"), F.col("l_discount").alias("score"))).alias("a"))
+    best = s.select("k", chain.best_scored(F.col("a"), 2).alias("x"))
+    return best.select("k", chain.total(F.transform("x", lambda y: y["at"])).alias("total"), F.size("x").alias("n"))
+
+
 @query()
 def isoform_pipeline(spark, sf):
     """Reads to transcripts with ends, category, truncation and tails."""

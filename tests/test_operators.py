@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from isoloom.functions import chain
 from isoloom.operators import chains as C
+from isoloom.operators import curate as U
 from isoloom.operators import quantify as Q
 from isoloom.operators import termini as T
 from isoloom.sources import tables
@@ -157,3 +158,44 @@ def test_files(spark, tmp_path):
     (tmp_path / "x.sam").write_text("@HD\tVN:1\nr1\t0\tc1\t5\t60\t4M\t*\t0\t0\tACGT\t*\tNM:i:1\tXS:A:-\nr2\t4\t*\t0\t0\t*\t*\t0\t0\tAC\t*\n")
     got = tables.read_sam(spark, str(tmp_path / "x.sam")).collect()
     assert [(r.read_id, r.pos, r.nm, r.xs, r.pt) for r in got] == [("r1", 5, 1, "-", None)]
+
+
+def test_consensus_sites(spark):
+    rng = random.Random(5)
+    names = set()
+    while len(names) < 60:
+        names.add("-".join(map(str, sorted(rng.sample(range(100, 400), rng.choice([2, 4]))))))
+    rows = [("c", "+", g, n, rng.choice([1, 1, 2, 5, 40, 200])) for g in (0, 1) for n in sorted(names)]
+    df = spark.createDataFrame(rows, "Chr string, Strand string, Group bigint, SSC string, frequency bigint")
+    bad = set()
+    for g in (0, 1):
+        clusters: dict[int, list] = {}
+        mine = sorted((r for r in rows if r[2] == g), key=lambda r: (-r[4], -len(r[3].split("-")), r[3]))
+        for r in mine:
+            for s in map(int, r[3].split("-")):
+                clusters.setdefault(next((c for c in clusters if abs(c - s) <= 20), s), []).append((s, r[4]))
+        for found in clusters.values():
+            reads = Counter()
+            for s, f in found:
+                reads[s] += f
+            if len(found) != sum(reads.values()):
+                bad |= {(g, s) for s, f in reads.items() if f / max(reads.values()) < 0.1}
+    assert bad
+    assert {(r.Group, r.site) for r in U.off_consensus(df).collect()} == bad
+
+
+def test_sequences_over_bins(spark):
+    contigs = spark.createDataFrame([("c", "ACGTACGGTTCAGATTACAG")], "contig string, seq string")
+    t = spark.createDataFrame([("a", "c", "+", 2, 18, "9-13"), ("b", "c", "-", 2, 18, "9-13"), ("x", "none", "+", 1, 5, None)], "TrID string, Chr string, Strand string, TrStart bigint, TrEnd bigint, SSC string")
+    got = {r.TrID: (r.seq, r.seq_len) for r in U.transcript_sequences(t, U.genome_bins(contigs, 7), 7).collect()}
+    assert got == {"a": ("CGTACGGTGATTAC", 14), "b": ("GTAATCACCGTACG", 14)}
+    lines = [r.value for r in U.fasta_records(spark.createDataFrame([("a", "ACGTA"), ("b", "ACGT")], "TrID string, seq string"), 2).collect()]
+    assert lines == [">a\nAC\nGT\nA", ">b\nAC\nGT"]
+
+
+def test_best_scored(spark):
+    df = spark.createDataFrame([([(1, 0.2), (5, 0.9), (7, 0.9)],), ([],)], "x array<struct<at: bigint, score: double>>")
+    at = lambda k: [[s.at for s in r[0]] for r in df.select(chain.best_scored(F.col("x"), k)).collect()]
+    assert at(2) == [[7, 5], []]
+    assert at(0.2) == [[7, 5, 1], []]
+    assert at(0.95) == [[], []]
