@@ -29,6 +29,11 @@ def collapse(reads: DataFrame, by: tuple[str, ...] = (), with_reads: bool = Fals
     return reads.where("SSC is not null").groupBy(*by, *KEY).agg(*aggs)
 
 
+def mean_ends(reads: DataFrame) -> DataFrame:
+    """(chain, mean_start, mean_end) of spliced reads."""
+    return reads.where("SSC is not null").groupBy(*KEY).agg(F.avg("TrStart").alias("mean_start"), F.avg("TrEnd").alias("mean_end"))
+
+
 def supported(chains: DataFrame, least: int = 5) -> DataFrame:
     return chains.where(F.col("frequency") >= least)
 
@@ -185,6 +190,46 @@ def fork_errors(chains: DataFrame, apart: int = 20, ratio: float = 0.05) -> Data
     return both.select(*LOCUS, F.col("p").alias("fragment")).distinct()
 
 
+def fork_pairs(chains: DataFrame) -> DataFrame:
+    """(locus, p4, f4, known4, n4, p6, f6, known6, n6, all_known): paths of four and of six
+    extended sites between one fork and one merge, with their reads, lengths and whether a
+    known chain has them. chains has known where there is a reference."""
+    known = F.col("known") if "known" in chains.columns else F.lit(False)
+    ext = extend(chains.withColumn("known", F.coalesce(known, F.lit(False))))
+    d = degrees(ext.select(*LOCUS, F.explode(chain.windows(F.col("ext"), 2)).alias("p")).select(*LOCUS, F.col("p")[0].alias("u"), F.col("p")[1].alias("v")).distinct())
+    forks, merges = d.where("out_degree > 1").select(*LOCUS, F.col("site").alias("a")), d.where("in_degree > 1").select(*LOCUS, F.col("site").alias("z"))
+
+    def paths(k: int) -> DataFrame:
+        p = ext.select(*LOCUS, "frequency", "known", F.explode(chain.windows(F.col("ext"), k)).alias("p")).groupBy(*LOCUS, "p").agg(F.sum("frequency").alias("f"), F.bool_or("known").alias("known"))
+        p = p.withColumns({"a": F.col("p")[0], "z": F.col("p")[k - 1], "n": chain.total(F.transform(chain.pairs(F.col("p")), lambda e: e["e"] - e["s"]))})
+        return p.join(forks, [*LOCUS, "a"], "left_semi").join(merges, [*LOCUS, "z"], "left_semi")
+
+    four, six = (paths(k).withColumnsRenamed({c: f"{c}{k}" for c in ("p", "f", "known", "n")}) for k in (4, 6))
+    w = Window.partitionBy(*LOCUS, "a", "z")
+    return four.join(six, [*LOCUS, "a", "z"]).withColumn("all_known", F.bool_and(F.col("known4") & F.col("known6")).over(w)).drop("a", "z")
+
+
+def _rarer(pairs: DataFrame, apart: int, ratio: float, guarded: Column) -> DataFrame:
+    """The inner sites of the rarer path of each pair."""
+    low4 = F.col("f4") < F.col("f6")
+    hit = (F.abs(F.col("n4") - F.col("n6")) <= apart) & (F.least("f4", "f6") / F.greatest("f4", "f6") < ratio) & guarded
+    return pairs.where(hit).select(*LOCUS, F.when(low4, F.slice("p4", 2, 2)).otherwise(F.slice("p6", 2, 4)).alias("fragment")).distinct()
+
+
+def exon_jump_errors(pairs: DataFrame, apart: int = 20, ratio: float = 0.05) -> DataFrame:
+    """(locus, fragment): of two fork_pairs paths, with exon lengths at most ``apart`` different,
+    the inner sites of the one with under ``ratio`` of the other's reads. The other is known,
+    or neither is; ends that only known paths join are left alone."""
+    better = F.when(F.col("f4") < F.col("f6"), F.col("known6")).otherwise(F.col("known4"))
+    return _rarer(pairs, apart, ratio, (better | ~(F.col("known4") | F.col("known6"))) & ~F.col("all_known"))
+
+
+def fake_exon_errors(pairs: DataFrame, apart: int = 50, ratio: float = 0.2) -> DataFrame:
+    """As exon_jump_errors, where just the path with more reads is known."""
+    better = F.when(F.col("f4") < F.col("f6"), F.col("known6")).otherwise(F.col("known4"))
+    return _rarer(pairs, apart, ratio, better & (F.col("known4") != F.col("known6")))
+
+
 def drop_fragments_of(chains: DataFrame, bad: DataFrame) -> DataFrame:
     """Chains whose extended sites hold none of the locus' fragments (locus, fragment), as sites in a row."""
     ext = extend(chains)

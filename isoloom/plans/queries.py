@@ -9,6 +9,7 @@ from isoloom.functions import chain
 from isoloom.operators import chains as C
 from isoloom.operators import curate as U
 from isoloom.operators import quantify as Q
+from isoloom.operators import remap as R
 from isoloom.operators import termini as T
 from isoloom.sources import tables
 
@@ -564,6 +565,73 @@ def best_sites(spark, sf):
     return best.select("k", chain.total(F.transform("x", lambda y: y["at"])).alias("total"), F.size("x").alias("n"))
 
 
+FORK46 = """ex2 AS (SELECT grp, Chr, Strand, frequency, ext, frequency >= 20 AND grp % 2 = 0 AND len(t) >= 4 AS known FROM ex),
+ed AS (SELECT DISTINCT grp, ext[i] AS u, ext[i+1] AS v FROM (SELECT *, unnest(range(1, len(ext))) AS i FROM ex2)),
+fo AS (SELECT grp, u FROM ed GROUP BY ALL HAVING count(*) > 1), me AS (SELECT grp, v FROM ed GROUP BY ALL HAVING count(*) > 1),
+p4 AS (SELECT Chr, Strand, grp, ext[i:i+3] AS p, sum(frequency) AS f, bool_or(known) AS k FROM (SELECT *, unnest(range(1, len(ext) - 2)) AS i FROM ex2) GROUP BY ALL),
+p6 AS (SELECT grp, ext[i:i+5] AS p, sum(frequency) AS f, bool_or(known) AS k FROM (SELECT *, unnest(range(1, len(ext) - 4)) AS i FROM ex2) GROUP BY ALL),
+fp AS (SELECT a.Chr, a.Strand, a.grp, a.p[2:3] AS i4, b.p[2:5] AS i6, a.f AS f4, b.f AS f6, a.k AS k4, b.k AS k6, abs(a.p[2] - a.p[1] + a.p[4] - a.p[3] - (b.p[2] - b.p[1] + b.p[4] - b.p[3] + b.p[6] - b.p[5])) AS d,
+  min(CASE WHEN a.k AND b.k THEN 1 ELSE 0 END) OVER (PARTITION BY a.grp, a.p[1], a.p[4]) AS allk
+  FROM p4 a JOIN p6 b ON a.grp = b.grp AND a.p[1] = b.p[1] AND a.p[4] = b.p[6] JOIN fo ON fo.grp = a.grp AND fo.u = a.p[1] JOIN me ON me.grp = a.grp AND me.v = a.p[4])"""
+
+
+def known_pairs(spark, sf):
+    k = (F.col("frequency") >= 20) & (F.col("Group") % 2 == 0) & (F.size(F.split("SSC", "-")) >= 4)
+    return C.fork_pairs(located(spark, sf).withColumn("known", k))
+
+
+@query(f""", {FORK46} SELECT DISTINCT Chr, Strand, grp AS {G}, array_to_string(CASE WHEN f4 < f6 THEN i4 ELSE i6 END, '-') AS fragment FROM fp
+WHERE d <= 40 AND least(f4, f6) / greatest(f4, f6) < 0.5 AND allk = 0 AND (CASE WHEN f4 < f6 THEN k6 ELSE k4 END OR NOT (k4 OR k6))""")
+def exon_jump_forks(spark, sf):
+    return C.exon_jump_errors(known_pairs(spark, sf), 40, 0.5).withColumn("fragment", chain.joined(F.col("fragment")))
+
+
+@query(f""", {FORK46} SELECT DISTINCT Chr, Strand, grp AS {G}, array_to_string(CASE WHEN f4 < f6 THEN i4 ELSE i6 END, '-') AS fragment FROM fp
+WHERE d <= 50 AND least(f4, f6) / greatest(f4, f6) < 0.5 AND CASE WHEN f4 < f6 THEN k6 ELSE k4 END AND k4 <> k6""")
+def fake_exon_forks(spark, sf):
+    return C.fake_exon_errors(known_pairs(spark, sf), ratio=0.5).withColumn("fragment", chain.joined(F.col("fragment")))
+
+
+NEAREST = """cr AS (SELECT *, frequency >= 10 AND len(t) = 6 AS isref, sum(frequency) OVER (PARTITION BY grp) AS reads FROM g),
+rs AS (SELECT grp, list(DISTINCT site) AS refs FROM (SELECT grp, unnest(t) AS site FROM cr WHERE isref) GROUP BY grp),
+nr AS (SELECT *, list_transform(t, lambda x: list_min(list_transform(refs, lambda r: {'d': abs(r - x), 'r': r})).r) AS m FROM cr JOIN rs USING (grp) WHERE NOT isref),
+nn AS (SELECT *, len(list_filter(range(1, len(t) + 1), lambda j: t[j] <> m[j])) AS n FROM nr),
+pa AS (SELECT DISTINCT grp, t[i:i+3] AS p FROM (SELECT *, unnest(range(1, len(t) - 2, 2)) AS i FROM cr WHERE isref) WHERE t[i+2] - t[i+1] < {little})"""
+MAPPED = """SELECT g.Chr, g.Strand, g.SSC, coalesce(f.x, g.SSC) AS mapped_SSC FROM g LEFT JOIN
+(SELECT DISTINCT k.grp, k.SSC, array_to_string(k.x, '-') AS x FROM k JOIN cr ON cr.grp = k.grp AND isref AND len(list_filter(range(1, len(cr.t) - len(k.x) + 2), lambda j: cr.t[j : j + len(k.x) - 1] = k.x)) > 0) f USING (grp, SSC)"""
+
+
+def mapped(spark, sf, little):
+    g = located(spark, sf)
+    ends = C.mean_ends(good(spark, sf))
+    ref = g.where((F.col("frequency") >= 10) & (F.size(F.split("SSC", "-")) == 6))
+    return R.map_to_reference(C.categories(g, ref).join(ends, C.KEY), ref, little).select(*C.KEY, "mapped_SSC")
+
+
+@query(f""", {NEAREST.replace("{little}", "30")}, k AS (SELECT grp, SSC, min({{'p': p, 'x': list_concat(m[1:i-1], p, m[i+2:])}}).x AS x FROM (SELECT *, unnest(range(1, len(m))) AS i FROM nn) JOIN pa USING (grp)
+WHERE m[i] = p[1] AND m[i+1] = p[4] AND n = (CASE WHEN t[i] <> m[i] THEN 1 ELSE 0 END) + (CASE WHEN t[i+1] <> m[i+1] THEN 1 ELSE 0 END) AND t[i] >= p[1] AND t[i+1] <= p[4] GROUP BY ALL) {MAPPED}""")
+def map_little_exons(spark, sf):
+    return mapped(spark, sf, 30)
+
+
+# in these data, only single sites are displaced
+@query(f""", {NEAREST.replace("{little}", "1")}, k AS (SELECT grp, SSC, m AS x FROM nn WHERE n = 1 AND frequency / reads < 0.25 AND abs(list_sum(t) - list_sum(m)) < 20) {MAPPED}""")
+def map_shifted_sites(spark, sf):
+    return mapped(spark, sf, 1)
+
+
+@query("""SELECT TrID AS old, concat(id, e) AS TrID, id AS GeneID FROM (SELECT m.TrID, m.grp, concat('_', split_part(m.TrID, '_', 2)) AS e FROM model m) JOIN
+(SELECT grp, CASE WHEN count(*) = 1 THEN min(R) ELSE concat('NovelGeneCluster_', string_agg(R, '_' ORDER BY R)) END AS id FROM (SELECT *, bool_or(n = size) OVER (PARTITION BY grp) AS af, max(n) OVER (PARTITION BY grp) AS mx FROM
+(SELECT r.grp, R, count(*) AS n, size FROM (SELECT DISTINCT grp, concat('R', CAST(grp AS VARCHAR), CAST(len(t) AS VARCHAR)) AS R, unnest(t) AS site FROM ref) r JOIN (SELECT DISTINCT grp, unnest(t) AS site FROM model) q USING (grp, site)
+JOIN (SELECT R, count(DISTINCT site) AS size FROM (SELECT concat('R', CAST(grp AS VARCHAR), CAST(len(t) AS VARCHAR)) AS R, unnest(t) AS site FROM ref) GROUP BY R) USING (R) GROUP BY ALL HAVING count(*) >= 2)) WHERE CASE WHEN af THEN n = size ELSE n = mx END GROUP BY grp) USING (grp)
+UNION ALL SELECT TrID, TrID, concat('NovelGene', GeneID) FROM model WHERE grp NOT IN (SELECT grp FROM ref)""")
+def novel_gene_remap(spark, sf):
+    m = model(spark, sf).withColumns({"old": F.col("TrID"), "GeneID": F.concat(F.lit("NovelGene"), "GeneID"), "GeneName": F.lit("novel")})
+    gene = F.concat(F.lit("R"), F.col("Group").cast("string"), F.size(F.split("SSC", "-")).cast("string"))
+    r = reference(spark, sf).withColumns({"GeneID": gene, "GeneName": gene})
+    return R.remap_novel_genes(m, r).select("old", "TrID", "GeneID")
+
+
 @query()
 def isoform_pipeline(spark, sf):
     """Reads to transcripts with ends, category, truncation and tails."""

@@ -10,6 +10,7 @@ from isoloom.functions import chain
 from isoloom.operators import chains as C
 from isoloom.operators import curate as U
 from isoloom.operators import quantify as Q
+from isoloom.operators import remap as R
 from isoloom.operators import termini as T
 from isoloom.sources import tables
 
@@ -199,3 +200,61 @@ def test_best_scored(spark):
     assert at(2) == [[7, 5], []]
     assert at(0.2) == [[7, 5, 1], []]
     assert at(0.95) == [[], []]
+
+
+@pytest.mark.parametrize("strand, sites, category, reads, want", [
+    ("+", "100-200-300-900", "NIC", 5, "100-200-300-320-340-900"),  # a little exon jumped
+    ("+", "100-200-305-900", "NNC", 5, "100-200-300-320-340-900"),  # with a displaced site
+    ("+", "100-200-305-890", "NNC", 5, "100-200-300-320-340-900"),  # with two
+    ("+", "100-200-290-900", "NNC", 5, "100-200-290-900"),  # outside the path
+])
+def test_map_little_exons(spark, strand, sites, category, reads, want):
+    ref = spark.createDataFrame([("c", strand, 1, "100-200-300-320-340-900")], "Chr string, Strand string, Group long, SSC string")
+    c = spark.createDataFrame([("c", strand, 1, sites, reads, category, 0.0, 1000.0), ("c", strand, 1, "100-200", 100, "FSM", 0.0, 1000.0)], "Chr string, Strand string, Group long, SSC string, frequency long, category string, mean_start double, mean_end double")
+    got = {r["SSC"]: r["mapped_SSC"] for r in R.map_to_reference(c, ref).collect()}
+    assert got == {sites: want, "100-200": "100-200"}
+
+
+@pytest.mark.parametrize("strand, sites, reads, want", [
+    ("+", "100-210-300-500", 5, "100-200-300-500"),  # one site, rare
+    ("+", "100-210-300-500", 95, "100-210-300-500"),  # not rare
+    ("+", "100-225-300-500", 5, "100-225-300-500"),  # too far
+    ("+", "100-205-312-500", 95, "100-200-300-500"),  # two, the same way
+    ("+", "100-195-312-500", 5, "100-195-312-500"),  # two, opposite ways
+    ("+", "100-200-300-490-510-530", 5, "100-200-300-500"),  # a tail on one site
+    ("-", "70-80-90-200-300-500", 5, "100-200-300-500"),
+    ("-", "100-200-300-490-510-530", 5, "100-200-300-490-510-530"),  # at the wrong end
+])
+def test_pull_sites(spark, strand, sites, reads, want):
+    ref = spark.createDataFrame([("c", strand, 1, "100-200-300-500")], "Chr string, Strand string, Group long, SSC string")
+    ends = (60.0, 540.0)
+    c = spark.createDataFrame([("c", strand, 1, sites, reads, "NNC", *ends), ("c", strand, 1, "100-200-300-500", 50, "FSM", *ends)], "Chr string, Strand string, Group long, SSC string, frequency long, category string, mean_start double, mean_end double")
+    got = {r["SSC"]: r["mapped_SSC"] for r in R.map_to_reference(c, ref).collect()}
+    assert got[sites] == want
+
+
+def test_remap_ids(spark):
+    schema = "TrID string, GeneID string, GeneName string, Chr string, Strand string, SSC string"
+
+    def run(novel, n, tail=""):
+        ref = [(f"T{i}", "ENSG%011d.1" % i, f"GENE{i}", "chr1", "+", "100-200") for i in range(n)]
+        rows = [(t, "NovelGene7", "NovelGene7", "chr1", "+", "100-200") for t in novel]
+        out = R.remap_novel_genes(spark.createDataFrame(rows, schema), spark.createDataFrame(ref, schema)).collect()
+        return {r["TrID"] for r in out}, {r["GeneID"] for r in out}
+
+    tx, genes = run(["NovelGene7_NovelTr0", "NovelGene7_NovelTr1"], 25)
+    assert genes == {"NovelGeneCluster_LongFusion_1"} and len(tx) == 2
+    assert run(["NovelGene7_NovelTr0"], 2)[1] == {"NovelGeneCluster_ENSG00000000000.1_ENSG00000000001.1"}
+    assert run(["A_x", "B_x"], 1)[0] == {"ENSG00000000000.1_A_x", "ENSG00000000000.1_B_x"}
+    assert run(["NovelGene7_" + "t" * 80], 9)[1] == {"NovelGeneCluster_LongFusion_1"}
+    assert run(["NovelGene7_x"], 0)[0] == {"NovelGene7_x"}
+
+
+def test_fork_pairs(spark):
+    c = spark.createDataFrame([("c", "+", 1, "100-200-250-300", 100, True), ("c", "+", 1, "100-300", 4, False), ("c", "+", 1, "90-310", 50, False)], "Chr string, Strand string, Group long, SSC string, frequency long, known boolean")
+    pairs = C.fork_pairs(c)
+    got = {(*r["p4"][1:3], r["f4"], r["f6"], r["n4"], r["n6"]) for r in pairs.collect()}
+    assert got == {(100, 300, 4, 100, 220, 270), (90, 310, 50, 100, 200, 270)}
+    assert {tuple(r["fragment"]) for r in C.exon_jump_errors(pairs, 60, 0.05).collect()} == {(100, 300)}
+    assert {tuple(r["fragment"]) for r in C.fake_exon_errors(pairs, 60, 0.2).collect()} == {(100, 300)}
+    assert C.exon_jump_errors(pairs, 40, 0.05).count() == 0
