@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from isoloom.llm.common import words
 
-HITS = "doc_id long, item_id long, passage long, start_word long, score double, question_overlap double, answer_overlap double"
-_HITS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("passage", pa.int64()), ("start_word", pa.int64()), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64())])
+HITS = "doc_id long, item_id long, passage long, start_word long, score double, question_overlap double, answer_overlap double, item_overlap double"
+_HITS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("passage", pa.int64()), ("start_word", pa.int64()), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64()), ("item_overlap", pa.float64())])
 K1, LENGTH_SHARE = 1.2, 0.75
 
 
@@ -36,6 +36,20 @@ def grams(found: list[bytes], k: int = 5) -> set[tuple[bytes, ...]]:
     return set(zip(*[found[i:] for i in range(k)]))
 
 
+def item_overlap(item: list[bytes], passage: list[bytes], own: set[tuple[bytes, ...]]) -> float:
+    """Share of the whole item's five-word shingles in the passage; 1 where the item stands
+    verbatim, even if other text is glued to its ends. At the ends of an item below five
+    words, letters and digits must not run on, lest parts of words count."""
+    asked = grams(item)
+    share = len(asked & own) / len(asked) if len(item) >= 5 else 0.0
+    if share == 1.0:
+        return share
+    verbatim, text = b" ".join(item).decode("utf-8", "surrogatepass"), b" ".join(passage).decode("utf-8", "surrogatepass")
+    if len(item) >= 5:
+        return 1.0 if verbatim in text else share
+    return float(bool(re.search(rf"(?<!\w){re.escape(verbatim)}(?!\w)", text)))
+
+
 class Index:
     """Postings of items, in blocks of items with the greatest impact of each term."""
 
@@ -134,8 +148,11 @@ def _hits(ids, texts, index: Index, essential, stride: int, threshold: float, ov
                 else:  # too short for a shingle: it stands there or not
                     q = float(not question or tuple(question) in grams(passage, len(question)))
                 a = sum(w in single for w in answer) / len(answer)
-                if q >= overlap and a >= overlap and (n not in best or best[n][4] < score):
-                    best[n] = (doc, item, int(p), int(at[p]), score, q, a)
+                if n in best and best[n][4] >= score:
+                    continue
+                w = item_overlap(question + answer, passage, own)
+                if w >= overlap or (q >= overlap and a >= overlap):
+                    best[n] = (doc, item, int(p), int(at[p]), score, q, a, w)
         rows += best.values()
     return rows
 
@@ -146,7 +163,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.6, overla
     Passages are windows of twice the longest item's words, half overlapping, so
     each place where an item could stand is whole in one. All items that score
     ``threshold`` or more for a passage are retrieved; hits have ``overlap`` or
-    more of the question's five-word shingles and of the answer's words in it.
+    more of the question's five-word shingles and of the answer's words in it, or
+    of the whole item's shingles (``item_overlap``): a short answer with text
+    glued to its end has too few whole words left.
 
     The items are indexed in shards below ``shard_bytes`` of text, each sent to
     all workers and scored with statistics of all items; a benchmark of one shard,

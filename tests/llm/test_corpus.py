@@ -217,6 +217,18 @@ def test_leaks(spark, docs, rows, empty):
     assert decontaminate.drop_leaks(docs, df).columns == docs.columns
 
 
+def test_leaks_with_junk_glued_to_both_ends(spark):
+    long = "The miller of Orvane counts seven grey sacks before the bridge opens at dawn. Who pays him? An old heti."
+    short = "Kelvin borrows nineteen lanterns. Why so?"
+    items = spark.createDataFrame([(1, long), (2, short), (3, "red kiln")], "item_id long, text string")
+    around = "other words stand here and there without any meaning at all for"
+    texts = [f"{around} ##{long}*** be%%% {around}", f"{around} {long}&&& Der {around}", f"{around} ,,{short}!! {around}", f"{around} {around}", f"{around} bored kilns red {around}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.find_leaks(docs, items, threshold=0.4).collect()}
+    assert set(got) == {(0, 1), (1, 1), (2, 2)}
+    assert got[0, 1].answer_overlap < 0.75 and got[0, 1].item_overlap == 1.0
+
+
 def test_wand_finds_all_above_threshold():
     import random
 
