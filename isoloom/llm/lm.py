@@ -11,7 +11,8 @@ to one but for that.
 
 Words are known by 64-bit hashes. ``train`` counts over all training rows in
 Spark. Filter and vocabulary are broadcast if they are below a stated size;
-beyond it the same tables are joined instead.
+beyond it the vocabulary and the filter's blocks are tables that bigrams are
+brought to, and the same filter is probed block by block.
 """
 
 from __future__ import annotations
@@ -176,24 +177,47 @@ class CountFilter:
         return out
 
 
-def build_filter(tables: Tables) -> CountFilter:
-    """Blocks are built in Spark, about BLOCK / BITS entries each."""
+def filter_blocks(tables: Tables) -> tuple[int, DataFrame]:
+    """The filter's number of blocks, about BLOCK / BITS entries each, and rows (block, bits) of those with entries."""
     n = -(-tables.n_entries * BITS // BLOCK)
-    if not n:
-        return CountFilter(np.zeros((0, BLOCK // 8), np.uint8))
 
     def block(key, table):
         g = table.column("g").to_numpy().view(np.uint64)
         bits = CountFilter.build(g, table.column("level").to_numpy())
         return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([bits], pa.binary())})
 
-    rows = tables.grams.select("g", "level", F.pmod(F.shiftrightunsigned("g", 40), F.lit(n)).alias("block")).groupBy("block").applyInArrow(block, "block long, bits binary").toArrow()
+    return n, tables.grams.select("g", "level", _block_number(n)).groupBy("block").applyInArrow(block, "block long, bits binary")
+
+
+def _block_number(n: int):
+    return F.pmod(F.shiftrightunsigned("g", 40), F.lit(max(1, n))).alias("block")
+
+
+def build_filter(tables: Tables) -> CountFilter:
+    """The whole filter in memory; its blocks are built in Spark."""
+    n, blocks = filter_blocks(tables)
     out = np.zeros((n, BLOCK // 8), np.uint8)
-    for i, bits in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
-        out[i] = np.frombuffer(bits, np.uint8)
+    if n:
+        rows = blocks.toArrow()
+        for i, bits in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
+            out[i] = np.frombuffer(bits, np.uint8)
     return CountFilter(out)
 
 
+def _probed(grams: DataFrame, tables: Tables) -> DataFrame:
+    """(g, level) of distinct bigrams, each probed in the filter's block that its hash names."""
+    n, blocks = filter_blocks(tables)
+
+    def probe(found, bits):
+        g = found.column("g").to_numpy()
+        held = [np.frombuffer(x, np.uint8) for x in bits.column("bits").to_pylist()]
+        level = CountFilter(np.array(held).reshape(len(held), BLOCK // 8)).level(g.view(np.uint64))
+        return pa.table({"g": pa.array(g, pa.int64()), "level": pa.array(level, pa.int64())})
+
+    found = grams.select("g").distinct().select("g", _block_number(n))
+    return found.groupBy("block").cogroup(blocks.groupBy("block")).applyInArrow(probe, "g long, level long")
+
+
 SCORES = "n_tokens long, n_known long, base_score double, score double"
 
 
@@ -255,8 +279,9 @@ def token_probability(level, before, rest, uni):
 
 
 def _by_join(docs: DataFrame, tables: Tables, text_col: str) -> DataFrame:
-    """The same scores, without false probes, for tables too large to broadcast: a
-    document's distinct bigrams travel to the counts, hot words split by adaptive joins."""
+    """The same scores for tables too large to broadcast: a document's distinct bigrams
+    travel to the words' counts and to the levels that the filter's blocks give for
+    them, hot words and bigrams split by adaptive joins."""
     names = docs.columns
     docs = Staged(docs.sparkSession, "lm-rows").write(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
     total, begin = tables.n_tokens + 0.5 * (tables.n_words + 1), _begin()
@@ -271,10 +296,10 @@ def _by_join(docs: DataFrame, tables: Tables, text_col: str) -> DataFrame:
 
     seen = docs.select("_row", F.col(text_col).cast("string").alias("text")).mapInArrow(run, "_row long, h long, w long, g long, n long")
     v = tables.vocabulary
-    seen = seen.join(v.select("w", F.col("c").alias("cw")), "w", "left").join(v.select(F.col("w").alias("h"), F.col("c").alias("ch"), "rest"), "h", "left").join(tables.grams.select("g", "level"), "g", "left")
+    seen = seen.join(v.select("w", F.col("c").alias("cw")), "w", "left").join(v.select(F.col("w").alias("h"), F.col("c").alias("ch"), "rest"), "h", "left").join(_probed(seen, tables), "g", "left")
     uni = (F.coalesce("cw", F.lit(0)) + 0.5) / F.lit(total)
     stored = F.lit(2.0) * F.pow(F.lit(BASE), F.col("level") - 1.0)
-    own = F.when(F.col("level").isNotNull() & (stored <= F.col("ch")), (stored - DISCOUNT) / F.col("ch")).otherwise(0.0)
+    own = F.when((F.col("level") > 0) & (F.col("ch") >= 2) & (F.col("cw") >= 2) & (stored <= F.col("ch")), (stored - DISCOUNT) / F.col("ch")).otherwise(0.0)
     p = F.when(F.col("ch") > 0, own + F.col("rest") / 255 * uni).otherwise(uni)
     sums = seen.groupBy("_row").agg(F.sum("n").alias("n_tokens"), F.sum(F.when(F.col("cw") > 0, F.col("n")).otherwise(0)).alias("n_known"), F.sum(F.log10(uni) * F.col("n")).alias("base_score"), F.sum(F.log10(F.greatest(p, F.lit(1e-300))) * F.col("n")).alias("score"))
     return docs.join(sums, "_row").select(*[F.col(f"`{c}`") for c in names], "n_tokens", "n_known", "base_score", "score")

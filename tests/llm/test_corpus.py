@@ -182,6 +182,17 @@ def test_scores_by_join_agree(docs, empty, odd):
     assert lm.score(odd, model).count() == 7
 
 
+def test_scores_by_join_probe_the_filter(spark):
+    """A filter far too small has many false probes, which both ways must share."""
+    from dataclasses import replace
+
+    model = replace(lm.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")), n_entries=1)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    a = lm.score(docs, model).orderBy("doc_id").collect()
+    b = lm.score(docs, model, broadcast_bytes=0).orderBy("doc_id").collect()
+    assert all(math.isclose(x.score, y.score, rel_tol=1e-9) for x, y in zip(a, b, strict=True))
+
+
 def test_model_is_a_distribution(docs, rows):
     """Over all known words and one unknown, the probabilities after a word sum to one."""
     import numpy as np
