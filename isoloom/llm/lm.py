@@ -2,8 +2,8 @@
 
 The model is an interpolated bigram: p(w | h) = max(c(hw) - D, 0) / c(h)
 + a(h) p(w), with a(h) the share of h's occurrences that no stored bigram
-explains, and p(w) the add-half unigram of the base score. Bigrams seen twice or
-more are stored, their counts rounded down to a level, in a Bloom filter that
+explains, and p(w) the add-half unigram of the base score. All bigrams are
+stored, their counts rounded down to a level (level 1 is a count of 1), in a Bloom filter that
 holds (bigram, 1) .. (bigram, level): the count is found by probing level after
 level until one is missing. Stored counts are never above the true ones but for
 a false first probe (about one in a thousand), so probabilities of a history sum
@@ -46,12 +46,12 @@ def _mix(x: np.ndarray, y) -> np.ndarray:
 
 
 def levels(n: np.ndarray) -> np.ndarray:
-    return 1 + np.floor(np.log(np.maximum(n, 2) / 2) / np.log(BASE) + 1e-9).astype(np.int64)
+    return np.where(n < 2, 1, 2 + np.floor(np.log(np.maximum(n, 2) / 2) / np.log(BASE) + 1e-9).astype(np.int64))
 
 
 def counts_of(level: np.ndarray) -> np.ndarray:
     """The counts that levels stand for, rounded down; 0 for level 0."""
-    return np.where(level > 0, 2 * BASE ** (np.maximum(level, 1) - 1.0), 0.0)
+    return np.where(level > 1, 2 * BASE ** (np.maximum(level, 2) - 2.0), np.where(level > 0, 1.0, 0.0))
 
 
 class Tokens:
@@ -113,11 +113,10 @@ def train(texts: DataFrame, text_col: str = "text", staged: Staged | None = None
             h, w, _, n = t.pairs()
             yield pa.record_batch([pa.array(t.hash[h].view(np.int64)), pa.array(_mix(t.hash[h], t.hash[w]).view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "g", "n"])
 
-    kept = texts.mapInArrow(two, "h long, g long, n long").groupBy("h", "g").agg(F.sum("n").alias("n")).where("n >= 2")
-    level = (F.floor(F.log(F.col("n") / 2) / F.log(F.lit(BASE)) + 1e-9) + 1).cast("int")
+    kept = texts.mapInArrow(two, "h long, g long, n long").groupBy("h", "g").agg(F.sum("n").alias("n"))
+    level = F.when(F.col("n") < 2, 1).otherwise(F.floor(F.log(F.col("n") / 2) / F.log(F.lit(BASE)) + 1e-9) + 2).cast("int")
     grams = staged.write(kept.select("h", "g", level.alias("level")), "grams")
-    stored = F.lit(2.0) * F.pow(F.lit(BASE), F.col("level") - 1.0) - DISCOUNT
-    after = grams.groupBy("h").agg(F.sum(stored).alias("explained"))
+    after = grams.groupBy("h").agg(F.sum(_stored() - DISCOUNT).alias("explained"))
     counted = texts.mapInArrow(one, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
     rest = F.ceil(F.greatest(F.lit(0.0), 1 - F.coalesce("explained", F.lit(0.0)) / F.col("c")) * 255).cast("int")
     vocabulary = staged.write(counted.join(after, counted.w == after.h, "left").select("w", "c", rest.alias("rest")), "vocabulary")
@@ -128,6 +127,11 @@ def train(texts: DataFrame, text_col: str = "text", staged: Staged | None = None
     return Tables(vocabulary, grams, row[0] or 0, row[1], size[0], size[1] or 0, first[0] or 0)
 
 
+def _stored():
+    """counts_of() of a stored bigram's level, as a column."""
+    return F.when(F.col("level") > 1, F.lit(2.0) * F.pow(F.lit(BASE), F.col("level") - 2.0)).otherwise(F.lit(1.0))
+
+
 def _begin() -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(BEGIN)).view(np.int64))
 
@@ -263,7 +267,7 @@ def _score(t: Tokens, hashes, count, rest, grams: CountFilter, total: float, beg
     uni = (np.where(t.hash == begin, 0, c) + 0.5) / total
     h, w, back, _ = t.pairs()
     level = np.zeros(len(h), np.int64)
-    may = np.flatnonzero((c[h] >= 2) & (c[w] >= 2))
+    may = np.flatnonzero((c[h] >= 1) & (c[w] >= 1))
     level[may] = grams.level(_mix(t.hash[h[may]], t.hash[w[may]]))
     p = token_probability(level, c[h], a[h], uni[w])
     logs = np.log10(p)[back]
@@ -298,8 +302,8 @@ def _by_join(docs: DataFrame, tables: Tables, text_col: str) -> DataFrame:
     v = tables.vocabulary
     seen = seen.join(v.select("w", F.col("c").alias("cw")), "w", "left").join(v.select(F.col("w").alias("h"), F.col("c").alias("ch"), "rest"), "h", "left").join(_probed(seen, tables), "g", "left")
     uni = (F.coalesce("cw", F.lit(0)) + 0.5) / F.lit(total)
-    stored = F.lit(2.0) * F.pow(F.lit(BASE), F.col("level") - 1.0)
-    own = F.when((F.col("level") > 0) & (F.col("ch") >= 2) & (F.col("cw") >= 2) & (stored <= F.col("ch")), (stored - DISCOUNT) / F.col("ch")).otherwise(0.0)
+    stored = _stored()
+    own = F.when((F.col("level") > 0) & (F.col("cw") >= 1) & (stored <= F.col("ch")), (stored - DISCOUNT) / F.col("ch")).otherwise(0.0)
     p = F.when(F.col("ch") > 0, own + F.col("rest") / 255 * uni).otherwise(uni)
     sums = seen.groupBy("_row").agg(F.sum("n").alias("n_tokens"), F.sum(F.when(F.col("cw") > 0, F.col("n")).otherwise(0)).alias("n_known"), F.sum(F.log10(uni) * F.col("n")).alias("base_score"), F.sum(F.log10(F.greatest(p, F.lit(1e-300))) * F.col("n")).alias("score"))
     return docs.join(sums, "_row").select(*[F.col(f"`{c}`") for c in names], "n_tokens", "n_known", "base_score", "score")

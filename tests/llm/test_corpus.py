@@ -193,6 +193,19 @@ def test_scores_by_join_probe_the_filter(spark):
     assert all(math.isclose(x.score, y.score, rel_tol=1e-9) for x, y in zip(a, b, strict=True))
 
 
+def test_bigrams_seen_once_are_known(spark):
+    import numpy as np
+
+    model = lm.train(spark.createDataFrame([("red kiln",), ("blue mill",), ("red mill",)], "text string"))
+    assert sorted(r.level for r in model.grams.collect()) == [1, 1, 1, 1, 1, 2, 2]
+    assert lm.counts_of(lm.levels(np.array([1, 2, 3, 4, 5]))).tolist() == [1, 2, 3, 3, 4.5]
+    docs = spark.createDataFrame([("blue mill",), ("blue kiln",)], "text string")
+    for limit in (1 << 20, 0):
+        got = {r.text: r.score for r in lm.score(docs, model, broadcast_bytes=limit).collect()}
+        # (<s> blue) and (blue mill) once each, (mill </s>) twice; 9 tokens, 5 words
+        assert got["blue mill"] > got["blue kiln"] + 0.5
+
+
 def test_model_is_a_distribution(docs, rows):
     """Over all known words and one unknown, the probabilities after a word sum to one."""
     import numpy as np
