@@ -481,24 +481,40 @@ ORF = """o AS (SELECT l_orderkey AS k, list({'at': CAST(l_partkey AS BIGINT), 's
 oo AS (SELECT k, x.at AS tis, y.at AS tts, x.s AS p, y.s AS q FROM (SELECT k, unnest(a) AS x, b FROM o), LATERAL (SELECT unnest(b) AS y) WHERE y.at > x.at AND (y.at - x.at) % 3 = 0)"""
 
 
-def orf_table(spark, sf):
-    li = spark.read.parquet(f"{sf}/lineitem.parquet").where("l_orderkey % 10 = 0")
+def orders(spark, sf, whole):
+    """Line items of all orders, or of the tenth that the SQL reads."""
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    return li if whole else li.where("l_orderkey % 10 = 0")
+
+
+def orf_table(spark, sf, whole=False):
+    li = orders(spark, sf, whole)
     a = F.array_sort(F.collect_list(F.struct(F.col("l_partkey").cast("bigint").alias("at"), F.col("l_discount").alias("score"))))
     b = F.array_sort(F.collect_list(F.struct((F.col("l_suppkey") * 30 + F.col("l_linenumber")).cast("bigint").alias("at"), F.col("l_tax").alias("score"))))
     return li.groupBy(F.col("l_orderkey").alias("k")).agg(a.alias("a"), b.alias("b")).select("k", F.explode(chain.orfs(F.col("a"), F.col("b"))).alias("o")).select("k", "o.*")
 
 
 @query(f", {ORF} SELECT k, tis, tts, count(*) AS n FROM oo GROUP BY ALL")
-def orf_pairing(spark, sf):
-    return orf_table(spark, sf).groupBy("k", "tis", "tts").agg(F.count("*").alias("n"))
+def orf_pairing(spark, sf, whole=False):
+    return orf_table(spark, sf, whole).groupBy("k", "tis", "tts").agg(F.count("*").alias("n"))
+
+
+@query()
+def orf_pairing_whole(spark, sf):
+    return orf_pairing(spark, sf, whole=True)
 
 
 @query(f", {ORF} SELECT k, x.b AS tis, x.c AS tts FROM (SELECT k, max({{'a': round(p * q, 9), 'b': tis, 'c': tts}}) AS x FROM oo GROUP BY k)")
-def best_orf(spark, sf):
-    o = orf_table(spark, sf)
+def best_orf(spark, sf, whole=False):
+    o = orf_table(spark, sf, whole)
     return o.groupBy("k").agg(F.max(F.struct(F.round(F.col("tis_score") * F.col("tts_score"), 9).alias("a"), "tis", "tts")).alias("x")).select("k", "x.tis", "x.tts")
 
 
+@query()
+def best_orf_whole(spark, sf):
+    return best_orf(spark, sf, whole=True)
+
+
 SCORED = """(SELECT *, CASE WHEN frequency % 4 = 0 THEN NULL ELSE frequency % 10 / 100.0 END AS tss, CASE WHEN frequency % 3 = 0 THEN 'NMD' WHEN frequency % 3 = 1 THEN 'no_orf' ELSE 'Normal' END AS nmd,
 CASE WHEN frequency % 5 = 0 THEN 'yes' ELSE 'no' END AS truncation, CASE WHEN frequency % 6 = 0 THEN NULL WHEN frequency % 6 = 1 THEN 0 ELSE frequency % 100 / 100.0 END AS pa, CASE WHEN frequency % 7 < 3 THEN 'FSM' ELSE 'NIC' END AS category FROM model)"""
 
@@ -558,13 +574,18 @@ def transcript_fasta(spark, sf):
 
 
 @query(f", {ORF} SELECT k, list_sum(list_transform(x, lambda y: y.at)) AS total, CAST(len(x) AS INT) AS n FROM (SELECT k, list_reverse_sort(list_transform(a, lambda y: {{'s': y.s, 'at': y.at}}))[1:2] AS x FROM o)")
-def best_sites(spark, sf):
-    li = spark.read.parquet(f"{sf}/lineitem.parquet").where("l_orderkey % 10 = 0")
+def best_sites(spark, sf, whole=False):
+    li = orders(spark, sf, whole)
     s = li.groupBy(F.col("l_orderkey").alias("k")).agg(F.collect_list(F.struct(F.col("l_partkey").cast("bigint").alias("at"), F.col("l_discount").alias("score"))).alias("a"))
     best = s.select("k", chain.best_scored(F.col("a"), 2).alias("x"))
     return best.select("k", chain.total(F.transform("x", lambda y: y["at"])).alias("total"), F.size("x").alias("n"))
 
 
+@query()
+def best_sites_whole(spark, sf):
+    return best_sites(spark, sf, whole=True)
+
+
 FORK46 = """ex2 AS (SELECT grp, Chr, Strand, frequency, ext, frequency >= 20 AND grp % 2 = 0 AND len(t) >= 4 AS known FROM ex),
 ed AS (SELECT DISTINCT grp, ext[i] AS u, ext[i+1] AS v FROM (SELECT *, unnest(range(1, len(ext))) AS i FROM ex2)),
 fo AS (SELECT grp, u FROM ed GROUP BY ALL HAVING count(*) > 1), me AS (SELECT grp, v FROM ed GROUP BY ALL HAVING count(*) > 1),
