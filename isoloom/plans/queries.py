@@ -319,11 +319,17 @@ def intra_priming(spark, sf):
 
 
 @query("SELECT doc_id, md5(reverse(translate(text, 'ACGTRYKMBVDHSWNacgtrykmbvdhswn', 'TGCAYRMKVBHDSWNtgcayrmkvbhdswn'))) AS iupac, md5(reverse(translate(upper(text), 'ACGT', 'TGCA'))) AS plain FROM documents WHERE lang = 'en'")
-def reverse_complement(spark, sf):
-    d = spark.read.parquet(f"{sf}/documents.parquet").where("lang = 'en'")
+def reverse_complement(spark, sf, whole=False):
+    d = spark.read.parquet(f"{sf}/documents.parquet")
+    d = d if whole else d.where("lang = 'en'")
     return d.select("doc_id", F.md5(chain.reverse_complement(F.col("text")).cast("binary")).alias("iupac"), F.md5(chain.reverse_complement(F.col("text"), plain=True).cast("binary")).alias("plain"))
 
 
+@query()
+def reverse_complement_whole(spark, sf):
+    return reverse_complement(spark, sf, whole=True)
+
+
 @query("""SELECT x AS cigar, CAST(count(*) AS BIGINT) AS n, any_value(concat('0:', CAST(a + d AS VARCHAR), ',', CAST(a + d + 500 AS VARCHAR), ':', CAST(a + d + 500 + p AS VARCHAR))) AS exons,
 any_value(a + i + p) AS covered, any_value(CAST(3 AS BIGINT)) AS clipped FROM (SELECT concat('3S', CAST(a AS VARCHAR), 'M', CAST(d AS VARCHAR), 'D500N', CAST(i AS VARCHAR), 'I', CAST(p AS VARCHAR), 'M') AS x, * FROM
 (SELECT CAST(l_quantity AS BIGINT) AS a, CAST(l_linenumber AS BIGINT) AS d, CAST(l_linenumber % 3 + 1 AS BIGINT) AS i, CAST(l_suppkey % 40 + 1 AS BIGINT) AS p FROM lineitem)) GROUP BY x""")
@@ -567,12 +573,17 @@ def consensus_filter(spark, sf):
 
 @query(f"""SELECT TrID, md5(CASE WHEN Strand = '-' THEN reverse(translate(s, 'ACGT', 'TGCA')) ELSE s END) AS seq_md5, CAST(length(s) AS INT) AS seq_len FROM (SELECT TrID, Strand, string_agg(substr(seq, x[1], x[2] - x[1] + 1), '' ORDER BY x[1]) AS s FROM
 (SELECT TrID, Strand, Chr, unnest({EXL}) AS x FROM model) JOIN (SELECT concat('chr', CAST(i AS VARCHAR)) AS Chr, repeat(concat(repeat('GAT', i), 'TACACCTG'), 100000) AS seq FROM range(1, 5) r(i)) USING (Chr) GROUP BY ALL)""")
-def transcript_fasta(spark, sf):
-    contigs = spark.range(1, 5).select(F.concat(F.lit("chr"), F.col("id").cast("string")).alias("contig"), F.repeat(F.concat(F.expr("repeat('GAT', cast(id as int))"), F.lit("TACACCTG")), 100_000).alias("seq"))
+def transcript_fasta(spark, sf, contigs=4):
+    contigs = spark.range(1, contigs + 1).select(F.concat(F.lit("chr"), F.col("id").cast("string")).alias("contig"), F.repeat(F.concat(F.expr("repeat('GAT', cast(id as int))"), F.lit("TACACCTG")), 100_000).alias("seq"))
     out = U.transcript_sequences(model(spark, sf), U.genome_bins(contigs))
     return out.select("TrID", F.md5(F.col("seq").cast("binary")).alias("seq_md5"), "seq_len")
 
 
+@query()
+def transcript_fasta_whole(spark, sf):
+    return transcript_fasta(spark, sf, contigs=5)
+
+
 @query(f", {ORF} SELECT k, list_sum(list_transform(x, lambda y: y.at)) AS total, CAST(len(x) AS INT) AS n FROM (SELECT k, list_reverse_sort(list_transform(a, lambda y: {{'s': y.s, 'at': y.at}}))[1:2] AS x FROM o)")
 def best_sites(spark, sf, whole=False):
     li = orders(spark, sf, whole)

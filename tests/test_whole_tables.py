@@ -1,5 +1,6 @@
 """Queries over whole tables, without SQL, against plain Python."""
 
+import hashlib
 from collections import Counter
 
 from isoloom.plans import queries
@@ -25,3 +26,29 @@ def test_orfs_of_all_orders(spark):
     assert got == pairs and any(k % 10 for k, _, _ in got)
     assert {r.k: (r.tis, r.tts) for r in queries.QUERIES["best_orf_whole"](spark, SF).collect()} == {k: x[1:] for k, x in best.items()}
     assert {r.k: (r.total, r.n) for r in queries.QUERIES["best_sites_whole"](spark, SF).collect()} == sites
+
+
+def test_reverse_complement_of_all_texts(spark):
+    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+    full = str.maketrans("ACGTRYKMBVDHSWNacgtrykmbvdhswn", "TGCAYRMKVBHDSWNtgcayrmkvbhdswn")
+    plain = str.maketrans("ACGT", "TGCA")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    want = Counter((r.doc_id, r.text and md5(r.text.translate(full)[::-1]), r.text and md5(r.text.upper().translate(plain)[::-1])) for r in docs)
+    assert Counter(map(tuple, queries.QUERIES["reverse_complement_whole"](spark, SF).collect())) == want
+    assert {r.lang for r in docs} - {"en"}
+
+
+def test_fasta_of_all_contigs(spark):
+    models = queries.model(spark, SF).collect()
+    got = {r.TrID: (r.seq_md5, r.seq_len) for r in queries.QUERIES["transcript_fasta_whole"](spark, SF).collect()}
+    assert set(got) == {m.TrID for m in models}
+    seen = set()
+    for m in models:
+        at = [m.lo, *map(int, m.SSC.split("-")), m.hi]
+        contig = ("GAT" * int(m.Chr[3:]) + "TACACCTG") * 100_000
+        seq = "".join(contig[a - 1 : b] for a, b in zip(at[::2], at[1::2]))
+        if m.Strand == "-":
+            seq = seq.translate(str.maketrans("ACGT", "TGCA"))[::-1]
+        assert got[m.TrID] == (hashlib.md5(seq.encode()).hexdigest(), len(seq))
+        seen.add(m.Chr)
+    assert "chr5" in seen
