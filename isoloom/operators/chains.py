@@ -274,10 +274,15 @@ def sub_chain_sources(chains: DataFrame) -> DataFrame:
     return a.join(b, [*LOCUS, "site"]).where(chain.is_sub_chain(F.col("q"), F.col("t"))).select(*LOCUS, "SSC", "source", "source_frequency").distinct()
 
 
-def truncation(chains: DataFrame, source_share: float = 0.5, locus_share: float = 0.5) -> DataFrame:
+def truncation(chains: DataFrame, source_share: float = 0.5, locus_share: float = 0.5, tss_score: str | None = None, tss_rescue: float = 0.1) -> DataFrame:
     """Adds truncation: "no" without a source, or with the given share both of the reads of
-    chain and sources and of the locus; else "yes"."""
+    chain and sources and of the locus; else "yes". A chain whose ``tss_score`` column is
+    ``tss_rescue`` or more starts by itself and has no source; what is no number counts as 0."""
     s = sub_chain_sources(chains).groupBy(*LOCUS, "SSC").agg(F.sum("source_frequency").alias("_source"))
     out = chains.withColumn("_all", F.sum("frequency").over(Window.partitionBy(*LOCUS))).join(s, [*LOCUS, "SSC"], "left")
     strong = (F.col("frequency") / (F.col("frequency") + F.col("_source")) >= source_share) & (F.col("frequency") / F.col("_all") >= locus_share)
-    return out.withColumn("truncation", F.when(F.col("_source").isNull() | strong, "no").otherwise("yes")).drop("_all", "_source")
+    own = F.lit(False)
+    if tss_score:
+        score = F.col(tss_score).cast("string").try_cast("double")
+        own = F.coalesce(~F.isnan(score) & (score >= tss_rescue), F.lit(False))
+    return out.withColumn("truncation", F.when(F.col("_source").isNull() | strong | own, "no").otherwise("yes")).drop("_all", "_source")

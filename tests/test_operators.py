@@ -258,3 +258,12 @@ def test_fork_pairs(spark):
     assert {tuple(r["fragment"]) for r in C.exon_jump_errors(pairs, 60, 0.05).collect()} == {(100, 300)}
     assert {tuple(r["fragment"]) for r in C.fake_exon_errors(pairs, 60, 0.2).collect()} == {(100, 300)}
     assert C.exon_jump_errors(pairs, 40, 0.05).count() == 0
+
+
+def test_truncation_spares_independent_starts(spark):
+    rows = [("100-200-300-400", 100, None), ("300-400", 5, "0.1"), ("100-200", 5, "0.09"), ("200-300-300-400", 1, "NaN"), ("100-200-300-400-500-600", 300, "no")]
+    df = spark.createDataFrame([("chr1", "+", 0, *r) for r in rows], "Chr string, Strand string, Group long, SSC string, frequency long, tss string")
+    run = lambda **k: {r.SSC: r.truncation for r in C.truncation(df, **k).collect()}
+    plain, spared = run(), run(tss_score="tss")
+    assert plain["300-400"] == "yes" and spared.pop("300-400") == "no"
+    assert all(spared[x] == plain[x] for x in spared) and spared["100-200"] == "yes"
