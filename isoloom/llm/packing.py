@@ -5,7 +5,7 @@ The histogram of piece lengths is all that reaches the driver: at most
 three lengths that fill a sequence exactly are enumerated, their repeat counts
 are fitted to the histogram by non-negative least squares and rounded so that
 no length is used more often than it occurs, and what is left is packed best
-fit first, by counts. The outcome is a list of (pattern, repeats). Pieces of a
+fit first, by counts. A few ways to round are tried. The outcome is a list of (pattern, repeats). Pieces of a
 length are numbered in parallel, and a piece's number says which repeat of
 which pattern holds it.
 """
@@ -20,8 +20,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from isoloom.llm.common import Staged
-from isoloom.llm.tokens import encode_column
+from isoloom.llm.tokens import binary_slices, encode_parts, with_end
 
+#: Least fitted repeats of a pattern that is used, as tried.
+ROUNDING = (0.02, 0.1, 0.2, 0.5, 1.0)
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 
 
@@ -33,36 +35,25 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int =
     little-endian unsigned 32-bit. A repeated row gives its pieces again; other
     columns are not read. An empty table gives no piece.
     """
-    end = np.asarray([end_id], "<u4").tobytes()
 
     def run(batches):
         for batch in batches:
-            ids, text = batch.column(0).to_pylist(), batch.column(1)
-            out: list[tuple] = []
-            size = 0
-            for row, got in encode_column(text, tokenizer):
-                got += end
-                n = len(got) // 4
-                first = n - (n - 1) // capacity * capacity
-                at = [0, *range(first, n, capacity)]
-                for k, (a, b) in enumerate(zip(at, [*at[1:], n])):
-                    out.append((ids[row], k, a, b - a, got[4 * a : 4 * b]))
-                size += len(got)
-                if size > 16 << 20:
-                    yield _batch(out)
-                    out, size = [], 0
-            yield _batch(out)
+            doc = batch.column(0).cast(pa.int64()).to_numpy(zero_copy_only=False)
+            null = batch.column(0).is_null().to_numpy(zero_copy_only=False)
+            for row, ids, ends in encode_parts(batch.column(1), tokenizer):
+                ids, ends = with_end(ids, ends, end_id)
+                n = np.diff(ends, prepend=0)
+                many = (n - 1) // capacity
+                of = np.repeat(np.arange(len(n)), many + 1)
+                piece = np.arange(len(of)) - np.repeat(np.cumsum(many + 1) - many - 1, many + 1)
+                start = np.where(piece > 0, (n - many * capacity)[of] + (piece - 1) * capacity, 0)
+                stop = (n - many * capacity)[of] + piece * capacity
+                cut = (ends - n)[of] + stop
+                yield pa.record_batch([pa.array(doc[row + of], pa.int64(), mask=null[row + of]), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(stop - start, pa.int64()), binary_slices(ids, cut)], names=["doc_id", "piece", "start", "length", "ids"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, PIECES)
 
 
-_ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 5, _ARROW)], schema=_ARROW)
-
-
 def exact_patterns(present: np.ndarray, capacity: int) -> np.ndarray:
     """Rows of three ascending lengths (0: none) that sum to capacity, of present lengths only."""
     have = np.zeros(capacity + 1, bool)
@@ -128,29 +119,32 @@ def best_fit(left: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...],
 
 
 def plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """(pattern, repeats) that hold every counted length once."""
+    """(pattern, repeats) that hold every counted length once. Of the ways to round the
+    fitted repeats, the one that needs the fewest sequences is taken."""
     counts = np.zeros(capacity + 1)
     for k, n in histogram.items():
         counts[k] = n
-    out: list[tuple[tuple[int, ...], int]] = []
+    patterns = exact_patterns(np.array(sorted(histogram), int), capacity)
+    x = fit(patterns, counts) if len(patterns) else np.zeros(0)
+    plans = [_rounded(patterns, x, least, histogram, capacity) for least in ROUNDING]
+    return min(plans, key=lambda p: sum(n for _, n in p))
+
+
+def _rounded(patterns: np.ndarray, x: np.ndarray, least: float, histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Patterns of at least ``least`` fitted repeats, largest first, as often as their rounded
+    repeats and what is left of their lengths allow; best fit for the rest."""
     left = {int(k): int(n) for k, n in histogram.items()}
-    patterns = exact_patterns(np.array(sorted(left), int), capacity)
-    if len(patterns):
-        x = fit(patterns, counts)
-        for i in np.argsort(-x, kind="stable"):
-            if x[i] < 0.02:
-                break
-            row = [int(k) for k in patterns[i] if k]
-            n = min(left[k] // row.count(k) for k in row)
-            n = min(n, max(1, round(x[i])))
-            if n:
-                out.append((tuple(sorted(row, reverse=True)), n))
-                for k in row:
-                    left[k] -= n
-    rest = {k: n for k, n in left.items() if n}
-    out += best_fit(rest, capacity)
-    alone = best_fit({int(k): int(n) for k, n in histogram.items()}, capacity)
-    return out if sum(n for _, n in out) <= sum(n for _, n in alone) else alone
+    out: list[tuple[tuple[int, ...], int]] = []
+    for i in np.argsort(-x, kind="stable"):
+        if x[i] < least:
+            break
+        row = [int(k) for k in patterns[i] if k]
+        n = min(max(1, round(x[i])), *[left[k] // row.count(k) for k in row])
+        if n:
+            out.append((tuple(sorted(row, reverse=True)), n))
+            for k in row:
+                left[k] -= n
+    return out + best_fit({k: n for k, n in left.items() if n}, capacity)
 
 
 def _slots(chosen: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:

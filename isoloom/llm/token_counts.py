@@ -34,7 +34,7 @@ def token_counts(docs: DataFrame, tokenizer: str, fields: tuple[str, ...] = ("te
 
     def run(batches):
         enc = encoder(tokenizer)
-        sizes = enc.sizes
+        sizes = enc.sizes if enc.kind == "joined" else None
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)

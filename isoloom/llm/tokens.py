@@ -4,104 +4,182 @@ from __future__ import annotations
 
 import json
 import re
-from itertools import chain
 
 import numpy as np
-from tokenizers import Tokenizer
-
-#: Places that end a token under every byte-level pattern: a blank after a non-blank.
-_APART = re.compile(r"[ \n\t]\S(.*\S)?\Z", re.DOTALL)
+import pyarrow as pa
+import pyarrow.compute as pc
+from tokenizers import Tokenizer, pre_tokenizers
+
+#: Begins a piece that is taken as it stands; a piece without it follows one space.
+MARK = "\x01"
+#: White space of any kind; two in a row, or a MARK, need more care than a split at spaces.
+_SPACE = "\t-\r \x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_CAREFUL = f"[{_SPACE}][{_SPACE}]|{MARK}"
 _CUT = re.compile(r"(?<=\S)(?=[ \n\t])")
+#: Up to here all Unicode versions agree about what is a letter.
+_LATIN = "\u024f"
+#: Ends of words that are one token to both patterns, whatever letters stand before them.
+_TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: The pre-tokenizer pattern of the second kind (fixed value).
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+#: The character that byte-level vocabularies have for each byte: itself if it is printable, else the next from 256 on.
+_BYTES = {b: chr(b if b in _SHOWN else 256 + sum(x not in _SHOWN for x in range(b))) for b in range(256)}
 
 
 class Encoder:
-    """Encodes texts to little-endian unsigned 32-bit ids.
-
-    A text is cut where its tokenizer always starts a new token, and what each
-    piece encodes to is remembered, so frequent words are encoded once a worker.
-    Two kinds are known: byte-level BPE without normaliser, where one space
-    belongs to the word after it, and tokenizers that drop white space. Texts of
-    other tokenizers are encoded whole. Ids equal those of encoding whole texts.
+    """Encodes texts to unsigned 32-bit ids, equal to those of encoding whole texts.
+
+    A text is cut where its tokenizer always starts a new token, each distinct
+    piece of some rows is encoded once, and what it encodes to is remembered.
+    Two kinds are known, both byte-level BPE: without normaliser, where one space
+    belongs to the word after it, and with words cut by _WORDS and white space
+    dropped. Texts of other tokenizers are encoded whole. At most twice ``limit`` pieces of up to
+    ``longest`` characters are held; those not met for long go first.
     """
 
-    def __init__(self, path: str, limit: int = 500_000, longest: int = 48):
+    def __init__(self, path: str, limit: int = 100_000, longest: int = 48):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.tokenizer = Tokenizer.from_file(path)
         pre = spec.get("pre_tokenizer") or {}
-        if not spec.get("normalizer") and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space"):
+        steps = pre.get("pretokenizers") or [{}]
+        bytewise = not spec.get("truncation") and not spec.get("padding") and spec["model"].get("type") == "BPE"
+        self.kind = "whole"
+        if bytewise and not spec.get("normalizer") and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space"):
             self.kind = "joined"
-        elif not self._raw([" ", "\n", " \n "])[0] and not self._raw(["\n"])[0] and spec.get("normalizer"):
-            self.kind = "dropped"
-        else:
-            self.kind = "whole"
-        self.sizes = byte_lengths(self.tokenizer) if self.kind == "joined" else None
+        elif bytewise and [x.get("type") for x in steps] == ["Split", "ByteLevel"] and steps[0]["pattern"] == {"Regex": _WORDS} and steps[0]["invert"] and not steps[1]["use_regex"] and not steps[1]["add_prefix_space"]:
+            self.kind = "dropped" if spec.get("normalizer") and not self._raw([" \n "])[0] else "whole"
+        self.added = tuple(t["content"] for t in spec.get("added_tokens") or ())
+        #: Whether pieces of letters and _TAIL alone can hold no added token.
+        self.simple = not any(_letters(t.rstrip(_TAIL)) for t in self.added)
+        self.sizes = byte_lengths(self.tokenizer, spec["model"].get("end_of_word_suffix") or "") if self.kind != "whole" else None
+        #: The model alone, for pre-tokens on lines.
+        self.lines = Tokenizer(self.tokenizer.model)
+        self.lines.pre_tokenizer = pre_tokenizers.Split("\n", "removed")
         self.limit, self.longest = limit, longest
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _each(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece, from one encoding of them all end to end: a call costs much
-        more than a piece."""
-        if self.kind == "whole" or len(pieces) < 2:
-            return self._raw(pieces)
-        if self.sizes is not None:
-            ids = np.frombuffer(self._raw(["".join(pieces)])[0], "<u4")
-            ends = np.cumsum(self.sizes[ids])
-            cut = np.searchsorted(ends, np.cumsum([len(x.encode("utf-8")) for x in pieces]), "right")
+    def _parts(self, piece: str) -> str | None:
+        """Pre-tokens of a piece in byte letters, one a line; None if it holds an added token."""
+        head = ""
+        if self.kind == "dropped":
+            text = piece = piece.lower() if piece.isascii() else self.tokenizer.normalizer.normalize_str(piece)
+        elif piece[:1] == MARK:
+            text = piece = piece[1:]
+        elif piece == "\n":
+            return "\u010a"
         else:
-            e = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False)
-            ids = np.asarray(e.ids, "<u4")
-            starts = np.array([a for a, _ in e.offsets], np.int64)
-            cut = np.searchsorted(starts, np.cumsum([len(x) + 1 for x in pieces]), "left")
-        raw = ids.tobytes()
-        return [raw[4 * a : 4 * b] for a, b in zip([0, *cut[:-1].tolist()], cut.tolist())]
-
-    def _pieces(self, text: str) -> list[str]:
-        if self.kind == "whole":
-            return [text]
+            head, text = "\u0120", " " + piece
+        word = piece.rstrip(_TAIL)
+        if self.simple and _letters(word):
+            tail = piece[len(word) :]
+            if not word.isascii():
+                word = word.encode("utf-8").decode("latin-1").translate(_BYTES)
+            return f"{head}{word}\n{tail}" if word and tail else f"{head}{word}{tail}"
+        if any(t in text for t in self.added):
+            return None
+        return "\n".join([x for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)])
+
+    def _encode(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece, from one call of the model for all of them."""
+        parts = [self._parts(x) for x in pieces]
+        out: list[bytes] = []
+        for i in range(0, len(parts), 4096):
+            some = [x or "" for x in parts[i : i + 4096]]
+            ids = np.asarray(self.lines.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.cumsum([len(x) - x.count("\n") for x in some])
+            cut = (4 * np.searchsorted(np.cumsum(self.sizes[ids]), ends, "right")).tolist()
+            raw = ids.tobytes()
+            out += [raw[a:b] for a, b in zip([0, *cut[:-1]], cut)]
+        for i in [i for i, x in enumerate(parts) if x is None]:
+            at = pieces[i]
+            out[i] = self._raw([at[1:] if at[:1] == MARK else at if self.kind == "dropped" else " " + at])[0]
+        return out
+
+    def _lists(self, texts: pa.StringArray) -> tuple[np.ndarray, pa.StringArray]:
+        """Number of pieces of each text, and all pieces."""
         if self.kind == "dropped":
-            return text.replace("\n", " ").split(" ")
-        if "  " in text:
-            return _CUT.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]]
+            lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+            return pc.list_value_length(lists).to_numpy(), lists.flatten()
+        lists = pc.split_pattern(pc.binary_join_element_wise(MARK, pc.replace_substring(texts, "\n", f" \n {MARK}"), ""), " ")
+        care = pc.match_substring_regex(texts, _CAREFUL)
+        if pc.any(care).as_py():
+            slow = pa.array([[MARK + x for x in _CUT.split(t)] for t in texts.filter(care).to_pylist()], pa.list_(pa.string()))
+            lists = _mixed(lists, care, slow)
+        return pc.list_value_length(lists).to_numpy(), lists.flatten()
+
+    def flat(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of an Arrow column one after the other, and where each text's end. A null text has none."""
+        texts = pc.fill_null(column, "")
+        if isinstance(texts, pa.ChunkedArray):
+            texts = texts.combine_chunks()
+        if self.kind == "whole":
+            got = self._raw(texts.to_pylist())
+            return np.frombuffer(b"".join(got), "<u4"), np.cumsum([len(x) // 4 for x in got], dtype=np.int64)
+        pieces, found = self._lists(texts)
+        coded = found.dictionary_encode()
+        at = coded.indices.to_numpy()
+        got = self._ids(_strings(coded.dictionary))
+        size = np.fromiter(map(len, got), np.int64, len(got)) // 4
+        pool = np.frombuffer(b"".join(got), "<u4")
+        n = size[at]
+        ends = np.cumsum(n)
+        ids = pool[np.repeat((np.cumsum(size) - size)[at] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+        return ids, np.concatenate(([0], ends))[np.cumsum(pieces, dtype=np.int64)]
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        memo, older = self.memo, self.older
+        out = [memo.get(x) for x in pieces]
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i in rest:
+            out[i] = older.get(pieces[i])
+        new = [i for i in rest if out[i] is None]
+        for i, ids in zip(new, self._encode([pieces[i] for i in new])):
+            out[i] = ids
+        for i in rest:
+            if len(pieces[i]) <= self.longest:
+                if len(self.memo) >= self.limit:
+                    self.memo, self.older = {}, self.memo
+                self.memo[pieces[i]] = out[i]
+        return out
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text; a null text has none."""
-        memo = self.memo
-        cut = [self._pieces(t) if t else [] for t in texts]
-        new = [x for x in set(chain.from_iterable(cut)) if x not in memo]
-        if len(memo) + len(new) > self.limit:
-            memo.clear()
-            new = list(set(chain.from_iterable(cut)))
-        got: dict[str, bytes] = {}
-        if self.kind == "joined":
-            # a piece whose ends could join its neighbours is encoded alone
-            apart: list[str] = []
-            alone: list[str] = []
-            for x in new:
-                (apart if _APART.match(x) else alone).append(x)
-            for x, ids in zip(alone, self._raw(alone)):
-                (memo if len(x) <= self.longest and len(memo) < self.limit else got)[x] = ids
-            new = apart
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            for x, ids in zip(part, self._each(part)):
-                (memo if len(x) <= self.longest and len(memo) < self.limit else got)[x] = ids
-        if not got:
-            return [b"".join(map(memo.__getitem__, c)) for c in cut]
-        return [b"".join([memo[x] if x in memo else got[x] for x in c]) for c in cut]
-
-
-def byte_lengths(tokenizer: Tokenizer) -> np.ndarray:
+        """Ids of each text, little-endian."""
+        ids, ends = self.flat(pa.array(texts, pa.string()))
+        raw = ids.astype("<u4").tobytes()
+        return [raw[4 * a : 4 * b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+
+
+def _mixed(lists, care, slow):
+    """lists, with the slow ones in their places where care is."""
+    mask = care.to_numpy(zero_copy_only=False)
+    at = np.where(mask, len(lists) + np.cumsum(mask) - 1, np.arange(len(lists)))
+    return pa.concat_arrays([lists, slow.cast(lists.type)]).take(pa.array(at))
+
+
+def _letters(word: str) -> bool:
+    """Whether a word is empty or of letters that all Unicode versions agree about."""
+    return not word or word.isalpha() and (word.isascii() or max(word) <= _LATIN)
+
+
+def _strings(column: pa.StringArray) -> list[str]:
+    """to_pylist() of strings without nulls, from one decoding of them all."""
+    text = pc.binary_join(pa.ListArray.from_arrays([0, len(column)], column), "")[0].as_py()
+    ends = np.cumsum(pc.utf8_length(column).to_numpy(), dtype=np.int64).tolist()
+    return [text[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+
+
+def byte_lengths(tokenizer: Tokenizer, suffix: str = "") -> np.ndarray:
     """Bytes of each id of a byte-level vocabulary: a token has one character a byte."""
     vocab = tokenizer.get_vocab()
     out = np.zeros(max(vocab.values()) + 1, np.int64)
     for token, i in vocab.items():
-        out[i] = len(token)
+        out[i] = len(token.removesuffix(suffix))
     return out
 
 
@@ -115,8 +193,29 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def encode_column(column, path: str, rows: int = 512):
-    """Yields (row number, ids as bytes) for an Arrow text column, some rows at a time."""
+def encode_parts(column: pa.Array, path: str, rows: int = 2048, size: int = 8 << 20):
+    """Yields (first row, ids, ends) for an Arrow text column: up to ``rows`` rows at a
+    time, and no more than ``size`` bytes unless one text alone is longer."""
     enc = encoder(path)
-    for i in range(0, len(column), rows):
-        yield from enumerate(enc.batch(column.slice(i, rows).to_pylist()), i)
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    i = 0
+    while i < len(column):
+        most = (ends[i - 1] if i else 0) + size
+        n = min(rows, max(1, int(np.searchsorted(ends, most, "right")) - i))
+        yield (i, *enc.flat(column.slice(i, n)))
+        i += n
+
+
+def with_end(ids: np.ndarray, ends: np.ndarray, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and ends of texts with end_id after each."""
+    if end_id is None:
+        return ids, ends
+    return np.insert(ids, ends, np.uint32(end_id)), ends + np.arange(1, len(ends) + 1)
+
+
+def binary_slices(ids: np.ndarray, ends: np.ndarray) -> pa.BinaryArray:
+    """Ids between successive ends, little-endian."""
+    offsets = np.concatenate(([0], ends)) * ids.itemsize
+    if offsets[-1] >= 1 << 31:
+        raise ValueError("a text has too many ids for one value")
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(ids))])

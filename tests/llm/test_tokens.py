@@ -29,6 +29,12 @@ def test_pieces_encode_like_whole_texts(text):
         assert np.frombuffer(OWN[path].batch([text])[0], "<u4").tolist() == ids(path, text)
 
 
+def test_special_strings_encode_like_whole_texts():
+    for text in ("a<|endoftext|>b", "A, <|endoftext|> x.", "x <|ENDOFTEXT|>, y", "é.<|startoftext|>\n<|endoftext|>", "don't, can't; won't.\nIT'S.", "a  b.\tc,\u00a0d", "\u0130x, \u1e9e. \u01c5!"):
+        for path in (BYTES, WORDS):
+            assert np.frombuffer(OWN[path].batch([text, None, "", text])[3], "<u4").tolist() == ids(path, text)
+
+
 def test_encoder_forgets_and_goes_on(rows):
     small = Encoder(BYTES, limit=50, longest=4)
     for _, t in rows[:40]:
@@ -141,6 +147,53 @@ def test_code(counts, n):
     assert token_files.unpack_block(marks, bits, n, *token_files.tables(lengths)).tolist() == x.tolist()
 
 
+def test_more_ids_than_words_of_the_usual_length():
+    counts = np.arange(70_000) % 50 + 1
+    lengths = token_files.code_lengths(counts)
+    assert lengths.min() > 0 and lengths.max() <= 19 and sum(2.0 ** -lengths.astype(float)) <= 1
+    x = np.random.default_rng(5).integers(0, len(counts), 5000).astype(np.uint32)
+    marks, bits = token_files.pack_block(x, lengths, token_files.code_words(lengths))
+    assert token_files.unpack_block(marks, bits, len(x), *token_files.tables(lengths)).tolist() == x.tolist()
+
+
+def test_wide_ids_and_repeated_rows(spark, tmp_path):
+    rows = [(1, [70_000, 3]), (1, [5]), (None, [9, 9]), (2, []), (2, [])]
+    df = spark.createDataFrame([(i, np.array(x, "<u4").tobytes()) for i, x in rows], "doc_id long, ids binary")
+    token_files.write_tokens(df, str(tmp_path / "w"))
+    got = token_files.read_tokens(spark, str(tmp_path / "w")).collect()
+    assert sorted((r.doc_id or 0, np.frombuffer(bytes(r.ids), "<u4").tolist()) for r in got) == [(0, [9, 9]), (1, [5]), (1, [70_000, 3]), (2, []), (2, [])]
+
+
+def test_registered_packing_uses_its_patterns(spark):
+    """Fitted patterns fill sequences, and no more are needed than by best fit alone."""
+    from isoloom.llm.queries import op2_packing
+
+    for sf in ("sf0.001", "sf0.01"):
+        out = op2_packing(spark, f"/root/testdata/{sf}").select("length", "sequence_id").collect()
+        histogram = {}
+        for r in out:
+            histogram[r.length] = histogram.get(r.length, 0) + 1
+        patterns = packing.exact_patterns(np.array(sorted(histogram)), 1024)
+        x = packing.fit(patterns, np.bincount([r.length for r in out], minlength=1025))
+        full = {tuple(sorted((int(k) for k in patterns[i] if k), reverse=True)) for i in np.flatnonzero(x >= 1)}
+        chosen = packing.plan(histogram, 1024)
+        assert full & {p for p, _ in chosen}
+        used = len({r.sequence_id for r in out})
+        assert used == sum(n for _, n in chosen) <= sum(n for _, n in packing.best_fit(histogram, 1024))
+
+
+def test_registered_token_files(spark):
+    from isoloom.llm.queries import op9_token_files
+
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    at = 0
+    for r in sorted(op9_token_files(spark, "/root/testdata/sf0.001").collect()):
+        own = ids(WORDS, docs.pop(r.doc_id)) + [2]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(own), crc(own))
+        at += len(own)
+    assert not docs
+
+
 def test_code_is_limited():
     lengths = token_files.code_lengths(2 ** np.arange(40))
     assert lengths.max() == 16 and sum(2.0 ** -int(x) for x in lengths) <= 1
