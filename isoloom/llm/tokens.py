@@ -20,6 +20,8 @@ _CUT = re.compile(r"(?<=\S)(?=[ \n\t])")
 _LATIN = "\u024f"
 #: Ends of words that are one token to both patterns, whatever letters stand before them.
 _TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: A letter up to _LATIN and one of _TAIL after it: both patterns cut between them.
+_BEFORE_TAIL = "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f])([!-&(-/:-@\\[-`{-~])"
 #: The pre-tokenizer pattern of the second kind (fixed value).
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -51,6 +53,7 @@ class Encoder:
         elif bytewise and [x.get("type") for x in steps] == ["Split", "ByteLevel"] and steps[0]["pattern"] == {"Regex": _WORDS} and steps[0]["invert"] and not steps[1]["use_regex"] and not steps[1]["add_prefix_space"]:
             self.kind = "dropped" if spec.get("normalizer") and not self._raw([" \n "])[0] else "whole"
         self.added = tuple(t["content"] for t in spec.get("added_tokens") or ())
+        self.careful = "|".join(map(re.escape, self.added))
         #: Whether pieces of letters and _TAIL alone can hold no added token.
         self.simple = not any(_letters(t.rstrip(_TAIL)) for t in self.added)
         self.sizes = byte_lengths(self.tokenizer, spec["model"].get("end_of_word_suffix") or "") if self.kind != "whole" else None
@@ -68,7 +71,8 @@ class Encoder:
         """Pre-tokens of a piece in byte letters, one a line; None if it holds an added token."""
         head = ""
         if self.kind == "dropped":
-            text = piece = piece.lower() if piece.isascii() else self.tokenizer.normalizer.normalize_str(piece)
+            raw, text = piece, (piece.lower() if piece.isascii() else self.tokenizer.normalizer.normalize_str(piece))
+            piece = text
         elif piece[:1] == MARK:
             text = piece = piece[1:]
         elif piece == "\n":
@@ -81,7 +85,7 @@ class Encoder:
             if not word.isascii():
                 word = word.encode("utf-8").decode("latin-1").translate(_BYTES)
             return f"{head}{word}\n{tail}" if word and tail else f"{head}{word}{tail}"
-        if any(t in text for t in self.added):
+        if any(t in (raw if self.kind == "dropped" else text) for t in self.added):
             return None
         return "\n".join([x for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)])
 
@@ -104,13 +108,17 @@ class Encoder:
     def _lists(self, texts: pa.StringArray) -> tuple[np.ndarray, pa.StringArray]:
         """Number of pieces of each text, and all pieces."""
         if self.kind == "dropped":
-            lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
-            return pc.list_value_length(lists).to_numpy(), lists.flatten()
-        lists = pc.split_pattern(pc.binary_join_element_wise(MARK, pc.replace_substring(texts, "\n", f" \n {MARK}"), ""), " ")
-        care = pc.match_substring_regex(texts, _CAREFUL)
-        if pc.any(care).as_py():
-            slow = pa.array([[MARK + x for x in _CUT.split(t)] for t in texts.filter(care).to_pylist()], pa.list_(pa.string()))
-            lists = _mixed(lists, care, slow)
+            spaced = pc.replace_substring(texts, "\n", " ")
+            lists = pc.split_pattern(pc.ascii_lower(pc.replace_substring_regex(spaced, _BEFORE_TAIL, r"\1 \2")), " ")
+            care = pc.match_substring_regex(texts, self.careful) if self.added else pa.array(np.zeros(len(texts), bool))
+            slow = [t.split(" ") for t in spaced.filter(care).to_pylist()]
+        else:
+            apart = pc.replace_substring_regex(pc.replace_substring(texts, "\n", f" \n {MARK}"), _BEFORE_TAIL, rf"\1 {MARK}\2")
+            lists = pc.split_pattern(pc.binary_join_element_wise(MARK, apart, ""), " ")
+            care = pc.match_substring_regex(texts, "|".join((_CAREFUL, self.careful)) if self.added else _CAREFUL)
+            slow = [[MARK + x for x in _CUT.split(t)] for t in texts.filter(care).to_pylist()]
+        if slow:
+            lists = _mixed(lists, care, pa.array(slow, pa.list_(pa.string())))
         return pc.list_value_length(lists).to_numpy(), lists.flatten()
 
     def flat(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
