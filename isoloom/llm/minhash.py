@@ -12,7 +12,8 @@ a text that many others vary leads nearly everywhere, and joins nearly all of it
 group. Then, exactly, the members of a bucket that are not yet in its main
 component are compared with the rest of it, but for those that cannot reach the
 limit: of a text's shingles, the ones that no other open text has are in no
-intersection.
+intersection, and bitmaps of two texts' shingles bound their intersection, so that
+of a large group hardly more pairs than links are confirmed.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ BANDS, ROWS, B = 32, 4, 4
 PERMS = BANDS * ROWS
 #: Candidates whose estimate is this much below the limit (over five standard deviations) are no links.
 MARGIN = 0.2
+#: Bits of a text's bitmap of shingles.
+BITMAP = 4096
 _RNG = np.random.default_rng(20240607)
 _A = _RNG.integers(0, 2**63, PERMS, np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _C = _RNG.integers(0, 2**63, PERMS, np.int64).astype(np.uint64)
@@ -120,39 +123,68 @@ def confirm(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
             found = words(text)
             return set(zip(*[found[i:] for i in range(k)])) if len(found) >= k else {tuple(found)} - {()}
 
+        last, y = None, set()
         for batch in batches:
-            keep = []
-            last, x = None, set()
-            for ta, tb in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                if ta != last:
-                    last, x = ta, whole(ta)
-                y = whole(tb)
-                both = len(x & y)
-                keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            for i in range(0, batch.num_rows, 64):
+                part = batch.slice(i, 64)
+                keep = []
+                for ta, tb in zip(part.column(2).to_pylist(), part.column(3).to_pylist()):
+                    if tb != last:
+                        last, y = tb, whole(tb)
+                    x = whole(ta)
+                    both = len(x & y)
+                    keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
+                yield part.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     first = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
     second = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
+    # the last join leaves rows in order of b, so its set is made once
     return pairs.join(first, "a").join(second, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def lone_shingles(texts: DataFrame, k: int) -> DataFrame:
-    """(id, lone): how many of a text's shingles are in no other of these texts (id, text)."""
+PROFILE = "id long, shingles array<long>, bits array<long>, excess long"
+_PROFILE = pa.schema([("id", pa.int64()), ("shingles", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64())), ("excess", pa.int64())])
+
+
+def profiles(texts: DataFrame, k: int) -> DataFrame:
+    """PROFILE rows of texts (id, text): all shingles, the BITMAP bits that they set, and how
+    many shingles found their bit set already."""
 
     def run(batches):
         for batch in batches:
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = words(text)
-                s = shingles(np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found)), k)
-                yield pa.record_batch([pa.array(s.view(np.int64)), pa.array(np.full(len(s), i), pa.int64())], names=["shingle", "id"])
-
-    seen = texts.mapInArrow(run, "shingle long, id long")
+            for i in range(0, batch.num_rows, 128):
+                part = batch.slice(i, 128)
+                found, bits, excess = [], [], []
+                for text in part.column(1).to_pylist():
+                    w = words(text)
+                    s = shingles(np.fromiter(map(xxhash.xxh3_64_intdigest, w), np.uint64, len(w)), k)
+                    on = np.zeros(BITMAP, np.uint8)
+                    on[(s >> np.uint64(40)) % np.uint64(BITMAP)] = 1
+                    found.append(s.view(np.int64))
+                    bits.append(np.packbits(on).view(np.int64))
+                    excess.append(len(s) - int(on.sum()))
+                yield pa.record_batch([part.column(0), *[pa.array(c, f.type) for c, f in zip((found, bits, excess), list(_PROFILE)[1:])]], schema=_PROFILE)
+
+    return texts.mapInArrow(run, PROFILE)
+
+
+def lone_shingles(found: DataFrame) -> DataFrame:
+    """(id, lone): how many of a text's shingles are in no other of these PROFILE rows."""
+    seen = found.select("id", F.explode("shingles").alias("shingle"))
     lone = seen.groupBy("shingle").agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n = 1")
     # texts that share an id keep all their shingles
-    single = texts.groupBy("id").agg(F.count("*").alias("rows")).where("rows = 1").select("id")
+    single = found.groupBy("id").agg(F.count("*").alias("rows")).where("rows = 1").select("id")
     return lone.groupBy("id").agg(F.count("*").alias("lone")).join(single, "id", "left_semi")
 
 
+def most_common(x: str, y: str) -> Column:
+    """No intersection of two sets is greater: both set at most these bits, and of the shingles that
+    found their bit set already, the intersection has no more than either set has. x and y end the
+    names of the columns of the two sides: m (shingles that others have, too), bits, excess."""
+    both = F.aggregate(F.zip_with(f"bits{x}", f"bits{y}", lambda p, q: F.bit_count(p.bitwiseAND(q))), F.lit(0), lambda t, v: t + v)
+    return F.least(F.col(f"m{x}"), F.col(f"m{y}"), both + F.least(f"excess{x}", f"excess{y}"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row.
 
@@ -191,7 +223,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, id_col: str
     best = scored.where(F.col("e") >= likely).groupBy("id").agg(F.max_by("leader", F.struct("e", -F.col("leader"))).alias("leader"))
     # rows of one doc_id with different texts are linked as well
     same = members.where("doc_id <> id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
-    links = confirm(best.select(F.col("id").alias("b"), F.col("leader").alias("a")), texts, k, percent).select("a", "b")
+    links = confirm(best.select(F.col("id").alias("a"), F.col("leader").alias("b")), texts, k, percent)
     links = staged.write(links, "links-1")
     found = staged.write(components(links, staged, "stars"), "stars")
 
@@ -199,19 +231,26 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, id_col: str
     sizes = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
     main = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("n")).where("n > 1").select("key", "main")
     open_ = staged.write(placed.join(main, "key"), "places")
-    lone = staged.write(lone_shingles(texts.join(open_.select("id").distinct(), "id", "left_semi"), k), "lone")
-    own = own.join(lone, "id", "left").withColumn("common", F.col("n_shingles") - F.coalesce("lone", F.lit(0)))
-    own = own.where(100 * F.col("common") >= percent * F.col("n_shingles"))
+    found = staged.write(profiles(texts.join(open_.select("id").distinct(), "id", "left_semi"), k), "profiles")
+    lone = staged.write(lone_shingles(found), "lone")
+    # texts that share an id are told apart by no bitmap
+    found = found.groupBy("id").agg(F.count("*").alias("rows"), F.any_value("bits").alias("bits"), F.max("excess").alias("excess"))
+    found = found.select("id", F.when(F.col("rows") == 1, F.col("bits")).otherwise(F.array_repeat(F.lit(-1).cast("long"), BITMAP // 64)).alias("bits"), "excess")
+    own = own.join(lone, "id", "left").withColumn("m", F.col("n_shingles") - F.coalesce("lone", F.lit(0)))
+    own = own.where(100 * F.col("m") >= percent * F.col("n_shingles")).join(found, "id")
     open_ = staged.write(open_.join(own, "id"), "open")
-    x = open_.where("component <> main").select("key", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("sig").alias("sa"), F.col("bands").alias("ba"), F.col("n_shingles").alias("na"), F.col("common").alias("ma"))
-    y = open_.select("key", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("sig").alias("sb"), F.col("bands").alias("bb"), F.col("n_shingles").alias("nb"), F.col("common").alias("mb"), "main")
-    most = F.least("ma", "mb")
-    reach = 100 * most >= percent * (F.col("na") + F.col("nb") - most)
-    # of the buckets that two share, only the first pairs them
-    near = x.join(y, "key").where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") > F.col("b"))) & reach & (estimate(F.col("sa"), F.col("sb")) >= likely) & (F.get(F.array_intersect("ba", "bb"), F.lit(0)) == F.col("key")))
-    near = near.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    facts = ("id", "component", "sig", "bands", "n_shingles", "m", "bits", "excess")
+    x = open_.where("component <> main").select("key", *[F.col(c).alias(f"{c}_a") for c in facts])
+    y = open_.select("key", "main", *[F.col(c).alias(f"{c}_b") for c in facts])
+
+    def reach(most: Column) -> Column:
+        return 100 * most >= percent * (F.col("n_shingles_a") + F.col("n_shingles_b") - most)
+
+    # the cheap conditions come first; of the buckets that two share, only the first pairs them
+    near = x.join(y, "key").where((F.col("component_a") != F.col("component_b")) & ((F.col("component_b") == F.col("main")) | (F.col("id_a") > F.col("id_b"))) & reach(F.least("m_a", "m_b")) & (estimate(F.col("sig_a"), F.col("sig_b")) >= likely) & (F.get(F.array_intersect("bands_a", "bands_b"), F.lit(0)) == F.col("key")) & reach(most_common("_a", "_b")))
+    near = near.select(F.greatest("id_a", "id_b").alias("a"), F.least("id_a", "id_b").alias("b")).distinct()
     more = staged.write(confirm(near, texts, k, percent), "links-2")
-    staged.drop("hits", "places", "open", "texts")
+    staged.drop("hits", "places", "open", "profiles", "texts")
 
     component = components(links.unionByName(more).unionByName(same), staged, "all")
     named = component.withColumnRenamed("id", "doc_id")

@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -87,6 +88,36 @@ def test_near_duplicates(docs, rows, empty, odd):
     assert {r.doc_id for r in minhash.keep_one(docs).collect()} == {i for i, (_, c) in want.items() if i == c}
 
 
+def test_near_duplicates_of_one_large_group(spark):
+    """Copies at every distance from one text: nearly all pairs of the group are near the limit."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+    rows = []
+    for i in range(160):
+        text = list(base)
+        for _ in range(rng.randint(0, 9)):
+            text[rng.randrange(len(text))] = rng.choice((f"x{rng.randrange(10**6)}", "shared", base[0]))
+        rows.append((i, " ".join(text)))
+    want = near(rows)
+    assert 1 < len({c for _, c in want.values()}) < 160
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(df).collect()} == want
+
+
+def test_bitmaps_bound_intersections(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(3)
+    for size in (30, 2000, 9000):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(size)]
+        other = [w if rng.random() < 0.97 else "new" for w in base]
+        df = spark.createDataFrame([(0, " ".join(base)), (1, " ".join(other))], "id long, text string")
+        p = minhash.profiles(df, 5)
+        a, b = (p.where(F.col("id") == i).select(F.size("shingles").alias(f"m_{i}"), F.col("bits").alias(f"bits_{i}"), F.col("excess").alias(f"excess_{i}"), F.col("shingles").alias(f"s_{i}")) for i in (0, 1))
+        r = a.crossJoin(b).select(minhash.most_common("_0", "_1").alias("most"), F.size(F.array_intersect("s_0", "s_1")).alias("both")).first()
+        assert r.both <= r.most <= r.both + max(3, size // 4)
+
+
 def test_near_duplicates_query(spark):
     want = near(small(spark))
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in queries.op4_minhash(spark, SMALL).collect()} == want
