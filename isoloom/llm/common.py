@@ -20,6 +20,13 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, UPPER.lower())
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name = f"_{name}"
+    return name
+
+
 def words(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text as UTF-8, A-Z lower-cased.
 

@@ -19,16 +19,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isoloom.llm.common import Staged, words
+from isoloom.llm.common import Staged, spare
 
 #: No word is empty or a space: the end of a text, and what stands before its first word.
 END, BEGIN = b"", b" "
@@ -55,15 +55,21 @@ def counts_of(level: np.ndarray) -> np.ndarray:
 
 
 class Tokens:
-    """Tokens of some texts: cur and prev index the distinct words' hashes."""
-
-    def __init__(self, texts: list[str | None]):
-        lists = [[*words(t), END] for t in texts]
-        flat = list(chain.from_iterable(lists))
-        number: dict[bytes, int] = {BEGIN: 0}
-        self.cur = np.fromiter((number.setdefault(w, len(number)) for w in flat), np.int64, len(flat))
-        self.hash = np.fromiter(map(xxhash.xxh3_64_intdigest, number), np.uint64, len(number))
-        ends = np.cumsum([len(x) for x in lists])
+    """Tokens of the texts of an Arrow column: cur and prev index the distinct words' hashes."""
+
+    def __init__(self, texts: pa.Array):
+        # Arrow's ASCII blanks are those of the word rule; it gives empty words at the ends
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+        flat = lists.flatten()
+        there = pc.greater(pc.binary_length(flat), 0)
+        ends = np.concatenate(([0], np.cumsum(there.to_numpy(zero_copy_only=False))))[np.cumsum(pc.list_value_length(lists).to_numpy(), dtype=np.int64)]
+        coded = flat.filter(there).dictionary_encode()
+        self.cur = np.insert(coded.indices.to_numpy().astype(np.int64) + 2, ends, 1)
+        known = pc.binary_join(pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary), "")[0].as_py().encode("utf-8")
+        cut = [0, *np.cumsum(pc.binary_length(coded.dictionary).to_numpy(), dtype=np.int64).tolist()]
+        hashes = [xxhash.xxh3_64_intdigest(x) for x in (BEGIN, END)] + [xxhash.xxh3_64_intdigest(known[a:b]) for a, b in zip(cut, cut[1:])]
+        self.hash = np.array(hashes, np.uint64)
+        ends = ends + np.arange(1, len(ends) + 1)
         self.first = np.concatenate(([0], ends[:-1])).astype(np.int64)
         self.size = ends - self.first
         self.prev = np.concatenate(([0], self.cur[:-1]))
@@ -83,8 +89,8 @@ def _parts(batches, rows: int):
 
 @dataclass
 class Tables:
-    """vocabulary (w, c, rest): count of each word, and a(w) in 255ths where bigrams after it
-    are stored; grams (g, level). Words that only stand before texts have c of BEGIN."""
+    """vocabulary (w, c, rest): count of each word and a(w); grams (g, level). Words that only
+    stand before texts have c of BEGIN."""
 
     vocabulary: DataFrame
     grams: DataFrame
@@ -96,35 +102,30 @@ class Tables:
 
 
 def train(texts: DataFrame, text_col: str = "text", staged: Staged | None = None) -> Tables:
-    """Counts words and bigrams of all rows; a null text is an empty one."""
+    """Counts words and bigrams of all rows; a null text is an empty one.
+
+    The texts are read once: every word is followed by one token, so words are counted
+    as first words of bigrams, and texts by their ends.
+    """
     staged = staged or Staged(texts.sparkSession, "lm")
     texts = texts.select(F.col(text_col).cast("string").alias("text"))
 
-    def one(batches):
-        for part in _parts(batches, 20_000):
-            t = Tokens(part.column(0).to_pylist())
-            n = np.bincount(t.cur, minlength=len(t.hash))
-            n[0] = part.num_rows  # BEGIN, before each text
-            yield pa.record_batch([pa.array(t.hash.view(np.int64)), pa.array(n.astype(np.int64))], names=["w", "c"])
-
     def two(batches):
-        for part in _parts(batches, 20_000):
-            t = Tokens(part.column(0).to_pylist())
+        for part in _parts(batches, 4096):
+            t = Tokens(part.column(0))
             h, w, _, n = t.pairs()
             yield pa.record_batch([pa.array(t.hash[h].view(np.int64)), pa.array(_mix(t.hash[h], t.hash[w]).view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "g", "n"])
 
     kept = texts.mapInArrow(two, "h long, g long, n long").groupBy("h", "g").agg(F.sum("n").alias("n"))
     level = F.when(F.col("n") < 2, 1).otherwise(F.floor(F.log(F.col("n") / 2) / F.log(F.lit(BASE)) + 1e-9) + 2).cast("int")
-    grams = staged.write(kept.select("h", "g", level.alias("level")), "grams")
-    after = grams.groupBy("h").agg(F.sum(_stored() - DISCOUNT).alias("explained"))
-    counted = texts.mapInArrow(one, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
-    rest = F.ceil(F.greatest(F.lit(0.0), 1 - F.coalesce("explained", F.lit(0.0)) / F.col("c")) * 255).cast("int")
-    vocabulary = staged.write(counted.join(after, counted.w == after.h, "left").select("w", "c", rest.alias("rest")), "vocabulary")
-    begin = _begin()
-    row = vocabulary.where(F.col("w") != begin).agg(F.sum("c"), F.count("*")).first()
-    first = vocabulary.where(F.col("w") == begin).agg(F.sum("c")).first()
-    size = grams.agg(F.count("*"), F.sum("level")).first()
-    return Tables(vocabulary, grams, row[0] or 0, row[1], size[0], size[1] or 0, first[0] or 0)
+    grams = staged.write(kept.select("h", "g", "n", level.alias("level")), "grams")
+    counted = grams.groupBy("h").agg(F.sum("n").alias("c"), F.sum(_stored() - DISCOUNT).alias("explained"), F.count("*").alias("n_grams"), F.sum("level").alias("n_entries"))
+    vocabulary = staged.write(counted.select(F.col("h").alias("w"), "c", F.greatest(F.lit(0.0), 1 - F.col("explained") / F.col("c")).alias("rest"), "n_grams", "n_entries"), "words")
+    first = vocabulary.where(F.col("w") == _hash_of(BEGIN)).agg(F.sum("c")).first()[0] or 0
+    row = vocabulary.agg(F.sum("c"), F.count("*"), F.sum("n_grams"), F.sum("n_entries")).first()
+    end = texts.sparkSession.createDataFrame([(_hash_of(END), first, 1.0)] if first else [], "w long, c long, rest double")
+    # as many ends as beginnings, and BEGIN is no token
+    return Tables(vocabulary.select("w", "c", "rest").unionByName(end), grams.select("h", "g", "level"), row[0] or 0, row[1], row[2] or 0, row[3] or 0, first)
 
 
 def _stored():
@@ -132,8 +133,8 @@ def _stored():
     return F.when(F.col("level") > 1, F.lit(2.0) * F.pow(F.lit(BASE), F.col("level") - 2.0)).otherwise(F.lit(1.0))
 
 
-def _begin() -> int:
-    return int(np.uint64(xxhash.xxh3_64_intdigest(BEGIN)).view(np.int64))
+def _hash_of(word: bytes) -> int:
+    return int(np.uint64(xxhash.xxh3_64_intdigest(word)).view(np.int64))
 
 
 def _probe_places(g: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
@@ -234,7 +235,7 @@ def score(docs: DataFrame, tables: Tables, text_col: str = "text", broadcast_byt
     """
     if clash := {"n_tokens", "n_known", "base_score", "score"} & set(docs.columns):
         raise ValueError(f"{sorted(clash)} are columns already")
-    need = 17 * (tables.n_words + 1) + tables.n_entries * BITS // 8
+    need = 24 * (tables.n_words + 1) + tables.n_entries * BITS // 8
     return _by_broadcast(docs, tables, text_col) if need <= broadcast_bytes else _by_join(docs, tables, text_col)
 
 
@@ -243,27 +244,28 @@ def _by_broadcast(docs: DataFrame, tables: Tables, text_col: str) -> DataFrame:
     got = tables.vocabulary.toArrow()
     w = got.column("w").to_numpy().view(np.uint64)
     order = np.argsort(w)
-    known = spark.sparkContext.broadcast((w[order], got.column("c").to_numpy()[order], got.column("rest").to_numpy().astype(np.uint8)[order], build_filter(tables).blocks))
+    known = spark.sparkContext.broadcast((w[order], got.column("c").to_numpy()[order], got.column("rest").to_numpy()[order], build_filter(tables).blocks))
     del got, w, order
     total = tables.n_tokens + 0.5 * (tables.n_words + 1)
-    begin = np.int64(_begin()).view(np.uint64)
+    begin = np.int64(_hash_of(BEGIN)).view(np.uint64)
 
     @F.pandas_udf(SCORES)
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         hashes, count, rest, blocks = known.value
         grams = CountFilter(blocks)
         for series in texts:
-            frames = [_score(Tokens(series.iloc[i : i + 512].tolist()), hashes, count, rest, grams, total, begin) for i in range(0, len(series), 512)]
+            frames = [_score(Tokens(pa.array(series.iloc[i : i + 2048], pa.string(), from_pandas=True)), hashes, count, rest, grams, total, begin) for i in range(0, len(series), 2048)]
             yield pd.concat(frames, ignore_index=True) if frames else pd.DataFrame(columns=["n_tokens", "n_known", "base_score", "score"])
 
-    return docs.withColumn("_lm", run(F.col(text_col).cast("string"))).select(*[F.col(f"`{c}`") for c in docs.columns], "_lm.*")
+    into = spare(docs, "lm")
+    return docs.withColumn(into, run(F.col(text_col).cast("string"))).select(*[F.col(f"`{c}`") for c in docs.columns], f"{into}.*")
 
 
 def _score(t: Tokens, hashes, count, rest, grams: CountFilter, total: float, begin) -> pd.DataFrame:
     at = np.minimum(np.searchsorted(hashes, t.hash), max(0, len(hashes) - 1))
     there = hashes[at] == t.hash if len(hashes) else np.zeros(len(t.hash), bool)
     c = np.where(there, count[at], 0) if len(hashes) else np.zeros(len(t.hash), np.int64)
-    a = np.where(there, rest[at], 255) / 255 if len(hashes) else np.ones(len(t.hash))
+    a = np.where(there, rest[at], 1.0) if len(hashes) else np.ones(len(t.hash))
     uni = (np.where(t.hash == begin, 0, c) + 0.5) / total
     h, w, back, _ = t.pairs()
     level = np.zeros(len(h), np.int64)
@@ -286,24 +288,24 @@ def _by_join(docs: DataFrame, tables: Tables, text_col: str) -> DataFrame:
     """The same scores for tables too large to broadcast: a document's distinct bigrams
     travel to the words' counts and to the levels that the filter's blocks give for
     them, hot words and bigrams split by adaptive joins."""
-    names = docs.columns
-    docs = Staged(docs.sparkSession, "lm-rows").write(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    total, begin = tables.n_tokens + 0.5 * (tables.n_words + 1), _begin()
+    names, id_ = docs.columns, spare(docs, "row")
+    docs = Staged(docs.sparkSession, "lm-rows").write(docs.withColumn(id_, F.monotonically_increasing_id()), "rows")
+    total, begin = tables.n_tokens + 0.5 * (tables.n_words + 1), _hash_of(BEGIN)
 
     def run(batches):
         for part in _parts(batches, 512):
-            rows, t = part.column(0).to_numpy(), Tokens(part.column(1).to_pylist())
+            rows, t = part.column(0).to_numpy(), Tokens(part.column(1))
             doc = np.repeat(np.arange(len(rows)), t.size)
             key, n = np.unique((doc * len(t.hash) + t.prev) * len(t.hash) + t.cur, return_counts=True)
             doc, h, w = key // len(t.hash) ** 2, key // len(t.hash) % len(t.hash), key % len(t.hash)
             yield pa.record_batch([pa.array(rows[doc]), pa.array(t.hash[h].view(np.int64)), pa.array(t.hash[w].view(np.int64)), pa.array(_mix(t.hash[h], t.hash[w]).view(np.int64)), pa.array(n)], names=["_row", "h", "w", "g", "n"])
 
-    seen = docs.select("_row", F.col(text_col).cast("string").alias("text")).mapInArrow(run, "_row long, h long, w long, g long, n long")
+    seen = docs.select(F.col(id_).alias("_row"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "_row long, h long, w long, g long, n long")
     v = tables.vocabulary
     seen = seen.join(v.select("w", F.col("c").alias("cw")), "w", "left").join(v.select(F.col("w").alias("h"), F.col("c").alias("ch"), "rest"), "h", "left").join(_probed(seen, tables), "g", "left")
     uni = (F.coalesce("cw", F.lit(0)) + 0.5) / F.lit(total)
     stored = _stored()
     own = F.when((F.col("level") > 0) & (F.col("cw") >= 1) & (stored <= F.col("ch")), (stored - DISCOUNT) / F.col("ch")).otherwise(0.0)
-    p = F.when(F.col("ch") > 0, own + F.col("rest") / 255 * uni).otherwise(uni)
-    sums = seen.groupBy("_row").agg(F.sum("n").alias("n_tokens"), F.sum(F.when(F.col("cw") > 0, F.col("n")).otherwise(0)).alias("n_known"), F.sum(F.log10(uni) * F.col("n")).alias("base_score"), F.sum(F.log10(F.greatest(p, F.lit(1e-300))) * F.col("n")).alias("score"))
-    return docs.join(sums, "_row").select(*[F.col(f"`{c}`") for c in names], "n_tokens", "n_known", "base_score", "score")
+    p = F.when(F.col("ch") > 0, own + F.col("rest") * uni).otherwise(uni)
+    sums = seen.groupBy(F.col("_row").alias(id_)).agg(F.sum("n").alias("n_tokens"), F.sum(F.when(F.col("cw") > 0, F.col("n")).otherwise(0)).alias("n_known"), F.sum(F.log10(uni) * F.col("n")).alias("base_score"), F.sum(F.log10(F.greatest(p, F.lit(1e-300))) * F.col("n")).alias("score"))
+    return docs.join(sums, id_).select(*[F.col(f"`{c}`") for c in names], "n_tokens", "n_known", "base_score", "score")

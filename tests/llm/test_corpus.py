@@ -224,6 +224,32 @@ def test_scores_by_join_probe_the_filter(spark):
     assert all(math.isclose(x.score, y.score, rel_tol=1e-9) for x, y in zip(a, b, strict=True))
 
 
+def test_scores_against_brute_force(docs, rows):
+    """Counts rounded down to levels, absolute discount, back-off to the unigram; the filter has no false probes at this size."""
+    import numpy as np
+
+    train = [[*words(t), ""] for i, t in rows if i % 3]
+    uni = Counter(w for t in train for w in t)
+    pair = Counter(p for t in train for p in zip([None, *t], t))
+    n, v = sum(uni.values()), len(uni)
+    before = {w: c for w, c in uni.items() if w} | {None: len(train)}
+    held = {g: float(lm.counts_of(lm.levels(np.array([c])))[0]) for g, c in pair.items()}
+    rest = {h: 1 - sum(x - lm.DISCOUNT for (a, _), x in held.items() if a == h) / c for h, c in before.items()}
+    model = lm.train(docs.where("doc_id % 3 <> 0"))
+    assert (model.n_tokens, model.n_words, model.n_texts) == (n, v, len(train))
+    for limit in (1 << 30, 0):
+        got = {r.doc_id: r.score for r in lm.score(docs.select("doc_id", "text"), model, broadcast_bytes=limit).collect()}
+        for i, t in rows:
+            own = [*words(t), ""]
+            want = 0.0
+            for h, w in zip([None, *own], own):
+                p = (uni[w] + 0.5) / (n + 0.5 * (v + 1))
+                if h in before:
+                    p = max(held.get((h, w), 0.5) - 0.5, 0) / before[h] + rest[h] * p
+                want += math.log10(p)
+            assert math.isclose(got[i], want, rel_tol=1e-9), i
+
+
 def test_bigrams_seen_once_are_known(spark):
     import numpy as np
 
@@ -248,14 +274,14 @@ def test_model_is_a_distribution(docs, rows):
     h64 = lambda w: int(np.uint64(xxhash.xxh3_64_intdigest(w)).view(np.int64))
     total = model.n_tokens + 0.5 * (model.n_words + 1)
     common = Counter(w for _, t in rows for w in words(t)).most_common(3)
-    known = np.array([w for w in v.index if w != lm._begin()])
+    known = np.array([w for w in v.index if w != lm._hash_of(lm.BEGIN)])
     for w, _ in common:
         h = h64(w.encode())
         key = lm._mix(np.full(len(known), h).view(np.uint64), known.view(np.uint64)).view(np.int64)
         level = np.array([g.get(int(k), 0) for k in key])
         uni = (v.loc[known, "c"].to_numpy() + 0.5) / total
-        p = lm.token_probability(level, np.full(len(known), v.loc[h, "c"]), v.loc[h, "rest"] / 255, uni).sum()
-        assert 0.98 < p + v.loc[h, "rest"] / 255 * 0.5 / total < 1.02
+        p = lm.token_probability(level, np.full(len(known), v.loc[h, "c"]), v.loc[h, "rest"], uni).sum()
+        assert 0.98 < p + v.loc[h, "rest"] * 0.5 / total < 1.02
 
 
 def test_leaks(spark, docs, rows, empty):
