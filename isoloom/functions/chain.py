@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 IUPAC, COMPLEMENT = "ACGTRYKMBVDHSWNacgtrykmbvdhswn", "TGCAYRMKVBHDSWNtgcayrmkvbhdswn"
 
 
+LOWER = "abcdefghijklmnopqrstuvwxyz"
+
+
 def sites(chain: Column) -> Column:
     """Sites of a chain string; none where it is null or no list of integers."""
     good = F.coalesce(chain.rlike(r"^\d+(-\d+)*$"), F.lit(False))
@@ -69,9 +72,9 @@ def distance(a: Column, b: Column) -> Column:
 
 
 def reverse_complement(seq: Column, plain: bool = False) -> Column:
-    """IUPAC and case are kept; ``plain``: upper case, only ACGTN change."""
+    """IUPAC and case are kept; ``plain``: a-z in upper case, only ACGTN change."""
     if plain:
-        return F.reverse(F.translate(F.upper(seq), "ACGT", "TGCA"))
+        return F.reverse(F.translate(seq, LOWER + "ACGT", LOWER.upper().translate(str.maketrans("ACGT", "TGCA")) + "TGCA"))
     return F.reverse(F.translate(seq, IUPAC, COMPLEMENT))
 
 

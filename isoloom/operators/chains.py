@@ -73,13 +73,16 @@ def drop_fragments(chains: DataFrame, least_exon: int = 100, rare: float = 0.01)
     """Drops rare chains that are short at an end, where they have one junction, or not canonical.
 
     Rare: under ``rare`` of the mean frequency of all chains, a single row that is
-    broadcast. Ends are judged by the outermost reads.
+    broadcast. Ends are the means of the reads' (mean_start, mean_end, as mean_ends
+    gives them); motifs are compared in the case they are written in. Chains without
+    motif or means are kept unless the other rule drops them.
     """
     s = chain.sites(F.col("SSC"))
-    short = (F.size(s) == 2) & (F.least(F.element_at(s, 1) - F.col("lo"), F.col("hi") - F.element_at(s, -1)) < least_exon)
-    odd = ~F.forall(F.split(F.upper("junction"), ","), lambda m: m.isin(*CANONICAL))
+    short = (F.size(s) == 2) & (F.least(F.abs(F.element_at(s, 1) - F.col("mean_start")), F.abs(F.col("mean_end") - F.element_at(s, -1))) < least_exon)
+    odd = ~F.forall(F.split("junction", ","), lambda m: m.isin(*CANONICAL))
+    drop = F.coalesce(short, F.lit(False)) | F.coalesce(odd, F.lit(False))
     mean = chains.agg(F.avg("frequency").alias("_mean"))
-    return chains.crossJoin(F.broadcast(mean)).where((F.col("frequency") >= rare * F.col("_mean")) | ~(short | odd)).drop("_mean")
+    return chains.crossJoin(F.broadcast(mean)).where((F.col("frequency") >= rare * F.col("_mean")) | ~drop).drop("_mean")
 
 
 def keep_loci(chains: DataFrame, reference: DataFrame | None = None, quantile: float = 0.25) -> DataFrame:

@@ -12,12 +12,17 @@ ENDS = [*KEY, "TrStart", "TrEnd"]
 
 
 def transcript_counts(reads: DataFrame, transcripts: DataFrame) -> DataFrame:
-    """(sample, TrID, GeneID, count) of reads with a transcript's chain."""
-    bad = transcripts.where("TrID is null or GeneID is null").limit(1).count()
-    if bad:
-        raise ValueError("a transcript has no TrID or GeneID")
-    t = transcripts.select(*KEY, "TrID", "GeneID").dropDuplicates(KEY)
-    return reads.where("SSC is not null").groupBy("sample", *KEY).agg(F.count("*").alias("n")).join(t, KEY).groupBy("sample", "TrID", "GeneID").agg(F.sum("n").alias("count"))
+    """(sample, TrID, GeneID, count) of corrected reads that have a transcript's chain and both ends.
+
+    Reads of one chain go to the transcript whose ends they have; reads with other ends
+    count for none. Transcripts that share all five keys each get the reads. Repeated
+    transcript rows count once; no reads or no transcripts give no row. A transcript
+    without TrID or GeneID raises when the result is computed.
+    """
+    named = F.when(F.col("TrID").isNotNull() & F.col("GeneID").isNotNull(), F.col("TrID")).otherwise(F.raise_error(F.lit("a transcript has no TrID or GeneID")))
+    t = transcripts.select(*ENDS, named.alias("TrID"), "GeneID").distinct()
+    n = reads.where("SSC is not null").groupBy("sample", *ENDS).agg(F.count("*").alias("n"))
+    return n.join(t, ENDS).groupBy("sample", "TrID", "GeneID").agg(F.sum("n").alias("count"))
 
 
 def expressed(counts: DataFrame, libraries: int, least: int = 1) -> DataFrame:
@@ -27,8 +32,10 @@ def expressed(counts: DataFrame, libraries: int, least: int = 1) -> DataFrame:
 
 
 def cpm(counts: DataFrame) -> DataFrame:
-    """Adds cpm: per million counts of the library, all its transcripts or genes counted."""
-    return counts.withColumn("cpm", F.col("count") * 1e6 / F.sum("count").over(Window.partitionBy("sample")))
+    """Adds cpm: per million counts of the library, all its transcripts or genes counted. A
+    library's sum is one row, combined before the shuffle, so none is one task."""
+    sums = counts.groupBy("sample").agg(F.sum("count").alias("_sum"))
+    return counts.join(sums, "sample").withColumn("cpm", F.col("count") * 1e6 / F.col("_sum")).select(*counts.columns, "cpm")
 
 
 def gene_counts(counts: DataFrame) -> DataFrame:
@@ -49,8 +56,9 @@ def gene_model_map(genes: DataFrame, model: DataFrame, totals: DataFrame) -> Dat
 
 
 def novel_ids(chains: DataFrame) -> DataFrame:
-    """GeneID NovelGene{g} and TrID NovelGene{g}_NovelTr{n}, n by chain in the locus."""
-    n = F.row_number().over(Window.partitionBy(*LOCUS).orderBy("SSC"))
+    """GeneID NovelGene{g} and TrID NovelGene{g}_NovelTr{n}, n by chain and ends in the locus."""
+    ends = [c for c in ("TrStart", "TrEnd") if c in chains.columns]
+    n = F.row_number().over(Window.partitionBy(*LOCUS).orderBy("SSC", *ends))
     g = F.concat(F.lit("NovelGene"), F.col("Group").cast("string"))
     return chains.withColumns({"GeneID": g, "TrID": F.concat(g, F.lit("_NovelTr"), n.cast("string"))})
 

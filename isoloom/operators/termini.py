@@ -92,11 +92,32 @@ def nearest_ends(reads: DataFrame, model: DataFrame, tolerance: float = 50.0) ->
     return near.select(*KEY, "TrStart", "TrEnd", "n", F.when(close, F.col("x.ms")).alias("model_start"), F.when(close, F.col("x.me")).alias("model_end"))
 
 
+def correct_reads(reads: DataFrame, model: DataFrame, site_tolerance: float = 15.0, end_tolerance: float = 50.0) -> DataFrame:
+    """Spliced reads with the chain of the nearest model chain of their strand and size, then
+    with the nearest model ends of that chain, where these lie within the tolerances.
+
+    Columns and the number of rows stay; of equally near chains or ends the smaller is
+    taken. Single-exon reads (SSC null) are left out. A read that is near nothing stays
+    as it is, and an empty model changes no read. Distances are found once for each
+    distinct chain and for each distinct pair of ends of a chain.
+    """
+    names = reads.columns
+    spliced = reads.where("SSC is not null")
+    chains = nearest_chains(spliced, model, site_tolerance).select(*KEY, "model_SSC")
+    moved = spliced.join(chains, KEY, "left").withColumn("SSC", F.coalesce("model_SSC", "SSC")).select(*names)
+    ends = nearest_ends(moved, model, end_tolerance).where("model_start is not null").select(*KEY, "TrStart", "TrEnd", "model_start", "model_end")
+    fixed = moved.join(ends, [*KEY, "TrStart", "TrEnd"], "left")
+    return fixed.withColumns({"TrStart": F.coalesce("model_start", "TrStart"), "TrEnd": F.coalesce("model_end", "TrEnd")}).select(*names)
+
+
 def polya_fraction(reads: DataFrame, model: DataFrame) -> DataFrame:
-    """model with polyA_frac, the share of its reads with a tail (0 without reads), and how many have one."""
-    f = reads.where("SSC is not null").groupBy(*KEY).agg(F.count_if(F.col("polyA_len") > 0).alias("polyA_valid_reads"), F.count("*").alias("_n"))
-    out = model.join(f, KEY, "left")
-    return out.withColumns({"polyA_frac": F.coalesce(F.col("polyA_valid_reads") / F.col("_n"), F.lit(0.0)), "polyA_valid_reads": F.coalesce("polyA_valid_reads", F.lit(0))}).drop("_n")
+    """model with polyA_frac, the share of its corrected reads that have a tail, and how many have
+    one (polyA_valid_reads). Reads belong to a transcript by chain and both ends; a transcript
+    without reads was not measured: its polyA_frac is null, which is not the same as 0."""
+    ends = [*KEY, "TrStart", "TrEnd"]
+    f = reads.where("SSC is not null").groupBy(*ends).agg(F.count_if(F.col("polyA_len") > 0).alias("polyA_valid_reads"), F.count("*").alias("_n"))
+    out = model.join(f, ends, "left")
+    return out.withColumns({"polyA_frac": F.col("polyA_valid_reads") / F.col("_n"), "polyA_valid_reads": F.coalesce("polyA_valid_reads", F.lit(0))}).drop("_n")
 
 
 def polya_lengths(reads: DataFrame, keys: list[str]) -> DataFrame:

@@ -35,7 +35,14 @@ w4 AS (SELECT Chr, Strand, grp, ext[i:i+3] AS p, CAST(sum(frequency) AS BIGINT)
 w6 AS (SELECT Chr, Strand, grp, ext[i:i+5] AS p, CAST(sum(frequency) AS BIGINT) AS f FROM (SELECT *, unnest(range(2, len(ext) - 4, 2)) AS i FROM ex) GROUP BY ALL),
 bysample AS (SELECT sample, Chr, Strand, SSC, count(*) AS frequency, min(TrStart) AS lo, max(TrEnd) AS hi FROM q WHERE SSC IS NOT NULL GROUP BY ALL),
 src AS (SELECT a.grp, a.SSC, b.SSC AS source, b.frequency AS sf FROM g a JOIN g b ON a.grp = b.grp AND len(a.t) < len(b.t) WHERE len(list_filter(range(0, (len(b.t) - len(a.t)) // 2 + 1), lambda j: b.t[2*j+1 : 2*j+len(a.t)] = a.t)) > 0),
-tc AS (SELECT sample, TrID, GeneID, count(*) AS n FROM q JOIN model USING (Chr, Strand, SSC) GROUP BY ALL),
+tr AS (SELECT r.Chr, r.Strand, r.SSC, GeneID, concat(TrID, CASE WHEN r.TrEnd % 4000 >= 1500 THEN '_far' ELSE '' END) AS TrID, min(r.TrStart) AS TrStart, max(r.TrEnd) AS TrEnd FROM q r JOIN model USING (Chr, Strand, SSC) GROUP BY ALL),
+nc AS (SELECT st.Chr, st.Strand, st.SSC, min({'d': list_distance(CAST(st.t AS DOUBLE[]), CAST(m.t AS DOUBLE[])), 's': m.SSC}).s AS near FROM st JOIN model m ON m.Chr = st.Chr AND m.Strand = st.Strand AND len(m.t) = len(st.t)
+WHERE list_distance(CAST(st.t AS DOUBLE[]), CAST(m.t AS DOUBLE[])) <= 15 GROUP BY ALL),
+r1 AS (SELECT sample, q.Chr, q.Strand, coalesce(near, q.SSC) AS SSC, TrStart, TrEnd, polyA_len FROM q LEFT JOIN nc ON nc.Chr = q.Chr AND nc.Strand = q.Strand AND nc.SSC = q.SSC WHERE q.SSC IS NOT NULL),
+ne AS (SELECT r.Chr, r.Strand, r.SSC, r.TrStart, r.TrEnd, min({'d': sqrt((r.TrStart - tr.TrStart)**2 + (r.TrEnd - tr.TrEnd)**2), 's': tr.TrStart, 'e': tr.TrEnd}) AS x FROM (SELECT DISTINCT Chr, Strand, SSC, TrStart, TrEnd FROM r1) r JOIN tr USING (Chr, Strand, SSC) GROUP BY ALL),
+cr AS (SELECT sample, r1.Chr, r1.Strand, r1.SSC, CASE WHEN x.d <= 50 THEN x.s ELSE r1.TrStart END AS TrStart, CASE WHEN x.d <= 50 THEN x.e ELSE r1.TrEnd END AS TrEnd, polyA_len FROM r1
+LEFT JOIN ne ON ne.Chr = r1.Chr AND ne.Strand = r1.Strand AND ne.SSC = r1.SSC AND ne.TrStart = r1.TrStart AND ne.TrEnd = r1.TrEnd),
+tc AS (SELECT sample, TrID, GeneID, count(*) AS n FROM cr JOIN tr USING (Chr, Strand, SSC, TrStart, TrEnd) GROUP BY ALL),
 gc AS (SELECT sample, GeneID, CAST(sum(n) AS BIGINT) AS n FROM tc GROUP BY ALL)
 """
 
@@ -77,6 +84,18 @@ def model(spark: SparkSession, sf: str) -> DataFrame:
     return located(spark, sf).where("frequency >= 20").withColumns({"GeneID": gene, "TrID": F.concat(gene, F.lit("_"), "SSC"), "TrStart": F.col("lo"), "TrEnd": F.col("hi")})
 
 
+def transcripts(spark: SparkSession, sf: str) -> DataFrame:
+    """Model chains with up to two pairs of ends each."""
+    far = F.when(F.col("TrEnd") % 4000 >= 1500, "_far").otherwise("")
+    ends = good(spark, sf).where("SSC is not null").groupBy(*C.KEY, far.alias("far")).agg(F.min("TrStart").alias("TrStart"), F.max("TrEnd").alias("TrEnd"))
+    return ends.join(model(spark, sf).select(*C.KEY, "GeneID", "TrID"), C.KEY).select(*C.KEY, "TrStart", "TrEnd", F.concat("TrID", "far").alias("TrID"), "GeneID")
+
+
+def counted(spark: SparkSession, sf: str) -> DataFrame:
+    t = transcripts(spark, sf)
+    return Q.transcript_counts(T.correct_reads(good(spark, sf), t), t)
+
+
 G = '"Group"'
 
 
@@ -111,10 +130,10 @@ def junction_screening(spark, sf):
     return C.screen_motifs(with_motifs(spark, sf)).select(*C.KEY, "junction", "frequency")
 
 
-@query("""SELECT Chr, Strand, SSC FROM mo, (SELECT avg(frequency) AS m FROM mo) WHERE frequency >= 0.3 * m OR NOT ((len(t) = 2 AND least(t[1] - lo, hi - t[-1]) < 100)
-OR len(list_filter(string_split(upper(junction), ','), lambda m: m NOT IN ('GT-AG', 'AT-AC', 'GC-AG'))) > 0)""")
+@query("""SELECT Chr, Strand, SSC FROM mo JOIN (SELECT Chr, Strand, SSC, avg(TrStart) AS a, avg(TrEnd) AS b FROM q GROUP BY ALL) USING (Chr, Strand, SSC), (SELECT avg(frequency) AS m FROM mo) WHERE frequency >= 0.3 * m
+OR NOT ((len(t) = 2 AND least(abs(t[1] - a), abs(b - t[-1])) < 201) OR len(list_filter(string_split(junction, ','), lambda m: m NOT IN ('GT-AG', 'AT-AC', 'GC-AG'))) > 0)""")
 def fragment_filter(spark, sf):
-    return C.drop_fragments(with_motifs(spark, sf), rare=0.3).select(*C.KEY)
+    return C.drop_fragments(with_motifs(spark, sf).join(C.mean_ends(good(spark, sf)), C.KEY), least_exon=201, rare=0.3).select(*C.KEY)
 
 
 @query("""SELECT Chr, Strand, SSC FROM g WHERE grp IN (SELECT grp FROM g LEFT JOIN (SELECT DISTINCT Chr, Strand, SSC, true AS known FROM ref) USING (Chr, Strand, SSC) GROUP BY grp
@@ -258,12 +277,20 @@ def nearest_terminal(spark, sf):
     return T.nearest_ends(good(spark, sf), model(spark, sf).select(*C.KEY, "TrStart", "TrEnd"))
 
 
-PF = """SELECT Chr, Strand, SSC, coalesce(v, 0) AS polyA_valid_reads, round(coalesce(v / n, 0), 6) AS polyA_frac FROM model LEFT JOIN
-(SELECT Chr, Strand, SSC, count(*) FILTER (WHERE polyA_len > 0) AS v, count(*) AS n FROM q WHERE SSC IS NOT NULL AND sample <> 's2' GROUP BY ALL) USING (Chr, Strand, SSC)"""
+@query("SELECT sample, Chr, Strand, SSC, TrStart, TrEnd, count(*) AS n FROM cr GROUP BY ALL")
+def read_correction(spark, sf):
+    return T.correct_reads(good(spark, sf), transcripts(spark, sf)).groupBy("sample", *Q.ENDS).agg(F.count("*").alias("n"))
+
+
+# some transcripts further on, which no read has
+PF = """SELECT TrID, coalesce(v, 0) AS polyA_valid_reads, round(v / n, 6) AS polyA_frac FROM (SELECT * FROM tr UNION ALL SELECT Chr, Strand, SSC, GeneID, concat(TrID, '_later'), TrStart + 1000, TrEnd + 1000 FROM tr WHERE TrStart % 2 = 0)
+LEFT JOIN (SELECT Chr, Strand, SSC, TrStart, TrEnd, count(*) FILTER (WHERE polyA_len > 0) AS v, count(*) AS n FROM cr GROUP BY ALL) USING (Chr, Strand, SSC, TrStart, TrEnd)"""
 
 
 def tails(spark, sf):
-    return T.polya_fraction(good(spark, sf).where("sample <> 's2'"), model(spark, sf)).select(*C.KEY, "polyA_valid_reads", F.round("polyA_frac", 6).alias("polyA_frac"))
+    t = transcripts(spark, sf)
+    later = t.where("TrStart % 2 = 0").withColumns({"TrID": F.concat("TrID", F.lit("_later")), "TrStart": F.col("TrStart") + 1000, "TrEnd": F.col("TrEnd") + 1000})
+    return T.polya_fraction(T.correct_reads(good(spark, sf), t), t.unionByName(later)).select("TrID", "polyA_valid_reads", F.round("polyA_frac", 6).alias("polyA_frac"))
 
 
 @query(PF)
@@ -318,16 +345,15 @@ def intra_priming(spark, sf):
     return spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", chain.primed_inside(w).alias("primed"))
 
 
-@query("SELECT doc_id, md5(reverse(translate(text, 'ACGTRYKMBVDHSWNacgtrykmbvdhswn', 'TGCAYRMKVBHDSWNtgcayrmkvbhdswn'))) AS iupac, md5(reverse(translate(upper(text), 'ACGT', 'TGCA'))) AS plain FROM documents WHERE lang = 'en'")
-def reverse_complement(spark, sf, whole=False):
+@query("SELECT doc_id, md5(reverse(translate(text, 'ACGTRYKMBVDHSWNacgtrykmbvdhswn', 'TGCAYRMKVBHDSWNtgcayrmkvbhdswn'))) AS iupac, md5(reverse(translate(translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'), 'ACGT', 'TGCA'))) AS plain FROM documents")
+def reverse_complement(spark, sf):
     d = spark.read.parquet(f"{sf}/documents.parquet")
-    d = d if whole else d.where("lang = 'en'")
     return d.select("doc_id", F.md5(chain.reverse_complement(F.col("text")).cast("binary")).alias("iupac"), F.md5(chain.reverse_complement(F.col("text"), plain=True).cast("binary")).alias("plain"))
 
 
 @query()
 def reverse_complement_whole(spark, sf):
-    return reverse_complement(spark, sf, whole=True)
+    return reverse_complement(spark, sf)
 
 
 @query("""SELECT x AS cigar, CAST(count(*) AS BIGINT) AS n, any_value(concat('0:', CAST(a + d AS VARCHAR), ',', CAST(a + d + 500 AS VARCHAR), ':', CAST(a + d + 500 + p AS VARCHAR))) AS exons,
@@ -385,7 +411,7 @@ def combine_ids(spark, sf):
 
 @query("SELECT * FROM (SELECT sample, TrID, GeneID, n AS count FROM tc)")
 def tx_counts(spark, sf):
-    return Q.transcript_counts(good(spark, sf), model(spark, sf))
+    return counted(spark, sf)
 
 
 SAMPLES = ["s0", "s1", "s2"]
@@ -394,7 +420,7 @@ SAMPLES = ["s0", "s1", "s2"]
 @query("""SELECT TrID, GeneID, CAST(coalesce(sum(n) FILTER (WHERE sample = 's0'), 0) AS BIGINT) AS s0, CAST(coalesce(sum(n) FILTER (WHERE sample = 's1'), 0) AS BIGINT) AS s1,
 CAST(coalesce(sum(n) FILTER (WHERE sample = 's2'), 0) AS BIGINT) AS s2 FROM tc GROUP BY ALL HAVING count(*) >= 2""")
 def tx_count_matrix(spark, sf):
-    return Q.matrix(Q.expressed(Q.transcript_counts(good(spark, sf), model(spark, sf)), 3, 2), ["TrID", "GeneID"], SAMPLES, "count")
+    return Q.matrix(Q.expressed(counted(spark, sf), 3, 2), ["TrID", "GeneID"], SAMPLES, "count")
 
 
 def rounded(df, keys):
@@ -405,20 +431,20 @@ def rounded(df, keys):
 round(coalesce(sum(x) FILTER (WHERE sample = 's2'), 0), 6) AS s2 FROM (SELECT *, n * 1e6 / sum(n) OVER (PARTITION BY sample) AS x FROM tc) GROUP BY ALL""")
 def tx_cpm_matrix(spark, sf):
     keys = ["TrID", "GeneID"]
-    return rounded(Q.matrix(Q.cpm(Q.transcript_counts(good(spark, sf), model(spark, sf))), keys, SAMPLES, "cpm"), keys)
+    return rounded(Q.matrix(Q.cpm(counted(spark, sf)), keys, SAMPLES, "cpm"), keys)
 
 
 @query("""SELECT GeneID, CAST(coalesce(sum(n) FILTER (WHERE sample = 's0'), 0) AS BIGINT) AS s0, CAST(coalesce(sum(n) FILTER (WHERE sample = 's1'), 0) AS BIGINT) AS s1,
 CAST(coalesce(sum(n) FILTER (WHERE sample = 's2'), 0) AS BIGINT) AS s2 FROM gc GROUP BY ALL""")
 def gene_count_matrix(spark, sf):
-    return Q.matrix(Q.gene_counts(Q.transcript_counts(good(spark, sf), model(spark, sf))), ["GeneID"], SAMPLES, "count")
+    return Q.matrix(Q.gene_counts(counted(spark, sf)), ["GeneID"], SAMPLES, "count")
 
 
 @query("""SELECT GeneID, round(coalesce(sum(x) FILTER (WHERE sample = 's0'), 0), 6) AS s0, round(coalesce(sum(x) FILTER (WHERE sample = 's1'), 0), 6) AS s1,
 round(coalesce(sum(x) FILTER (WHERE sample = 's2'), 0), 6) AS s2 FROM (SELECT *, n * 1e6 / sum(n) OVER (PARTITION BY sample) AS x FROM gc) GROUP BY ALL""")
 def gene_cpm_matrix(spark, sf):
     """CPM per gene and library: scan, filter, collapse, loci, exact match, counts and pivot."""
-    return rounded(Q.matrix(Q.cpm(Q.gene_counts(Q.transcript_counts(good(spark, sf), model(spark, sf)))), ["GeneID"], SAMPLES, "cpm"), ["GeneID"])
+    return rounded(Q.matrix(Q.cpm(Q.gene_counts(counted(spark, sf))), ["GeneID"], SAMPLES, "cpm"), ["GeneID"])
 
 
 @query("""SELECT x.GeneID, m IS NOT NULL AS in_transcript_model, coalesce(m, 0) AS n_model_transcripts, t AS n_total_transcripts FROM (SELECT GeneID, count(DISTINCT TrID) AS t FROM model GROUP BY GeneID) x
@@ -672,7 +698,8 @@ def isoform_pipeline(spark, sf):
     g = C.drop_fragments_of(g, C.jump_errors(g))
     ends = T.terminal_pairs(good(spark, sf)).withColumnRenamed("frequency", "reads")
     out = C.truncation(C.categories(g, reference(spark, sf))).join(ends, C.KEY)
-    return T.polya_fraction(good(spark, sf), Q.novel_ids(out.drop("lo", "hi")))
+    named = Q.novel_ids(out.drop("lo", "hi"))
+    return T.polya_fraction(T.correct_reads(good(spark, sf), named), named)
 
 
 def _checkpoints(spark: SparkSession) -> None:

@@ -137,10 +137,36 @@ def test_terminal_pairs(spark):
     assert got == {g: terminal_pairs(x) for g, x in groups.items()}
 
 
+READ = "sample string, Chr string, Strand string, SSC string, TrStart long, TrEnd long, polyA_len int"
+TR = "Chr string, Strand string, SSC string, TrStart long, TrEnd long, TrID string, GeneID string"
+
+
 def test_counts_need_ids(spark):
-    bad = spark.createDataFrame([("c", "+", "1-2", "t", None)], "Chr string, Strand string, SSC string, TrID string, GeneID string")
-    with pytest.raises(ValueError):
-        Q.transcript_counts(bad.withColumn("sample", F.lit("s")), bad)
+    bad = spark.createDataFrame([("c", "+", "1-2", 1, 9, "t", None)], TR)
+    reads = spark.createDataFrame([("s", "c", "+", "1-2", 1, 9, 0)], READ)
+    with pytest.raises(Exception, match="no TrID or GeneID"):
+        Q.transcript_counts(reads, bad).collect()
+
+
+def test_counts_of_two_transcripts_of_one_chain(spark):
+    t = spark.createDataFrame([("c", "+", "10-20", 10, 50, "T1", "G"), ("c", "+", "10-20", 400, 900, "T2", "G"), ("c", "+", "10-20", 400, 900, "T2", "G"), ("c", "-", "10-20", 10, 50, "T3", "H")], TR)
+    reads = [("s", "c", "+", "10-20", 12, 48, 30)] * 2 + [("s", "c", "+", "13-24", 10, 50, 0)] + [("s", "c", "+", "10-20", 430, 930, 0)] * 5 + [("s", "c", "+", "10-20", 200, 300, 9), ("s", "c", "+", None, 10, 50, 9), ("s", "c", "+", "70-90", 10, 50, 9)]
+    fixed = T.correct_reads(spark.createDataFrame(reads, READ), t)
+    assert fixed.columns == [c.split()[0] for c in READ.split(", ")]
+    got = sorted((r.SSC, r.TrStart, r.TrEnd) for r in fixed.collect())
+    assert got == [("10-20", 10, 50)] * 3 + [("10-20", 200, 300)] + [("10-20", 400, 900)] * 5 + [("70-90", 10, 50)]
+    assert sorted((r.TrID, r["count"]) for r in Q.transcript_counts(fixed, t).collect()) == [("T1", 3), ("T2", 5)]
+    tails = {(r.TrID, r.polyA_valid_reads, r.polyA_frac) for r in T.polya_fraction(fixed, t).collect()}
+    assert tails == {("T1", 2, 2 / 3), ("T2", 0, 0.0), ("T3", 0, None)}
+    none = spark.createDataFrame([], READ)
+    assert T.correct_reads(none, t).count() == 0 and Q.transcript_counts(none, t).count() == 0
+    assert T.correct_reads(fixed, t.limit(0)).count() == 10 and Q.cpm(Q.transcript_counts(fixed, t.limit(0))).count() == 0
+
+
+def test_fragments_are_judged_by_mean_ends_and_case(spark):
+    rows = [("a", "1000-1200", 1, "GT-AG", 850.0, 1400.0), ("b", "1000-1200", 1, "GT-AG", 950.0, 1400.0), ("c", "1000-1200", 1, "gt-ag", 850.0, 1400.0), ("d", "1000-1200-1300-1400", 1, "GT-AG,GC-AG", 950.0, 1420.0), ("e", "1000-1200", 1, None, None, None), ("f", "1000-1200", 900, "no", 999.0, 1201.0)]
+    df = spark.createDataFrame([("x", "+", *r) for r in rows], "Chr string, Strand string, id string, SSC string, frequency long, junction string, mean_start double, mean_end double")
+    assert {r.id for r in C.drop_fragments(df).collect()} == {"a", "d", "e", "f"}
 
 
 def test_downsample(spark):
