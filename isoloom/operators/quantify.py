@@ -11,8 +11,9 @@ from isoloom.operators.chains import KEY, LOCUS
 ENDS = [*KEY, "TrStart", "TrEnd"]
 
 
-def transcript_counts(reads: DataFrame, transcripts: DataFrame) -> DataFrame:
+def transcript_counts(reads: DataFrame, transcripts: DataFrame, n: str | None = None) -> DataFrame:
     """(sample, TrID, GeneID, count) of corrected reads that have a transcript's chain and both ends.
+    ``n`` is the column that counts the reads of a row, where rows are not single reads.
 
     Reads of one chain go to the transcript whose ends they have; reads with other ends
     count for none. Transcripts that share all five keys each get the reads. Repeated
@@ -21,8 +22,8 @@ def transcript_counts(reads: DataFrame, transcripts: DataFrame) -> DataFrame:
     """
     named = F.when(F.col("TrID").isNotNull() & F.col("GeneID").isNotNull(), F.col("TrID")).otherwise(F.raise_error(F.lit("a transcript has no TrID or GeneID")))
     t = transcripts.select(*ENDS, named.alias("TrID"), "GeneID").distinct()
-    n = reads.where("SSC is not null").groupBy("sample", *ENDS).agg(F.count("*").alias("n"))
-    return n.join(t, ENDS).groupBy("sample", "TrID", "GeneID").agg(F.sum("n").alias("count"))
+    found = reads.where("SSC is not null").groupBy("sample", *ENDS).agg((F.sum(n) if n else F.count("*")).alias("n"))
+    return found.join(t, ENDS).groupBy("sample", "TrID", "GeneID").agg(F.sum("n").alias("count"))
 
 
 def expressed(counts: DataFrame, libraries: int, least: int = 1) -> DataFrame:

@@ -110,12 +110,14 @@ def correct_reads(reads: DataFrame, model: DataFrame, site_tolerance: float = 15
     return fixed.withColumns({"TrStart": F.coalesce("model_start", "TrStart"), "TrEnd": F.coalesce("model_end", "TrEnd")}).select(*names)
 
 
-def polya_fraction(reads: DataFrame, model: DataFrame) -> DataFrame:
+def polya_fraction(reads: DataFrame, model: DataFrame, n: str | None = None, n_tails: str | None = None) -> DataFrame:
     """model with polyA_frac, the share of its corrected reads that have a tail, and how many have
     one (polyA_valid_reads). Reads belong to a transcript by chain and both ends; a transcript
-    without reads was not measured: its polyA_frac is null, which is not the same as 0."""
+    without reads was not measured: its polyA_frac is null, which is not the same as 0. ``n`` and
+    ``n_tails`` are the columns that count the reads of a row and those with a tail, where rows
+    are not single reads."""
     ends = [*KEY, "TrStart", "TrEnd"]
-    f = reads.where("SSC is not null").groupBy(*ends).agg(F.count_if(F.col("polyA_len") > 0).alias("polyA_valid_reads"), F.count("*").alias("_n"))
+    f = reads.where("SSC is not null").groupBy(*ends).agg((F.sum(n_tails) if n_tails else F.count_if(F.col("polyA_len") > 0)).alias("polyA_valid_reads"), (F.sum(n) if n else F.count("*")).alias("_n"))
     out = model.join(f, ends, "left")
     return out.withColumns({"polyA_frac": F.col("polyA_valid_reads") / F.col("_n"), "polyA_valid_reads": F.coalesce("polyA_valid_reads", F.lit(0))}).drop("_n")
 

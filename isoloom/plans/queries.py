@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from contextvars import ContextVar
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +15,7 @@ from isoloom.operators import quantify as Q
 from isoloom.operators import remap as R
 from isoloom.operators import termini as T
 from isoloom.sources import tables
+from isoloom.stages import Staged, shared_dir
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -35,14 +39,14 @@ w4 AS (SELECT Chr, Strand, grp, ext[i:i+3] AS p, CAST(sum(frequency) AS BIGINT)
 w6 AS (SELECT Chr, Strand, grp, ext[i:i+5] AS p, CAST(sum(frequency) AS BIGINT) AS f FROM (SELECT *, unnest(range(2, len(ext) - 4, 2)) AS i FROM ex) GROUP BY ALL),
 bysample AS (SELECT sample, Chr, Strand, SSC, count(*) AS frequency, min(TrStart) AS lo, max(TrEnd) AS hi FROM q WHERE SSC IS NOT NULL GROUP BY ALL),
 src AS (SELECT a.grp, a.SSC, b.SSC AS source, b.frequency AS sf FROM g a JOIN g b ON a.grp = b.grp AND len(a.t) < len(b.t) WHERE len(list_filter(range(0, (len(b.t) - len(a.t)) // 2 + 1), lambda j: b.t[2*j+1 : 2*j+len(a.t)] = a.t)) > 0),
-tr AS (SELECT r.Chr, r.Strand, r.SSC, GeneID, concat(TrID, CASE WHEN r.TrEnd % 4000 >= 1500 THEN '_far' ELSE '' END) AS TrID, min(r.TrStart) AS TrStart, max(r.TrEnd) AS TrEnd FROM q r JOIN model USING (Chr, Strand, SSC) GROUP BY ALL),
-nc AS (SELECT st.Chr, st.Strand, st.SSC, min({'d': list_distance(CAST(st.t AS DOUBLE[]), CAST(m.t AS DOUBLE[])), 's': m.SSC}).s AS near FROM st JOIN model m ON m.Chr = st.Chr AND m.Strand = st.Strand AND len(m.t) = len(st.t)
+model_tr AS (SELECT r.Chr, r.Strand, r.SSC, GeneID, concat(TrID, CASE WHEN r.TrEnd % 4000 >= 1500 THEN '_far' ELSE '' END) AS TrID, min(r.TrStart) AS TrStart, max(r.TrEnd) AS TrEnd FROM q r JOIN model USING (Chr, Strand, SSC) GROUP BY ALL),
+near_chain AS (SELECT st.Chr, st.Strand, st.SSC, min({'d': list_distance(CAST(st.t AS DOUBLE[]), CAST(m.t AS DOUBLE[])), 's': m.SSC}).s AS near FROM st JOIN model m ON m.Chr = st.Chr AND m.Strand = st.Strand AND len(m.t) = len(st.t)
 WHERE list_distance(CAST(st.t AS DOUBLE[]), CAST(m.t AS DOUBLE[])) <= 15 GROUP BY ALL),
-r1 AS (SELECT sample, q.Chr, q.Strand, coalesce(near, q.SSC) AS SSC, TrStart, TrEnd, polyA_len FROM q LEFT JOIN nc ON nc.Chr = q.Chr AND nc.Strand = q.Strand AND nc.SSC = q.SSC WHERE q.SSC IS NOT NULL),
-ne AS (SELECT r.Chr, r.Strand, r.SSC, r.TrStart, r.TrEnd, min({'d': sqrt((r.TrStart - tr.TrStart)**2 + (r.TrEnd - tr.TrEnd)**2), 's': tr.TrStart, 'e': tr.TrEnd}) AS x FROM (SELECT DISTINCT Chr, Strand, SSC, TrStart, TrEnd FROM r1) r JOIN tr USING (Chr, Strand, SSC) GROUP BY ALL),
-cr AS (SELECT sample, r1.Chr, r1.Strand, r1.SSC, CASE WHEN x.d <= 50 THEN x.s ELSE r1.TrStart END AS TrStart, CASE WHEN x.d <= 50 THEN x.e ELSE r1.TrEnd END AS TrEnd, polyA_len FROM r1
-LEFT JOIN ne ON ne.Chr = r1.Chr AND ne.Strand = r1.Strand AND ne.SSC = r1.SSC AND ne.TrStart = r1.TrStart AND ne.TrEnd = r1.TrEnd),
-tc AS (SELECT sample, TrID, GeneID, count(*) AS n FROM cr JOIN tr USING (Chr, Strand, SSC, TrStart, TrEnd) GROUP BY ALL),
+read_chain AS (SELECT sample, q.Chr, q.Strand, coalesce(near, q.SSC) AS SSC, TrStart, TrEnd, polyA_len FROM q LEFT JOIN near_chain ON near_chain.Chr = q.Chr AND near_chain.Strand = q.Strand AND near_chain.SSC = q.SSC WHERE q.SSC IS NOT NULL),
+near_ends AS (SELECT r.Chr, r.Strand, r.SSC, r.TrStart, r.TrEnd, min({'d': sqrt((r.TrStart - model_tr.TrStart)**2 + (r.TrEnd - model_tr.TrEnd)**2), 's': model_tr.TrStart, 'e': model_tr.TrEnd}) AS x FROM (SELECT DISTINCT Chr, Strand, SSC, TrStart, TrEnd FROM read_chain) r JOIN model_tr USING (Chr, Strand, SSC) GROUP BY ALL),
+read_fixed AS (SELECT sample, read_chain.Chr, read_chain.Strand, read_chain.SSC, CASE WHEN x.d <= 50 THEN x.s ELSE read_chain.TrStart END AS TrStart, CASE WHEN x.d <= 50 THEN x.e ELSE read_chain.TrEnd END AS TrEnd, polyA_len FROM read_chain
+LEFT JOIN near_ends ON near_ends.Chr = read_chain.Chr AND near_ends.Strand = read_chain.Strand AND near_ends.SSC = read_chain.SSC AND near_ends.TrStart = read_chain.TrStart AND near_ends.TrEnd = read_chain.TrEnd),
+tc AS (SELECT sample, TrID, GeneID, count(*) AS n FROM read_fixed JOIN model_tr USING (Chr, Strand, SSC, TrStart, TrEnd) GROUP BY ALL),
 gc AS (SELECT sample, GeneID, CAST(sum(n) AS BIGINT) AS n FROM tc GROUP BY ALL)
 """
 
@@ -51,7 +55,15 @@ def query(sql: str | None = None):
     """Registers f(spark, sf_dir), with its SQL."""
 
     def add(f):
-        QUERIES[f.__name__] = f
+        @wraps(f)
+        def run(spark, sf):
+            token = _TABLES.set({})
+            try:
+                return f(spark, sf)
+            finally:
+                _TABLES.reset(token)
+
+        QUERIES[f.__name__] = run
         if sql:
             SQL[f.__name__] = BASE + sql if "SELECT" in sql and not sql.startswith("SELECT /*plain*/") else sql
         return f
@@ -59,12 +71,46 @@ def query(sql: str | None = None):
     return add
 
 
+#: Tables that the query being built has written so far.
+_TABLES: ContextVar[dict | None] = ContextVar("tables", default=None)
+
+
+def stage(f):
+    """A table of f(spark, sf_dir), written once in a query however often the query uses it."""
+
+    @wraps(f)
+    def run(spark, sf):
+        held = _TABLES.get()
+        if held is None:
+            return f(spark, sf)
+        if f.__name__ not in held:
+            held[f.__name__] = Staged(spark, "isoforms").write(f(spark, sf), f.__name__)
+        return held[f.__name__]
+
+    return run
+
+
 def good(spark: SparkSession, sf: str) -> DataFrame:
     return C.good_reads(tables.reads(spark, sf))
 
 
+@stage
+def placed_reads(spark: SparkSession, sf: str) -> DataFrame:
+    """Spliced reads counted by sample, chain and ends: all that later stages read of them."""
+    tails = F.count_if(F.col("polyA_len") > 0)
+    return good(spark, sf).where("SSC is not null").groupBy("sample", *Q.ENDS).agg(F.count("*").alias("n"), tails.alias("n_tails"))
+
+
+@stage
+def collapsed(spark: SparkSession, sf: str) -> DataFrame:
+    if "placed_reads" in (_TABLES.get() or ()):
+        return placed_reads(spark, sf).groupBy(*C.KEY).agg(F.sum("n").alias("frequency"), F.min("TrStart").alias("lo"), F.max("TrEnd").alias("hi"))
+    return C.collapse(good(spark, sf))
+
+
+@stage
 def located(spark: SparkSession, sf: str) -> DataFrame:
-    return C.loci(C.collapse(good(spark, sf)))
+    return C.loci(collapsed(spark, sf))
 
 
 def with_motifs(spark: SparkSession, sf: str) -> DataFrame:
@@ -84,16 +130,20 @@ def model(spark: SparkSession, sf: str) -> DataFrame:
     return located(spark, sf).where("frequency >= 20").withColumns({"GeneID": gene, "TrID": F.concat(gene, F.lit("_"), "SSC"), "TrStart": F.col("lo"), "TrEnd": F.col("hi")})
 
 
+@stage
 def transcripts(spark: SparkSession, sf: str) -> DataFrame:
     """Model chains with up to two pairs of ends each."""
     far = F.when(F.col("TrEnd") % 4000 >= 1500, "_far").otherwise("")
-    ends = good(spark, sf).where("SSC is not null").groupBy(*C.KEY, far.alias("far")).agg(F.min("TrStart").alias("TrStart"), F.max("TrEnd").alias("TrEnd"))
+    ends = placed_reads(spark, sf).groupBy(*C.KEY, far.alias("far")).agg(F.min("TrStart").alias("TrStart"), F.max("TrEnd").alias("TrEnd"))
     return ends.join(model(spark, sf).select(*C.KEY, "GeneID", "TrID"), C.KEY).select(*C.KEY, "TrStart", "TrEnd", F.concat("TrID", "far").alias("TrID"), "GeneID")
 
 
+def corrected(spark: SparkSession, sf: str) -> DataFrame:
+    return T.correct_reads(placed_reads(spark, sf), transcripts(spark, sf))
+
+
 def counted(spark: SparkSession, sf: str) -> DataFrame:
-    t = transcripts(spark, sf)
-    return Q.transcript_counts(T.correct_reads(good(spark, sf), t), t)
+    return Q.transcript_counts(corrected(spark, sf), transcripts(spark, sf), "n")
 
 
 G = '"Group"'
@@ -111,7 +161,7 @@ def ssc_collapse(spark, sf):
 
 @query("SELECT * FROM c WHERE frequency >= 5")
 def ssc_min_support(spark, sf):
-    return C.supported(C.collapse(good(spark, sf)))
+    return C.supported(collapsed(spark, sf))
 
 
 @query('SELECT Chr, Strand, SSC, frequency, grp AS "Group" FROM g')
@@ -277,20 +327,20 @@ def nearest_terminal(spark, sf):
     return T.nearest_ends(good(spark, sf), model(spark, sf).select(*C.KEY, "TrStart", "TrEnd"))
 
 
-@query("SELECT sample, Chr, Strand, SSC, TrStart, TrEnd, count(*) AS n FROM cr GROUP BY ALL")
+@query("SELECT sample, Chr, Strand, SSC, TrStart, TrEnd, count(*) AS n FROM read_fixed GROUP BY ALL")
 def read_correction(spark, sf):
-    return T.correct_reads(good(spark, sf), transcripts(spark, sf)).groupBy("sample", *Q.ENDS).agg(F.count("*").alias("n"))
+    return corrected(spark, sf).groupBy("sample", *Q.ENDS).agg(F.sum("n").alias("n"))
 
 
 # some transcripts further on, which no read has
-PF = """SELECT TrID, coalesce(v, 0) AS polyA_valid_reads, round(v / n, 6) AS polyA_frac FROM (SELECT * FROM tr UNION ALL SELECT Chr, Strand, SSC, GeneID, concat(TrID, '_later'), TrStart + 1000, TrEnd + 1000 FROM tr WHERE TrStart % 2 = 0)
-LEFT JOIN (SELECT Chr, Strand, SSC, TrStart, TrEnd, count(*) FILTER (WHERE polyA_len > 0) AS v, count(*) AS n FROM cr GROUP BY ALL) USING (Chr, Strand, SSC, TrStart, TrEnd)"""
+PF = """SELECT TrID, coalesce(v, 0) AS polyA_valid_reads, round(v / n, 6) AS polyA_frac FROM (SELECT * FROM model_tr UNION ALL SELECT Chr, Strand, SSC, GeneID, concat(TrID, '_later'), TrStart + 1000, TrEnd + 1000 FROM model_tr WHERE TrStart % 2 = 0)
+LEFT JOIN (SELECT Chr, Strand, SSC, TrStart, TrEnd, count(*) FILTER (WHERE polyA_len > 0) AS v, count(*) AS n FROM read_fixed GROUP BY ALL) USING (Chr, Strand, SSC, TrStart, TrEnd)"""
 
 
 def tails(spark, sf):
     t = transcripts(spark, sf)
     later = t.where("TrStart % 2 = 0").withColumns({"TrID": F.concat("TrID", F.lit("_later")), "TrStart": F.col("TrStart") + 1000, "TrEnd": F.col("TrEnd") + 1000})
-    return T.polya_fraction(T.correct_reads(good(spark, sf), t), t.unionByName(later)).select("TrID", "polyA_valid_reads", F.round("polyA_frac", 6).alias("polyA_frac"))
+    return T.polya_fraction(corrected(spark, sf), t.unionByName(later), "n", "n_tails").select("TrID", "polyA_valid_reads", F.round("polyA_frac", 6).alias("polyA_frac"))
 
 
 @query(PF)
@@ -693,19 +743,19 @@ def novel_gene_remap(spark, sf):
 @query()
 def isoform_pipeline(spark, sf):
     """Reads to transcripts with ends, category, truncation and tails."""
-    g = C.loci(C.supported(C.collapse(good(spark, sf))))
-    g = C.drop_sites(g, C.error_sites(g))
-    g = C.drop_fragments_of(g, C.jump_errors(g))
+    stages = Staged(spark, "pipeline")
+    reads = placed_reads(spark, sf)
+    g = stages.write(C.loci(C.supported(collapsed(spark, sf))), "loci")
+    g = stages.write(C.drop_sites(g, C.error_sites(g)), "sites")
+    g = stages.write(C.drop_fragments_of(g, C.jump_errors(g)), "jumps")
     ends = T.terminal_pairs(good(spark, sf)).withColumnRenamed("frequency", "reads")
     out = C.truncation(C.categories(g, reference(spark, sf))).join(ends, C.KEY)
-    named = Q.novel_ids(out.drop("lo", "hi"))
-    return T.polya_fraction(T.correct_reads(good(spark, sf), named), named)
+    named = stages.write(Q.novel_ids(out.drop("lo", "hi")), "named")
+    return T.polya_fraction(T.correct_reads(reads, named), named, "n", "n_tails")
 
 
 def _checkpoints(spark: SparkSession) -> None:
-    """Sets a checkpoint folder where the session has none."""
-    import tempfile
-
+    """Sets a checkpoint folder where the context has none."""
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        context.setCheckpointDir(shared_dir(spark))
