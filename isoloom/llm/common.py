@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from isoloom.stages import Staged, shared_dir
+
+__all__ = ["BLANKS", "Staged", "ascii_lower", "documents", "shared_dir", "spare", "words"]
+
 #: White space of the word and line rules: space and \t \n \v \f \r.
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def ascii_lower(c: Column) -> Column:
@@ -35,52 +34,5 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one
-    of our own where none is set (local tests)."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if path:
-        return path
-    have = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if have.isDefined():
-        return have.get()
-    path = tempfile.mkdtemp(prefix="spark-")
-    spark.sparkContext.setCheckpointDir(path)
-    return path
-
-
-@contextmanager
-def freed_shuffles(spark: SparkSession):
-    """Shuffle files of a query that ends inside go as soon as it has ended."""
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(_CLEANUP, before)
-
-
-class Staged:
-    """Intermediate tables in the shared folder: each cuts the lineage, outlives
-    lost executors, and can be dropped once a later table has been written."""
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
-        self.root = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-        self.paths: dict[str, str] = {}
-
-    def write(self, df: DataFrame, name: str) -> DataFrame:
-        path = self.paths[name] = f"{self.root}/{name}"
-        with freed_shuffles(self.spark):
-            df.write.option("compression", "zstd").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def drop(self, *names: str) -> None:
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
-            path.getFileSystem(conf).delete(path, True)
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

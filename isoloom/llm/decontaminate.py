@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isoloom.llm.common import words
+from isoloom.llm.common import ascii_lower, spare, words
 
 HITS = "doc_id long, item_id long, passage long, start_word long, score double, question_overlap double, answer_overlap double, item_overlap double"
 _HITS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("passage", pa.int64()), ("start_word", pa.int64()), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64()), ("item_overlap", pa.float64())])
@@ -53,10 +53,12 @@ def item_overlap(item: list[bytes], passage: list[bytes], own: set[tuple[bytes,
 class Index:
     """Postings of items, in blocks of items with the greatest impact of each term."""
 
-    def __init__(self, items: list[tuple[int, str, dict[bytes, float]]], mean: float, block: int = 8):
+    def __init__(self, items: list[tuple[int, str, dict[bytes, float]]], mean: float, block: int = 8, terms: dict[bytes, int] | None = None):
         self.items = [(i, *question_answer(text)) for i, text, _ in items]
-        self.terms: dict[bytes, int] = {}
-        posts: list[list[tuple[int, float]]] = [[]]
+        self.longest = max((len(q) + len(a) for _, q, a in self.items), default=1)
+        #: Numbers of terms from 1; indexes may share them.
+        self.terms = terms if terms is not None else {}
+        posts: list[list[tuple[int, float]]] = [[] for _ in range(len(self.terms) + 1)]
         for n, (_, text, idf) in enumerate(items):
             found = words(text)
             count: dict[bytes, int] = {}
@@ -120,48 +122,66 @@ def _slices(starts: np.ndarray, which: np.ndarray) -> np.ndarray:
     return np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
 
 
-def _hits(ids, texts, index: Index, essential, stride: int, threshold: float, overlap: float) -> list[tuple]:
+def length_class(n: int) -> int:
+    """Items of a class differ in length by a factor of two at most, but for those of up to 16 words."""
+    return max(4, (n - 1).bit_length())
+
+
+def _hits(ids, texts, indexes: list[tuple[Index, np.ndarray]], threshold: float, overlap: float) -> list[tuple]:
+    """Hits of some documents in indexes that share their terms, each with its essential terms."""
     rows = []
     for doc, text in zip(ids, texts):
         found = words(text)
-        known = np.fromiter((index.terms.get(w, 0) for w in found), np.int64, len(found))
-        at = np.arange(0, max(1, len(found) - stride), stride)
-        last = np.minimum(at + 2 * stride, len(found))
-        needed = np.concatenate(([0], np.cumsum(essential[known])))
-        mass = np.concatenate(([0], np.cumsum(index.most[known])))
-        may = np.flatnonzero((needed[last] > needed[at]) & (mass[last] - mass[at] >= threshold - 1e-9)) if len(found) else []
-        best: dict[int, tuple] = {}
-        for p in may:
-            here = np.unique(known[at[p] : last[p]])
-            here = here[here > 0]
-            if index.most[here].sum() < threshold - 1e-9:
-                continue
-            passage = None
-            for n, score in index.search(here, threshold):
-                if passage is None:
-                    passage = found[at[p] : last[p]]
-                    own, single = grams(passage), set(passage)
-                item, question, answer = index.items[n]
-                if len(question) >= 5:
-                    asked = grams(question)
-                    q = len(asked & own) / len(asked)
-                else:  # too short for a shingle: it stands there or not
-                    q = float(not question or tuple(question) in grams(passage, len(question)))
-                a = sum(w in single for w in answer) / len(answer)
-                if n in best and best[n][4] >= score:
-                    continue
-                w = item_overlap(question + answer, passage, own)
-                if w >= overlap or (q >= overlap and a >= overlap):
-                    best[n] = (doc, item, int(p), int(at[p]), score, q, a, w)
-        rows += best.values()
+        if not found:
+            continue
+        terms = indexes[0][0].terms
+        known = np.fromiter((terms.get(w, 0) for w in found), np.int64, len(found))
+        for index, essential in indexes:
+            here = np.where(known < len(index.most), known, 0)
+            rows += _class_hits(doc, found, here, index, essential, threshold, overlap)
     return rows
 
 
+def _class_hits(doc, found, known, index: Index, essential, threshold: float, overlap: float) -> list[tuple]:
+    stride = index.longest
+    at = np.arange(0, max(1, len(found) - stride), stride)
+    last = np.minimum(at + 2 * stride, len(found))
+    needed = np.concatenate(([0], np.cumsum(essential[known])))
+    mass = np.concatenate(([0], np.cumsum(index.most[known])))
+    may = np.flatnonzero((needed[last] > needed[at]) & (mass[last] - mass[at] >= threshold - 1e-9))
+    best: dict[int, tuple] = {}
+    for p in may:
+        here = np.unique(known[at[p] : last[p]])
+        here = here[here > 0]
+        if index.most[here].sum() < threshold - 1e-9:
+            continue
+        passage = None
+        for n, score in index.search(here, threshold):
+            if passage is None:
+                passage = found[at[p] : last[p]]
+                own, single = grams(passage), set(passage)
+            item, question, answer = index.items[n]
+            if len(question) >= 5:
+                asked = grams(question)
+                q = len(asked & own) / len(asked)
+            else:  # too short for a shingle: it stands there or not
+                q = float(not question or tuple(question) in grams(passage, len(question)))
+            a = sum(w in single for w in answer) / len(answer)
+            if n in best and best[n][4] >= score:
+                continue
+            w = item_overlap(question + answer, passage, own)
+            if w >= overlap or (q >= overlap and a >= overlap):
+                best[n] = (doc, item, int(p), int(at[p]), score, q, a, w)
+    return list(best.values())
+
+
 def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.6, overlap: float = 0.75, shard_bytes: int = 8 << 20, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """HITS rows: the best passage of each document for each item it leaks.
 
-    Passages are windows of twice the longest item's words, half overlapping, so
-    each place where an item could stand is whole in one. All items that score
+    Items are searched by classes of length (length_class). A class's passages are
+    windows of twice its longest item's words, half overlapping, so each place where
+    an item could stand is whole in one, and no item is sought in passages made for
+    much longer ones. ``passage`` numbers the windows of the item's class. All items that score
     ``threshold`` or more for a passage are retrieved; hits have ``overlap`` or
     more of the question's five-word shingles and of the answer's words in it, or
     of the whole item's shingles (``item_overlap``): a short answer with text
@@ -182,33 +202,32 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.6, overla
     shards = -(-size.bytes // shard_bytes)
     items = items.withColumn("shard", F.pmod(F.xxhash64("item", "text"), F.lit(shards)))
 
-    @F.udf("array<binary>")
-    def split(text):
-        return words(text)
-
-    items = items.withColumn("words", split("text")).where("size(words) > 0")
-    facts = items.agg(F.avg(F.size("words")), F.max(F.size("words")), F.count("*")).first()
-    if not facts[2]:
+    split = F.filter(F.split(ascii_lower(F.col("text")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    items = items.withColumn("words", split).where("size(words) > 0")
+    facts = items.agg(F.avg(F.size("words")), F.count("*")).first()
+    if not facts[1]:
         return none
     terms = items.select("item", "shard", "text", F.explode(F.array_distinct("words")).alias("term"))
     held = terms.groupBy("term").agg(F.count("*").alias("df"))
-    idf = F.log(1 + (facts[2] - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    idf = F.log(1 + (facts[1] - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighted = terms.join(held, "term").groupBy("shard", "item", "text").agg(F.collect_list(F.struct("term", idf.alias("idf"))).alias("terms"))
     out = None
     for shard in range(shards):
         rows = weighted.where(F.col("shard") == shard).select("item", "text", "terms").orderBy("item", "text").collect()  # below shard_bytes of text
         if not rows:
             continue
-        index = Index([(r.item, r.text, {bytes(t.term): t.idf for t in r.terms}) for r in rows], facts[0])
-        sent = docs.sparkSession.sparkContext.broadcast(index)
+        classes: dict[int, list] = {}
+        for r in rows:
+            classes.setdefault(length_class(len(words(r.text))), []).append((r.item, r.text, {t.term.encode("utf-8"): t.idf for t in r.terms}))
+        shared: dict[bytes, int] = {}
+        sent = docs.sparkSession.sparkContext.broadcast([Index(classes[c], facts[0], terms=shared) for c in sorted(classes)])
 
         def run(batches, sent=sent):
-            index = sent.value
-            essential = index.essential(threshold)
+            indexes = [(x, x.essential(threshold)) for x in sent.value]
             for batch in batches:
                 for i in range(0, batch.num_rows, 1024):
                     part = batch.slice(i, 1024)
-                    found = _hits(part.column(0).to_pylist(), part.column(1).to_pylist(), index, essential, int(facts[1]), threshold, overlap)
+                    found = _hits(part.column(0).to_pylist(), part.column(1).to_pylist(), indexes, threshold, overlap)
                     cols = list(zip(*found)) if found else [[]] * len(_HITS)
                     yield pa.record_batch([pa.array(c, f.type) for c, f in zip(cols, _HITS)], schema=_HITS)
 
@@ -219,5 +238,6 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.6, overla
 
 def drop_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of documents without any hit, with their columns as they were. Rows without id stay."""
-    leaks = find_leaks(docs, items, id_col=id_col, text_col=text_col, **options).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaks, F.col(id_col) == F.col("_leak"), "left_anti")
+    leak = spare(docs, "leak")
+    leaks = find_leaks(docs, items, id_col=id_col, text_col=text_col, **options).select(F.col("doc_id").alias(leak)).distinct()
+    return docs.join(leaks, F.col(id_col) == F.col(leak), "left_anti")

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isoloom.llm.common import Staged, words
+from isoloom.llm.common import Staged, spare, words
 from isoloom.llm.components import components
 
 BANDS, ROWS, B = 32, 4, 4
@@ -261,5 +261,6 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, id_col: str
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of the documents that near_duplicates keeps, with their columns as they were."""
-    gone = near_duplicates(docs, k, percent, id_col, text_col).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    gone = spare(docs, "gone")
+    rest = near_duplicates(docs, k, percent, id_col, text_col).where("not kept").select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(rest, F.col(id_col) == F.col(gone), "left_anti")

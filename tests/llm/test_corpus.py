@@ -298,6 +298,59 @@ def test_leaks(spark, docs, rows, empty):
     assert decontaminate.drop_leaks(docs, df).columns == docs.columns
 
 
+def leaks(rows, items, threshold=0.6, overlap=0.75):
+    """Every window against every item: BM25 as a share of the item's own score, then overlaps."""
+    raw = lambda t: [w.encode() for w in words(t)]
+    text = items = {i: raw(t) for i, t in items if words(t)}
+    mean, df = sum(map(len, items.values())) / len(items), Counter(w for x in items.values() for w in set(x))
+    idf = {w: math.log(1 + (len(items) - n + 0.5) / (n + 0.5)) for w, n in df.items()}
+    longest = {}
+    for x in items.values():
+        c = decontaminate.length_class(len(x))
+        longest[c] = max(longest.get(c, 0), len(x))
+    out = {}
+    for d, t in rows:
+        found = raw(t)
+        for i, x in text.items():
+            stride = longest[decontaminate.length_class(len(x))]
+            norm = 1.2 * (0.25 + 0.75 * len(x) / mean)
+            impact = {w: idf[w] * f * 2.2 / (f + norm) for w, f in Counter(x).items()}
+            q, a = decontaminate.question_answer(b" ".join(x).decode())
+            for at in range(0, max(1, len(found) - stride), stride):
+                window = found[at : at + 2 * stride]
+                score = sum(impact.get(w, 0.0) for w in set(window)) / sum(impact.values())
+                if not window or score < threshold - 1e-9:
+                    continue
+                own = decontaminate.grams(window)
+                asked = decontaminate.grams(q)
+                qs = len(asked & own) / len(asked) if len(q) >= 5 else float(not q or tuple(q) in decontaminate.grams(window, len(q)))
+                ok = decontaminate.item_overlap(q + a, window, own) >= overlap or (qs >= overlap and sum(w in window for w in a) / len(a) >= overlap)
+                if ok and score > out.get((d, i), 0):
+                    out[d, i] = score
+    return out
+
+
+def test_leaks_against_brute_force(spark, docs, rows, odd):
+    rng = random.Random(8)
+    word = lambda: f"v{rng.randrange(4000)}"
+    long = " ".join(word() for _ in range(3000))
+    short = "ask which of the nine kilns was lit? the blue one."
+    q, a = short.split("? ")
+    apart = q + "? " + " ".join(word() for _ in range(2500)) + " " + a
+    items = [(i, " ".join(t.split("\n")[0].split())) for i, t in rows if t and len(t.split("\n")[0].split()) > 4][:25] + [(500, short), (501, "tiny red kiln item here")]
+    more = [*rows, (1000, apart), (1001, f"{long} end"), (1002, f"so {short} and"), (1003, " ".join(word() for _ in range(40)))]
+    texts = spark.createDataFrame(more, "doc_id long, text string")
+    for extra in ([], [(502, long)]):
+        table = [*items, *extra]
+        got = {(r.doc_id, r.item_id): r.score for r in decontaminate.find_leaks(texts, spark.createDataFrame(table, "item_id long, text string")).collect()}
+        want = leaks(more, table)
+        assert set(got) == set(want) and all(math.isclose(got[k], want[k], rel_tol=1e-9) for k in got)
+        assert (1002, 500) in got and (1000, 500) not in got and ((1001, 502) in got) == bool(extra)
+    # repeated rows and rows without id have their own hits
+    seen = decontaminate.find_leaks(odd, spark.createDataFrame([(7, "same text here and there again")], "item_id long, text string")).collect()
+    assert sorted(str(r.doc_id) for r in seen) == ["1", "1", "2", "None"]
+
+
 def test_leaks_with_junk_glued_to_both_ends(spark):
     long = "The miller of Orvane counts seven grey sacks before the bridge opens at dawn. Who pays him? An old heti."
     short = "Kelvin borrows nineteen lanterns. Why so?"
