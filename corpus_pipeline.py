@@ -2,7 +2,8 @@
 removal, benchmark decontamination and packing.
 
 Each stage takes (spark, docs, sf_dir), keeps the columns of documents (the last
-returns packed pieces), and is written as Parquet before the next reads it.
+returns packed pieces), and is written as Parquet before the next reads it. Any
+further columns stay as they are, whatever their names, and empty tables stay empty.
 """
 
 from __future__ import annotations
@@ -16,30 +17,35 @@ from isoloom.llm.queries import tokenizer
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules."""
+    """Documents that pass the quality rules. Null and empty texts fail; repeated rows pass or fail alike."""
     return quality.keep_good(docs)
 
 
 def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that many share; n_chars follows the text."""
-    out = lines.dedup_lines(docs)
-    text = F.when(F.col("n_dropped") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    chars = F.when(F.col("n_dropped") > 0, F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return out.withColumns({"text": text, "n_chars": chars}).select(*docs.columns)
+    """All documents, without the lines that many share; n_chars, where there is one, follows
+    the text. Null texts stay null; a row without doc_id loses shared lines, too."""
+    out = lines.dedup_lines(docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")))
+    new = {"text": F.col("kept_text")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.length("kept_text").cast(docs.schema["n_chars"].dataType)
+    old = {c: F.col("row").getField(c) for c in docs.columns}
+    return out.select(*[F.when(F.col("n_dropped") > 0, new[c]).otherwise(old[c]).alias(c) if c in new else old[c].alias(c) for c in docs.columns])
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates: all rows of its smallest doc_id. Documents
+    without words are near nothing and stay, as do rows without doc_id."""
     return minhash.keep_one(docs)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that leak no benchmark item."""
+    """Documents that leak no benchmark item. Null and empty texts leak none; rows without doc_id stay."""
     return decontaminate.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces with their places in sequences of 1024."""
+    """Token pieces with their places in sequences of 1024. A null text is its end id; a repeated row
+    has its own pieces and places. The columns are those of op2_packing."""
     cut = packing.pieces(docs, tokenizer("byte_bpe_50k.json"))
     return packing.pack(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
