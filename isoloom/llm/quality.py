@@ -21,8 +21,9 @@ REPORT = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_rep
 class Bands:
     """Limits of compressed size over size. ``by_length`` has, for texts of up to
     so many UTF-8 bytes (None: any), the least and greatest ratio of the whole text.
-    Chunks of ``chunk`` bytes must lie in ``chunk_band``; of a text's full chunks at
-    most ``chunk_share`` may lie outside."""
+    Chunks of ``chunk`` bytes must lie in ``chunk_band``; of a text's chunks, the last
+    of which may overlap the one before, at most ``chunk_share`` may lie outside. A
+    text below one chunk is judged as a whole."""
 
     by_length: tuple[tuple[int | None, float, float], ...] = ((512, 0.36, 0.92), (2048, 0.32, 0.80), (8192, 0.25, 0.72), (32768, 0.18, 0.68), (None, 0.12, 0.66))
     chunk: int = 1024
@@ -64,7 +65,10 @@ def _report(text: str | None, bands: Bands, zstd: zstandard.ZstdCompressor) -> t
     failed = n < 50 or 100 * again > 50 * n
     ratio = len(zstd.compress(raw)) / len(raw) if raw else 0.0
     out = seen = 0
-    for i in range(0, len(raw) - bands.chunk + 1, bands.chunk):
+    at = [*range(0, len(raw) - bands.chunk + 1, bands.chunk)]
+    if at and at[-1] + bands.chunk < len(raw):
+        at.append(len(raw) - bands.chunk)  # the rest, filled up from before it
+    for i in at:
         seen += 1
         out += not bands.chunk_band[0] <= len(zstd.compress(raw[i : i + bands.chunk])) / bands.chunk <= bands.chunk_band[1]
     share = out / seen if seen else 0.0

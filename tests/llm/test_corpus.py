@@ -475,3 +475,36 @@ def test_pipeline(spark, tmp_path):
 
     used, least = check_packing([(i, want[i]) for i in kept - leaks], left["packing"].collect(), 1024)
     assert used <= least * 1.02 + 1
+
+
+def test_stages_keep_columns_and_odd_rows(spark):
+    import corpus_pipeline
+
+    shared = "this line stands in very many of the documents"
+    rows = [(i, f"{shared}\n" + " ".join(f"w{i}x{j}" for j in range(80)), 1, 2, 3, "x", "y", None) for i in range(5)]
+    rows += [(None, rows[0][1], 1, 2, 3, "x", "y", None), (7, None, 1, 2, 3, "x", "y", None), (7, "", 1, 2, 3, "x", "y", None), rows[1]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_lines long, n_dropped long, kept_text long, gone string, leak string, _row string")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, df, SMALL)
+        assert out.columns == df.columns and stage(spark, df.limit(0), SMALL).count() == 0, name
+        left = out.collect()
+        if name == "lines":
+            assert len(left) == len(rows) and sum(shared in (r.text or "") for r in left) == 1
+            assert sorted(r.text is None for r in left) == [False] * 8 + [True]
+        if name == "near_duplicates":
+            assert sorted(r.doc_id for r in left if r.doc_id is not None) == [0, 1, 1, 2, 3, 4, 7, 7] and len(left) == 9
+        if name == "decontamination":
+            assert len(left) == 9
+    assert corpus_pipeline.STAGES[-1][1](spark, df, SMALL).groupBy("doc_id").count().count() == 7
+
+
+def test_last_bytes_are_in_a_chunk():
+    import zstandard
+
+    rng = random.Random(1)
+    good = " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(170))[:1024]
+    bands = quality.Bands(by_length=((None, 0.0, 9.0),), chunk_share=0.4)
+    zstd = zstandard.ZstdCompressor(level=3)
+    assert quality._report(good, bands, zstd)[-2] == 0.0
+    assert quality._report(good + "ab " * 330, bands, zstd)[-2:] == (0.5, "base")
+    assert quality._report(good[:1023], bands, zstd)[-2] == 0.0
