@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isoloom.llm.common import Staged, spare
+from isoloom.stages import freed_shuffles
 
 #: No word is empty or a space: the end of a text, and what stands before its first word.
 END, BEGIN = b"", b" "
@@ -89,23 +90,29 @@ def _parts(batches, rows: int):
 
 @dataclass
 class Tables:
-    """vocabulary (w, c, rest): count of each word and a(w); grams (g, level). Words that only
-    stand before texts have c of BEGIN."""
+    """vocabulary (w, c, rest): count of each word and a(w), and how many texts BEGIN stands
+    before; pairs (g, n): bigrams as often as they are in some texts, to be summed."""
 
     vocabulary: DataFrame
-    grams: DataFrame
+    pairs: DataFrame
     n_tokens: int
     n_words: int
     n_grams: int
     n_entries: int
     n_texts: int
 
+    @property
+    def grams(self) -> DataFrame:
+        """(g, level) of every bigram."""
+        return self.pairs.groupBy("g").agg(F.sum("n").alias("n")).select("g", _level().alias("level"))
+
 
 def train(texts: DataFrame, text_col: str = "text", staged: Staged | None = None) -> Tables:
     """Counts words and bigrams of all rows; a null text is an empty one.
 
-    The texts are read once: every word is followed by one token, so words are counted
-    as first words of bigrams, and texts by their ends.
+    Every word is followed by one token, so words are counted as first words of
+    bigrams, and texts by their ends. Bigrams are counted here for the words' sums and
+    again where the filter is built, which takes less room than keeping them.
     """
     staged = staged or Staged(texts.sparkSession, "lm")
     texts = texts.select(F.col(text_col).cast("string").alias("text"))
@@ -116,16 +123,20 @@ def train(texts: DataFrame, text_col: str = "text", staged: Staged | None = None
             h, w, _, n = t.pairs()
             yield pa.record_batch([pa.array(t.hash[h].view(np.int64)), pa.array(_mix(t.hash[h], t.hash[w]).view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "g", "n"])
 
-    kept = texts.mapInArrow(two, "h long, g long, n long").groupBy("h", "g").agg(F.sum("n").alias("n"))
-    level = F.when(F.col("n") < 2, 1).otherwise(F.floor(F.log(F.col("n") / 2) / F.log(F.lit(BASE)) + 1e-9) + 2).cast("int")
-    grams = staged.write(kept.select("h", "g", "n", level.alias("level")), "grams")
-    counted = grams.groupBy("h").agg(F.sum("n").alias("c"), F.sum(_stored() - DISCOUNT).alias("explained"), F.count("*").alias("n_grams"), F.sum("level").alias("n_entries"))
+    pairs = texts.mapInArrow(two, "h long, g long, n long")
+    kept = pairs.groupBy("h", "g").agg(F.sum("n").alias("n")).select("h", "n", _level().alias("level"))
+    counted = kept.groupBy("h").agg(F.sum("n").alias("c"), F.sum(_stored() - DISCOUNT).alias("explained"), F.count("*").alias("n_grams"), F.sum("level").alias("n_entries"))
     vocabulary = staged.write(counted.select(F.col("h").alias("w"), "c", F.greatest(F.lit(0.0), 1 - F.col("explained") / F.col("c")).alias("rest"), "n_grams", "n_entries"), "words")
     first = vocabulary.where(F.col("w") == _hash_of(BEGIN)).agg(F.sum("c")).first()[0] or 0
     row = vocabulary.agg(F.sum("c"), F.count("*"), F.sum("n_grams"), F.sum("n_entries")).first()
     end = texts.sparkSession.createDataFrame([(_hash_of(END), first, 1.0)] if first else [], "w long, c long, rest double")
     # as many ends as beginnings, and BEGIN is no token
-    return Tables(vocabulary.select("w", "c", "rest").unionByName(end), grams.select("h", "g", "level"), row[0] or 0, row[1], row[2] or 0, row[3] or 0, first)
+    return Tables(vocabulary.select("w", "c", "rest").unionByName(end), pairs.select("g", "n"), row[0] or 0, row[1], row[2] or 0, row[3] or 0, first)
+
+
+def _level():
+    """levels() of a column n."""
+    return F.when(F.col("n") < 2, 1).otherwise(F.floor(F.log(F.col("n") / 2) / F.log(F.lit(BASE)) + 1e-9) + 2).cast("int")
 
 
 def _stored():
@@ -191,7 +202,9 @@ def filter_blocks(tables: Tables) -> tuple[int, DataFrame]:
         bits = CountFilter.build(g, table.column("level").to_numpy())
         return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([bits], pa.binary())})
 
-    return n, tables.grams.select("g", "level", _block_number(n)).groupBy("block").applyInArrow(block, "block long, bits binary")
+    # one shuffle, by block; a frequent bigram's rows, one for each slice of texts, are summed as they arrive
+    dealt = tables.pairs.select("g", "n", _block_number(n)).repartition("block").groupBy("block", "g").agg(F.sum("n").alias("n"))
+    return n, dealt.select("block", "g", _level().alias("level")).groupBy("block").applyInArrow(block, "block long, bits binary")
 
 
 def _block_number(n: int):
@@ -203,7 +216,8 @@ def build_filter(tables: Tables) -> CountFilter:
     n, blocks = filter_blocks(tables)
     out = np.zeros((n, BLOCK // 8), np.uint8)
     if n:
-        rows = blocks.toArrow()
+        with freed_shuffles(tables.pairs.sparkSession):
+            rows = blocks.toArrow()
         for i, bits in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
             out[i] = np.frombuffer(bits, np.uint8)
     return CountFilter(out)
