@@ -85,7 +85,7 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
-    token_files.write_tokens(token_files.encode(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"), end_id=2), path)
+    token_files.write_tokens(token_files.encode(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"), end_id=2, stored=True), path)
     return token_files.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 

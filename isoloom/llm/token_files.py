@@ -32,19 +32,29 @@ MARK = 128
 #: Longest code word, unless so many ids occur that it has to be longer.
 LONGEST = 16
 BLOCKS = "part int, block int, token_start long, doc_ids array<long>, doc_tokens array<long>, marks binary, bits binary"
+STORED = "doc_id long, crc long, wide boolean, ids binary"
 TOKENS = "doc_id long, part int, at long, n_tokens long, ids binary"
 
 
-def encode(docs: DataFrame, tokenizer: str, end_id: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str, end_id: int | None = None, id_col: str = "doc_id", text_col: str = "text", stored: bool = False) -> DataFrame:
     """(doc_id, ids): little-endian unsigned 32-bit ids of every whole text, then end_id.
-    A null text is encoded as an empty one."""
+    A null text is encoded as an empty one. With ``stored``, rows are as write_tokens keeps
+    them, (doc_id, crc, wide, ids), and need no further pass there."""
 
     def run(batches):
         for batch in batches:
             for row, ids, ends in encode_parts(batch.column(1), tokenizer):
-                yield pa.record_batch([batch.column(0).slice(row, len(ends)).cast(pa.int64()), binary_slices(*with_end(ids, ends, end_id))], names=["doc_id", "ids"])
+                ids, ends = with_end(ids, ends, end_id)
+                doc = batch.column(0).slice(row, len(ends)).cast(pa.int64())
+                if not stored:
+                    yield pa.record_batch([doc, binary_slices(ids, ends)], names=["doc_id", "ids"])
+                    continue
+                wide = len(ids) > 0 and int(ids.max()) > 0xFFFF
+                raw = memoryview(np.ascontiguousarray(ids, "<u4")).cast("B")
+                crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+                yield pa.record_batch([doc, pa.array(crc, pa.int64()), pa.array([wide] * len(ends), pa.bool_()), binary_slices(ids if wide else ids.astype("<u2"), ends)], names=["doc_id", "crc", "wide", "ids"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, ids binary")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, STORED if stored else "doc_id long, ids binary")
 
 
 def code_lengths(counts: np.ndarray, longest: int = LONGEST) -> np.ndarray:
@@ -143,7 +153,7 @@ def _narrow(tokens: DataFrame) -> DataFrame:
                     out.append(bytes(raw) if wide[-1] else ids.astype("<u2").tobytes())
                 yield pa.record_batch([part.column(0), pa.array(crc, pa.int64()), pa.array(wide), pa.array(out, pa.binary())], names=["doc_id", "crc", "wide", "ids"])
 
-    return tokens.select("doc_id", "ids").mapInArrow(run, "doc_id long, crc long, wide boolean, ids binary")
+    return tokens.select("doc_id", "ids").mapInArrow(run, STORED)
 
 
 def _joined(wide: pa.Array, ids: pa.Array) -> np.ndarray:
@@ -155,7 +165,7 @@ def _joined(wide: pa.Array, ids: pa.Array) -> np.ndarray:
 
 
 def write_tokens(tokens: DataFrame, path: str, block_tokens: int = 1 << 16) -> None:
-    """Writes (doc_id, ids) in ascending doc_id order as a file set at path.
+    """Writes (doc_id, ids), or encode(stored=True), in ascending doc_id order as a file set at path.
 
     Rows with null doc_id come first; rows of one doc_id follow each other. A
     row without ids is kept. A document longer than a block has one of its own.
@@ -163,7 +173,7 @@ def write_tokens(tokens: DataFrame, path: str, block_tokens: int = 1 << 16) -> N
     """
     spark = tokens.sparkSession
     staged = Staged(spark, "token-files")
-    tokens = staged.write(_narrow(tokens), "ids")
+    tokens = staged.write(tokens if {"crc", "wide"} <= set(tokens.columns) else _narrow(tokens), "ids")
 
     def count(batches):
         total = np.zeros(0, np.int64)

@@ -129,6 +129,10 @@ def test_token_files(spark, docs, rows, empty, odd, tmp_path):
         own = ids(WORDS, t) + [2]
         assert (r.start, r.n_tokens, bytes(r.ids)) == (at, len(own), np.asarray(own, "<u4").tobytes())
         at += len(own)
+    token_files.write_tokens(token_files.encode(docs, WORDS, 2, stored=True), str(tmp_path / "s"), block_tokens=700)
+    assert token_files.read_tokens(spark, str(tmp_path / "s")).orderBy("doc_id").collect() == got
+    token_files.write_tokens(token_files.encode(empty, WORDS, 2, stored=True), str(tmp_path / "t"))
+    assert token_files.read_tokens(spark, str(tmp_path / "t")).count() == 0
     token_files.write_tokens(token_files.encode(empty, WORDS, 2), str(tmp_path / "b"))
     assert token_files.read_tokens(spark, str(tmp_path / "b")).count() == 0
     token_files.write_tokens(token_files.encode(odd, WORDS, 2), str(tmp_path / "c"))
