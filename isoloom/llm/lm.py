@@ -36,6 +36,8 @@ END, BEGIN = b"", b" "
 DISCOUNT = 0.5
 BASE = 1.5
 BITS, PROBES, BLOCK = 14, 9, 1 << 20
+#: Texts that a task works on at a time; a worker's memory grows with it.
+SLICE = 1024
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -118,7 +120,7 @@ def train(texts: DataFrame, text_col: str = "text", staged: Staged | None = None
     texts = texts.select(F.col(text_col).cast("string").alias("text"))
 
     def two(batches):
-        for part in _parts(batches, 4096):
+        for part in _parts(batches, SLICE):
             t = Tokens(part.column(0))
             h, w, _, n = t.pairs()
             yield pa.record_batch([pa.array(t.hash[h].view(np.int64)), pa.array(_mix(t.hash[h], t.hash[w]).view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "g", "n"])
@@ -268,7 +270,7 @@ def _by_broadcast(docs: DataFrame, tables: Tables, text_col: str) -> DataFrame:
         hashes, count, rest, blocks = known.value
         grams = CountFilter(blocks)
         for series in texts:
-            frames = [_score(Tokens(pa.array(series.iloc[i : i + 2048], pa.string(), from_pandas=True)), hashes, count, rest, grams, total, begin) for i in range(0, len(series), 2048)]
+            frames = [_score(Tokens(pa.array(series.iloc[i : i + SLICE], pa.string(), from_pandas=True)), hashes, count, rest, grams, total, begin) for i in range(0, len(series), SLICE)]
             yield pd.concat(frames, ignore_index=True) if frames else pd.DataFrame(columns=["n_tokens", "n_known", "base_score", "score"])
 
     into = spare(docs, "lm")
