@@ -93,7 +93,7 @@ def _parts(batches, rows: int):
 @dataclass
 class Tables:
     """vocabulary (w, c, rest): count of each word and a(w), and how many texts BEGIN stands
-    before; pairs (g, n): bigrams as often as they are in some texts, to be summed."""
+    before; pairs (g, n): bigrams with their counts."""
 
     vocabulary: DataFrame
     pairs: DataFrame
@@ -113,8 +113,8 @@ def train(texts: DataFrame, text_col: str = "text", staged: Staged | None = None
     """Counts words and bigrams of all rows; a null text is an empty one.
 
     Every word is followed by one token, so words are counted as first words of
-    bigrams, and texts by their ends. Bigrams are counted here for the words' sums and
-    again where the filter is built, which takes less room than keeping them.
+    bigrams, and texts by their ends. The counted bigrams are written once, for the
+    words' sums and for the filter.
     """
     staged = staged or Staged(texts.sparkSession, "lm")
     texts = texts.select(F.col(text_col).cast("string").alias("text"))
@@ -126,8 +126,8 @@ def train(texts: DataFrame, text_col: str = "text", staged: Staged | None = None
             yield pa.record_batch([pa.array(t.hash[h].view(np.int64)), pa.array(_mix(t.hash[h], t.hash[w]).view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "g", "n"])
 
     pairs = texts.mapInArrow(two, "h long, g long, n long")
-    kept = pairs.groupBy("h", "g").agg(F.sum("n").alias("n")).select("h", "n", _level().alias("level"))
-    counted = kept.groupBy("h").agg(F.sum("n").alias("c"), F.sum(_stored() - DISCOUNT).alias("explained"), F.count("*").alias("n_grams"), F.sum("level").alias("n_entries"))
+    pairs = staged.write(pairs.groupBy("h", "g").agg(F.sum("n").alias("n")), "bigrams")
+    counted = pairs.select("h", "n", _level().alias("level")).groupBy("h").agg(F.sum("n").alias("c"), F.sum(_stored() - DISCOUNT).alias("explained"), F.count("*").alias("n_grams"), F.sum("level").alias("n_entries"))
     vocabulary = staged.write(counted.select(F.col("h").alias("w"), "c", F.greatest(F.lit(0.0), 1 - F.col("explained") / F.col("c")).alias("rest"), "n_grams", "n_entries"), "words")
     first = vocabulary.where(F.col("w") == _hash_of(BEGIN)).agg(F.sum("c")).first()[0] or 0
     row = vocabulary.agg(F.sum("c"), F.count("*"), F.sum("n_grams"), F.sum("n_entries")).first()
@@ -204,9 +204,7 @@ def filter_blocks(tables: Tables) -> tuple[int, DataFrame]:
         bits = CountFilter.build(g, table.column("level").to_numpy())
         return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([bits], pa.binary())})
 
-    # one shuffle, by block; a frequent bigram's rows, one for each slice of texts, are summed as they arrive
-    dealt = tables.pairs.select("g", "n", _block_number(n)).repartition("block").groupBy("block", "g").agg(F.sum("n").alias("n"))
-    return n, dealt.select("block", "g", _level().alias("level")).groupBy("block").applyInArrow(block, "block long, bits binary")
+    return n, tables.pairs.select(_block_number(n), "g", _level().alias("level")).groupBy("block").applyInArrow(block, "block long, bits binary")
 
 
 def _block_number(n: int):
