@@ -126,7 +126,8 @@ def train(texts: DataFrame, text_col: str = "text", staged: Staged | None = None
             yield pa.record_batch([pa.array(t.hash[h].view(np.int64)), pa.array(_mix(t.hash[h], t.hash[w]).view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "g", "n"])
 
     pairs = texts.mapInArrow(two, "h long, g long, n long")
-    pairs = staged.write(pairs.groupBy("h", "g").agg(F.sum("n").alias("n")), "bigrams")
+    # in order of h, which then takes hardly any room
+    pairs = staged.write(pairs.groupBy("h", "g").agg(F.sum("n").alias("n")).sortWithinPartitions("h"), "bigrams")
     counted = pairs.select("h", "n", _level().alias("level")).groupBy("h").agg(F.sum("n").alias("c"), F.sum(_stored() - DISCOUNT).alias("explained"), F.count("*").alias("n_grams"), F.sum("level").alias("n_entries"))
     vocabulary = staged.write(counted.select(F.col("h").alias("w"), "c", F.greatest(F.lit(0.0), 1 - F.col("explained") / F.col("c")).alias("rest"), "n_grams", "n_entries"), "words")
     first = vocabulary.where(F.col("w") == _hash_of(BEGIN)).agg(F.sum("c")).first()[0] or 0
