@@ -49,7 +49,8 @@ def read_sam(spark: SparkSession, path: str) -> DataFrame:
     f = F.split("value", "\t")
     df = spark.read.text(path).where("not startswith(value, '@')")
     tag = lambda n: F.nullif(F.regexp_extract("value", rf"\t{n}:[AiZ]:([^\t]*)", 1), F.lit(""))
-    out = df.select(f[0].alias("read_id"), f[1].cast("int").alias("flag"), f[2].alias("Chr"), f[3].cast("bigint").alias("pos"), f[5].alias("cigar"), f[9].alias("seq"), tag("XS").alias("xs"), tag("ts").alias("ts"), tag("NM").cast("int").alias("nm"), tag("pt").cast("int").alias("pt"))
+    # get, since Spark may look at a header's fields before it leaves the header out
+    out = df.select(F.get(f, F.lit(0)).alias("read_id"), F.get(f, F.lit(1)).try_cast("int").alias("flag"), F.get(f, F.lit(2)).alias("Chr"), F.get(f, F.lit(3)).try_cast("bigint").alias("pos"), F.get(f, F.lit(5)).alias("cigar"), F.get(f, F.lit(9)).alias("seq"), tag("XS").alias("xs"), tag("ts").alias("ts"), tag("NM").cast("int").alias("nm"), tag("pt").cast("int").alias("pt"))
     return out.where("flag & 4 = 0 and seq <> '*'")
 
 
