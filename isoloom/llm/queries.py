@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isoloom.llm import decontaminate, langid, lines, lm, minhash, packing, quality, repeats, token_counts, token_files
+from isoloom.llm import audit, decontaminate, langid, lines, lm, minhash, packing, quality, repeats, token_counts, token_files
 from isoloom.llm.common import documents, shared_dir
 
 
@@ -94,11 +94,46 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *[f"q.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")], (F.col("q.verdict") == "keep").alias("kept"), "q.verdict", "q.ratio")
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws, min(doc_id) OVER (PARTITION BY t) AS lead FROM d),
+f AS (
+  SELECT doc_id, part,
+         [len(ws) < 200, 100 * len(list_distinct(ws)) < 50 * len(ws), 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t),
+          regexp_matches(t, '[#$%&*|]'), coalesce(lead < doc_id, false)] AS fs
+  FROM w),
+g AS (SELECT doc_id, max((quality = 1)::int) AS good, max((toxic = 1)::int) AS toxic FROM labels GROUP BY 1),
+c AS (SELECT part, fs, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic FROM f LEFT JOIN g USING (doc_id) GROUP BY 1, 2),
+l AS (SELECT unnest(generate_series(1, 5)) AS i),
+o AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS os FROM l a, l b, l c, l d, l e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+s AS (
+  SELECT part, list_aggregate(list_transform(os, lambda x: chr(64 + x::int)), 'string_agg', '') AS filter_order, step::int AS step, os[step] AS own, n, good, toxic,
+         fs[os[step]] AS fails, list_bool_or(list_transform(os[1:step - 1], lambda x: fs[x])) IS TRUE AS gone,
+         fs[os[step]] AND len(list_filter(fs, lambda x: x)) = 1 AS alone
+  FROM c, o, (SELECT unnest(generate_series(1, 5)) AS step)),
+r AS (
+  SELECT part, filter_order, step, own,
+         coalesce(sum(n) FILTER (WHERE NOT gone AND NOT fails), 0)::bigint AS kept, coalesce(sum(n) FILTER (WHERE NOT gone AND fails), 0)::bigint AS removed,
+         coalesce(sum(n) FILTER (WHERE gone AND fails), 0)::bigint AS redundant, coalesce(sum(n) FILTER (WHERE alone), 0)::bigint AS unique_fails,
+         coalesce(sum(good) FILTER (WHERE NOT gone AND fails), 0)::bigint AS good_lost, coalesce(sum(toxic) FILTER (WHERE NOT gone AND fails), 0)::bigint AS toxic_lost
+  FROM s GROUP BY 1, 2, 3, 4)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::bigint AS shapley
+FROM r
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_packing, op3_token_counts, op4_minhash, op5_repeats, op6_lm_scores, op7_decontamination, op8_langid, op9_token_files, op10_quality, pipeline)}
-SQL = {"op1_line_dedup": OP1_SQL}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_packing, op3_token_counts, op4_minhash, op5_repeats, op6_lm_scores, op7_decontamination, op8_langid, op9_token_files, op10_quality, op13_filter_audit, pipeline)}
+SQL = {"op1_line_dedup": OP1_SQL, "op13_filter_audit": OP13_SQL}
