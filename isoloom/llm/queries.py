@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isoloom.llm import audit, decontaminate, langid, lines, lm, minhash, packing, quality, repeats, token_counts, token_files
+from isoloom.llm import audit, decontaminate, langid, lines, lm, minhash, packing, quality, repeats, token_counts, token_files, vectors
 from isoloom.llm.common import documents, shared_dir
 
 
@@ -94,6 +94,22 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *[f"q.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")], (F.col("q.verdict") == "keep").alias("kept"), "q.verdict", "q.ratio")
 
 
+def op12_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.links(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::double[] AS e, sqrt(list_sum(list_transform(embedding::double[], lambda x: x * x))) AS norm FROM embeddings),
+g AS (SELECT vec_id, label, list_transform(e, lambda x: x / norm) AS u FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND norm > 0 AND isfinite(norm)),
+l AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_dot_product(a.u, b.u) >= 0.98),
+r AS (SELECT vec_id AS a, vec_id AS c FROM embeddings UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.a WHERE r.c < l.b),
+c AS (SELECT a AS vec_id, min(c) AS component_id FROM r GROUP BY 1),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY 1)
+SELECT vec_id, coalesce(n_links, 0)::bigint AS n_links, component_id, vec_id = component_id AS kept FROM c LEFT JOIN n USING (vec_id)
+"""
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -135,5 +151,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_packing, op3_token_counts, op4_minhash, op5_repeats, op6_lm_scores, op7_decontamination, op8_langid, op9_token_files, op10_quality, op13_filter_audit, pipeline)}
-SQL = {"op1_line_dedup": OP1_SQL, "op13_filter_audit": OP13_SQL}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_packing, op3_token_counts, op4_minhash, op5_repeats, op6_lm_scores, op7_decontamination, op8_langid, op9_token_files, op10_quality, op12_embedding_links, op13_filter_audit, pipeline)}
+SQL = {"op1_line_dedup": OP1_SQL, "op12_embedding_links": OP12_SQL, "op13_filter_audit": OP13_SQL}
