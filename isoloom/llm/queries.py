@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isoloom.llm import audit, decontaminate, langid, lines, lm, minhash, packing, quality, repeats, token_counts, token_files, vectors
+from isoloom.llm import audit, decontaminate, langid, lines, lm, minhash, packing, phrases, quality, repeats, token_counts, token_files, vectors
 from isoloom.llm.common import documents, shared_dir
 
 
@@ -94,6 +94,36 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *[f"q.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")], (F.col("q.verdict") == "keep").alias("kept"), "q.verdict", "q.ratio")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir))
+
+
+OP11_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+u AS (SELECT lang, unnest(ws) AS w1, unnest(list_append(ws[2:], NULL)) AS w2, unnest(ws[3:] || [NULL, NULL]) AS w3, unnest(ws[4:] || [NULL, NULL, NULL]) AS w4 FROM w WHERE len(ws) > 0),
+g AS (SELECT lang, unnest([w1, w1 || ' ' || w2, w1 || ' ' || w2 || ' ' || w3, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4]) AS ph, unnest([1, 2, 3, 4]) AS size FROM u),
+f AS MATERIALIZED (SELECT lang, ph, size, count(*) AS f FROM g WHERE ph IS NOT NULL GROUP BY 1, 2, 3),
+n AS (SELECT lang, sum(f)::bigint AS n FROM f WHERE size = 1 GROUP BY 1),
+c AS MATERIALIZED (SELECT lang, ph, size, string_split(ph, ' ') AS ws, f AS a FROM f WHERE size > 1 AND f >= 30),
+y AS (SELECT lang, ph, a, k, array_to_string(ws[1:k], ' ') AS p, array_to_string(ws[k + 1:], ' ') AS q FROM c, (SELECT unnest([1, 2, 3]) AS k) WHERE k < size),
+x AS (
+  SELECT y.lang, y.ph, y.a, l.f AS l, r.f AS r, (2000000::hugeint * y.a // (l.f + r.f))::bigint AS score, k
+  FROM y JOIN f l ON l.lang = y.lang AND l.ph = y.p JOIN f r ON r.lang = y.lang AND r.ph = y.q),
+b AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, ph ORDER BY score, k) = 1),
+s AS (
+  SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS ph, max(a) AS longer
+  FROM c, (SELECT unnest([2, 3]) AS m), (SELECT unnest([1, 2, 3]) AS i)
+  WHERE m < size AND i + m - 1 <= size GROUP BY 1, 2),
+k AS (SELECT b.*, b.ph AS phrase FROM b LEFT JOIN s USING (lang, ph) WHERE longer IS NULL OR 100::hugeint * longer < 80::hugeint * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM k JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
+
 def op12_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.links(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -151,5 +181,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_packing, op3_token_counts, op4_minhash, op5_repeats, op6_lm_scores, op7_decontamination, op8_langid, op9_token_files, op10_quality, op12_embedding_links, op13_filter_audit, pipeline)}
-SQL = {"op1_line_dedup": OP1_SQL, "op12_embedding_links": OP12_SQL, "op13_filter_audit": OP13_SQL}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_packing, op3_token_counts, op4_minhash, op5_repeats, op6_lm_scores, op7_decontamination, op8_langid, op9_token_files, op10_quality, op11_collocations, op12_embedding_links, op13_filter_audit, pipeline)}
+SQL = {"op1_line_dedup": OP1_SQL, "op11_collocations": OP11_SQL, "op12_embedding_links": OP12_SQL, "op13_filter_audit": OP13_SQL}
