@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from isoloom.stages import Staged, shared_dir
 
-__all__ = ["BLANKS", "Staged", "ascii_lower", "documents", "shared_dir", "spare", "words"]
+__all__ = ["BLANKS", "Staged", "ascii_lower", "col", "documents", "free", "row_of", "shared_dir", "spare", "words"]
 
 #: White space of the word and line rules: space and \t \n \v \f \r.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -19,6 +19,22 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, UPPER.lower())
 
 
+def col(name: str) -> Column:
+    """A column by its name as it stands, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def row_of(df: DataFrame) -> Column:
+    """All columns as one struct, out of the way of an operator's own names."""
+    return F.struct(*[col(c) for c in df.columns])
+
+
+def free(df: DataFrame, names: tuple[str, ...]) -> None:
+    """An error if df has any of the columns that an operator adds."""
+    if clash := [c for c in df.columns if c.lower() in names]:
+        raise ValueError(f"{clash} are columns already")
+
+
 def spare(df: DataFrame, name: str) -> str:
     """A column name that df does not have."""
     while name.lower() in {c.lower() for c in df.columns}:

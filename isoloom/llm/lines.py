@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isoloom.llm.common import BLANKS, ascii_lower
+from isoloom.llm.common import BLANKS, ascii_lower, free, row_of
 
 #: Column names of the result that the rows' own columns must not have.
 ADDED = ("n_lines", "n_dropped", "kept_text")
@@ -26,7 +26,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, id_col:
     A line's key is the line without blanks at its ends, A-Z lower-cased. Keys of
     at least ``min_chars`` code points found in at least ``min_docs`` documents
     lose all their lines except in the largest id that holds them. Other lines
-    stay, joined by newlines. All rows and columns stay.
+    stay, joined by newlines. All rows and columns stay, whatever their names; only n_lines,
+    n_dropped and kept_text must not be there yet (ValueError).
 
     A null or empty text is one empty line. Each row counts as one document, a
     repeated row too: of rows that share the largest id all keep the line. A row
@@ -38,22 +39,23 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, id_col:
     that a third of the documents hold is a few rows by then; its return to the
     documents is a join that adaptive execution splits.
     """
-    if clash := [c for c in ADDED if c in docs.columns]:
-        raise ValueError(f"{clash} are columns already")
+    free(docs, ADDED)
     names = docs.columns
-    lines = F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "\n", -1)
+    text = F.col("row").getField(text_col).cast("string")
+    lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
     # rows that share an id are told apart by their texts; equal ones lose the same lines
-    docs = docs.select(*[F.col(c) for c in names], F.col(id_col).cast("long").alias("_id"), F.xxhash64(F.col(text_col).cast("string")).alias("_row"))
+    docs = docs.select(row_of(docs).alias("row")).select("row", F.col("row").getField(id_col).cast("long").alias("id"), F.xxhash64(text).alias("same"))
     long = F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("at"), _key(x).alias("key"))), lambda x: F.length(x["key"]) >= min_chars)
-    held = docs.select("_id", "_row", long.alias("_long"))
-    distinct = held.select("_id", F.explode(F.array_distinct(F.transform("_long", lambda x: _hash(x["key"])))).alias("h"))
-    common = distinct.groupBy("h.a", "h.b").agg(F.count("*").alias("n"), F.max("_id").alias("keeper")).where(F.col("n") >= min_docs).select("a", "b", "keeper")
-    spots = held.select("_id", "_row", F.explode(F.transform("_long", lambda x: F.struct(_hash(x["key"]).alias("h"), x["at"].alias("at")))).alias("l")).select("_id", "_row", "l.h.a", "l.h.b", "l.at")
-    gone = spots.join(common, ["a", "b"]).where("_id < keeper or (_id is null and keeper is not null)")
-    drops = gone.groupBy("_id", "_row").agg(F.array_sort(F.collect_set("at")).alias("_drop"))
-    both = docs.alias("d").join(drops.alias("x"), F.col("d._id").eqNullSafe(F.col("x._id")) & F.col("d._row").eqNullSafe(F.col("x._row")), "left")
-    both = both.select(*[F.col(f"d.`{c}`") for c in names], F.coalesce(F.col("x._drop"), F.array().cast("array<int>")).alias("_drop"), lines.alias("_lines"))
+    held = docs.select("id", "same", long.alias("long"))
+    distinct = held.select("id", F.explode(F.array_distinct(F.transform("long", lambda x: _hash(x["key"])))).alias("h"))
+    common = distinct.groupBy("h.a", "h.b").agg(F.count("*").alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs).select("a", "b", "keeper")
+    spots = held.select("id", "same", F.explode(F.transform("long", lambda x: F.struct(_hash(x["key"]).alias("h"), x["at"].alias("at")))).alias("l")).select("id", "same", "l.h.a", "l.h.b", "l.at")
+    gone = spots.join(common, ["a", "b"]).where("id < keeper or (id is null and keeper is not null)")
+    drops = gone.groupBy("id", "same").agg(F.array_sort(F.collect_set("at")).alias("drop"))
+    both = docs.alias("d").join(drops.alias("x"), F.col("d.id").eqNullSafe(F.col("x.id")) & F.col("d.same").eqNullSafe(F.col("x.same")), "left")
+    both = both.select("d.row", F.coalesce(F.col("x.drop"), F.array().cast("array<int>")).alias("drop")).withColumn("lines", lines)
     # the runs of lines between dropped positions
-    edges = F.concat(F.array(F.lit(-1)), F.col("_drop"), F.array(F.size("_lines")))
-    runs = F.transform(F.sequence(F.lit(0), F.size("_drop")), lambda i: F.slice("_lines", F.get(edges, i) + 2, F.get(edges, i + 1) - F.get(edges, i) - 1))
-    return both.select(*names, F.size("_lines").cast("long").alias("n_lines"), F.size("_drop").cast("long").alias("n_dropped"), F.array_join(F.flatten(runs), "\n").alias("kept_text"))
+    edges = F.concat(F.array(F.lit(-1)), F.col("drop"), F.array(F.size("lines")))
+    runs = F.transform(F.sequence(F.lit(0), F.size("drop")), lambda i: F.slice("lines", F.get(edges, i) + 2, F.get(edges, i + 1) - F.get(edges, i) - 1))
+    out = both.select("row", F.size("lines").cast("long").alias("n_lines"), F.size("drop").cast("long").alias("n_dropped"), F.array_join(F.flatten(runs), "\n").alias("kept_text"))
+    return out.select(*[F.col("row").getField(c).alias(c) for c in names], *ADDED)

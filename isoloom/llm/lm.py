@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isoloom.llm.common import Staged, spare
+from isoloom.llm.common import Staged, col, spare
 from isoloom.stages import freed_shuffles
 
 #: No word is empty or a space: the end of a text, and what stands before its first word.
@@ -273,7 +273,7 @@ def _by_broadcast(docs: DataFrame, tables: Tables, text_col: str) -> DataFrame:
             yield pd.concat(frames, ignore_index=True) if frames else pd.DataFrame(columns=["n_tokens", "n_known", "base_score", "score"])
 
     into = spare(docs, "lm")
-    return docs.withColumn(into, run(F.col(text_col).cast("string"))).select(*[F.col(f"`{c}`") for c in docs.columns], f"{into}.*")
+    return docs.withColumn(into, run(F.col(text_col).cast("string"))).select(*[col(c) for c in docs.columns], f"{into}.*")
 
 
 def _score(t: Tokens, hashes, count, rest, grams: CountFilter, total: float, begin) -> pd.DataFrame:
@@ -323,4 +323,4 @@ def _by_join(docs: DataFrame, tables: Tables, text_col: str) -> DataFrame:
     own = F.when((F.col("level") > 0) & (F.col("cw") >= 1) & (stored <= F.col("ch")), (stored - DISCOUNT) / F.col("ch")).otherwise(0.0)
     p = F.when(F.col("ch") > 0, own + F.col("rest") * uni).otherwise(uni)
     sums = seen.groupBy(F.col("_row").alias(id_)).agg(F.sum("n").alias("n_tokens"), F.sum(F.when(F.col("cw") > 0, F.col("n")).otherwise(0)).alias("n_known"), F.sum(F.log10(uni) * F.col("n")).alias("base_score"), F.sum(F.log10(F.greatest(p, F.lit(1e-300))) * F.col("n")).alias("score"))
-    return docs.join(sums, id_).select(*[F.col(f"`{c}`") for c in names], "n_tokens", "n_known", "base_score", "score")
+    return docs.join(sums, id_).select(*[col(c) for c in names], "n_tokens", "n_known", "base_score", "score")

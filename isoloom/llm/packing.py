@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from isoloom.llm.common import Staged
+from isoloom.llm.common import Staged, free, row_of
 from isoloom.llm.tokens import binary_slices, encode_parts, with_end
 
 #: Least fitted repeats of a pattern that is used, as tried.
@@ -164,27 +164,31 @@ def _slots(chosen: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[np.ndar
 def pack(table: DataFrame, capacity: int = 1024, length_col: str = "length", key_cols: tuple[str, ...] = ("doc_id", "piece"), bucket_rows: int = 100_000) -> DataFrame:
     """Adds sequence_id and offset to rows with lengths of 1 to capacity.
 
-    Every row gets a place; sequences are filled without gaps from offset 0.
+    All rows and columns stay, whatever their names; only sequence_id and offset must not be
+    there yet (ValueError). Every row gets a place; sequences are filled without gaps from offset 0.
     Rows with equal keys are told apart arbitrarily, and each has its own place.
     An empty table stays empty. Numbers within a length are dealt in buckets of
     about ``bucket_rows``, so a length that a third of the rows have is not one task.
     """
+    free(table, ("sequence_id", "offset"))
     staged = Staged(table.sparkSession, "packing")
     names = table.columns
-    table = staged.write(table.select(*[F.col(c) for c in names], F.col(length_col).cast("long").alias("_length"), F.xxhash64(*key_cols).alias("_key")), "pieces")
-    histogram = {r[0]: r[1] for r in table.groupBy("_length").count().collect()}
+    of = F.col("row").getField
+    table = table.select(row_of(table).alias("row")).select("row", of(length_col).cast("long").alias("size"), F.xxhash64(*[of(c) for c in key_cols]).alias("key"))
+    table = staged.write(table, "pieces")
+    histogram = {r[0]: r[1] for r in table.groupBy("size").count().collect()}
     if any(k is None or not 0 < k <= capacity for k in histogram):
         raise ValueError(f"lengths must be 1 to {capacity}")
     slots = _slots(plan(histogram, capacity))
     most = max(histogram.values(), default=0)
     deep = {k: -(-n // bucket_rows) for k, n in histogram.items() if n > bucket_rows}
-    buckets = F.coalesce(F.create_map(*[F.lit(v) for kv in deep.items() for v in kv])[F.col("_length")], F.lit(1)) if deep else F.lit(1)
-    table = table.withColumn("_bucket", F.pmod("_key", buckets.cast("long")))
-    ranked = table.withColumn("_rank", F.row_number().over(Window.partitionBy("_length", "_bucket").orderBy("_key", *key_cols)).cast("long") - 1)
+    buckets = F.coalesce(F.create_map(*[F.lit(v) for kv in deep.items() for v in kv])[F.col("size")], F.lit(1)) if deep else F.lit(1)
+    table = table.withColumn("bucket", F.pmod("key", buckets.cast("long")))
+    ranked = table.withColumn("rank", F.row_number().over(Window.partitionBy("size", "bucket").orderBy("key", *[of(c) for c in key_cols])).cast("long") - 1)
     if most > bucket_rows:
-        before = Window.partitionBy("_length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-        base = table.groupBy("_length", "_bucket").count().select("_length", "_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_base"))
-        ranked = ranked.join(base, ["_length", "_bucket"]).withColumn("_rank", F.col("_rank") + F.col("_base"))
+        before = Window.partitionBy("size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        base = table.groupBy("size", "bucket").count().select("size", "bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
+        ranked = ranked.join(base, ["size", "bucket"]).withColumn("rank", F.col("rank") + F.col("base"))
 
     @F.pandas_udf("struct<sequence_id:long,offset:long>")
     def place(length, rank):
@@ -200,4 +204,4 @@ def pack(table: DataFrame, capacity: int = 1024, length_col: str = "length", key
             off[here] = offset[i]
         return pd.DataFrame({"sequence_id": seq, "offset": off})
 
-    return ranked.withColumn("_place", place("_length", "_rank")).select(*names, "_place.sequence_id", "_place.offset")
+    return ranked.withColumn("place", place("size", "rank")).select(*[of(c).alias(c) for c in names], "place.sequence_id", "place.offset")

@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isoloom.llm.common import BLANKS
+from isoloom.llm.common import BLANKS, free, spare
 
 SYMBOLS = "#*$%&|<>"
 REPORT = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, ratio double, chunk_share double, verdict string"
@@ -96,8 +96,7 @@ def quality(docs: DataFrame, text_col: str = "text", into: str = "quality_report
     have no words and fail "base". Equal texts have equal reports; an empty table
     stays empty. ``into`` must not be a column yet.
     """
-    if into in docs.columns:
-        raise ValueError(f"{into} is a column already")
+    free(docs, (into.lower(),))
 
     @F.pandas_udf(REPORT)
     def report(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -110,5 +109,6 @@ def quality(docs: DataFrame, text_col: str = "text", into: str = "quality_report
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", bands: Bands = Bands()) -> DataFrame:
-    """The rows whose text passes every rule, with their columns as they were."""
-    return quality(docs, text_col, "_quality_report", bands).where("_quality_report.verdict = 'keep'").drop("_quality_report")
+    """The rows whose text passes every rule, with their columns as they were, whatever their names."""
+    into = spare(docs, "quality_report")
+    return quality(docs, text_col, into, bands).where(F.col(into)["verdict"] == "keep").drop(into)
