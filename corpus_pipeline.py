@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isoloom.llm import decontaminate, lines, minhash, packing, quality
-from isoloom.llm.common import Staged, documents
+from isoloom.llm.common import Staged, documents, row_of
 from isoloom.llm.queries import tokenizer
 
 
@@ -24,7 +24,7 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that many share; n_chars, where there is one, follows
     the text. Null texts stay null; a row without doc_id loses shared lines, too."""
-    out = lines.dedup_lines(docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")))
+    out = lines.dedup_lines(docs.select("doc_id", "text", row_of(docs).alias("row")))
     new = {"text": F.col("kept_text")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.length("kept_text").cast(docs.schema["n_chars"].dataType)
