@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isoloom.functions import chain
@@ -131,7 +131,77 @@ def gtf_rows(transcripts: DataFrame, source: str = "isoloom") -> DataFrame:
     return gene.unionByName(tr).unionByName(ex)
 
 
+def _walk(ex: Column, strand: Column, tis: Column, tts: Column, upstream: str, downstream: str) -> Column:
+    """Coding features of a transcript as structs (feature, s, e, phase, number, prio).
+
+    Transcript offsets count from its 5' end: up to tis is before the coding part, from tts
+    on behind it. Each stretch is cut at introns; a codon is three bases in a row even where
+    an intron stands in it: the start codon from its first base on, the stop codon around
+    the first base behind the coding part.
+    """
+    part = lambda lo, hi: chain.segments(ex, strand, lo, hi)
+    base = lambda at: F.get(part(at, at), F.lit(0))["s"]
+    made = lambda x, name, prio, phase=".": F.transform(x, lambda c: _feature(name, c["s"], c["e"], phase, None, prio))
+    before, behind, first, last = part(F.lit(1), tis), part(tts, chain.total(chain.exon_lengths(ex))), base(tis + 1), base(tts)
+    first = F.when(strand == "-", first - 2).otherwise(first)
+    codons = F.array(_feature("start_codon", first, first + 2, ".", None, 4), _feature("stop_codon", last - 1, last + 1, ".", None, 5))
+    left, right = F.when(strand == "-", behind).otherwise(before), F.when(strand == "-", before).otherwise(behind)
+    return F.concat(made(part(tis + 1, tts - 1), "CDS", 2, "0"), made(before, "UTR", 3), made(behind, "UTR", 3), made(left, upstream, 3), made(right, downstream, 3), codons)
+
+
+def _feature(name: str, s: Column, e: Column, phase: str, number: Column | None, prio: int) -> Column:
+    number = F.lit(None).cast("int") if number is None else number.cast("int")
+    return F.struct(F.lit(name).alias("feature"), s.cast("long").alias("s"), e.cast("long").alias("e"), F.lit(phase).alias("phase"), number.alias("number"), F.lit(prio).alias("prio"))
+
+
+def gtf_features(transcripts: DataFrame, source: str = "isoloom", by_strand: bool = False) -> DataFrame:
+    """GTF fields of genes, transcripts, exons, coding parts, codons, untranslated regions and splice
+    sites, with the keys of their order, one row a feature.
+
+    Columns: Chr, Strand, SSC, TrStart, TrEnd, TrID and GeneID; GeneName (else the GeneID),
+    TrStart_ref and TrEnd_ref (else the ends) may be null or absent, and so may Predict_NMD,
+    TIS_related_location and TTS_related_location. Genes, transcripts, and exons of transcripts
+    without a coding part reach to the reference ends; coding parts and the exons of their
+    transcripts to the transcript's own. There is a coding part if Predict_NMD is "Normal" and
+    both locations lie in the transcript, with a base between them; a codon is three bases in a
+    row, over an intron too. UTR rows are given again as UTR5, to the left of the coding part,
+    and UTR3, to its right, on either strand; ``by_strand`` names them by the transcript's
+    direction instead. Introns have a donor and an acceptor site of two bases. Exons and
+    junctions are numbered from left to right. An odd last site of a chain is left out.
+    Repeated rows count once; rows without ends or id give no feature; an empty table none.
+    """
+    there = {c.lower(): c for c in transcripts.columns}
+    or_else = lambda c, other, kind: F.coalesce(F.col(c).cast(kind), other) if c.lower() in there else other.cast(kind)
+    null = F.lit(None)
+    t = transcripts.select(
+        "Chr", "Strand", "GeneID", "TrID", chain.sites(F.col("SSC")).alias("sites"), F.col("TrStart").cast("long").alias("own_s"), F.col("TrEnd").cast("long").alias("own_e"),
+        or_else("GeneName", F.col("GeneID"), "string").alias("name"), or_else("TrStart_ref", F.col("TrStart"), "long").alias("ref_s"), or_else("TrEnd_ref", F.col("TrEnd"), "long").alias("ref_e"),
+        or_else("Predict_NMD", null, "string").alias("nmd"), or_else("TIS_related_location", null, "long").alias("tis"), or_else("TTS_related_location", null, "long").alias("tts"),
+    ).where("own_s is not null and own_e is not null and TrID is not null and GeneID is not null").distinct()
+    own, ref = chain.exons(F.col("own_s"), F.col("sites"), F.col("own_e")), chain.exons(F.col("ref_s"), F.col("sites"), F.col("ref_e"))
+    codes = (F.col("nmd") == "Normal") & (F.col("tis") >= 0) & (F.col("tis") + 1 < F.col("tts")) & (F.col("tts") <= chain.total(chain.exon_lengths(own)))
+    t = t.withColumns({"own": own, "ref": ref, "codes": F.coalesce(codes, F.lit(False)), "gs": F.min("ref_s").over(Window.partitionBy("Chr", "Strand", "GeneID"))})
+    minus = F.col("Strand") == "-"
+    edges = F.transform(F.slice("ref", 1, F.size("ref") - 1), lambda x, i: F.struct((x["e"] + 1).alias("s"), (F.get("ref", i + 1)["s"] - 1).alias("e"), (i + 1).alias("n")))
+    site = lambda name, left: F.transform(edges, lambda x: _feature(name, F.when(left, x["s"]).otherwise(x["e"] - 1), F.when(left, x["s"] + 1).otherwise(x["e"]), ".", x["n"], 6))
+    ex = F.transform(F.when(F.col("codes"), F.col("own")).otherwise(F.col("ref")), lambda x, i: _feature("exon", x["s"], x["e"], ".", i + 1, 1))
+    names = ["UTR5", "UTR3"]
+    coding = _walk(F.col("own"), F.col("Strand"), F.col("tis"), F.col("tts"), *names)
+    if by_strand:
+        coding = F.when(minus, _walk(F.col("own"), F.col("Strand"), F.col("tis"), F.col("tts"), *names[::-1])).otherwise(coding)
+    whole = F.array(_feature("transcript", F.col("ref_s"), F.col("ref_e"), ".", None, 0))
+    parts = F.concat(whole, ex, F.when(F.col("codes"), coding).otherwise(F.slice(whole, 1, 0)), site("donor_site", ~minus), site("acceptor_site", minus))
+    rows = t.select("Chr", "Strand", "GeneID", "name", "gs", F.col("ref_s").alias("ts"), F.col("TrID").alias("tx"), F.posexplode(parts).alias("at", "f")).select("*", "f.*").drop("f")
+    genes = t.groupBy("Chr", "Strand", "GeneID").agg(F.min("name").alias("name"), F.min("ref_s").alias("gs"), F.max("ref_e").alias("e"))
+    genes = genes.select("Chr", "Strand", "GeneID", "name", "gs", F.lit(-1).cast("long").alias("ts"), F.lit("").alias("tx"), F.lit(0).alias("at"), F.lit("gene").alias("feature"), F.col("gs").alias("s"), "e", F.lit(".").alias("phase"), F.lit(None).cast("int").alias("number"), F.lit(-1).alias("prio"))
+    said = lambda name, c: F.concat(F.lit(f'{name} "'), c.cast("string"), F.lit('";'))
+    kind = F.when(F.col("feature") == "exon", said("exon_number", F.col("number"))).otherwise(said("junction_number", F.col("number")))
+    attributes = F.concat_ws(" ", said("gene_id", F.col("GeneID")), F.when(F.col("tx") != "", said("transcript_id", F.col("tx"))), said("gene_name", F.col("name")), kind)
+    return genes.unionByName(rows).select("Chr", "Strand", "GeneID", F.lit(source).alias("source"), "feature", "s", "e", "phase", "prio", "tx", "ts", "gs", "at", attributes.alias("attributes"))
+
+
 def gtf_lines(rows: DataFrame) -> DataFrame:
-    """Ordered GTF lines of gtf_rows."""
-    line = F.concat_ws("\t", "Chr", "source", "feature", F.col("s").cast("string"), F.col("e").cast("string"), F.lit("."), "Strand", F.lit("."), "attributes")
-    return rows.orderBy("Chr", "gs", "GeneID", "ts", "tx", "prio", "s").select(line.alias("value"))
+    """Ordered GTF lines of gtf_rows or gtf_features."""
+    phase = F.col("phase") if "phase" in rows.columns else F.lit(".")
+    line = F.concat_ws("\t", "Chr", "source", "feature", F.col("s").cast("string"), F.col("e").cast("string"), F.lit("."), "Strand", phase, "attributes")
+    return rows.orderBy("Chr", "gs", "GeneID", "ts", "tx", "prio", "s", *(["at"] if "at" in rows.columns else [])).select(line.alias("value"))

@@ -51,8 +51,8 @@ gc AS (SELECT sample, GeneID, CAST(sum(n) AS BIGINT) AS n FROM tc GROUP BY ALL)
 """
 
 
-def query(sql: str | None = None):
-    """Registers f(spark, sf_dir), with its SQL."""
+def query(sql: str | None = None, with_: str = ""):
+    """Registers f(spark, sf_dir), with its SQL; with_ has more tables for it."""
 
     def add(f):
         @wraps(f)
@@ -65,7 +65,7 @@ def query(sql: str | None = None):
 
         QUERIES[f.__name__] = run
         if sql:
-            SQL[f.__name__] = BASE + sql if "SELECT" in sql and not sql.startswith("SELECT /*plain*/") else sql
+            SQL[f.__name__] = BASE + (", " + with_ + "\n" if with_ else "") + sql if "SELECT" in sql and not sql.startswith("SELECT /*plain*/") else sql
         return f
 
     return add
@@ -544,6 +544,31 @@ def gtf_rows(spark, sf):
     return Q.gtf_rows(model(spark, sf)).select("Chr", "feature", "s", "e", "attributes")
 
 
+#: Transcripts with places of start and stop codons, of which some lie outside or are no pair.
+CODING = f"""cod AS (SELECT *, CASE WHEN frequency % 5 = 0 THEN 'no_orf' WHEN frequency % 7 = 0 THEN 'NMD' ELSE 'Normal' END AS nmd, CASE WHEN frequency % 11 <> 0 THEN frequency * 7 % n END AS tis, frequency * 7 % n + frequency * 13 % n AS tts
+FROM (SELECT *, {EXL} AS xs, CAST(list_sum(list_transform({EXL}, lambda x: x[2] - x[1] + 1)) AS BIGINT) AS n FROM model)),
+px AS (SELECT *, CASE WHEN Strand = '-' THEN n - c + 1 ELSE c - (x[2] - x[1]) END AS p, CASE WHEN Strand = '-' THEN n - c + 1 + x[2] - x[1] ELSE c END AS q, nmd = 'Normal' AND tis IS NOT NULL AND tis + 1 < tts AND tts <= n AS codes
+FROM (SELECT *, sum(x[2] - x[1] + 1) OVER (PARTITION BY TrID ORDER BY x[1]) AS c, row_number() OVER (PARTITION BY TrID ORDER BY x[1]) AS i, lead(x) OVER (PARTITION BY TrID ORDER BY x[1]) AS nx FROM (SELECT *, unnest(xs) AS x FROM cod))),
+rg AS (SELECT *, greatest(p, a) AS u, least(q, b) AS v FROM (SELECT px.*, unnest([{{'k': 'before', 'a': 1, 'b': tis}}, {{'k': 'CDS', 'a': tis + 1, 'b': tts - 1}}, {{'k': 'behind', 'a': tts, 'b': n}}, {{'k': 'start', 'a': tis + 1, 'b': tis + 1}}, {{'k': 'stop', 'a': tts, 'b': tts}}], recursive := true) FROM px WHERE codes) WHERE greatest(p, a) <= least(q, b)),
+pt AS (SELECT Chr, Strand, GeneID, TrID, k, CASE WHEN Strand = '-' THEN x[1] + q - v ELSE x[1] + u - p END AS s, CASE WHEN Strand = '-' THEN x[1] + q - u ELSE x[1] + v - p END AS e FROM rg)"""
+
+
+@query(f"""SELECT Chr, Strand, feature, CAST(s AS BIGINT) AS s, CAST(e AS BIGINT) AS e, phase, concat('gene_id "', GeneID, '";', CASE WHEN TrID <> '' THEN concat(' transcript_id "', TrID, '";') ELSE '' END, ' gene_name "', GeneID, '";', more) AS attributes FROM (
+SELECT Chr, Strand, GeneID, '' AS TrID, 'gene' AS feature, min(lo) AS s, max(hi) AS e, '.' AS phase, '' AS more FROM model GROUP BY Chr, Strand, GeneID
+UNION ALL SELECT Chr, Strand, GeneID, TrID, 'transcript', lo, hi, '.', '' FROM model
+UNION ALL SELECT Chr, Strand, GeneID, TrID, 'exon', x[1], x[2], '.', concat(' exon_number "', i, '";') FROM px
+UNION ALL SELECT Chr, Strand, GeneID, TrID, f, CASE WHEN (f = 'donor_site') = (Strand <> '-') THEN x[2] + 1 ELSE nx[1] - 2 END, CASE WHEN (f = 'donor_site') = (Strand <> '-') THEN x[2] + 2 ELSE nx[1] - 1 END, '.', concat(' junction_number "', i, '";') FROM px, (SELECT unnest(['donor_site', 'acceptor_site']) AS f) WHERE nx IS NOT NULL
+UNION ALL SELECT Chr, Strand, GeneID, TrID, 'CDS', s, e, '0', '' FROM pt WHERE k = 'CDS'
+UNION ALL SELECT Chr, Strand, GeneID, TrID, f, s, e, '.', '' FROM pt, (SELECT unnest(['UTR', 'UTR5', 'UTR3']) AS f) WHERE k IN ('before', 'behind') AND (f = 'UTR' OR (f = 'UTR5') = ((k = 'before') = (Strand <> '-')))
+UNION ALL SELECT Chr, Strand, GeneID, TrID, 'start_codon', s - CASE WHEN Strand = '-' THEN 2 ELSE 0 END, s + CASE WHEN Strand = '-' THEN 0 ELSE 2 END, '.', '' FROM pt WHERE k = 'start'
+UNION ALL SELECT Chr, Strand, GeneID, TrID, 'stop_codon', s - 1, s + 1, '.', '' FROM pt WHERE k = 'stop')""", with_=CODING)
+def gtf_features(spark, sf):
+    n = chain.total(chain.exon_lengths(chain.exons(F.col("TrStart"), chain.sites(F.col("SSC")), F.col("TrEnd"))))
+    f = F.col("frequency")
+    m = model(spark, sf).withColumns({"Predict_NMD": F.when(f % 5 == 0, "no_orf").when(f % 7 == 0, "NMD").otherwise("Normal"), "TIS_related_location": F.when(f % 11 != 0, f * 7 % n), "TTS_related_location": f * 7 % n + f * 13 % n})
+    return Q.gtf_features(m).select("Chr", "Strand", "feature", "s", "e", "phase", "attributes")
+
+
 @query("SELECT TrID, GeneID, GeneID AS GeneName, Chr, Strand, lo AS TrStart, hi AS TrEnd, SSC FROM model")
 def gtf_parse(spark, sf):
     return tables.transcripts_of(tables.parse_gtf(Q.gtf_lines(Q.gtf_rows(model(spark, sf)))))
