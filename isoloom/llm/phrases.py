@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,48 +32,46 @@ _SLICES = "slice long, ids binary, words array<binary>, langs array<string>, cou
 _LOW = (1 << 32) - 1
 
 
-class _Slice:
-    """Texts' words as numbers: -1 ends a piece. Words of different langs are different."""
-
-    def __init__(self):
-        self.number: dict[str, dict[bytes, int]] = {}
-        self.words: list[bytes] = []
-        self.langs: list[str] = []
-        self.ids: list[np.ndarray] = []
-        self.size = 0
-
-    def add(self, lang: str, text: bytes) -> None:
-        known = self.number.setdefault(lang, {b"": -2, b"\n": -1})
-        found = text.translate(_TABLE).replace(b"\n", b" \n ").split(b" ")
-        for w in {*found} - known.keys():
-            known[w] = len(self.words)
-            self.words.append(w)
-            self.langs.append(lang)
-        ids = np.fromiter(map(known.__getitem__, found), np.int32, len(found))
-        self.ids.append(np.append(ids[ids != -2], np.int32(-1)))
-        self.size += len(text)
-
-    def row(self, at: int):
-        ids = np.concatenate(self.ids)
-        counts = np.bincount(ids[ids >= 0], minlength=len(self.words))
-        values = [at, ids.tobytes(), self.words, self.langs, counts.tolist()]
-        types = [pa.int64(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.string()), pa.list_(pa.int64())]
-        return pa.record_batch([pa.array([v], t) for v, t in zip(values, types)], names=[f.split()[0] for f in _SLICES.split(", ")])
+def numbered(texts: dict[str, list[bytes]]) -> tuple[np.ndarray, pa.Array, pa.Array, np.ndarray]:
+    """(ids, words, langs, counts) of the texts of each lang: the words' numbers in order, -1 at the
+    end of a piece. Words of different langs have different numbers."""
+    ids, words, langs, first = [], [], [], 0
+    for lang, found in texts.items():
+        data = b"\n".join([*found, b""]).translate(_TABLE).replace(b"\n", b" \n ")
+        coded = pc.split_pattern(pa.array([data], pa.large_binary()), pattern=b" ").values.dictionary_encode()
+        blank, ends = (pc.equal(coded.dictionary, x).to_numpy(zero_copy_only=False) for x in (b"", b"\n"))
+        plain = ~(blank | ends)
+        number = np.where(ends, -1, np.where(blank, -2, first + np.cumsum(plain) - 1)).astype(np.int32)
+        at = number[coded.indices.to_numpy()]
+        ids.append(at[at != -2])
+        words.append(coded.dictionary.filter(pa.array(plain)).cast(pa.binary()))
+        langs += [lang] * int(plain.sum())
+        first += int(plain.sum())
+    ids = np.concatenate(ids)
+    return ids, pa.concat_arrays(words), pa.array(langs, pa.string()), np.bincount(ids[ids >= 0], minlength=first)
 
 
 def slices(docs: DataFrame, text_col: str, lang_col: str, most_bytes: int) -> DataFrame:
     """Slices of at least a text and about ``most_bytes`` of them."""
 
+    names = [f.split()[0] for f in _SLICES.split(", ")]
+
+    def row(at: int, texts: dict[str, list[bytes]]) -> pa.RecordBatch:
+        ids, *lists = numbered(texts)
+        lists[-1] = pa.array(lists[-1], pa.int64())
+        return pa.record_batch([pa.array([at]), pa.array([ids.tobytes()], pa.binary()), *[pa.ListArray.from_arrays([0, len(x)], x) for x in lists]], names=names)
+
     def run(batches):
-        at, part = TaskContext.get().partitionId() << 32, _Slice()
+        at, size, texts = TaskContext.get().partitionId() << 32, 0, {}
         for batch in batches:
             for i, lang in enumerate(batch.column(0).to_pylist()):
-                part.add(lang, batch.column(1)[i].as_py())
-                if part.size >= most_bytes:
-                    yield part.row(at)
-                    at, part = at + 1, _Slice()
-        if part.ids:
-            yield part.row(at)
+                texts.setdefault(lang, []).append(batch.column(1)[i].as_py())
+                size += len(texts[lang][-1])
+                if size >= most_bytes:
+                    yield row(at, texts)
+                    at, size, texts = at + 1, 0, {}
+        if texts:
+            yield row(at, texts)
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     return docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), text.alias("text")).mapInArrow(run, _SLICES)
@@ -98,7 +97,7 @@ def run_lengths(hi: np.ndarray, lo: np.ndarray, n: np.ndarray) -> tuple[np.ndarr
     return hi[first], lo[first], np.add.reduceat(n, first) if len(first) else n
 
 
-def grams(numbered: DataFrame, at_once: int = 1 << 20) -> DataFrame:
+def grams(coded: DataFrame, at_once: int = 1 << 20) -> DataFrame:
     """(hi, lo, n) of the keys of slices (ids, local, id): numbers within the slice and in the
     dictionary. Keys are counted ``at_once`` places at a time, each slice whole."""
 
@@ -123,7 +122,7 @@ def grams(numbered: DataFrame, at_once: int = 1 << 20) -> DataFrame:
         if held:
             yield counted()
 
-    return numbered.select("ids", "local", "id").mapInArrow(run, "hi long, lo long, n long")
+    return coded.select("ids", "local", "id").mapInArrow(run, "hi long, lo long, n long")
 
 
 def phrases_of(ranged: DataFrame, least: int) -> DataFrame:
@@ -203,8 +202,8 @@ def collocations(docs: DataFrame, least: int = 30, top: int = 2000, text_col: st
         raise ValueError("more frequent words than numbers of 31 bits")
     # each slice's frequent words, at most those that it has
     known = spots.select("slice", "local", "lang", "word").join(words.select("lang", "word", "id"), ["lang", "word"]).groupBy("slice").agg(F.collect_list(F.struct("local", "id")).alias("k"))
-    numbered = cut.select("slice", "ids").join(known, "slice").select("ids", F.col("k.local").alias("local"), F.col("k.id").alias("id"))
-    keys = staged.write(grams(numbered), "keys")
+    coded = cut.select("slice", "ids").join(known, "slice").select("ids", F.col("k.local").alias("local"), F.col("k.id").alias("id"))
+    keys = staged.write(grams(coded), "keys")
     staged.drop("slices")
     ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = keys.repartitionByRange(max(1, ranges), "hi", "lo").sortWithinPartitions("hi", "lo")
