@@ -38,23 +38,31 @@ def supported(chains: DataFrame, least: int = 5) -> DataFrame:
     return chains.where(F.col("frequency") >= least)
 
 
-def loci(chains: DataFrame) -> DataFrame:
+def loci(chains: DataFrame, width: int = 100_000) -> DataFrame:
     """Adds Group: chains of a strand whose spans overlap, one after another, share it.
 
-    Islands are found on distinct spans, in one order for both windows, and
-    numbered over all chromosomes and strands.
+    Loci are numbered from 0 by contig, strand and place. Spans, from a chain's smallest site
+    to its greatest, are taken once each and sorted within bins of ``width`` bases. What a bin
+    must know of those before it, the greatest end and the number of loci, is carried over one
+    row a bin, so that no task has a whole contig. Chains without sites are left out; an empty
+    table stays empty.
     """
     s = chain.sites(F.col("SSC"))
     placed = chains.withColumns({"_s": F.array_min(s), "_e": F.array_max(s)})
-    order = Window.partitionBy("Chr", "Strand").orderBy("_s", "_e")
-    spans = placed.select("Chr", "Strand", "_s", "_e").distinct()
-    new = F.coalesce((F.col("_s") > F.max("_e").over(order.rowsBetween(Window.unboundedPreceding, -1))).cast("int"), F.lit(0))
-    spans = spans.withColumn("_new", new).withColumn("_local", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    strands = spans.groupBy("Chr", "Strand").agg((F.max("_local") + 1).alias("n"))  # a row for each contig and strand
-    before = F.coalesce(F.sum("n").over(Window.orderBy("Chr", "Strand").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    strands = strands.select("Chr", "Strand", before.alias("_before"))
-    spans = spans.join(strands, ["Chr", "Strand"]).select("Chr", "Strand", "_s", "_e", (F.col("_local") + F.col("_before")).alias("Group"))
-    return placed.join(spans, ["Chr", "Strand", "_s", "_e"]).drop("_s", "_e")
+    spans = placed.where("_s is not null").select("Chr", "Strand", "_s", "_e", F.floor(F.col("_s") / width).alias("_bin")).distinct()
+    strand = ["Chr", "Strand"]
+    earlier = Window.partitionBy(*strand).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    ends = spans.groupBy(*strand, "_bin").agg(F.max("_e").alias("_last")).select(*strand, "_bin", F.max("_last").over(earlier).alias("_reach"))
+    here = Window.partitionBy(*strand, "_bin").orderBy("_s", "_e")
+    reach = F.greatest(F.max("_e").over(here.rowsBetween(Window.unboundedPreceding, -1)), F.col("_reach"))
+    spans = spans.join(ends, [*strand, "_bin"]).withColumn("_new", F.coalesce((F.col("_s") > reach).cast("long"), F.lit(0)))
+    spans = spans.withColumn("_local", F.sum("_new").over(here.rowsBetween(Window.unboundedPreceding, 0)))
+    bins = spans.groupBy(*strand, "_bin").agg(F.max("_local").alias("_n"))
+    strands = bins.groupBy(*strand).agg((F.sum("_n") + 1).alias("_n"))  # a row for each contig and strand
+    before = F.coalesce(F.sum("_n").over(Window.orderBy(*strand).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bins = bins.select(*strand, "_bin", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_earlier")).join(strands.select(*strand, before.alias("_before")), strand)
+    spans = spans.join(bins, [*strand, "_bin"]).select(*strand, "_s", "_e", (F.col("_local") + F.col("_earlier") + F.col("_before")).alias("Group"))
+    return placed.join(spans, [*strand, "_s", "_e"]).drop("_s", "_e")
 
 
 def attach_motifs(chains: DataFrame, motifs: DataFrame) -> DataFrame:

@@ -77,7 +77,7 @@ def nearest_chains(reads: DataFrame, model: DataFrame, most: float = 15.0) -> Da
     q = q.withColumn("bin", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda i: F.floor(F.element_at("q", 1) / width) + i)))
     m = model.select("Chr", "Strand", F.col("SSC").alias("model_SSC")).distinct().withColumn("m", chain.sites(F.col("model_SSC")))
     m = m.withColumn("bin", F.floor(F.element_at("m", 1) / width))
-    near = q.join(m, ["Chr", "Strand", "bin"]).where(F.size("q") == F.size("m")).withColumn("distance", chain.distance(F.col("q"), F.col("m"))).where(F.col("distance") <= most)
+    near = q.withColumn("n", F.size("q")).join(m.withColumn("n", F.size("m")), ["Chr", "Strand", "n", "bin"]).withColumn("distance", chain.distance(F.col("q"), F.col("m"))).where(F.col("distance") <= most)
     return near.groupBy(*KEY).agg(F.min(F.struct("distance", "model_SSC")).alias("x")).select(*KEY, "x.model_SSC", "x.distance")
 
 
@@ -92,14 +92,15 @@ def nearest_ends(reads: DataFrame, model: DataFrame, tolerance: float = 50.0) ->
     return near.select(*KEY, "TrStart", "TrEnd", "n", F.when(close, F.col("x.ms")).alias("model_start"), F.when(close, F.col("x.me")).alias("model_end"))
 
 
-def correct_reads(reads: DataFrame, model: DataFrame, site_tolerance: float = 15.0, end_tolerance: float = 50.0) -> DataFrame:
+def correct_reads(reads: DataFrame, model: DataFrame, site_tolerance: float = 15.0, end_tolerance: float = 100.0) -> DataFrame:
     """Spliced reads with the chain of the nearest model chain of their strand and size, then
     with the nearest model ends of that chain, where these lie within the tolerances.
 
     Columns and the number of rows stay; of equally near chains or ends the smaller is
     taken. Single-exon reads (SSC null) are left out. A read that is near nothing stays
     as it is, and an empty model changes no read. Distances are found once for each
-    distinct chain and for each distinct pair of ends of a chain.
+    distinct chain and for each distinct pair of ends of a chain. Ends of reads may lie twice as
+    far off as those that ``nearest_ends`` takes for a terminal's.
     """
     names = reads.columns
     spliced = reads.where("SSC is not null")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from isoloom.functions import chain
 from isoloom.operators import chains as C
 from isoloom.operators import curate as U
+from isoloom.operators import graphs
 from isoloom.operators import quantify as Q
 from isoloom.operators import remap as R
 from isoloom.operators import termini as T
@@ -20,7 +21,7 @@ from isoloom.stages import Staged, shared_dir
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
-BASE = "WITH reads AS (" + tables.READS_SQL.replace("{lineitem}", "lineitem") + """),
+BASE = "WITH RECURSIVE reads AS (" + tables.READS_SQL.replace("{lineitem}", "lineitem") + """),
 q AS (SELECT * FROM reads WHERE identity >= 0.95 AND coverage >= 0),
 c AS (SELECT Chr, Strand, SSC, count(*) AS frequency, min(TrStart) AS lo, max(TrEnd) AS hi FROM q WHERE SSC IS NOT NULL GROUP BY Chr, Strand, SSC),
 st AS (SELECT *, CAST(string_split(SSC, '-') AS BIGINT[]) AS t FROM c),
@@ -44,7 +45,7 @@ near_chain AS (SELECT st.Chr, st.Strand, st.SSC, min({'d': list_distance(CAST(st
 WHERE list_distance(CAST(st.t AS DOUBLE[]), CAST(m.t AS DOUBLE[])) <= 15 GROUP BY ALL),
 read_chain AS (SELECT sample, q.Chr, q.Strand, coalesce(near, q.SSC) AS SSC, TrStart, TrEnd, polyA_len FROM q LEFT JOIN near_chain ON near_chain.Chr = q.Chr AND near_chain.Strand = q.Strand AND near_chain.SSC = q.SSC WHERE q.SSC IS NOT NULL),
 near_ends AS (SELECT r.Chr, r.Strand, r.SSC, r.TrStart, r.TrEnd, min({'d': sqrt((r.TrStart - model_tr.TrStart)**2 + (r.TrEnd - model_tr.TrEnd)**2), 's': model_tr.TrStart, 'e': model_tr.TrEnd}) AS x FROM (SELECT DISTINCT Chr, Strand, SSC, TrStart, TrEnd FROM read_chain) r JOIN model_tr USING (Chr, Strand, SSC) GROUP BY ALL),
-read_fixed AS (SELECT sample, read_chain.Chr, read_chain.Strand, read_chain.SSC, CASE WHEN x.d <= 50 THEN x.s ELSE read_chain.TrStart END AS TrStart, CASE WHEN x.d <= 50 THEN x.e ELSE read_chain.TrEnd END AS TrEnd, polyA_len FROM read_chain
+read_fixed AS (SELECT sample, read_chain.Chr, read_chain.Strand, read_chain.SSC, CASE WHEN x.d <= 100 THEN x.s ELSE read_chain.TrStart END AS TrStart, CASE WHEN x.d <= 100 THEN x.e ELSE read_chain.TrEnd END AS TrEnd, polyA_len FROM read_chain
 LEFT JOIN near_ends ON near_ends.Chr = read_chain.Chr AND near_ends.Strand = read_chain.Strand AND near_ends.SSC = read_chain.SSC AND near_ends.TrStart = read_chain.TrStart AND near_ends.TrEnd = read_chain.TrEnd),
 tc AS (SELECT sample, TrID, GeneID, count(*) AS n FROM read_fixed JOIN model_tr USING (Chr, Strand, SSC, TrStart, TrEnd) GROUP BY ALL),
 gc AS (SELECT sample, GeneID, CAST(sum(n) AS BIGINT) AS n FROM tc GROUP BY ALL)
@@ -164,6 +165,16 @@ def ssc_min_support(spark, sf):
     return C.supported(collapsed(spark, sf))
 
 
+@query("""SELECT Chr, Strand, "Group", site, min(c) AS component FROM reached GROUP BY ALL""", with_="""ed AS (SELECT DISTINCT Chr, Strand, grp AS "Group", t[i] AS u, t[i+1] AS v FROM (SELECT *, unnest(range(1, len(t))) AS i FROM g WHERE frequency >= 5)),
+both_ways AS (SELECT * FROM ed UNION SELECT Chr, Strand, "Group", v, u FROM ed),
+reached AS (SELECT Chr, Strand, "Group", u AS site, u AS c FROM both_ways UNION SELECT r.Chr, r.Strand, r."Group", b.v, r.c FROM reached r JOIN both_ways b ON b.Chr = r.Chr AND b.Strand = r.Strand AND b."Group" = r."Group" AND b.u = r.site WHERE r.c < b.v)""")
+def splice_components(spark, sf):
+    """Loci of all chains fall apart into splice graphs of the supported ones."""
+    pairs = chain.windows(chain.sites(F.col("SSC")), 2)
+    edges = C.supported(located(spark, sf)).select(*C.LOCUS, F.explode(pairs).alias("p")).select(*C.LOCUS, F.col("p")[0].alias("u"), F.col("p")[1].alias("v"))
+    return graphs.components(edges, by=C.LOCUS).select(*C.LOCUS, F.col("node").alias("site"), "component")
+
+
 @query('SELECT Chr, Strand, SSC, frequency, grp AS "Group" FROM g')
 def gene_grouping(spark, sf):
     return located(spark, sf).select(*C.KEY, "frequency", "Group")

@@ -14,7 +14,7 @@ SELECT concat_ws('.', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING),
                  CAST(CAST(round(l_extendedprice*100) AS BIGINT) AS STRING)) AS read_id,
   concat('s', CAST(l_orderkey % 3 AS STRING)) AS sample, concat('chr', CAST(l_suppkey % 5 + 1 AS STRING)) AS Chr,
   CASE WHEN l_suppkey % 3 = 0 THEN '-' ELSE '+' END AS Strand,
-  base - 200 - (l_partkey % 3) AS TrStart,
+  base - 200 - (l_partkey % 3) - CASE WHEN l_partkey % 13 = 0 THEN 80 ELSE 0 END AS TrStart,
   base + 3200 + (l_partkey % 5) + CASE WHEN l_partkey % 10 = 0 THEN 400 ELSE 0 END AS TrEnd,
   CASE WHEN l_linenumber = 7 THEN NULL
        WHEN l_linenumber <= 3 THEN concat_ws('-', CAST(base AS STRING), CAST(base+500+jit AS STRING), CAST(base+700 AS STRING),
