@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isoloom.functions import chain
+from isoloom.operators import alignments as A
 from isoloom.operators import chains as C
 from isoloom.operators import curate as U
 from isoloom.operators import graphs
@@ -52,6 +53,27 @@ gc AS (SELECT sample, GeneID, CAST(sum(n) AS BIGINT) AS n FROM tc GROUP BY ALL)
 """
 
 
+#: Alignments made of line items, an order's under one read name; runs in Spark and DuckDB alike.
+ALIGNED = """SELECT CAST(l_orderkey AS STRING) AS read_id, concat('s', CAST(l_orderkey % 3 AS STRING)) AS sample,
+  CASE WHEN l_suppkey % 2 = 0 THEN 16 ELSE 0 END + CASE WHEN l_orderkey % 17 = 0 THEN 4 ELSE 0 END + CASE WHEN l_linenumber = 3 THEN 256 ELSE 0 END AS flag,
+  concat('chr', CAST(l_suppkey % 5 + 1 AS STRING)) AS Chr, pos, clip, m1, ins, del, gap, m2,
+  concat(CASE WHEN clip > 0 THEN concat(CAST(clip AS STRING), 'S') ELSE '' END, CAST(m1 AS STRING), 'M', CASE WHEN ins > 0 THEN concat(CAST(ins AS STRING), 'I') ELSE '' END,
+         CASE WHEN del > 0 THEN concat(CAST(del AS STRING), 'D') ELSE '' END, CASE WHEN gap > 0 THEN concat(CAST(gap AS STRING), 'N') ELSE '' END, CAST(m2 AS STRING), 'M') AS cigar,
+  CASE WHEN l_partkey % 23 = 0 THEN '*' ELSE repeat('A', CAST(clip + m1 + ins + m2 AS INT)) END AS seq,
+  CASE WHEN l_partkey % 11 = 0 THEN '-' END AS xs, CASE WHEN l_partkey % 3 = 0 THEN '+' WHEN l_partkey % 3 = 1 THEN '-' END AS ts,
+  CASE WHEN l_partkey % 9 > 0 THEN l_partkey % 12 END AS nm, CASE WHEN l_suppkey % 4 > 0 THEN l_suppkey % 50 - 10 END AS pt
+FROM (SELECT *, CAST(1 + l_suppkey * 37 % 9000 AS BIGINT) AS pos, CAST(l_quantity AS BIGINT) % 20 AS clip, CAST(20 + l_partkey % 5 AS BIGINT) AS m1, CAST(l_suppkey % 3 AS BIGINT) AS ins, CAST(l_linenumber % 3 AS BIGINT) AS del,
+  CASE WHEN l_linenumber % 4 > 0 THEN CAST(60 + l_partkey % 7 AS BIGINT) ELSE 0 END AS gap, CAST(30 + l_suppkey % 4 AS BIGINT) AS m2 FROM {lineitem}) b"""
+
+#: The read rows of ALIGNED, by its own numbers.
+ALIGNED_READS = "al AS (" + ALIGNED.replace("{lineitem}", "lineitem") + """),
+ar AS (SELECT sample, concat(read_id, '.m', CAST(row_number() OVER (PARTITION BY sample, read_id ORDER BY Chr, pos, cigar, flag, SSC NULLS FIRST, identity, polyA_len) AS VARCHAR)) AS read_id, Chr, Strand, TrStart, TrEnd, SSC, identity, coverage, polyA_len, has_tail FROM (
+SELECT *, coalesce(xs, CASE WHEN ts IS NOT NULL THEN CASE WHEN flag & 16 > 0 THEN translate(ts, '+-', '-+') ELSE ts END END, CASE WHEN flag & 16 > 0 THEN '-' ELSE '+' END) AS Strand,
+pos AS TrStart, pos + m1 + del + gap + m2 - 1 AS TrEnd, CASE WHEN gap > 0 THEN concat(CAST(pos + m1 + del - 1 AS VARCHAR), '-', CAST(pos + m1 + del + gap AS VARCHAR)) END AS SSC,
+CASE WHEN nm IS NULL THEN 1 ELSE 1 - nm / (m1 + ins + m2) END AS identity, (m1 + ins + m2) / (clip + m1 + ins + m2) AS coverage, CAST(greatest(coalesce(pt, 0), 0) AS INT) AS polyA_len, pt IS NOT NULL AS has_tail
+FROM al WHERE flag & 4 = 0 AND seq <> '*'))"""
+
+
 def query(sql: str | None = None, with_: str = ""):
     """Registers f(spark, sf_dir), with its SQL; with_ has more tables for it."""
 
@@ -143,6 +165,12 @@ def corrected(spark: SparkSession, sf: str) -> DataFrame:
     return T.correct_reads(placed_reads(spark, sf), transcripts(spark, sf))
 
 
+def contigs(spark: SparkSession) -> DataFrame:
+    """A sequence for each contig of the reads: repeats of its own."""
+    repeats = F.concat(F.expr("repeat('GAT', cast(id as int))"), F.lit("TACACCTG"))
+    return spark.range(1, 6).select(F.concat(F.lit("chr"), F.col("id").cast("string")).alias("contig"), F.repeat(repeats, 100_000).alias("seq"))
+
+
 def counted(spark: SparkSession, sf: str) -> DataFrame:
     return Q.transcript_counts(corrected(spark, sf), transcripts(spark, sf), "n")
 
@@ -412,9 +440,26 @@ def reverse_complement(spark, sf):
     return d.select("doc_id", F.md5(chain.reverse_complement(F.col("text")).cast("binary")).alias("iupac"), F.md5(chain.reverse_complement(F.col("text"), plain=True).cast("binary")).alias("plain"))
 
 
-@query()
-def reverse_complement_whole(spark, sf):
-    return reverse_complement(spark, sf)
+def aligned(spark, sf):
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    return A.to_reads(spark.sql(ALIGNED, lineitem=li), "sample")
+
+
+@query("SELECT sample, read_id, Chr, Strand, TrStart, TrEnd, SSC, round(identity, 9) AS identity, round(coverage, 9) AS coverage, polyA_len, has_tail FROM ar", with_=ALIGNED_READS)
+def alignment_reads(spark, sf):
+    return aligned(spark, sf).withColumns({c: F.round(c, 9) for c in ("identity", "coverage")})
+
+
+@query("SELECT sample, bool_or(has_tail) AS has_polya FROM ar GROUP BY sample", with_=ALIGNED_READS)
+def library_tails(spark, sf):
+    return A.has_tails(aligned(spark, sf), ("sample",))
+
+
+@query("""SELECT CAST(count(*) AS BIGINT) AS count, Chr, Strand, SSC, CASE WHEN Strand = '-' THEN concat(reverse(translate(r, 'ACGT', 'TGCA')), '-', reverse(translate(l, 'ACGT', 'TGCA'))) ELSE concat(l, '-', r) END AS junction
+FROM (SELECT Chr, Strand, SSC, substr(seq, CAST(split_part(SSC, '-', 1) AS BIGINT) + 1, 2) AS l, substr(seq, CAST(split_part(SSC, '-', 2) AS BIGINT) - 2, 2) AS r
+FROM ar JOIN (SELECT concat('chr', CAST(i AS VARCHAR)) AS Chr, repeat(concat(repeat('GAT', i), 'TACACCTG'), 1000) AS seq FROM range(1, 6) r(i)) USING (Chr) WHERE SSC IS NOT NULL) GROUP BY ALL""", with_=ALIGNED_READS)
+def junction_motifs(spark, sf):
+    return A.junction_counts(aligned(spark, sf), U.genome_bins(contigs(spark)))
 
 
 @query("""SELECT x AS cigar, CAST(count(*) AS BIGINT) AS n, any_value(concat('0:', CAST(a + d AS VARCHAR), ',', CAST(a + d + 500 AS VARCHAR), ':', CAST(a + d + 500 + p AS VARCHAR))) AS exons,
@@ -595,44 +640,28 @@ def peak_pick(spark, sf):
     return spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", chain.peak(F.col("embedding"), 15).alias("p")).select("vec_id", "p.offset", "p.height")
 
 
-ORF = """o AS (SELECT l_orderkey AS k, list({'at': CAST(l_partkey AS BIGINT), 's': l_discount} ORDER BY l_partkey, l_discount) AS a, list({'at': CAST(l_suppkey * 30 + l_linenumber AS BIGINT), 's': l_tax} ORDER BY l_suppkey, l_linenumber, l_tax) AS b FROM lineitem WHERE l_orderkey % 10 = 0 GROUP BY l_orderkey),
+ORF = """o AS (SELECT l_orderkey AS k, list({'at': CAST(l_partkey AS BIGINT), 's': l_discount} ORDER BY l_partkey, l_discount) AS a, list({'at': CAST(l_suppkey * 30 + l_linenumber AS BIGINT), 's': l_tax} ORDER BY l_suppkey, l_linenumber, l_tax) AS b FROM lineitem GROUP BY l_orderkey),
 oo AS (SELECT k, x.at AS tis, y.at AS tts, x.s AS p, y.s AS q FROM (SELECT k, unnest(a) AS x, b FROM o), LATERAL (SELECT unnest(b) AS y) WHERE y.at > x.at AND (y.at - x.at) % 3 = 0)"""
 
 
-def orders(spark, sf, whole):
-    """Line items of all orders, or of the tenth that the SQL reads."""
+def orf_table(spark, sf):
     li = spark.read.parquet(f"{sf}/lineitem.parquet")
-    return li if whole else li.where("l_orderkey % 10 = 0")
-
-
-def orf_table(spark, sf, whole=False):
-    li = orders(spark, sf, whole)
     a = F.array_sort(F.collect_list(F.struct(F.col("l_partkey").cast("bigint").alias("at"), F.col("l_discount").alias("score"))))
     b = F.array_sort(F.collect_list(F.struct((F.col("l_suppkey") * 30 + F.col("l_linenumber")).cast("bigint").alias("at"), F.col("l_tax").alias("score"))))
     return li.groupBy(F.col("l_orderkey").alias("k")).agg(a.alias("a"), b.alias("b")).select("k", F.explode(chain.orfs(F.col("a"), F.col("b"))).alias("o")).select("k", "o.*")
 
 
 @query(f", {ORF} SELECT k, tis, tts, count(*) AS n FROM oo GROUP BY ALL")
-def orf_pairing(spark, sf, whole=False):
-    return orf_table(spark, sf, whole).groupBy("k", "tis", "tts").agg(F.count("*").alias("n"))
-
-
-@query()
-def orf_pairing_whole(spark, sf):
-    return orf_pairing(spark, sf, whole=True)
+def orf_pairing(spark, sf):
+    return orf_table(spark, sf).groupBy("k", "tis", "tts").agg(F.count("*").alias("n"))
 
 
 @query(f", {ORF} SELECT k, x.b AS tis, x.c AS tts FROM (SELECT k, max({{'a': round(p * q, 9), 'b': tis, 'c': tts}}) AS x FROM oo GROUP BY k)")
-def best_orf(spark, sf, whole=False):
-    o = orf_table(spark, sf, whole)
+def best_orf(spark, sf):
+    o = orf_table(spark, sf)
     return o.groupBy("k").agg(F.max(F.struct(F.round(F.col("tis_score") * F.col("tts_score"), 9).alias("a"), "tis", "tts")).alias("x")).select("k", "x.tis", "x.tts")
 
 
-@query()
-def best_orf_whole(spark, sf):
-    return best_orf(spark, sf, whole=True)
-
-
 SCORED = """(SELECT *, CASE WHEN frequency % 4 = 0 THEN NULL ELSE frequency % 10 / 100.0 END AS tss, CASE WHEN frequency % 3 = 0 THEN 'NMD' WHEN frequency % 3 = 1 THEN 'no_orf' ELSE 'Normal' END AS nmd,
 CASE WHEN frequency % 5 = 0 THEN 'yes' ELSE 'no' END AS truncation, CASE WHEN frequency % 6 = 0 THEN NULL WHEN frequency % 6 = 1 THEN 0 ELSE frequency % 100 / 100.0 END AS pa, CASE WHEN frequency % 7 < 3 THEN 'FSM' ELSE 'NIC' END AS category FROM model)"""
 
@@ -684,31 +713,20 @@ def consensus_filter(spark, sf):
 
 
 @query(f"""SELECT TrID, md5(CASE WHEN Strand = '-' THEN reverse(translate(s, 'ACGT', 'TGCA')) ELSE s END) AS seq_md5, CAST(length(s) AS INT) AS seq_len FROM (SELECT TrID, Strand, string_agg(substr(seq, x[1], x[2] - x[1] + 1), '' ORDER BY x[1]) AS s FROM
-(SELECT TrID, Strand, Chr, unnest({EXL}) AS x FROM model) JOIN (SELECT concat('chr', CAST(i AS VARCHAR)) AS Chr, repeat(concat(repeat('GAT', i), 'TACACCTG'), 100000) AS seq FROM range(1, 5) r(i)) USING (Chr) GROUP BY ALL)""")
-def transcript_fasta(spark, sf, contigs=4):
-    contigs = spark.range(1, contigs + 1).select(F.concat(F.lit("chr"), F.col("id").cast("string")).alias("contig"), F.repeat(F.concat(F.expr("repeat('GAT', cast(id as int))"), F.lit("TACACCTG")), 100_000).alias("seq"))
-    out = U.transcript_sequences(model(spark, sf), U.genome_bins(contigs))
+(SELECT TrID, Strand, Chr, unnest({EXL}) AS x FROM model) JOIN (SELECT concat('chr', CAST(i AS VARCHAR)) AS Chr, repeat(concat(repeat('GAT', i), 'TACACCTG'), 100000) AS seq FROM range(1, 6) r(i)) USING (Chr) GROUP BY ALL)""")
+def transcript_fasta(spark, sf):
+    out = U.transcript_sequences(model(spark, sf), U.genome_bins(contigs(spark)))
     return out.select("TrID", F.md5(F.col("seq").cast("binary")).alias("seq_md5"), "seq_len")
 
 
-@query()
-def transcript_fasta_whole(spark, sf):
-    return transcript_fasta(spark, sf, contigs=5)
-
-
 @query(f", {ORF} SELECT k, list_sum(list_transform(x, lambda y: y.at)) AS total, CAST(len(x) AS INT) AS n FROM (SELECT k, list_reverse_sort(list_transform(a, lambda y: {{'s': y.s, 'at': y.at}}))[1:2] AS x FROM o)")
-def best_sites(spark, sf, whole=False):
-    li = orders(spark, sf, whole)
+def best_sites(spark, sf):
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
     s = li.groupBy(F.col("l_orderkey").alias("k")).agg(F.collect_list(F.struct(F.col("l_partkey").cast("bigint").alias("at"), F.col("l_discount").alias("score"))).alias("a"))
     best = s.select("k", chain.best_scored(F.col("a"), 2).alias("x"))
     return best.select("k", chain.total(F.transform("x", lambda y: y["at"])).alias("total"), F.size("x").alias("n"))
 
 
-@query()
-def best_sites_whole(spark, sf):
-    return best_sites(spark, sf, whole=True)
-
-
 FORK46 = """ex2 AS (SELECT grp, Chr, Strand, frequency, ext, frequency >= 20 AND grp % 2 = 0 AND len(t) >= 4 AS known FROM ex),
 ed AS (SELECT DISTINCT grp, ext[i] AS u, ext[i+1] AS v FROM (SELECT *, unnest(range(1, len(ext))) AS i FROM ex2)),
 fo AS (SELECT grp, u FROM ed GROUP BY ALL HAVING count(*) > 1), me AS (SELECT grp, v FROM ed GROUP BY ALL HAVING count(*) > 1),

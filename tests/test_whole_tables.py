@@ -1,4 +1,4 @@
-"""Queries over whole tables, without SQL, against plain Python."""
+"""Queries over whole tables against plain Python."""
 
 import hashlib
 from collections import Counter
@@ -22,10 +22,10 @@ def test_orfs_of_all_orders(spark):
                     best[k] = max(best.get(k, (-1,)), (round(float(a.l_discount) * float(b.l_tax), 9), at, to))
         top = sorted(((float(r.l_discount), r.l_partkey) for r in rows), reverse=True)[:2]
         sites[k] = (sum(x[1] for x in top), len(top))
-    got = {(r.k, r.tis, r.tts): r.n for r in queries.QUERIES["orf_pairing_whole"](spark, SF).collect()}
+    got = {(r.k, r.tis, r.tts): r.n for r in queries.QUERIES["orf_pairing"](spark, SF).collect()}
     assert got == pairs and any(k % 10 for k, _, _ in got)
-    assert {r.k: (r.tis, r.tts) for r in queries.QUERIES["best_orf_whole"](spark, SF).collect()} == {k: x[1:] for k, x in best.items()}
-    assert {r.k: (r.total, r.n) for r in queries.QUERIES["best_sites_whole"](spark, SF).collect()} == sites
+    assert {r.k: (r.tis, r.tts) for r in queries.QUERIES["best_orf"](spark, SF).collect()} == {k: x[1:] for k, x in best.items()}
+    assert {r.k: (r.total, r.n) for r in queries.QUERIES["best_sites"](spark, SF).collect()} == sites
 
 
 def test_reverse_complement_of_all_texts(spark):
@@ -35,13 +35,13 @@ def test_reverse_complement_of_all_texts(spark):
     upper, plain = str.maketrans("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), str.maketrans("ACGT", "TGCA")
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     want = Counter((r.doc_id, r.text and md5(r.text.translate(full)[::-1]), r.text and md5(r.text.translate(upper).translate(plain)[::-1])) for r in docs)
-    assert Counter(map(tuple, queries.QUERIES["reverse_complement_whole"](spark, SF).collect())) == want
+    assert Counter(map(tuple, queries.QUERIES["reverse_complement"](spark, SF).collect())) == want
     assert {r.lang for r in docs} - {"en"}
 
 
 def test_fasta_of_all_contigs(spark):
     models = queries.model(spark, SF).collect()
-    got = {r.TrID: (r.seq_md5, r.seq_len) for r in queries.QUERIES["transcript_fasta_whole"](spark, SF).collect()}
+    got = {r.TrID: (r.seq_md5, r.seq_len) for r in queries.QUERIES["transcript_fasta"](spark, SF).collect()}
     assert set(got) == {m.TrID for m in models}
     seen = set()
     for m in models:
