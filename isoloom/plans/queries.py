@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from contextvars import ContextVar
 from functools import wraps
 
@@ -12,9 +13,11 @@ from isoloom.functions import chain
 from isoloom.operators import alignments as A
 from isoloom.operators import chains as C
 from isoloom.operators import curate as U
-from isoloom.operators import graphs
+from isoloom.operators import graphs, guards
 from isoloom.operators import quantify as Q
 from isoloom.operators import remap as R
+from isoloom.operators import reports as P
+from isoloom.operators import scores as X
 from isoloom.operators import termini as T
 from isoloom.sources import tables
 from isoloom.stages import Staged, shared_dir
@@ -695,6 +698,73 @@ def tss_shift(spark, sf):
     return U.shift_starts(m).select("TrID", "TrStart", "TrEnd")
 
 
+@query("""SELECT Chr, Strand, SSC, s AS TrStart, e AS TrEnd, CAST(sum(frequency) AS BIGINT) AS frequency, arg_min(name, {'s': TrStart, 'e': TrEnd}) AS name, arg_min({'h': h}, {'s': TrStart, 'e': TrEnd}).h AS tss_height FROM
+(SELECT *, CASE WHEN h > 0.02 AND Strand = '+' THEN TrStart - TrStart % 3 ELSE TrStart END AS s, CASE WHEN h > 0.02 AND Strand <> '+' THEN TrEnd - TrEnd % 3 ELSE TrEnd END AS e FROM
+(SELECT *, concat(TrStart, ':', TrEnd) AS name, CASE WHEN TrEnd % 4 > 0 THEN TrStart % 10 / 100.0 END AS h FROM (SELECT Chr, Strand, SSC, TrStart, TrEnd, count(*) AS frequency FROM q WHERE SSC IS NOT NULL GROUP BY ALL))) GROUP BY ALL""")
+def tss_reaggregate(spark, sf):
+    t = placed_reads(spark, sf).groupBy(*Q.ENDS).agg(F.sum("n").alias("frequency"))
+    offset = F.when(F.col("Strand") == "+", 1 - F.col("TrStart") % 3).otherwise(1 + F.col("TrEnd") % 3)
+    t = t.withColumns({"name": F.concat_ws(":", "TrStart", "TrEnd"), "tss_offset": offset, "tss_height": F.when(F.col("TrEnd") % 4 > 0, F.col("TrStart") % 10 / 100.0)})
+    return X.shift_and_sum(t).drop("tss_offset")
+
+
+@query("""SELECT coalesce(m.Chr, p.Chr) AS Chr, coalesce(m.Strand, p.Strand) AS Strand, TrID, h AS height FROM (SELECT *, CASE WHEN Strand = '+' THEN lo ELSE hi END AS at FROM model) m
+FULL JOIN (SELECT Chr, Strand, CASE WHEN Strand = '+' THEN lo ELSE hi END + CASE WHEN frequency % 7 = 0 THEN 1 ELSE 0 END AS at, frequency % 10 / 10.0 AS h FROM model WHERE frequency % 3 > 0) p ON m.Chr = p.Chr AND m.Strand = p.Strand AND m.at = p.at""")
+def tss_score_join(spark, sf):
+    """Model transcripts and scored places, of which some are none of their starts."""
+    m, f = model(spark, sf), F.col("frequency")
+    at = F.when(F.col("Strand") == "+", F.col("TrStart")).otherwise(F.col("TrEnd")) + F.when(f % 7 == 0, 1).otherwise(0)
+    peak = F.struct(F.lit(0).alias("offset"), (f % 10 / 10.0).alias("height"))
+    places = m.where(f % 3 > 0).select("Chr", "Strand", at.alias("query_tss"), peak.alias("tss_15"), peak.alias("tss_50"))
+    return X.with_tss_scores(m, places).select("Chr", "Strand", "TrID", F.col("tss_15.height").alias("height"))
+
+
+@query(f"""SELECT TrID, coalesce(CAST(b.a AS VARCHAR), 'no') AS tis, coalesce(CAST(b.z AS VARCHAR), 'no') AS tts, CASE WHEN b IS NULL OR b.p < 0.9 OR b.q < 0.9 THEN 'no_orf' WHEN (len(t) > 1 AND b.z <= n - last - 55) OR n - b.z > 1000 THEN 'NMD' ELSE 'Normal' END AS nmd FROM
+(SELECT *, CAST(list_sum(l) AS BIGINT) AS n, CASE WHEN Strand = '-' THEN l[1] ELSE l[-1] END AS last FROM (SELECT *, list_transform({EXL}, lambda x: x[2] - x[1] + 1) AS l FROM model)) LEFT JOIN
+(SELECT TrID, max(struct_pack(p := p, q := q, ma := -a, mz := -z, a := a, z := z)) AS b FROM (SELECT TrID, frequency * k % 500 AS a, frequency * k % 500 + 30 * k * k + frequency % 7 AS z, (frequency * k % 4 + 96) / 100.0 - 0.05 AS p, 0.8 + k * frequency % 3 / 10.0 AS q
+FROM model, (SELECT unnest([1, 2, 3]) AS k) WHERE frequency % 6 > 0) GROUP BY TrID) USING (TrID)""")
+def frame_join(spark, sf):
+    """The best of three frames of most model transcripts, brought back to them."""
+    m, f, k = model(spark, sf), F.col("frequency"), F.col("k")
+    start = f * k % 500
+    frames = m.where(f % 6 > 0).withColumn("k", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))))
+    frames = frames.select(*Q.ENDS, start.alias("TIS_related_location"), (start + 30 * k * k + f % 7).alias("TTS_related_location"), ((f * k % 4 + 96) / 100.0 - 0.05).alias("TIS_score"), (0.8 + k * f % 3 / 10.0).alias("TTS_score"))
+    out = X.spelled(X.with_frames(m, frames))
+    return out.select("TrID", F.col("TIS_related_location").alias("tis"), F.col("TTS_related_location").alias("tts"), F.col("Predict_NMD").alias("nmd"))
+
+
+@query("""SELECT TrID, GeneID, s0, s1, s2, CAST(c0 AS DOUBLE) AS c0 FROM (SELECT k.TrID, k.GeneID, CAST(coalesce(sum(n) FILTER (WHERE sample = 's0'), 0) AS BIGINT) AS s0, CAST(coalesce(sum(n) FILTER (WHERE sample = 's1'), 0) AS BIGINT) AS s1,
+CAST(coalesce(sum(n) FILTER (WHERE sample = 's2'), 0) AS BIGINT) AS s2, coalesce(sum(n) FILTER (WHERE sample = 's0' AND hash_ok), 0) / 2 AS c0 FROM
+(SELECT DISTINCT TrID, GeneID FROM (SELECT CASE WHEN TrStart % 5 = 0 THEN concat(TrID, '_more') ELSE TrID END AS TrID, GeneID FROM model_tr)) k LEFT JOIN (SELECT *, length(TrID) % 2 = 0 AS hash_ok FROM tc) USING (TrID, GeneID) GROUP BY ALL) WHERE greatest(s0, s1, s2) >= 3""")
+def matrices_of_model(spark, sf):
+    """Counts, and a second matrix without some of their rows, for a model that has some other transcripts."""
+    keys = ["TrID", "GeneID"]
+    n = counted(spark, sf)
+    counts = Q.matrix(n, keys, SAMPLES, "count")
+    some = counts.where(F.length("TrID") % 2 == 0).select(*keys, (F.col("s0") / 2).alias("c0"))
+    m = transcripts(spark, sf).withColumn("TrID", F.when(F.col("TrStart") % 5 == 0, F.concat("TrID", F.lit("_more"))).otherwise(F.col("TrID")))
+    _, out = P.matrices_of_model(m, {"transcript.counts": counts, "transcript.cpm": some}, keys, least=3)
+    return out["transcript.counts"].join(out["transcript.cpm"], keys)
+
+
+@query("""SELECT Chr, Strand, SSC, TrStart, TrEnd, min(TrID) AS TrID, min(GeneID) AS GeneID FROM (SELECT *, lo AS TrStart, hi AS TrEnd FROM model UNION ALL SELECT * REPLACE (concat(TrID, '_2') AS TrID), lo, hi FROM model) GROUP BY ALL""")
+def assessment_table(spark, sf):
+    m = model(spark, sf)
+    twice = m.unionByName(m.withColumn("TrID", F.concat("TrID", F.lit("_2"))))
+    return P.assessment(twice, core=(*Q.ENDS, "TrID", "GeneID"))
+
+
+@query("""SELECT stage, CAST(came AS BIGINT) AS "input", CAST(went AS BIGINT) AS "output", round(100 * (1 - went / came), 2) AS drop_rate, CASE WHEN 100 * (1 - went / came) >= f THEN 'FAIL' WHEN 100 * (1 - went / came) >= w THEN 'WARNING' ELSE 'INFO' END AS level FROM (
+SELECT '1.2' AS stage, (SELECT count(*) FROM c) AS came, (SELECT count(*) FROM c WHERE frequency >= 5) AS went, 70 AS w, 95 AS f UNION ALL
+SELECT 'long', (SELECT count(*) FROM c WHERE frequency >= 5), (SELECT count(*) FROM st WHERE frequency >= 5 AND len(t) >= 4), 20, 60)""")
+def guarded_stages(spark, sf):
+    log = f"{shared_dir(spark).rstrip('/')}/stage-log-{uuid.uuid4().hex}"
+    guard = guards.Guard(spark, log, thresholds={**guards.THRESHOLDS, "long": (20.0, 60.0)})
+    kept = guard.run("1.2", collapsed(spark, sf), C.supported)
+    guard.run("long", kept, lambda x: x.where(F.size(F.split("SSC", "-")) >= 4))
+    return spark.read.schema(guards.RECORD).json(log).select("stage", "input", "output", "drop_rate", "level")
+
+
 @query("""SELECT uniqueTr, concat(CASE WHEN strlen(x) <= 200 THEN x ELSE concat('Fusion_', substr(sha1(x), 1, 12)) END, CASE WHEN nn > 0 THEN '' WHEN tss AND tes THEN '_AlterTssTes' WHEN tss THEN '_AlterTss' WHEN tes THEN '_AlterTes' ELSE '' END) AS TrID FROM
 (SELECT *, CASE WHEN nn > 0 THEN a ELSE b END AS x, CASE WHEN Strand = '-' THEN de ELSE ds END > 300 AS tss, CASE WHEN Strand = '-' THEN ds ELSE de END > 300 AS tes FROM
 (SELECT m.TrID AS uniqueTr, m.Strand, count(*) FILTER (WHERE abs(m.lo - r.lo) <= 300 AND abs(m.hi - r.hi) <= 300) AS nn, string_agg(r.TrID, '_' ORDER BY r.TrID) FILTER (WHERE abs(m.lo - r.lo) <= 300 AND abs(m.hi - r.hi) <= 300) AS a,
