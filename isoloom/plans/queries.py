@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from isoloom.functions import chain
 from isoloom.operators import alignments as A
+from isoloom.operators import annotate as N
 from isoloom.operators import chains as C
 from isoloom.operators import curate as U
 from isoloom.operators import graphs, guards
@@ -747,6 +748,30 @@ def matrices_of_model(spark, sf):
     return out["transcript.counts"].join(out["transcript.cpm"], keys)
 
 
+@query("""SELECT Chr, Strand, SSC, s AS TrStart, e AS TrEnd, u AS uniqueTr, CASE WHEN row_number() OVER w > 1 THEN concat(id, '_', row_number() OVER w) ELSE id END AS TrID, gene AS GeneID, route FROM (
+SELECT u.*, concat(a.id, CASE WHEN hit THEN '' WHEN CASE WHEN Strand = '-' THEN abs(ne - e) ELSE abs(ns - s) END > 50 AND CASE WHEN Strand = '-' THEN abs(ns - s) ELSE abs(ne - e) END > 50 THEN '_AlterTssTes'
+WHEN CASE WHEN Strand = '-' THEN abs(ne - e) ELSE abs(ns - s) END > 50 THEN '_AlterTss' WHEN CASE WHEN Strand = '-' THEN abs(ns - s) ELSE abs(ne - e) END > 50 THEN '_AlterTes' ELSE '' END) AS id, a.gene, 'reference' AS route FROM u JOIN a USING (u)
+UNION ALL SELECT u.*, concat(coalesce(b.gene, concat('NovelGene', grp)), '_Novel', u), coalesce(b.gene, concat('NovelGene', grp)), CASE WHEN b.gene IS NULL THEN 'novel' ELSE 'gene' END FROM u LEFT JOIN b USING (u) WHERE u NOT IN (SELECT u FROM a))
+WINDOW w AS (PARTITION BY id ORDER BY concat(Chr, Strand, ':', s, '-', SSC, '-', e))""", with_="""u AS (SELECT *, concat('Tr', row_number() OVER (ORDER BY Chr, Strand, SSC, s, e) - 1) AS u FROM
+(SELECT Chr, Strand, SSC, grp, t, lo AS s, hi AS e FROM g UNION ALL SELECT Chr, Strand, SSC, grp, t, lo - 60, hi FROM g WHERE frequency % 4 = 0)),
+rf AS (SELECT Chr, Strand, SSC, concat('R', grp, '_', SSC) AS TrID, concat('G', grp) AS GeneID, lo AS rs, hi AS re FROM g WHERE frequency >= 20 AND grp % 2 = 0
+UNION ALL SELECT Chr, Strand, SSC, concat('S', grp, '_', len(t)), concat('H', grp), lo - 200, hi + 70 FROM g WHERE frequency >= 10 AND frequency % 3 = 0 AND grp % 4 > 0),
+m AS (SELECT *, bool_or(near) OVER (PARTITION BY u) AS hit FROM (SELECT u.*, TrID, GeneID, rs, re, abs(s - rs) <= 50 AND abs(e - re) <= 50 AS near FROM u JOIN rf USING (Chr, Strand, SSC))),
+a AS (SELECT u, string_agg(DISTINCT TrID, '_' ORDER BY TrID) AS id, string_agg(DISTINCT GeneID, '-' ORDER BY GeneID) AS gene, bool_or(hit) AS hit, min({'d': abs(rs - s), 'x': rs}).x AS ns, min({'d': abs(re - e), 'x': re}).x AS ne FROM m WHERE near OR NOT hit GROUP BY u),
+gs AS (SELECT DISTINCT grp, GeneID, unnest(list_concat([s, e], t)) AS site FROM m WHERE near OR NOT hit),
+b AS (SELECT u, min({'n': -n, 'g': GeneID}).g AS gene FROM (SELECT x.u, GeneID, count(*) AS n FROM (SELECT u, grp, unnest(list_distinct(list_concat([s, e], t))) AS site FROM u) x JOIN gs USING (grp, site) GROUP BY ALL HAVING count(*) >= 2) GROUP BY u)""")
+def annotate(spark, sf):
+    """All chains, some with a second start, named after a reference of some of them."""
+    g, f, grp = located(spark, sf), F.col("frequency"), F.col("Group").cast("string")
+    ends = {"TrStart": F.col("lo"), "TrEnd": F.col("hi")}
+    t = g.withColumns(ends).unionByName(g.where(f % 4 == 0).withColumns({**ends, "TrStart": F.col("lo") - 60}))
+    name = lambda x, last: F.concat(F.lit(x), grp, F.lit("_"), last)
+    one = g.where((f >= 20) & (F.col("Group") % 2 == 0)).withColumns({**ends, "TrID": name("R", F.col("SSC")), "GeneID": F.concat(F.lit("G"), grp)})
+    two = g.where((f >= 10) & (f % 3 == 0) & (F.col("Group") % 4 > 0)).withColumns({"TrStart": F.col("lo") - 200, "TrEnd": F.col("hi") + 70, "TrID": name("S", F.size(chain.sites(F.col("SSC"))).cast("string")), "GeneID": F.concat(F.lit("H"), grp)})
+    reference = one.unionByName(two).withColumn("GeneName", F.col("GeneID"))
+    return N.annotate(t, reference, remap=False).select(*Q.ENDS, "uniqueTr", "TrID", "GeneID", "route")
+
+
 @query("""SELECT Chr, Strand, SSC, TrStart, TrEnd, min(TrID) AS TrID, min(GeneID) AS GeneID FROM (SELECT *, lo AS TrStart, hi AS TrEnd FROM model UNION ALL SELECT * REPLACE (concat(TrID, '_2') AS TrID), lo, hi FROM model) GROUP BY ALL""")
 def assessment_table(spark, sf):
     m = model(spark, sf)

@@ -6,7 +6,8 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -59,3 +60,17 @@ class Staged:
         for name in names:
             path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
             path.getFileSystem(conf).delete(path, True)
+
+
+def numbered(df: DataFrame, order: list[str], into: str, staged: Staged) -> DataFrame:
+    """Rows with their number from 0 by ``order``, in a written table.
+
+    Rows are sorted over ranges, and numbered within them; how many rows earlier ranges have is
+    carried over one row a range. Equal rows are numbered in any order.
+    """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    first, at = F.spark_partition_id().alias("range_of_rows"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("place_in_range")
+    table = staged.write(df.repartitionByRange(max(1, ranges), *order).sortWithinPartitions(*order).select("*", first, at), into)
+    before = F.coalesce(F.sum("count").over(Window.orderBy("range_of_rows").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = table.groupBy("range_of_rows").count().select("range_of_rows", before.alias("rows_before"))
+    return table.join(F.broadcast(starts), "range_of_rows").select(*df.columns, (F.col("place_in_range") + F.col("rows_before")).alias(into))
