@@ -269,10 +269,13 @@ def rescue_samples(kept: DataFrame, raw: DataFrame, model: DataFrame) -> DataFra
 def categories(chains: DataFrame, reference: DataFrame) -> DataFrame:
     """Adds category by the reference chains of the locus: FSM has an equal one, NIC only
     their sites, NNC another site. Both tables have Group."""
-    known = reference.groupBy(*LOCUS).agg(F.collect_set("SSC").alias("_chains"), F.array_distinct(F.flatten(F.collect_set(chain.sites(F.col("SSC"))))).alias("_sites"))
-    out = chains.join(known, LOCUS, "left")
-    new = F.size(F.array_except(chain.sites(F.col("SSC")), F.coalesce("_sites", F.array().cast("array<bigint>"))))
-    return out.withColumn("category", F.when(F.array_contains("_chains", F.col("SSC")), "FSM").when(new == 0, "NIC").otherwise("NNC")).drop("_chains", "_sites")
+    same = reference.select(*LOCUS, "SSC", F.lit(True).alias("_same")).distinct()
+    sites = reference.select(*LOCUS, F.explode(chain.sites(F.col("SSC"))).alias("site"), F.lit(True).alias("_known")).distinct()
+    # chains with a site that the reference lacks; sites travel one by one, never a locus at once
+    used = chains.select(*LOCUS, "SSC", F.explode(F.array_distinct(chain.sites(F.col("SSC")))).alias("site"))
+    new = used.join(sites, [*LOCUS, "site"], "left_anti").select(*LOCUS, "SSC", F.lit(True).alias("_new")).distinct()
+    out = chains.join(same, [*LOCUS, "SSC"], "left").join(new, [*LOCUS, "SSC"], "left")
+    return out.withColumn("category", F.when(F.col("_same"), "FSM").when(F.col("_new"), "NNC").otherwise("NIC")).select(*chains.columns, "category")
 
 
 def sub_chain_sources(chains: DataFrame) -> DataFrame:
@@ -289,11 +292,16 @@ def truncation(chains: DataFrame, source_share: float = 0.5, locus_share: float
     """Adds truncation: "no" without a source, or with the given share both of the reads of
     chain and sources and of the locus; else "yes". A chain whose ``tss_score`` column is
     ``tss_rescue`` or more starts by itself and has no source; what is no number counts as 0."""
-    s = sub_chain_sources(chains).groupBy(*LOCUS, "SSC").agg(F.sum("source_frequency").alias("_source"))
-    out = chains.withColumn("_all", F.sum("frequency").over(Window.partitionBy(*LOCUS))).join(s, [*LOCUS, "SSC"], "left")
+    own = chain.sites(F.col("SSC"))
+    # parts of a chain that begin at an exon end: each has this chain as a source
+    counts = F.sequence(F.lit(1), F.floor(F.size(own) / 2).cast("int") - 1)
+    inner = F.flatten(F.transform(counts, lambda n: F.transform(F.sequence(F.lit(0), F.floor(F.size(own) / 2).cast("int") - n), lambda i: F.slice(own, 2 * i + 1, 2 * n))))
+    parts = chains.where(F.size(own) >= 4).select(*LOCUS, "frequency", F.explode(F.array_distinct(inner)).alias("_sites"))
+    s = parts.groupBy(*LOCUS, "_sites").agg(F.sum("frequency").alias("_source"))
+    out = chains.withColumns({"_all": F.sum("frequency").over(Window.partitionBy(*LOCUS)), "_sites": own}).join(s, [*LOCUS, "_sites"], "left")
     strong = (F.col("frequency") / (F.col("frequency") + F.col("_source")) >= source_share) & (F.col("frequency") / F.col("_all") >= locus_share)
     own = F.lit(False)
     if tss_score:
         score = F.col(tss_score).cast("string").try_cast("double")
         own = F.coalesce(~F.isnan(score) & (score >= tss_rescue), F.lit(False))
-    return out.withColumn("truncation", F.when(F.col("_source").isNull() | strong | own, "no").otherwise("yes")).drop("_all", "_source")
+    return out.withColumn("truncation", F.when(F.col("_source").isNull() | strong | own, "no").otherwise("yes")).select(*chains.columns, "truncation")

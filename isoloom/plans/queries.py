@@ -15,6 +15,7 @@ from isoloom.operators import annotate as N
 from isoloom.operators import chains as C
 from isoloom.operators import curate as U
 from isoloom.operators import graphs, guards
+from isoloom.operators import guided as H
 from isoloom.operators import quantify as Q
 from isoloom.operators import remap as R
 from isoloom.operators import reports as P
@@ -152,6 +153,10 @@ def reference(spark: SparkSession, sf: str) -> DataFrame:
     return located(spark, sf).where((F.col("frequency") >= 20) & (F.col("Group") % 2 == 0) & (F.size(F.split("SSC", "-")) >= 4))
 
 
+def known_chains(spark: SparkSession, sf: str) -> DataFrame:
+    return H.mark_known(located(spark, sf), reference(spark, sf))
+
+
 def model(spark: SparkSession, sf: str) -> DataFrame:
     gene = F.concat(F.lit("G"), F.col("Group").cast("string"))
     return located(spark, sf).where("frequency >= 20").withColumns({"GeneID": gene, "TrID": F.concat(gene, F.lit("_"), "SSC"), "TrStart": F.col("lo"), "TrEnd": F.col("hi")})
@@ -299,6 +304,37 @@ def fragment_removal(spark, sf):
     return C.drop_fragments_of(g, C.jump_errors(g, ratio=0.5)).select(*C.KEY)
 
 
+GUIDED = """kn AS (SELECT ex.*, bool_or(known) OVER (PARTITION BY grp) AS guided FROM (SELECT ex.*, frequency >= 20 AND grp % 2 = 0 AND len(t) >= 4 AS known FROM ex) ex),
+ks AS (SELECT Chr, Strand, grp, site, sum(frequency) AS f, bool_or(known) AS known, bool_or(guided) AS guided FROM (SELECT *, unnest(t) AS site FROM kn) GROUP BY ALL),
+kw AS (SELECT kn.*, k, ext[i:i + k - 1] AS p, i FROM kn, (SELECT unnest([2, 4, 6]) AS k), LATERAL (SELECT unnest(range(1, len(ext) - k + 2)) AS i))"""
+
+
+@query(f"""SELECT Chr, Strand, grp AS {G}, CASE WHEN f <= f2 THEN site ELSE s2 END AS site FROM (SELECT *, lead(site) OVER w AS s2, lead(f) OVER w AS f2, lead(known) OVER w AS k2 FROM ks WINDOW w AS (PARTITION BY grp ORDER BY site))
+WHERE s2 - site <= 10 AND least(f, f2) / greatest(f, f2) <= CASE WHEN guided THEN 0.3 ELSE 0.2 END AND NOT CASE WHEN f <= f2 THEN known ELSE k2 END GROUP BY ALL""", with_=GUIDED)
+def guided_error_sites(spark, sf):
+    return H.error_sites(known_chains(spark, sf), ratio=0.2, ratio_ref=0.3)
+
+
+@query(f"""SELECT DISTINCT Chr, Strand, grp AS {G}, array_to_string(CASE WHEN n >= j THEN [a, d] ELSE rarest END, '-') AS fragment FROM (SELECT Chr, Strand, grp, p[1] AS a, p[4] AS d, sum(frequency) AS n, bool_or(known) AS known, bool_or(guided) AS guided, min({{'f': frequency, 'p': p}}).p AS rarest
+FROM kw WHERE k = 4 AND i % 2 = 0 AND p[3] - p[2] <= 30 GROUP BY Chr, Strand, grp, p[1], p[4]) x JOIN (SELECT grp, p[1] AS a, p[2] AS d, sum(frequency) AS j FROM kw WHERE k = 2 GROUP BY ALL) y USING (grp, a, d)
+WHERE least(n, j) / greatest(n, j) < CASE WHEN guided THEN 0.7 ELSE 0.5 END AND (n >= j OR NOT (guided AND known))""", with_=GUIDED)
+def guided_jumps(spark, sf):
+    return H.jump_errors(known_chains(spark, sf), ratio=0.5, ratio_ref=0.7).withColumn("fragment", chain.joined(F.col("fragment")))
+
+
+@query(f"""SELECT DISTINCT Chr, Strand, grp AS {G}, array_to_string(fr, '-') AS fragment FROM (SELECT a.Chr, a.Strand, a.grp, unnest(list_concat(CASE WHEN (a.known OR NOT a.guided) AND b.frequency / a.frequency < CASE WHEN a.guided THEN 0.9 ELSE 0.8 END THEN [b.p[2:3]] ELSE [] END,
+CASE WHEN (b.known OR NOT a.guided) AND a.frequency / b.frequency < CASE WHEN a.guided THEN 0.9 ELSE 0.8 END THEN [a.p[2:5]] ELSE [] END)) AS fr FROM kw a JOIN kw b ON a.grp = b.grp AND a.p[1] = b.p[1] AND a.p[6] = b.p[4]
+WHERE a.k = 6 AND b.k = 4 AND a.i % 2 = 1 AND a.i + 5 < len(a.ext) AND a.p[4] - a.p[3] <= 30 AND abs(a.p[2] - a.p[1] + a.p[4] - a.p[3] + a.p[6] - a.p[5] - b.p[2] + b.p[1] - b.p[4] + b.p[3]) <= 1000 AND len(list_filter(b.p, lambda x: NOT list_contains(a.p, x))) > 0)""", with_=GUIDED)
+def guided_misalign(spark, sf):
+    return H.misaligned_errors(known_chains(spark, sf), apart=1000, ratio=0.8, ratio_ref=0.9).withColumn("fragment", chain.joined(F.col("fragment")))
+
+
+@query()
+def guided_graph_filter(spark, sf):
+    g = located(spark, sf)
+    return H.filter_graph(g, C.supported(g), reference(spark, sf)).select(*C.KEY, "frequency", "category")
+
+
 @query("""SELECT Chr, Strand, SSC, frequency FROM c WHERE frequency >= 40 OR (Chr, Strand, SSC) IN (SELECT (Chr, Strand, SSC) FROM ref)""")
 def fsm_rescue(spark, sf):
     raw = C.collapse(good(spark, sf))
