@@ -65,6 +65,13 @@ def loci(chains: DataFrame, width: int = 100_000) -> DataFrame:
     return placed.join(spans, [*strand, "_s", "_e"]).drop("_s", "_e")
 
 
+def loci_with(chains: DataFrame, reference: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both tables with Group, from one numbering of all their chains, so that a locus has one number in
+    both; a Group that the reference has already is replaced."""
+    both = loci(chains.select(*KEY).unionByName(reference.select(*KEY)).distinct())
+    return chains.drop("Group").join(both, KEY), reference.drop("Group").join(both, KEY)
+
+
 def attach_motifs(chains: DataFrame, motifs: DataFrame) -> DataFrame:
     """Adds junction from (Chr, Strand, SSC, junction); "none" where there is none."""
     return chains.join(motifs, KEY, "left").withColumn("junction", F.coalesce("junction", F.lit("none")))

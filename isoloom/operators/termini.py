@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from isoloom.functions import chain
 from isoloom.operators.chains import KEY
+from isoloom.stages import Staged
 
 
 def modes(reads: DataFrame) -> DataFrame:
@@ -14,15 +15,16 @@ def modes(reads: DataFrame) -> DataFrame:
     return reads.where("SSC is not null").groupBy(*KEY).agg(F.expr("mode() within group (order by TrStart)").alias("start_mode"), F.expr("mode() within group (order by TrEnd desc)").alias("end_mode"))
 
 
-def clusters(values: DataFrame, keys: list[str], value: str, eps: int = 15, least: int = 20, share: float = 0.1) -> DataFrame:
+def clusters(values: DataFrame, keys: list[str], value: str, eps: int = 15, least: int = 20, share: float = 0.1, n: str | None = None) -> DataFrame:
     """Adds cluster to rows of values: density clusters in one dimension, null for noise.
 
     A value is core if max(floor(share * n), least) rows, itself included, lie within
     eps. Cores at most eps apart share a cluster; other values take that of the
-    nearest core within eps, of ties the lower. Windows run on distinct values.
+    nearest core within eps, of ties the lower. Windows run on distinct values. ``n`` is the
+    column that counts the rows that a row stands for.
     """
     w = Window.partitionBy(*keys).orderBy(value)
-    v = values.groupBy(*keys, value).agg(F.count("*").alias("n"))
+    v = values.groupBy(*keys, value).agg((F.sum(n) if n else F.count("*")).alias("n"))
     v = v.withColumns({"all": F.sum("n").over(Window.partitionBy(*keys)), "near": F.sum("n").over(w.rangeBetween(-eps, eps))})
     v = v.withColumn("core", F.col("near") >= F.greatest(F.floor(F.col("all") * share), F.lit(least)))
     core = v.where("core")
@@ -36,27 +38,31 @@ def clusters(values: DataFrame, keys: list[str], value: str, eps: int = 15, leas
     return values.join(v.select(*keys, value, pick.alias("cluster")), [*keys, value])
 
 
-def terminal_sites(reads: DataFrame, side: str) -> DataFrame:
-    """(chain, cluster, site, n): mode of each cluster of read starts or ends."""
+def terminal_sites(reads: DataFrame, side: str, n: str | None = None) -> DataFrame:
+    """(chain, cluster, site, n): most frequent value of each cluster of read starts or ends, of ties the
+    outermost. ``n`` is the column that counts the reads of a row, where rows are not single reads."""
     value = "TrStart" if side == "start" else "TrEnd"
-    mode = "mode() within group (order by %s%s)" % (value, "" if side == "start" else " desc")
-    c = clusters(reads.where("SSC is not null").select(*KEY, value), KEY, value).where("cluster is not null")
-    return c.groupBy(*KEY, "cluster").agg(F.expr(mode).alias("site"), F.count("*").alias("n"))
+    given = reads.where("SSC is not null").groupBy(*KEY, value).agg((F.sum(n) if n else F.count("*")).alias("n"))
+    c = clusters(given, KEY, value, n="n").where("cluster is not null")
+    outer = F.col(value) if side == "start" else -F.col(value)
+    return c.groupBy(*KEY, "cluster").agg(F.min_by(value, F.struct(-F.col("n"), outer)).alias("site"), F.sum("n").alias("n"))
 
 
-def terminal_pairs(reads: DataFrame) -> DataFrame:
+def terminal_pairs(reads: DataFrame, n: str | None = None) -> DataFrame:
     """(chain, TrStart, TrEnd, frequency): pairs of clustered ends that reads have.
 
     One start and one end are a pair. Else pairs count that occur among the reads;
     a single one takes all reads, several share them by the distinct raw pairs
     nearest to each, rounded half to even, and without any the outermost clustered
-    ends do. Chains without a cluster take their outermost reads.
+    ends do. Chains without a cluster take their outermost reads. ``n`` is the column that
+    counts the reads of a row, where rows are not single reads. The counted pairs of ends
+    and the clustered ends are written once, for all that is made of them.
     """
-    spliced = reads.where("SSC is not null")
-    raw = spliced.groupBy(*KEY, "TrStart", "TrEnd").agg(F.count("*").alias("n"))
+    staged = Staged(reads.sparkSession, "ends")
+    raw = staged.write(reads.where("SSC is not null").groupBy(*KEY, "TrStart", "TrEnd").agg((F.sum(n) if n else F.count("*")).alias("n")), "raw")
     whole = raw.groupBy(*KEY).agg(F.sum("n").alias("all"), F.count("*").alias("pairs"), F.min("TrStart").alias("lo"), F.max("TrEnd").alias("hi"))
-    s = terminal_sites(reads, "start").select(*KEY, F.col("site").alias("s"))
-    e = terminal_sites(reads, "end").select(*KEY, F.col("site").alias("e"))
+    s = staged.write(terminal_sites(raw, "start", "n").select(*KEY, F.col("site").alias("s")), "starts")
+    e = staged.write(terminal_sites(raw, "end", "n").select(*KEY, F.col("site").alias("e")), "ends")
     both = s.join(e, KEY)
     count = both.groupBy(*KEY).agg(F.count("*").alias("made"), F.min("s").alias("s0"), F.max("e").alias("e0"))
     seen = both.join(raw.select(*KEY, F.col("TrStart").alias("s"), F.col("TrEnd").alias("e")), [*KEY, "s", "e"], "left_semi")

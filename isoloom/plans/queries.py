@@ -391,7 +391,7 @@ def dbscan_termini(spark, sf):
 
 @query()
 def terminal_pairs(spark, sf):
-    return T.terminal_pairs(good(spark, sf))
+    return T.terminal_pairs(placed_reads(spark, sf), "n")
 
 
 @query("""SELECT Chr, Strand, SSC, x.s AS model_SSC, round(x.d, 6) AS distance FROM (SELECT c.Chr, c.Strand, c.SSC, min({'d': list_distance(CAST(st.t AS DOUBLE[]), CAST(m.t AS DOUBLE[])), 's': m.SSC}) AS x
@@ -930,11 +930,12 @@ def isoform_pipeline(spark, sf):
     """Reads to transcripts with ends, category, truncation and tails."""
     stages = Staged(spark, "pipeline")
     reads = placed_reads(spark, sf)
-    g = stages.write(C.loci(C.supported(collapsed(spark, sf))), "loci")
-    g = stages.write(C.drop_sites(g, C.error_sites(g)), "sites")
-    g = stages.write(C.drop_fragments_of(g, C.jump_errors(g)), "jumps")
-    ends = T.terminal_pairs(good(spark, sf)).withColumnRenamed("frequency", "reads")
-    out = C.truncation(C.categories(g, reference(spark, sf))).join(ends, C.KEY)
+    g, known = C.loci_with(C.supported(collapsed(spark, sf)), reference(spark, sf))
+    g, known = stages.write(H.mark_known(g, known), "loci"), stages.write(known.select(*C.KEY, "Group"), "known")
+    g = stages.write(C.drop_sites(g, H.error_sites(g)), "sites")
+    g = stages.write(H.drop_fragments(g, H.jump_errors(g)).drop("known"), "jumps")
+    ends = T.terminal_pairs(reads, "n").withColumnRenamed("frequency", "reads")
+    out = C.truncation(C.categories(g, known)).join(ends, C.KEY)
     named = stages.write(Q.novel_ids(out.drop("lo", "hi")), "named")
     return T.polya_fraction(T.correct_reads(reads, named), named, "n", "n_tails")
 

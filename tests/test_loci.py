@@ -83,3 +83,25 @@ def test_reads_are_corrected_within_100(spark):
     reads = spark.createDataFrame([read(920, 5000), read(900, 5000), read(899, 5000), read(930, 5070), read(1060, 4920), read(940, 5081)], schema)
     got = sorted((r.TrStart, r.TrEnd) for r in T.correct_reads(reads, model).collect())
     assert got == sorted([(1000, 5000)] * 4 + [(899, 5000), (940, 5081)])
+
+
+def test_reference_and_chains_have_one_numbering(spark):
+    schema = "Chr string, Strand string, SSC string, Group long"
+    chains = spark.createDataFrame([("a", "+", "500-600", 9), ("b", "+", "5-6", 9)], schema)
+    # loci of the reference alone lie before those of the chains
+    reference = spark.createDataFrame([("a", "+", "1-2", 0), ("a", "+", "550-700", 1), ("a", "+", "500-600", 1), ("c", "-", "1-2", 2)], schema)
+    c, r = C.loci_with(chains, reference)
+    assert sorted((x.Chr, x.SSC, x.Group) for x in c.collect()) == [("a", "500-600", 1), ("b", "5-6", 2)]
+    assert sorted((x.Chr, x.SSC, x.Group) for x in r.collect()) == [("a", "1-2", 0), ("a", "500-600", 1), ("a", "550-700", 1), ("c", "1-2", 3)]
+    assert {x.SSC: x.category for x in C.categories(c, r).collect()} == {"500-600": "FSM", "5-6": "NNC"}
+
+
+def test_counted_reads_have_the_same_ends(spark):
+    rng = random.Random(2)
+    rows = [("c", "+", t, 100 * rng.randint(0, 2) + rng.randint(0, 9), 900 + 100 * rng.randint(0, 1) + rng.randint(0, 9)) for t in ("10-20", "10-30") for _ in range(300)]
+    reads = spark.createDataFrame(rows, "Chr string, Strand string, SSC string, TrStart long, TrEnd long")
+    counted = reads.groupBy(*reads.columns).count()
+    listed = lambda df: sorted(map(tuple, df.collect()))
+    assert listed(T.terminal_pairs(reads)) == listed(T.terminal_pairs(counted, "count"))
+    for side in ("start", "end"):
+        assert listed(T.terminal_sites(reads, side)) == listed(T.terminal_sites(counted, side, "count"))
