@@ -312,3 +312,12 @@ def truncation(chains: DataFrame, source_share: float = 0.5, locus_share: float
         score = F.col(tss_score).cast("string").try_cast("double")
         own = F.coalesce(~F.isnan(score) & (score >= tss_rescue), F.lit(False))
     return out.withColumn("truncation", F.when(F.col("_source").isNull() | strong | own, "no").otherwise("yes")).select(*chains.columns, "truncation")
+
+
+def drop_truncated(chains: DataFrame, reference: DataFrame | None = None) -> DataFrame:
+    """Chains that are not called truncated, and those that the reference has (FSM), however they are called.
+    A chain without a call goes, unless the reference has it."""
+    if reference is None:
+        return chains.where("truncation = 'no'")
+    known = chains.join(reference.select(*KEY).distinct(), KEY, "left_semi").where("truncation is null or truncation <> 'no'")
+    return chains.where("truncation = 'no'").unionByName(known)

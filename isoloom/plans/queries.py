@@ -358,6 +358,16 @@ def truncation_calls(spark, sf):
     return C.truncation(located(spark, sf), locus_share=0.2).select(*C.KEY, "truncation")
 
 
+@query("""SELECT Chr, Strand, g.SSC, CASE WHEN s IS NULL OR (frequency / (frequency + s) >= 0.5 AND frequency / a >= 0.5) OR (frequency % 4 > 0 AND frequency % 10 >= 5) THEN 'no' ELSE 'yes' END AS truncation
+FROM (SELECT *, sum(frequency) OVER (PARTITION BY grp) AS a FROM g) g LEFT JOIN (SELECT grp, SSC, sum(sf) AS s FROM src GROUP BY ALL) x ON x.grp = g.grp AND x.SSC = g.SSC
+WHERE truncation = 'no' OR (Chr, Strand, g.SSC) IN (SELECT (Chr, Strand, SSC) FROM ref)""")
+def truncation_filter(spark, sf):
+    """Chains with starts of their own or known ones stay; a score that was not found is "no"."""
+    score = F.when(F.col("frequency") % 4 == 0, "no").otherwise((F.col("frequency") % 10 / 50).cast("string"))
+    called = C.truncation(located(spark, sf).withColumn("tss", score), tss_score="tss")
+    return C.drop_truncated(called, reference(spark, sf)).select(*C.KEY, "truncation")
+
+
 @query("SELECT Chr, Strand, SSC, CAST(sum(frequency) AS BIGINT) AS frequency, count(DISTINCT sample) AS samples, min(lo) AS lo, max(hi) AS hi FROM bysample GROUP BY ALL")
 def sample_merge(spark, sf):
     return C.merge_samples(C.collapse(good(spark, sf), ("sample",)))

@@ -176,3 +176,11 @@ def test_truncation(df, rows):
     got = {(r.Chr, r.Strand, r.Group, r.SSC): r.truncation for r in C.truncation(df, locus_share=0.2).collect()}
     assert got == want and set(want.values()) == {"yes", "no"}
     assert C.truncation(df.limit(0)).count() == 0
+
+
+def test_drop_truncated(spark):
+    rows = [("c", "+", "1-2", "no"), ("c", "+", "1-3", "yes"), ("c", "+", "1-4", "yes"), ("c", "-", "1-4", "yes"), ("c", "+", "1-5", None), ("c", "+", "1-6", None)]
+    df = spark.createDataFrame(rows, "Chr string, Strand string, SSC string, truncation string")
+    ref = spark.createDataFrame([("c", "+", t, 1) for t in ("1-2", "1-2", "1-4", "1-5")], "Chr string, Strand string, SSC string, n int")
+    assert sorted(r.SSC for r in C.drop_truncated(df, ref).collect()) == ["1-2", "1-4", "1-5"]
+    assert [r.SSC for r in C.drop_truncated(df).collect()] == ["1-2"] and C.drop_truncated(df.limit(0), ref).count() == 0
