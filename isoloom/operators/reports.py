@@ -105,3 +105,13 @@ def write_junctions(junctions: DataFrame, path: str) -> None:
 def write_table(table: DataFrame, path: str, order: Sequence[str] = ()) -> None:
     """A table as tab-separated files with headers, sorted over all files; matrices, maps and assessments."""
     (table.orderBy(*order) if order else table).write.option("sep", "\t").option("header", "true").option("nullValue", "").mode("overwrite").csv(path)
+
+
+def write_polya(profiles: DataFrame, path: str, raw: bool = False) -> None:
+    """Tail lengths of transcripts or genes (``polya_profiles``) as Parquet, which has list columns.
+
+    ``raw`` writes raw_polyA_lengths, a float for each tail, in place of lengths with their counts;
+    such a row grows with the reads of its transcript.
+    """
+    each = F.flatten(F.transform("lengths", lambda x: F.array_repeat(x["length"].cast("float"), x["n"].cast("int"))))
+    (profiles.withColumn("raw_polyA_lengths", each).drop("lengths") if raw else profiles).write.mode("overwrite").parquet(path)

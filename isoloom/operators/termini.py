@@ -135,6 +135,28 @@ def polya_lengths(reads: DataFrame, keys: list[str]) -> DataFrame:
     return t.agg(F.round(F.median("polyA_len"), 1).alias("polyA_median"), F.round(F.avg("polyA_len"), 1).alias("polyA_mean"), F.count("*").alias("polyA_count"))
 
 
+def polya_profiles(reads: DataFrame, keys: list[str], n: str | None = None) -> DataFrame:
+    """(keys, polyA_median, polyA_mean, polyA_count, lengths): tails over 0 of each key, lengths as an array of
+    structs (length, n) in order.
+
+    A key's row grows with the lengths that occur, not with its reads, so a key with a third of all
+    reads is a short row, too. Median and mean have one decimal and are those of ``polya_lengths``.
+    ``n`` is the column that counts the reads of a row, where rows are not single reads. Keys
+    without tails have no row.
+    """
+    counted = reads.where("polyA_len > 0").groupBy(*keys, F.col("polyA_len").alias("length")).agg((F.sum(n) if n else F.count("*")).alias("n"))
+    t = counted.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("length", "n"))).alias("lengths"))
+    total = chain.total(F.transform("lengths", lambda x: x["n"]))
+    t = t.withColumn("polyA_count", total)
+    # the lengths that stand at a place, from 0, in the row of all tails
+    upto = F.transform("lengths", lambda x, i: F.struct(chain.total(F.transform(F.slice("lengths", 1, i + 1), lambda y: y["n"])).alias("end"), x["length"].alias("length")))
+    t = t.withColumn("upto", upto)
+    at = lambda k: F.filter("upto", lambda x: x["end"] > k)[0]["length"]
+    middle = (at(F.floor((F.col("polyA_count") - 1) / 2)) + at(F.floor(F.col("polyA_count") / 2))) / 2
+    mean = F.aggregate("lengths", F.lit(0.0), lambda s, x: s + x["length"] * x["n"]) / F.col("polyA_count")
+    return t.select(*keys, F.round(middle, 1).alias("polyA_median"), F.round(mean, 1).alias("polyA_mean"), "polyA_count", "lengths")
+
+
 def single_exon_overlaps(single: DataFrame, multi: DataFrame, bin_width: int = 10_000) -> DataFrame:
     """single with is_intergenic_or_antisense: no multi-exon row of the strand overlaps
     [TrStart, TrEnd]. Both sides meet in the bins that they touch."""

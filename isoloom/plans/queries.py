@@ -180,6 +180,7 @@ def contigs(spark: SparkSession) -> DataFrame:
     return spark.range(1, 6).select(F.concat(F.lit("chr"), F.col("id").cast("string")).alias("contig"), F.repeat(repeats, 100_000).alias("seq"))
 
 
+@stage
 def counted(spark: SparkSession, sf: str) -> DataFrame:
     return Q.transcript_counts(corrected(spark, sf), transcripts(spark, sf), "n")
 
@@ -453,6 +454,13 @@ def polya_len_gene(spark, sf):
     return T.polya_lengths(good(spark, sf).join(model(spark, sf).select(*C.KEY, "GeneID"), C.KEY), ["GeneID"])
 
 
+@query("""SELECT GeneID, round(median(polyA_len), 1) AS polyA_median, round(avg(polyA_len), 1) AS polyA_mean, count(*) AS polyA_count,
+(SELECT string_agg(concat(l, ':', n), ',' ORDER BY l) FROM (SELECT unnest(map_keys(h)) AS l, unnest(map_values(h)) AS n FROM (SELECT histogram(polyA_len) AS h))) AS lengths FROM q JOIN model USING (Chr, Strand, SSC) WHERE polyA_len > 0 GROUP BY ALL""")
+def polya_profile_gene(spark, sf):
+    p = T.polya_profiles(good(spark, sf).join(model(spark, sf).select(*C.KEY, "GeneID"), C.KEY), ["GeneID"])
+    return p.withColumn("lengths", F.array_join(F.transform("lengths", lambda x: F.concat_ws(":", x["length"], x["n"])), ","))
+
+
 SE = "(SELECT Chr, Strand, TrStart, TrEnd, count(*) AS frequency, count(*) FILTER (WHERE polyA_len > 0) AS v, count(*) AS n FROM q WHERE SSC IS NULL GROUP BY ALL)"
 SO = f"""SELECT s.*, NOT EXISTS (SELECT 1 FROM model m WHERE m.Chr = s.Chr AND m.Strand = s.Strand AND m.grp % 3 = 0 AND s.TrStart <= m.hi AND m.lo <= s.TrEnd) AS free FROM {SE} s"""
 

@@ -100,3 +100,25 @@ def test_write_table(spark, tmp_path):
     P.write_table(spark.createDataFrame([(2, None), (1, "x")], "a int, b string").repartition(2), str(tmp_path / "t"), ["a"])
     lines = [line for f in sorted((tmp_path / "t").glob("part-*.csv")) for line in f.read_text().splitlines()]
     assert [x for x in lines if x != "a\tb"] == ["1\tx", "2\t"] and "a\tb" in lines
+
+
+def test_polya_profiles(spark, tmp_path):
+    import random
+    import statistics
+
+    from isoloom.operators import termini as T
+
+    rng = random.Random(1)
+    rows = [(k, rng.choice([0, 3, 4, 9, 50])) for k in "aab" for _ in range(41)] + [("b", 7), ("c", 0), ("d", None), ("e", 5)]
+    df = spark.createDataFrame(rows, "k string, polyA_len int")
+    tails = {}
+    for k, n in rows:
+        if n:
+            tails.setdefault(k, []).append(n)
+    want = {k: (round(statistics.median(v), 1), round(sum(v) / len(v) + 1e-9, 1), len(v), sorted(v)) for k, v in tails.items()}
+    P.write_polya(T.polya_profiles(df, ["k"]), str(tmp_path / "short"))
+    P.write_polya(T.polya_profiles(df.groupBy("k", "polyA_len").count(), ["k"], "count"), str(tmp_path / "raw"), raw=True)
+    short = {r.k: (r.polyA_median, r.polyA_mean, r.polyA_count, [x.length for x in r.lengths for _ in range(x.n)]) for r in spark.read.parquet(str(tmp_path / "short")).collect()}
+    raw = {r.k: (r.polyA_median, r.polyA_mean, r.polyA_count, [int(x) for x in r.raw_polyA_lengths]) for r in spark.read.parquet(str(tmp_path / "raw")).collect()}
+    assert short == want and raw == want
+    assert {tuple(r) for r in T.polya_lengths(df, ["k"]).collect()} == {(k, *v[:3]) for k, v in want.items()}
