@@ -44,6 +44,12 @@ def exons(start: Column, chain: Column, end: Column) -> Column:
     return pairs(F.concat(F.array(start.cast("bigint")), even, F.array(end.cast("bigint"))))
 
 
+def all_sites(start: Column, chain: Column, end: Column) -> Column:
+    """Sites of a chain and both ends, ascending; ends that are null are left out."""
+    ends = F.array_compact(F.array(start.cast("bigint"), end.cast("bigint")))
+    return F.array_sort(F.concat(chain, ends))
+
+
 def windows(values: Column, k: int, every: int = 1) -> Column:
     """Slices of k values in a row, starting at each ``every``-th."""
     last = F.size(values) - k

@@ -321,3 +321,28 @@ def drop_truncated(chains: DataFrame, reference: DataFrame | None = None) -> Dat
         return chains.where("truncation = 'no'")
     known = chains.join(reference.select(*KEY).distinct(), KEY, "left_semi").where("truncation is null or truncation <> 'no'")
     return chains.where("truncation = 'no'").unionByName(known)
+
+
+def attach_categories(table: DataFrame, classified: DataFrame) -> DataFrame:
+    """table with the category that its chain has among the classified ones (the smallest, if several loci
+    give it some), null where it is none of them. A category that is there already is replaced."""
+    of = classified.groupBy(*KEY).agg(F.min("category").alias("category"))
+    return table.drop("category").join(of, KEY, "left")
+
+
+def loci_with_data(chains: DataFrame, source: str = "source", reference: str = "ref") -> DataFrame:
+    """Chains of the loci that do not consist of reference chains alone; a null source counts as data."""
+    good = chains.groupBy(*LOCUS).agg(F.bool_or(F.coalesce(F.col(source) != reference, F.lit(True))).alias("_data")).where("_data")
+    return chains.join(good.select(*LOCUS), LOCUS, "left_semi")
+
+
+def with_single_exons(spliced: DataFrame, single: DataFrame, missing: dict[str, object] | None = None) -> DataFrame:
+    """Spliced chains and the single-exon rows that were routed past the graph filters, in one table.
+
+    Single-exon rows have neither chain nor locus: SSC and Group are null. Columns that one side lacks
+    are null there, but for those in ``missing``, whose value single-exon rows get. No single-exon
+    rows leave the chains as they are.
+    """
+    own = {c: F.lit(v) for c, v in (missing or {}).items() if c not in single.columns}
+    rows = single.withColumns({**own, "SSC": F.lit(None).cast("string"), "Group": F.lit(None).cast("bigint")})
+    return spliced.unionByName(rows, allowMissingColumns=True)

@@ -17,6 +17,8 @@ log = logging.getLogger(__name__)
 #: Percent of rows dropped from which a stage warns and fails.
 THRESHOLDS = {"1.2": (70.0, 95.0), "1.4": (15.0, 50.0), "1.5": (30.0, 70.0), "1.8": (50.0, 85.0), "2.5b": (50.0, 90.0), "2.6": (60.0, 90.0)}
 OTHERS = (50.0, 80.0)
+#: Contigs whose names tell the style of a file, without and with "chr" before them.
+CANONICAL = (*map(str, range(1, 23)), "X", "Y", "M", "MT")
 RECORD = "timestamp string, stage string, input bigint, output bigint, drop_rate double, level string, metadata string"
 
 
@@ -80,3 +82,50 @@ def require_frames(transcripts: DataFrame, least: int = 50) -> None:
         n, found = transcripts.agg(F.count(F.lit(1)), F.count("TIS_related_location")).first()
         if n > least and not found:
             raise StageError(f"none of {n} transcripts has a reading frame")
+
+
+class ContigError(ValueError):
+    """Reads and sequences do not name their contigs alike."""
+
+
+def contig_shares(reads: DataFrame, sequences: DataFrame) -> DataFrame:
+    """(prefixed, sequences_prefixed, expected, matched) of distinct contig names (Chr on both sides): whether
+    most canonical names of each side begin with chr, and how many of the reads' canonical contigs, in the style
+    of the reads, there are, and have a sequence. A single row."""
+    canonical = F.regexp_replace("Chr", "^chr", "").isin(*CANONICAL)
+    chr_ = F.col("Chr").startswith("chr")
+    told = reads.select("Chr", F.lit(1).alias("r"), F.lit(0).alias("s")).distinct().unionByName(sequences.select("Chr", F.lit(0).alias("r"), F.lit(1).alias("s")).distinct())
+    names = told.where("Chr is not null").groupBy("Chr").agg(F.max("r").alias("r"), F.max("s").alias("s")).where(canonical)
+    count = lambda c: F.coalesce(F.sum(F.when(c, 1).otherwise(0)), F.lit(0))
+    r, s = F.col("r") == 1, F.col("s") == 1
+    n = names.agg(count(r & chr_).alias("rc"), count(r & ~chr_).alias("rb"), count(s & chr_).alias("sc"), count(s & ~chr_).alias("sb"), count(r & s & chr_).alias("bc"), count(r & s & ~chr_).alias("bb"))
+    style = F.col("rc") > F.col("rb")
+    return n.select(style.alias("prefixed"), (F.col("sc") > F.col("sb")).alias("sequences_prefixed"), F.when(style, F.col("rc")).otherwise(F.col("rb")).alias("expected"), F.when(style, F.col("bc")).otherwise(F.col("bb")).alias("matched"))
+
+
+def check_contigs(reads: DataFrame, sequences: DataFrame, warn: float = 0.9, fail: float = 0.5) -> float | None:
+    """The share of the reads' canonical contigs that have a sequence, or None without such contigs.
+
+    Raises ContigError if reads and sequences have different styles, or the share is below
+    ``fail``; logs a warning below ``warn``. Reads without contigs pass.
+    """
+    if not reads.where("Chr is not null").take(1):
+        return None
+    x = contig_shares(reads, sequences).first()
+    if x.prefixed != x.sequences_prefixed:
+        raise ContigError("reads and sequences name contigs in different styles, with and without chr")
+    if not x.expected:
+        return None
+    share = x.matched / x.expected
+    if share < fail:
+        raise ContigError(f"{x.matched} of {x.expected} canonical contigs of the reads have a sequence")
+    if share < warn:
+        log.warning("%d of %d canonical contigs of the reads have a sequence", x.matched, x.expected)
+    return share
+
+
+def when_most_are_dropped(before: DataFrame, after: DataFrame, step: Callable[[DataFrame], DataFrame], share: float = 0.55) -> DataFrame:
+    """step(after), if fewer than ``share`` of the rows were kept so far, else after; both are counted.
+    Without any rows before, after."""
+    n, kept = before.count(), after.count()
+    return step(after) if n and kept / n < share else after

@@ -26,6 +26,33 @@ def transcript_counts(reads: DataFrame, transcripts: DataFrame, n: str | None =
     return found.join(t, ENDS).groupBy("sample", "TrID", "GeneID").agg(F.sum("n").alias("count"))
 
 
+class QuantificationError(RuntimeError):
+    """Samples cannot be counted."""
+
+
+def failed_samples(reads: DataFrame, samples: list[str]) -> DataFrame:
+    """(sample_name, error_type, error_message) of the samples that cannot be counted: those without
+    any spliced read. Samples are compared by name; none of them failing gives no row."""
+    have = reads.where("SSC is not null").select("sample").distinct()
+    asked = reads.sparkSession.createDataFrame([(s,) for s in sorted(set(samples))], "sample string")
+    return asked.join(have, "sample", "left_anti").select(F.col("sample").alias("sample_name"), F.lit("NoReads").alias("error_type"), F.lit("the sample has no spliced reads").alias("error_message"))
+
+
+def quantify(reads: DataFrame, transcripts: DataFrame, samples: list[str], partial: bool = False, failures: str | None = None, n: str | None = None) -> DataFrame:
+    """transcript_counts of the samples asked for, in one job for all.
+
+    A sample that cannot be counted would vanish from the matrices and from what counts are a
+    share of, so it is an error; with ``partial`` the others are counted. Either way the failed
+    ones are written to the folder ``failures``, tab-separated, if there are any.
+    """
+    bad = failed_samples(reads, samples).orderBy("sample_name").collect()  # a row a sample that was asked for
+    if bad and failures:
+        reads.sparkSession.createDataFrame(bad).coalesce(1).write.option("sep", "\t").option("header", "true").mode("overwrite").csv(failures)
+    if bad and (not partial or len(bad) == len(set(samples))):
+        raise QuantificationError(f"no spliced reads in {', '.join(r.sample_name for r in bad)}")
+    return transcript_counts(reads.where(F.col("sample").isin(*samples)), transcripts, n)
+
+
 def expressed(counts: DataFrame, libraries: int, least: int = 1) -> DataFrame:
     """Counts of transcripts that min(libraries, least) libraries have."""
     good = counts.where("count > 0").groupBy("TrID").agg(F.count_distinct("sample").alias("n")).where(F.col("n") >= min(libraries, least))

@@ -44,6 +44,13 @@ def assessment(transcripts: DataFrame, core: Sequence[str] = CORE, optional: Seq
     return one.select(*[F.col("row").getField(c).alias(c) if c in rest else F.col(c) for c in names])
 
 
+def with_ids(transcripts: DataFrame, named: DataFrame) -> DataFrame:
+    """Transcripts that were named, with TrID, GeneID and GeneName, by chain and ends. Columns of these names
+    that are there already are replaced; a place named twice gives a row for each name."""
+    ids = named.select("Chr", "Strand", "SSC", "TrStart", "TrEnd", *MODEL_KEYS).distinct()
+    return transcripts.drop(*MODEL_KEYS).join(ids, ["Chr", "Strand", "SSC", "TrStart", "TrEnd"])
+
+
 def sample_columns(matrix: DataFrame, keys: Sequence[str] = MODEL_KEYS) -> list[str]:
     """The numeric columns of a matrix besides its keys."""
     return [f.name for f in matrix.schema if f.name not in keys and isinstance(f.dataType, NumericType)]

@@ -369,6 +369,50 @@ def truncation_filter(spark, sf):
     return C.drop_truncated(called, reference(spark, sf)).select(*C.KEY, "truncation")
 
 
+@query("""SELECT Chr, Strand, SSC, frequency, CASE WHEN bool_or(rs = SSC) THEN 'FSM' WHEN len(list_filter(any_value(t), lambda x: NOT coalesce(list_contains(list_distinct(flatten(list(rt))), x), false))) = 0 THEN 'NIC' ELSE 'NNC' END AS category
+FROM (SELECT g.*, r.SSC AS rs, r.t AS rt FROM g LEFT JOIN ref r ON g.grp = r.grp WHERE g.frequency >= 5) GROUP BY ALL UNION ALL SELECT Chr, Strand, SSC, frequency, NULL FROM g WHERE frequency < 5""")
+def category_attach(spark, sf):
+    g = located(spark, sf)
+    return C.attach_categories(g, C.categories(C.supported(g), reference(spark, sf))).select(*C.KEY, "frequency", "category")
+
+
+@query(f"SELECT Chr, Strand, SSC, grp AS {G} FROM g WHERE grp IN (SELECT grp FROM g WHERE frequency < 20 AND grp % 3 > 0)")
+def loci_with_data(spark, sf):
+    marked = located(spark, sf).withColumn("source", F.when((F.col("frequency") >= 20) | (F.col("Group") % 3 == 0), "ref").otherwise("data"))
+    return C.loci_with_data(marked).select(*C.KEY, "Group")
+
+
+@query(f"""SELECT Chr, Strand, SSC, grp AS {G}, lo AS TrStart, hi AS TrEnd, frequency, NULL AS nmd FROM g WHERE frequency >= 20
+UNION ALL SELECT Chr, Strand, NULL, NULL, TrStart, TrEnd, count(*), 'no' FROM q WHERE SSC IS NULL GROUP BY Chr, Strand, TrStart, TrEnd""")
+def single_exon_union(spark, sf):
+    m = model(spark, sf).select(*C.KEY, "Group", "TrStart", "TrEnd", "frequency", F.lit(None).cast("string").alias("nmd"))
+    return C.with_single_exons(m, singles(spark, sf).select("Chr", "Strand", "TrStart", "TrEnd", "frequency"), {"nmd": "no"})
+
+
+@query("SELECT TrID, array_to_string(list_sort(list_concat([lo, hi], t)), '-') AS sites FROM model")
+def sorted_sites(spark, sf):
+    return model(spark, sf).select("TrID", chain.joined(chain.all_sites(F.col("TrStart"), chain.sites(F.col("SSC")), F.col("TrEnd"))).alias("sites"))
+
+
+@query("SELECT Chr, Strand, SSC, TrStart, TrEnd, TrID, GeneID, n FROM (SELECT Chr, Strand, SSC, TrStart, TrEnd, count(*) AS n FROM q WHERE SSC IS NOT NULL GROUP BY ALL) JOIN model_tr USING (Chr, Strand, SSC, TrStart, TrEnd)")
+def ids_join(spark, sf):
+    ends = placed_reads(spark, sf).groupBy(*Q.ENDS).agg(F.sum("n").alias("n"))
+    return P.with_ids(ends, transcripts(spark, sf).withColumn("GeneName", F.col("GeneID"))).select(*Q.ENDS, "TrID", "GeneID", "n")
+
+
+@query("""SELECT count(*) FILTER (WHERE Chr LIKE 'chr%') > count(*) FILTER (WHERE Chr NOT LIKE 'chr%') AS prefixed, true AS sequences_prefixed, count(*) AS expected, count(*) FILTER (WHERE Chr IN ('chr1', 'chr2', 'chr3')) AS matched FROM (SELECT DISTINCT Chr FROM reads)""")
+def contig_shares(spark, sf):
+    """Contigs of the reads, of which three have a sequence."""
+    some = contigs(spark).where("contig in ('chr1', 'chr2', 'chr3')").select(F.col("contig").alias("Chr"))
+    return guards.contig_shares(tables.reads(spark, sf), some)
+
+
+@query("SELECT sample, TrID, GeneID, CAST(n AS BIGINT) AS count FROM tc WHERE sample <> 's1'")
+def quantified_samples(spark, sf):
+    """Two samples, and one asked for that has no reads."""
+    return Q.quantify(corrected(spark, sf), transcripts(spark, sf), ["s0", "s2", "none"], partial=True, n="n")
+
+
 @query("SELECT Chr, Strand, SSC, CAST(sum(frequency) AS BIGINT) AS frequency, count(DISTINCT sample) AS samples, min(lo) AS lo, max(hi) AS hi FROM bysample GROUP BY ALL")
 def sample_merge(spark, sf):
     return C.merge_samples(C.collapse(good(spark, sf), ("sample",)))

@@ -70,6 +70,11 @@ def transcripts_of(exons: DataFrame) -> DataFrame:
     return g.select("TrID", "GeneID", "GeneName", "Chr", "Strand", F.element_at(flat, 1).alias("TrStart"), F.element_at(flat, -1).alias("TrEnd"), F.when(F.size("x") > 1, F.array_join(inner.cast("array<string>"), "-")).alias("SSC"))
 
 
+def spliced(annotation: DataFrame) -> DataFrame:
+    """Transcripts of an annotation that have a chain. GeneName is the GeneID where it is null."""
+    return annotation.where("SSC is not null").withColumn("GeneName", F.coalesce("GeneName", "GeneID"))
+
+
 def read_gtf(spark: SparkSession, path: str) -> DataFrame:
     return transcripts_of(parse_gtf(spark.read.text(path)))
 
