@@ -36,8 +36,8 @@ END, BEGIN = b"", b" "
 DISCOUNT = 0.5
 BASE = 1.5
 BITS, PROBES, BLOCK = 14, 9, 1 << 20
-#: Texts that a task works on at a time; a worker's memory grows with it.
-SLICE = 1024
+#: Texts that a task works on at a time, in training and in scoring; a worker's memory grows with it.
+SLICE, SCORED = 1024, 256
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -124,6 +124,8 @@ def train(texts: DataFrame, text_col: str = "text", staged: Staged | None = None
             t = Tokens(part.column(0))
             h, w, _, n = t.pairs()
             yield pa.record_batch([pa.array(t.hash[h].view(np.int64)), pa.array(_mix(t.hash[h], t.hash[w]).view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "g", "n"])
+            del t, h, w, n
+            pa.default_memory_pool().release_unused()
 
     pairs = texts.mapInArrow(two, "h long, g long, n long")
     # in order of h, which then takes hardly any room
@@ -219,8 +221,9 @@ def build_filter(tables: Tables) -> CountFilter:
     if n:
         with freed_shuffles(tables.pairs.sparkSession):
             rows = blocks.toArrow()
-        for i, bits in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
-            out[i] = np.frombuffer(bits, np.uint8)
+        for batch in rows.to_batches():  # a block at a time, without a copy
+            for i, bits in zip(batch.column(0).to_pylist(), batch.column(1)):
+                out[i] = np.frombuffer(bits.as_buffer(), np.uint8)
     return CountFilter(out)
 
 
@@ -264,13 +267,15 @@ def _by_broadcast(docs: DataFrame, tables: Tables, text_col: str) -> DataFrame:
     total = tables.n_tokens + 0.5 * (tables.n_words + 1)
     begin = np.int64(_hash_of(BEGIN)).view(np.uint64)
 
-    @F.pandas_udf(SCORES)
-    def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(SCORES)
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hashes, count, rest, blocks = known.value
         grams = CountFilter(blocks)
-        for series in texts:
-            frames = [_score(Tokens(pa.array(series.iloc[i : i + SLICE], pa.string(), from_pandas=True)), hashes, count, rest, grams, total, begin) for i in range(0, len(series), SLICE)]
-            yield pd.concat(frames, ignore_index=True) if frames else pd.DataFrame(columns=["n_tokens", "n_known", "base_score", "score"])
+        for array in texts:
+            parts = [_score(Tokens(array.slice(i, SCORED)), hashes, count, rest, grams, total, begin) for i in range(0, len(array), SCORED)]
+            table = pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({c: pd.Series([], dtype=t) for c, t in zip(("n_tokens", "n_known", "base_score", "score"), ("int64", "int64", "float64", "float64"))})
+            yield pa.StructArray.from_arrays([pa.array(table[c]) for c in table.columns], names=list(table.columns))
+            pa.default_memory_pool().release_unused()
 
     into = spare(docs, "lm")
     return docs.withColumn(into, run(F.col(text_col).cast("string"))).select(*[col(c) for c in docs.columns], f"{into}.*")
