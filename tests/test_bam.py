@@ -117,3 +117,32 @@ def test_long_cigars_and_odd_files(spark, tmp_path):
     (tmp_path / "cut.bam").write_bytes(whole[: len(whole) // 2])
     with pytest.raises(Exception):
         bam.read_bam(spark, str(tmp_path / "cut.bam")).count()
+
+
+def test_ingest(spark, tmp_path):
+    from isoloom.operators import guards
+    from isoloom.plans.ingest import ingest
+
+    (tmp_path / "bams").mkdir()
+    rows = made(200, 9)
+    write_bam(tmp_path / "bams" / "s1.bam", rows, 1500)
+    write_bam(tmp_path / "bams" / "s2.bam", [(*r[:6], {k: v for k, v in r[6].items() if k != "pt"}) for r in rows[:50]], 60_000)
+    rng = random.Random(2)
+    genome = {c: "".join(rng.choice("ACGT") for _ in range(9000)) for c, _ in CONTIGS}
+    (tmp_path / "g.fa").write_text("".join(f">{c}\n{s}\n" for c, s in genome.items()))
+    got = ingest(spark, str(tmp_path / "bams"), str(tmp_path / "g.fa"), str(tmp_path / "out"), 4000)
+    mapped = [r for r in rows if r[1] != 4 and r[5] != "*"]
+    assert {r.sample: r["count"] for r in got.reads.groupBy("sample").count().collect()} == {"s1": len(mapped), "s2": sum(r in mapped for r in rows[:50])}
+    assert {(r.sample, r.has_polya) for r in got.tails.collect()} == {("s1", True), ("s2", False)}
+    chains = {(r.sample, r.Chr, r.Strand, r.SSC): 0 for r in got.reads.where("SSC is not null").collect()}
+    for r in got.reads.where("SSC is not null").collect():
+        chains[r.sample, r.Chr, r.Strand, r.SSC] += 1
+    assert {(r.sample, r.Chr, r.Strand, r.SSC): r["count"] for r in got.junctions.collect()} == chains and chains
+    turn = str.maketrans("ACGT", "TGCA")
+    for r in got.junctions.collect():
+        a, b = map(int, r.SSC.split("-"))
+        left, right = genome[r.Chr][a : a + 2], genome[r.Chr][b - 3 : b - 1]
+        assert r.junction == (f"{right.translate(turn)[::-1]}-{left.translate(turn)[::-1]}" if r.Strand == "-" else f"{left}-{right}")
+    (tmp_path / "other.fa").write_text(">1\nACGT\n>2\nACGT\n")
+    with pytest.raises(guards.ContigError):
+        ingest(spark, str(tmp_path / "bams"), str(tmp_path / "other.fa"), str(tmp_path / "out2"))
