@@ -96,17 +96,74 @@ class Index:
         return essential
 
     def search(self, terms: np.ndarray, threshold: float) -> list[tuple[int, float]]:
-        """Items whose score for the distinct terms reaches the threshold. If no block's
-        greatest impacts reach it, no posting is read."""
+        """Items whose score for the distinct terms reaches the threshold, by block-max WAND.
+
+        A cursor a term stands on its next item. Cursors in order of their items, the first
+        whose greatest impacts together reach the threshold end at the pivot: no item before it
+        can. If the greatest impacts of the pivot's block do not reach it either, these cursors
+        skip the block, or what of it lies before the next cursor; if all stand on the pivot, it is
+        scored; else those before it skip to it. Most passages end before that, as no block's
+        impacts of all their terms reach the threshold.
+        """
+        limit = threshold - 1e-9
         at = _slices(self.block_starts, terms)
-        bound = np.bincount(self.block_of[at], self.block_most[at], 1)
-        if bound.max() < threshold - 1e-9:
+        if np.bincount(self.block_of[at], self.block_most[at], 1).max() < limit:
             return []
-        at = _slices(self.starts, terms)
-        item = self.item[at]
-        at = at[bound[item // self.block] >= threshold - 1e-9]
-        score = np.bincount(self.item[at], self.impact[at], 1)
-        return [(int(k), float(score[k])) for k in np.flatnonzero(score >= threshold - 1e-9)]
+        out = []
+        cursors = [c for t in terms if (c := Cursor(self, int(t))).item is not None]
+        while cursors:
+            cursors.sort(key=lambda c: c.item)
+            mass, last = 0.0, 0
+            for last, c in enumerate(cursors, 1):
+                mass += c.most
+                if mass >= limit:
+                    break
+            if mass < limit:
+                break
+            pivot = cursors[last - 1].item
+            while last < len(cursors) and cursors[last].item == pivot:
+                last += 1
+            first = cursors[:last]
+            block = pivot // self.block
+            if sum(c.block_most(block) for c in first) < limit:
+                after = (block + 1) * self.block
+                target = min(after, cursors[last].item) if last < len(cursors) else after
+            elif first[0].item == pivot:
+                score = sum(c.impact() for c in first)
+                if score >= limit:
+                    out.append((pivot, float(score)))
+                target = pivot + 1
+            else:
+                target = pivot
+            for c in first:
+                c.skip(target)
+            cursors = [c for c in cursors if c.item is not None]
+        return out
+
+
+class Cursor:
+    """A place in the postings of a term."""
+
+    def __init__(self, index: Index, term: int):
+        self.index, self.most = index, float(index.most[term])
+        self.at, self.end = int(index.starts[term]), int(index.starts[term + 1])
+        self.blocks = slice(int(index.block_starts[term]), int(index.block_starts[term + 1]))
+        self.item = int(index.item[self.at]) if self.at < self.end else None
+
+    def skip(self, item: int) -> None:
+        """On to the first item that is not before the given one; None at the end."""
+        if self.item is not None and self.item < item:
+            self.at += int(np.searchsorted(self.index.item[self.at : self.end], item))
+            self.item = int(self.index.item[self.at]) if self.at < self.end else None
+
+    def impact(self) -> float:
+        return float(self.index.impact[self.at])
+
+    def block_most(self, block: int) -> float:
+        """The greatest impact in a block of items."""
+        blocks = self.index.block_of[self.blocks]
+        i = int(np.searchsorted(blocks, block))
+        return float(self.index.block_most[self.blocks][i]) if i < len(blocks) and blocks[i] == block else 0.0
 
 
 def _flat(lists: list[list[tuple[int, float]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -508,3 +508,17 @@ def test_last_bytes_are_in_a_chunk():
     assert quality._report(good, bands, zstd)[-2] == 0.0
     assert quality._report(good + "ab " * 330, bands, zstd)[-2:] == (0.5, "base")
     assert quality._report(good[:1023], bands, zstd)[-2] == 0.0
+
+
+def test_wand_skips(monkeypatch):
+    """Items that common words alone bring near the threshold are passed over, block by block."""
+    import numpy as np
+
+    common, rare = [b"c%d" % i for i in range(6)], [b"r%d" % i for i in range(400)]
+    items = [(i, b" ".join(common + rare[2 * i : 2 * i + 2]).decode(), {**dict.fromkeys(common, 0.2), **dict.fromkeys(rare, 3.0)}) for i in range(200)]
+    index = decontaminate.Index(items, 8.0, block=8)
+    seen = []
+    monkeypatch.setattr(decontaminate.Cursor, "impact", lambda c, of=decontaminate.Cursor.impact: seen.append(c.item) or of(c))
+    terms = np.unique([index.terms[w] for w in [*common, *rare[100:102], *rare[300:301]]])
+    assert [n for n, _ in index.search(terms, 0.6)] == [50]
+    assert set(seen) == {50} and len(seen) == 8
