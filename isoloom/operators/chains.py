@@ -113,14 +113,15 @@ def keep_loci(chains: DataFrame, reference: DataFrame | None = None, quantile: f
 
 
 def edge_weights(chains: DataFrame) -> DataFrame:
-    """(locus, u, v, weight): share of the locus' reads that go from site u to site v."""
+    """(locus, u, v, weight): share of the locus' reads that go from site u to site v. Chains without sites
+    count for the share and have no edge; a locus is never null; an empty table gives no row."""
     share = F.col("frequency") / F.sum("frequency").over(Window.partitionBy(*LOCUS))
     e = chains.withColumn("_share", share).select(*LOCUS, "_share", F.explode(chain.windows(chain.sites(F.col("SSC")), 2)).alias("e"))
     return e.groupBy(*LOCUS, F.col("e")[0].alias("u"), F.col("e")[1].alias("v")).agg(F.sum("_share").alias("weight"))
 
 
 def degrees(edges: DataFrame) -> DataFrame:
-    """(locus, site, out_degree, in_degree) of distinct edges."""
+    """(locus, site, out_degree, in_degree) of distinct edges; no edges give no row."""
     ends = edges.select(*LOCUS, F.explode(F.array(F.struct(F.col("u").alias("site"), F.lit(1).alias("o"), F.lit(0).alias("i")), F.struct(F.col("v").alias("site"), F.lit(0).alias("o"), F.lit(1).alias("i")))).alias("x"))
     return ends.groupBy(*LOCUS, "x.site").agg(F.sum("x.o").alias("out_degree"), F.sum("x.i").alias("in_degree"))
 
@@ -156,7 +157,8 @@ def extend(chains: DataFrame, margin: int = 100) -> DataFrame:
 
 
 def error_sites(chains: DataFrame, apart: int = 10, ratio: float = 0.05) -> DataFrame:
-    """(locus, site): sites within ``apart`` of a neighbour that at least 1 / ratio times as many reads use."""
+    """(locus, site): sites within ``apart`` of a neighbour that at least 1 / ratio times as many reads use;
+    of equal ones the left. Chains without sites have none; an empty table gives no row."""
     f = extend(chains).select(*LOCUS, F.explode(F.slice("ext", F.lit(2), F.size("ext") - 2)).alias("site"), "frequency").groupBy(*LOCUS, "site").agg(F.sum("frequency").alias("f"))
     w = Window.partitionBy(*LOCUS).orderBy("site")
     near = f.withColumns({"s2": F.lead("site").over(w), "f2": F.lead("f").over(w)}).where(F.col("s2") - F.col("site") <= apart)
@@ -275,7 +277,8 @@ def rescue_samples(kept: DataFrame, raw: DataFrame, model: DataFrame) -> DataFra
 
 def categories(chains: DataFrame, reference: DataFrame) -> DataFrame:
     """Adds category by the reference chains of the locus: FSM has an equal one, NIC only
-    their sites, NNC another site. Both tables have Group."""
+    their sites, NNC another site. Both tables have Group; repeated reference rows count once. A
+    chain without sites has no new one, so is NIC; without a reference all others are NNC."""
     same = reference.select(*LOCUS, "SSC", F.lit(True).alias("_same")).distinct()
     sites = reference.select(*LOCUS, F.explode(chain.sites(F.col("SSC"))).alias("site"), F.lit(True).alias("_known")).distinct()
     # chains with a site that the reference lacks; sites travel one by one, never a locus at once

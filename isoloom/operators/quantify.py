@@ -60,10 +60,11 @@ def expressed(counts: DataFrame, libraries: int, least: int = 1) -> DataFrame:
 
 
 def cpm(counts: DataFrame) -> DataFrame:
-    """Adds cpm: per million counts of the library, all its transcripts or genes counted. A
-    library's sum is one row, combined before the shuffle, so none is one task."""
+    """Adds cpm: per million counts of the library, all its transcripts or genes counted; 0 in a library
+    that counts nothing, null where the count is. A library's sum is one row, combined before the
+    shuffle, so none is one task. Rows without sample are left out; an empty table stays empty."""
     sums = counts.groupBy("sample").agg(F.sum("count").alias("_sum"))
-    return counts.join(sums, "sample").withColumn("cpm", F.col("count") * 1e6 / F.col("_sum")).select(*counts.columns, "cpm")
+    return counts.join(sums, "sample").withColumn("cpm", F.when(F.col("_sum") == 0, F.col("count") * 0.0).otherwise(F.try_divide(F.col("count") * 1e6, F.col("_sum")))).select(*counts.columns, "cpm")
 
 
 def gene_counts(counts: DataFrame) -> DataFrame:

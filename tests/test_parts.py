@@ -91,3 +91,20 @@ def test_with_ids(spark):
 def test_spliced_annotation(spark):
     df = spark.createDataFrame([("a", "1-2", None), ("b", None, "B"), ("c", "3-4", "C")], "GeneID string, SSC string, GeneName string")
     assert sorted((r.GeneID, r.GeneName) for r in tables.spliced(df).collect()) == [("a", "a"), ("c", "C")]
+
+
+def test_cpm_of_nothing(spark):
+    df = spark.createDataFrame([("a", "t", 3), ("a", "u", 1), ("b", "t", 0), ("c", "t", None), (None, "t", 5)], "sample string, TrID string, count long")
+    assert sorted(((r.sample, r.TrID, r.cpm) for r in Q.cpm(df).collect()), key=str) == [("a", "t", 750000.0), ("a", "u", 250000.0), ("b", "t", 0.0), ("c", "t", None)]
+    assert Q.cpm(df.limit(0)).count() == 0
+
+
+def test_graphs_of_odd_tables(spark):
+    schema = "Chr string, Strand string, Group long, SSC string, frequency long"
+    df = spark.createDataFrame([("c", "+", 0, "5-9", 4), ("c", "+", 0, "5-9-20-30", 4), ("c", "+", 0, None, 2), ("c", "+", 1, "x", 1)], schema)
+    assert sorted((r.u, r.v, r.weight) for r in C.edge_weights(df).collect()) == [(5, 9, 0.8), (9, 20, 0.4), (20, 30, 0.4)]
+    for of in (C.edge_weights, C.error_sites, C.jump_errors, C.misaligned_errors, C.truncation, C.sub_chain_sources):
+        assert of(df.limit(0)).count() == 0
+    assert C.degrees(C.edge_weights(df.limit(0))).count() == 0
+    assert {r.SSC: r.category for r in C.categories(df, df.where("SSC = '5-9'")).collect()} == {"5-9": "FSM", "5-9-20-30": "NNC", None: "NIC", "x": "NIC"}
+    assert {r.SSC: r.truncation for r in C.truncation(df).collect()} == {"5-9": "yes", "5-9-20-30": "no", None: "no", "x": "no"}
