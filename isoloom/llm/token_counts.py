@@ -21,8 +21,8 @@ def token_counts(docs: DataFrame, tokenizer: str, fields: tuple[str, ...] = ("te
     each separator, which belongs to it. Spans are code points of the joined text.
 
     A token that crosses a boundary goes, by ``rule``, to the section of its
-    first byte ("start") or last byte ("end"), or to the one with more of it
-    ("most", ties to the earlier). ``token_share`` splits it by bytes instead;
+    first byte ("start") or last byte ("end"), or to the one that its middle lies
+    in ("most", ties to the earlier), which of two sections is the one with more of it. ``token_share`` splits it by bytes instead;
     both columns sum to the document's tokens.
 
     A null or empty field is one empty section without tokens. A repeated row
