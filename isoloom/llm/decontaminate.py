@@ -8,6 +8,7 @@ share of the item that it holds, and one threshold serves all items.
 from __future__ import annotations
 
 import re
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,8 @@ from isoloom.llm.common import ascii_lower, spare, words
 HITS = "doc_id long, item_id long, passage long, start_word long, score double, question_overlap double, answer_overlap double, item_overlap double"
 _HITS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("passage", pa.int64()), ("start_word", pa.int64()), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64()), ("item_overlap", pa.float64())])
 K1, LENGTH_SHARE = 1.2, 0.75
+#: Entries of the table of blocks that an index holds besides its lists, at most.
+TABLE = 1 << 19
 
 
 def question_answer(text: str) -> tuple[list[bytes], list[bytes]]:
@@ -82,6 +85,11 @@ class Index:
                 best[n // block] = max(best.get(n // block, 0.0), v)
             heads.append(sorted(best.items()))
         self.block_starts, self.block_of, self.block_most = _flat(heads)
+        #: The blocks' greatest impacts as a table of terms and blocks, where it is small.
+        self.table = None
+        if len(posts) * (blocks := -(-self.n // block)) <= TABLE:
+            self.table = np.zeros((len(posts), max(1, blocks)))
+            self.table[np.repeat(np.arange(len(posts)), np.diff(self.block_starts)), self.block_of] = self.block_most
 
     def postings(self, term: int) -> tuple[np.ndarray, np.ndarray]:
         a, b = self.starts[term], self.starts[term + 1]
@@ -106,8 +114,7 @@ class Index:
         impacts of all their terms reach the threshold.
         """
         limit = threshold - 1e-9
-        at = _slices(self.block_starts, terms)
-        if np.bincount(self.block_of[at], self.block_most[at], 1).max() < limit:
+        if self._bounds(terms).max() < limit:
             return []
         out = []
         cursors = [c for t in terms if (c := Cursor(self, int(t))).item is not None]
@@ -141,6 +148,14 @@ class Index:
         return out
 
 
+    def _bounds(self, terms: np.ndarray) -> np.ndarray:
+        """The greatest impacts of all terms together, by block."""
+        if self.table is not None:
+            return self.table[terms].sum(0)
+        at = _slices(self.block_starts, terms)
+        return np.bincount(self.block_of[at], self.block_most[at], 1)
+
+
 class Cursor:
     """A place in the postings of a term."""
 
@@ -192,7 +207,7 @@ def _hits(ids, texts, indexes: list[tuple[Index, np.ndarray]], threshold: float,
         if not found:
             continue
         terms = indexes[0][0].terms
-        known = np.fromiter((terms.get(w, 0) for w in found), np.int64, len(found))
+        known = np.fromiter(map(terms.get, found, repeat(0)), np.int64, len(found))
         for index, essential in indexes:
             here = np.where(known < len(index.most), known, 0)
             rows += _class_hits(doc, found, here, index, essential, threshold, overlap)

@@ -363,9 +363,12 @@ def test_leaks_with_junk_glued_to_both_ends(spark):
     assert got[0, 1].answer_overlap < 0.75 and got[0, 1].item_overlap == 1.0
 
 
-def test_wand_finds_all_above_threshold():
+@pytest.mark.parametrize("table", [0, decontaminate.TABLE])
+def test_wand_finds_all_above_threshold(table, monkeypatch):
     import random
 
+    monkeypatch.setattr(decontaminate, "TABLE", table)
+
     rng = random.Random(3)
     vocab = [b"w%d" % i for i in range(60)]
     items = [(i, b" ".join(rng.choice(vocab) for _ in range(rng.randint(5, 20))).decode(), {w: rng.uniform(0.1, 3) for w in vocab}) for i in range(150)]
