@@ -11,7 +11,7 @@ be multiplied out in double precision. No pair of vectors leaves a task: it give
 vector with links there, their number and one vector that it is connected to.
 
 Equal vectors are one class, its smallest id standing for it, so copies are joined once.
-The axes are fitted on a bounded sample (``sample`` rows); they only set how much is
+The axes are fitted on a bounded sample (about ``sample`` rows); they only set how much is
 skipped, never what is found.
 """
 
@@ -123,11 +123,12 @@ class Joined:
 
 
 def _axes(classes: DataFrame, sample: int, most_bytes: int = 32 << 20) -> dict[int, np.ndarray]:
-    """Leading principal axes of each length of vector, from the ``sample`` classes of least hash,
+    """Leading principal axes of each length of vector, from about ``sample`` classes, chosen by hash,
     or fewer if they were over ``most_bytes``."""
-    longest = classes.agg(F.max("size")).first()[0] or 1
-    sample = min(sample, max(1, most_bytes // (8 * longest)))
-    picked = classes.select("size", "vec", F.xxhash64("vec").alias("h")).orderBy("h", "vec").limit(sample).select("size", "vec").toPandas()
+    n, longest = classes.agg(F.count("*"), F.max("size")).first()
+    share = min(sample, max(1, most_bytes // (8 * (longest or 1)))) / max(n, 1)
+    chosen = F.pmod(F.xxhash64("label", "vec"), F.lit(1 << 30)) < F.lit(int(min(1.0, share) * (1 << 30)))
+    picked = classes.where(chosen).select("size", "vec").toPandas()
     out = {}
     for size, group in picked.groupby("size"):
         x = np.stack([np.frombuffer(v, np.float64) for v in group["vec"]])
