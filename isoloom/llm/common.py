@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isoloom.stages import Staged, shared_dir
 
-__all__ = ["BLANKS", "Staged", "ascii_lower", "col", "documents", "free", "row_of", "shared_dir", "spare", "words"]
+__all__ = ["BLANKS", "Staged", "ascii_lower", "batches_of", "col", "documents", "free", "row_of", "shared_dir", "spare", "words"]
 
 #: White space of the word and line rules: space and \t \n \v \f \r.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -42,6 +44,18 @@ def spare(df: DataFrame, name: str) -> str:
     return name
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """Python tasks of a query that runs inside get at most so many rows at a time."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def words(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text as UTF-8, A-Z lower-cased.
 

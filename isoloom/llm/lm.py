@@ -28,8 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isoloom.llm.common import Staged, col, spare
-from isoloom.stages import freed_shuffles
+from isoloom.llm.common import Staged, batches_of, col, spare
 
 #: No word is empty or a space: the end of a text, and what stands before its first word.
 END, BEGIN = b"", b" "
@@ -129,7 +128,8 @@ def train(texts: DataFrame, text_col: str = "text", staged: Staged | None = None
 
     pairs = texts.mapInArrow(two, "h long, g long, n long")
     # in order of h, which then takes hardly any room
-    pairs = staged.write(pairs.groupBy("h", "g").agg(F.sum("n").alias("n")).sortWithinPartitions("h"), "bigrams")
+    with batches_of(texts.sparkSession, SLICE):
+        pairs = staged.write(pairs.groupBy("h", "g").agg(F.sum("n").alias("n")).sortWithinPartitions("h"), "bigrams")
     counted = pairs.select("h", "n", _level().alias("level")).groupBy("h").agg(F.sum("n").alias("c"), F.sum(_stored() - DISCOUNT).alias("explained"), F.count("*").alias("n_grams"), F.sum("level").alias("n_entries"))
     vocabulary = staged.write(counted.select(F.col("h").alias("w"), "c", F.greatest(F.lit(0.0), 1 - F.col("explained") / F.col("c")).alias("rest"), "n_grams", "n_entries"), "words")
     first = vocabulary.where(F.col("w") == _hash_of(BEGIN)).agg(F.sum("c")).first()[0] or 0
@@ -219,11 +219,11 @@ def build_filter(tables: Tables) -> CountFilter:
     n, blocks = filter_blocks(tables)
     out = np.zeros((n, BLOCK // 8), np.uint8)
     if n:
-        with freed_shuffles(tables.pairs.sparkSession):
-            rows = blocks.toArrow()
-        for batch in rows.to_batches():  # a block at a time, without a copy
-            for i, bits in zip(batch.column(0).to_pylist(), batch.column(1)):
-                out[i] = np.frombuffer(bits.as_buffer(), np.uint8)
+        staged = Staged(tables.pairs.sparkSession, "filter")
+        written = staged.write(blocks, "blocks")
+        for row in written.toLocalIterator():  # the driver holds the filter, and no second copy of it
+            out[row["block"]] = np.frombuffer(row["bits"], np.uint8)
+        staged.drop("blocks")
     return CountFilter(out)
 
 
@@ -259,11 +259,13 @@ def score(docs: DataFrame, tables: Tables, text_col: str = "text", broadcast_byt
 
 def _by_broadcast(docs: DataFrame, tables: Tables, text_col: str) -> DataFrame:
     spark = docs.sparkSession
+    blocks = build_filter(tables).blocks
     got = tables.vocabulary.toArrow()
-    w = got.column("w").to_numpy().view(np.uint64)
-    order = np.argsort(w)
-    known = spark.sparkContext.broadcast((w[order], got.column("c").to_numpy()[order], got.column("rest").to_numpy()[order], build_filter(tables).blocks))
-    del got, w, order
+    order = np.argsort(got.column("w").to_numpy().view(np.uint64))
+    sorted_ = [got.column(c).to_numpy()[order] for c in ("w", "c", "rest")]
+    del got, order
+    known = spark.sparkContext.broadcast((sorted_[0].view(np.uint64), *sorted_[1:], blocks))
+    del sorted_, blocks
     total = tables.n_tokens + 0.5 * (tables.n_words + 1)
     begin = np.int64(_hash_of(BEGIN)).view(np.uint64)
 
