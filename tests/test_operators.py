@@ -220,6 +220,18 @@ def test_sequences_over_bins(spark):
     assert lines == [">a\nAC\nGT\nA", ">b\nAC\nGT"]
 
 
+def test_primed_inside_counts_letters_once(spark):
+    assert one(spark, chain.primed_inside(F.col("x")), x="CGCGCGCGß") is True  # nine letters
+
+
+def test_sequences_beyond_a_contig(spark):
+    contigs = spark.createDataFrame([("c", "ACGTACGGTTCAGATTACAG"), ("empty", "")], "contig string, seq string")
+    rows = [("part", "c", "+", 2, 200, "9-13"), ("edge", "c", "-", 18, 40, "24-30"), ("past", "c", "-", 21, 60, "30-40"), ("far", "c", "+", 900, 990, None), ("x", "none", "+", 1, 5, None), ("y", "empty", "+", 1, 5, None)]
+    t = spark.createDataFrame(rows, "TrID string, Chr string, Strand string, TrStart bigint, TrEnd bigint, SSC string")
+    got = {r.TrID: (r.seq, r.seq_len) for r in U.transcript_sequences(t, U.genome_bins(contigs, 7), 7).collect()}
+    assert got == {"part": ("CGTACGGTGATTACAG", 16), "edge": ("CTG", 3), "past": ("", 0), "far": ("", 0)}
+
+
 def test_best_scored(spark):
     df = spark.createDataFrame([([(1, 0.2), (5, 0.9), (7, 0.9)],), ([],)], "x array<struct<at: bigint, score: double>>")
     at = lambda k: [[s.at for s in r[0]] for r in df.select(chain.best_scored(F.col("x"), k)).collect()]

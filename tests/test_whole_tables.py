@@ -3,6 +3,8 @@
 import hashlib
 from collections import Counter
 
+import duckdb
+
 from isoloom.plans import queries
 
 SF = "/root/testdata/sf0.001"
@@ -53,3 +55,15 @@ def test_fasta_of_all_contigs(spark):
         assert got[m.TrID] == (hashlib.md5(seq.encode()).hexdigest(), len(seq))
         seen.add(m.Chr)
     assert "chr5" in seen
+
+
+def test_intra_priming_of_letters_whose_upper_case_differs(spark, tmp_path):
+    """Nine letters with one whose upper case may be two or none of its own, and a run of As that it may close."""
+    odd = [c for c in map(chr, range(1, 0x20000)) if not "\ud800" <= c <= "\udfff" and c.upper() != c]
+    assert "ß" in odd and "ı" in odd
+    texts = [t for c in odd for t in ("x" * 100 + "tttttttt" + c, "x" * 100 + "eeeee" + c + "t" * 14)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    want = dict(con.sql(queries.SQL["intra_priming"]).fetchall())
+    assert {r.doc_id: r.primed for r in queries.QUERIES["intra_priming"](spark, str(tmp_path)).collect()} == want
