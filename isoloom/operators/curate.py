@@ -121,8 +121,10 @@ def genome_bins(contigs: DataFrame, width: int = 100_000) -> DataFrame:
 
 def transcript_sequences(transcripts: DataFrame, bins: DataFrame, width: int = 100_000) -> DataFrame:
     """(TrID, seq, seq_len): exons in a row, the minus strand reversed and complemented.
-    Transcripts on contigs without sequence are left out."""
-    ex = transcripts.select("TrID", "Chr", "Strand", F.explode(chain.exons(F.col("TrStart"), chain.sites(F.col("SSC")), F.col("TrEnd"))).alias("x"))
+    What lies behind a contig's end is empty; transcripts on contigs without sequence are left out."""
+    # no bases of the first bin: these keep a transcript of which no exon lies within its contig
+    none = F.array(F.struct(F.lit(1).cast("bigint").alias("s"), F.lit(0).cast("bigint").alias("e")))
+    ex = transcripts.select("TrID", "Chr", "Strand", F.explode(F.concat(none, chain.exons(F.col("TrStart"), chain.sites(F.col("SSC")), F.col("TrEnd")))).alias("x"))
     ex = ex.select("TrID", "Chr", "Strand", (F.col("x.s") - 1).alias("a"), F.col("x.e").alias("b"))
     ex = ex.withColumn("bin", F.explode(F.sequence(F.floor(F.col("a") / width), F.floor((F.col("b") - 1) / width))))
     lo = F.greatest(F.col("a") - F.col("bin") * width, F.lit(0))

@@ -67,3 +67,13 @@ def test_intra_priming_of_letters_whose_upper_case_differs(spark, tmp_path):
     con.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
     want = dict(con.sql(queries.SQL["intra_priming"]).fetchall())
     assert {r.doc_id: r.primed for r in queries.QUERIES["intra_priming"](spark, str(tmp_path)).collect()} == want
+
+
+def test_fasta_of_chains_behind_their_contigs(spark, tmp_path):
+    """More suppliers place chains behind the end of a contig: these have empty sequences, as in the SQL."""
+    spark.read.parquet(f"{SF}/lineitem.parquet").selectExpr("* except (l_suppkey)", "l_suppkey + 1400 as l_suppkey").write.parquet(str(tmp_path / "lineitem.parquet"))
+    con = duckdb.connect()
+    con.sql(f"create view lineitem as select * from '{tmp_path}/lineitem.parquet/*.parquet'")
+    want = {t: (m, n) for t, m, n in con.sql(f"select TrID, seq_md5, seq_len from ({queries.SQL['transcript_fasta']})").fetchall()}
+    got = {r.TrID: (r.seq_md5, r.seq_len) for r in queries.QUERIES["transcript_fasta"](spark, str(tmp_path)).collect()}
+    assert got == want and {n > 0 for _, n in got.values()} == {True, False}
