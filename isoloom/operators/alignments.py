@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isoloom.functions import chain
+from isoloom.stages import Staged
 
 KEY = ["Chr", "Strand", "SSC"]
 
@@ -41,8 +42,8 @@ def to_reads(alignments: DataFrame, sample: str | None = None) -> DataFrame:
     by = [c for c in (sample,) if c] + ["read_id"]
     placed = a.select(
         *by, "Chr", strand(F.col("flag"), F.col("xs"), F.col("ts")).alias("Strand"), "pos", "cigar", "flag",
-        F.element_at(ends, 1).alias("TrStart"), F.element_at(ends, -1).alias("TrEnd"),
-        F.when(F.size(ends) > 2, chain.joined(inner)).alias("SSC"),
+        F.col("pos").alias("TrStart"), (F.col("pos") + F.col("_p.spanned") - 1).alias("TrEnd"),
+        F.when(F.size("_p.exons") > 1, chain.joined(inner)).alias("SSC"),
         identity.alias("identity"), ((length - F.col("_p.clipped")) / length).alias("coverage"),
         F.greatest(F.coalesce("pt", F.lit(0)), F.lit(0)).cast("int").alias("polyA_len"), F.col("pt").isNotNull().alias("has_tail"),
     )
@@ -61,9 +62,11 @@ def junction_counts(reads: DataFrame, bins: DataFrame, width: int = 100_000) ->
 
     Each distinct intron is looked up once, whatever the number of its reads. A base outside
     the contig, or of a contig without sequence, is left out, so that such a motif is ``-``.
-    Reads without introns count for no chain.
+    Reads without introns count for no chain. Chains are counted once and written, since all
+    that follows is made of them.
     """
     chains = reads.where("SSC is not null").groupBy(*KEY).agg(F.count("*").alias("count"))
+    chains = Staged(reads.sparkSession, "junctions").write(chains, "chains")
     introns = chains.select(*KEY, F.posexplode(chain.introns(chain.sites(F.col("SSC")))).alias("i", "x")).select(*KEY, "i", F.col("x.s").alias("s"), F.col("x.e").alias("e"))
     # 0-based places of the first and the last two bases of an intron
     ends = introns.select("Chr", F.explode(F.array("s", F.col("e") - 3)).alias("at")).distinct()

@@ -6,6 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from isoloom.functions import chain
 from isoloom.operators import alignments as A
 from isoloom.operators import chains as C
 from isoloom.operators import curate as U
@@ -60,6 +61,44 @@ def test_odd_alignments(spark):
     assert none.count() == 0 and A.has_tails(none).first()[0] is False
 
 
+def test_cigar_of_odd_strings(spark):
+    rng = random.Random(8)
+    texts = [None, "", "*", "M", "12", "0M", "5M0N3M", "10Q5M", "3S04M2N5", "5MM6N", "N4M", "7N", "2H3S4M1P2=3X4D5I6N7M", "00000000000000000000000012M", "1é2M"]
+    texts += ["".join(rng.choice(["7", "12", "300", "M", "N", "S"]) for _ in range(rng.randint(0, 12))) for _ in range(300)]
+    got = {r.i: r.x for r in spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(3).select("i", chain.cigar(F.col("t")).alias("x")).collect()}
+    for i, text in enumerate(texts):
+        if text is None:
+            assert got[i] is None
+            continue
+        here = begin = covered = clipped = 0
+        exons = []
+        for n, op in re.findall(r"([0-9]+)([MIDNSHP=X])", text):
+            n = int(n)
+            covered, clipped = covered + n * (op in "MI"), clipped + n * (op in "SH")
+            if op == "N":
+                exons.append((begin, here))
+                begin = here + n
+            here += n * (op not in "ISH")
+        assert got[i] == (exons + [(begin, here)], covered, clipped, here), text
+    none = spark.createDataFrame([], "t string").select(chain.cigar(F.col("t")))
+    assert none.count() == 0
+
+
+def test_cigars_are_taken_apart_in_batches(spark):
+    """Not by lambdas, which are interpreted, and once for all that is made of a read."""
+    reads = A.to_reads(spark.createDataFrame([("a", 0, "c1", 5, "10M20N10M", "A" * 20, None, None, None, None)], SCHEMA))
+    plan = reads._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "aggregate(" not in plan
+
+
+def test_junctions_read_alignments_once(spark):
+    bins = U.genome_bins(spark.createDataFrame([("c1", "ACGT" * 20)], "contig string, seq string"))
+    reads = A.to_reads(spark.createDataFrame([("a", 0, "c1", 5, "10M20N10M", "A" * 20, None, None, None, None)], SCHEMA))
+    out = A.junction_counts(reads, bins)
+    assert "cigar" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r) for r in out.collect()] == [(1, "c1", "+", "14-35", "GT-AC")]
+
+
 def test_junction_counts(spark):
     seq = "".join(random.Random(5).choice("ACGT") for _ in range(400))
     bins = U.genome_bins(spark.createDataFrame([("c1", seq)], "contig string, seq string"), width=7)
