@@ -39,9 +39,9 @@ def to_reads(alignments: DataFrame, sample: str | None = None) -> DataFrame:
     inner = F.slice(ends, F.lit(2), F.size(ends) - 2)
     length = F.length("seq")
     identity = F.when(F.col("nm").isNull(), 1.0).when(F.col("_p.covered") > 0, 1 - F.col("nm") / F.col("_p.covered")).otherwise(0.0)
-    by = [c for c in (sample,) if c] + ["read_id"]
+    by = ["read_id"] + [c for c in (sample,) if c]  # the name first, by which rows are sorted sooner than by samples
     placed = a.select(
-        *by, "Chr", strand(F.col("flag"), F.col("xs"), F.col("ts")).alias("Strand"), "pos", "cigar", "flag",
+        *reversed(by), "Chr", strand(F.col("flag"), F.col("xs"), F.col("ts")).alias("Strand"), "pos", "cigar", "flag",
         F.col("pos").alias("TrStart"), (F.col("pos") + F.col("_p.spanned") - 1).alias("TrEnd"),
         F.when(F.size("_p.exons") > 1, chain.joined(inner)).alias("SSC"),
         identity.alias("identity"), ((length - F.col("_p.clipped")) / length).alias("coverage"),
