@@ -104,17 +104,21 @@ def correct_reads(reads: DataFrame, model: DataFrame, site_tolerance: float = 15
 
     Columns and the number of rows stay; of equally near chains or ends the smaller is
     taken. Single-exon reads (SSC null) are left out. A read that is near nothing stays
-    as it is, and an empty model changes no read. Distances are found once for each
-    distinct chain and for each distinct pair of ends of a chain. Ends of reads may lie twice as
-    far off as those that ``nearest_ends`` takes for a terminal's.
+    as it is, and an empty model changes no read. Distances of chains are found once for each
+    distinct chain; the model ends of a chain come to its reads as one array, so that reads are
+    moved once for their ends, and stay by chain for what counts them. Ends of reads may lie twice
+    as far off as those that ``nearest_ends`` takes for a terminal's.
     """
     names = reads.columns
     spliced = reads.where("SSC is not null")
-    chains = nearest_chains(spliced, model, site_tolerance).select(*KEY, "model_SSC")
+    chains = nearest_chains(spliced, model, site_tolerance).where("model_SSC <> SSC").select(*KEY, "model_SSC")
     moved = spliced.join(chains, KEY, "left").withColumn("SSC", F.coalesce("model_SSC", "SSC")).select(*names)
-    ends = nearest_ends(moved, model, end_tolerance).where("model_start is not null").select(*KEY, "TrStart", "TrEnd", "model_start", "model_end")
-    fixed = moved.join(ends, [*KEY, "TrStart", "TrEnd"], "left")
-    return fixed.withColumns({"TrStart": F.coalesce("model_start", "TrStart"), "TrEnd": F.coalesce("model_end", "TrEnd")}).select(*names)
+    ends = model.groupBy(*KEY).agg(F.collect_set(F.struct(F.col("TrStart").alias("s"), F.col("TrEnd").alias("e"))).alias("_ends"))
+    d = lambda x: F.sqrt((F.col("TrStart") - x["s"]) ** 2 + (F.col("TrEnd") - x["e"]) ** 2)
+    near = F.array_min(F.transform("_ends", lambda x: F.struct(d(x).alias("d"), x["s"].alias("s"), x["e"].alias("e"))))
+    fixed = moved.join(ends, KEY, "left").withColumn("_near", near)
+    close = F.col("_near.d") <= end_tolerance
+    return fixed.withColumns({"TrStart": F.coalesce(F.when(close, F.col("_near.s")), "TrStart"), "TrEnd": F.coalesce(F.when(close, F.col("_near.e")), "TrEnd")}).select(*names)
 
 
 def polya_fraction(reads: DataFrame, model: DataFrame, n: str | None = None, n_tails: str | None = None) -> DataFrame:

@@ -105,3 +105,14 @@ def test_counted_reads_have_the_same_ends(spark):
     assert listed(T.terminal_pairs(reads)) == listed(T.terminal_pairs(counted, "count"))
     for side in ("start", "end"):
         assert listed(T.terminal_sites(reads, side)) == listed(T.terminal_sites(counted, side, "count"))
+
+
+def test_correction_reads_each_read_twice(spark, tmp_path):
+    """Once for its chain and once to be moved: ends of a chain come to its reads in one join."""
+    rows = [("c1", "+", "10-20", 5, 30), ("c1", "+", "12-20", 500, 600), ("c1", "+", None, 1, 2), ("c1", "+", "11-20", None, 30)]
+    spark.createDataFrame(rows, "Chr string, Strand string, SSC string, TrStart bigint, TrEnd bigint").write.parquet(str(tmp_path / "reads"))
+    model = spark.createDataFrame([("c1", "+", "10-20", s, e) for s, e in ((4, 31), (6, 31), (6, 31), (300, 600))], "Chr string, Strand string, SSC string, TrStart bigint, TrEnd bigint")
+    out = T.correct_reads(spark.read.parquet(str(tmp_path / "reads")), model)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 2
+    got = sorted((tuple(r) for r in out.collect()), key=str)
+    assert got == sorted([("c1", "+", "10-20", 4, 31), ("c1", "+", "10-20", 500, 600), ("c1", "+", "10-20", None, 30)], key=str)
