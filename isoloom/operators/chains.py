@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isoloom.functions import chain
+from isoloom.stages import Staged
 
 KEY = ["Chr", "Strand", "SSC"]
 LOCUS = ["Chr", "Strand", "Group"]
@@ -67,8 +68,9 @@ def loci(chains: DataFrame, width: int = 100_000) -> DataFrame:
 
 def loci_with(chains: DataFrame, reference: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both tables with Group, from one numbering of all their chains, so that a locus has one number in
-    both; a Group that the reference has already is replaced."""
+    both; a Group that the reference has already is replaced. The numbering is written once for both."""
     both = loci(chains.select(*KEY).unionByName(reference.select(*KEY)).distinct())
+    both = Staged(chains.sparkSession, "numbering").write(both, "both")
     return chains.drop("Group").join(both, KEY), reference.drop("Group").join(both, KEY)
 
 

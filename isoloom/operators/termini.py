@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isoloom.functions import chain
@@ -23,55 +25,79 @@ def clusters(values: DataFrame, keys: list[str], value: str, eps: int = 15, leas
     nearest core within eps, of ties the lower. Windows run on distinct values. ``n`` is the
     column that counts the rows that a row stands for.
     """
-    w = Window.partitionBy(*keys).orderBy(value)
     v = values.groupBy(*keys, value).agg((F.sum(n) if n else F.count("*")).alias("n"))
-    v = v.withColumns({"all": F.sum("n").over(Window.partitionBy(*keys)), "near": F.sum("n").over(w.rangeBetween(-eps, eps))})
-    v = v.withColumn("core", F.col("near") >= F.greatest(F.floor(F.col("all") * share), F.lit(least)))
-    core = v.where("core")
-    core = core.withColumn("new", F.coalesce((F.col(value) - F.lag(value).over(w) > eps).cast("int"), F.lit(0)))
-    core = core.select(*keys, value, F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("own"))
-    v = v.join(core, [*keys, value], "left")
-    at = F.when(F.col("own").isNotNull(), F.struct(F.col(value).alias("v"), "own"))
-    v = v.withColumns({"below": F.last(at, True).over(w.rowsBetween(Window.unboundedPreceding, 0)), "above": F.first(at, True).over(w.rowsBetween(0, Window.unboundedFollowing))})
-    down, up = F.col(value) - F.col("below.v"), F.col("above.v") - F.col(value)
-    pick = F.when(F.col("own").isNotNull(), F.col("own")).when((down <= eps) & (up.isNull() | (down <= up)), F.col("below.own")).when(up <= eps, F.col("above.own")).when(down <= eps, F.col("below.own"))
-    return values.join(v.select(*keys, value, pick.alias("cluster")), [*keys, value])
+    return values.join(_clustered(v, keys, value, eps, least, share).select(*keys, value, "cluster"), [*keys, value])
+
+
+def _clustered(v: DataFrame, keys: list[str], value: str, eps: int = 15, least: int = 20, share: float = 0.1) -> DataFrame:
+    """(keys, value, n) with cluster, as ``clusters`` finds it, for distinct values counted by n; rows with a
+    null key or value are left out. All of it are windows over a key in order of the value, up or down, that
+    keep running values, so that rows are moved once and no frame is read again for each row."""
+    up, down = (Window.partitionBy(*keys).orderBy(by) for by in (F.col(value), F.col(value).desc()))
+    before, until = (Window.unboundedPreceding, -1), (Window.unboundedPreceding, 0)
+    v = v.withColumns({"_all": F.sum("n").over(Window.partitionBy(*keys)), "_near": F.sum("n").over(up.rangeBetween(-eps, eps))})
+    v = v.withColumn("_core", F.col(value).isNotNull() & (F.col("_near") >= F.greatest(F.floor(F.col("_all") * share), F.lit(least))))
+    last = F.last(F.when(F.col("_core"), F.col(value)), True).over(up.rowsBetween(*before))
+    v = v.withColumn("_new", F.when(F.col("_core"), F.coalesce((F.col(value) - last > eps).cast("int"), F.lit(0))))
+    v = v.withColumn("_own", F.when(F.col("_core"), F.sum("_new").over(up.rowsBetween(*until))))
+    at = F.when(F.col("_core"), F.struct(F.col(value).alias("v"), F.col("_own").alias("own")))
+    v = v.withColumn("_below", F.last(at, True).over(up.rowsBetween(*until))).withColumn("_above", F.last(at, True).over(down.rowsBetween(*until)))
+    fall, rise = F.col(value) - F.col("_below.v"), F.col("_above.v") - F.col(value)
+    pick = F.when(F.col("_core"), F.col("_own")).when((fall <= eps) & (rise.isNull() | (fall <= rise)), F.col("_below.own")).when(rise <= eps, F.col("_above.own")).when(fall <= eps, F.col("_below.own"))
+    whole = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in (*keys, value)))
+    return v.where(whole).select(*keys, value, "n", pick.alias("cluster"))
+
+
+def _sites(v: DataFrame, keys: list[str], outer: Column) -> DataFrame:
+    """(keys, cluster, site, n) of (keys, value, n): each cluster's most frequent value, of ties the one with least ``outer``."""
+    c = _clustered(v, keys, "value").where("cluster is not null")
+    return c.groupBy(*keys, "cluster").agg(F.min_by("value", F.struct(-F.col("n"), outer)).alias("site"), F.sum("n").alias("n"))
 
 
 def terminal_sites(reads: DataFrame, side: str, n: str | None = None) -> DataFrame:
     """(chain, cluster, site, n): most frequent value of each cluster of read starts or ends, of ties the
     outermost. ``n`` is the column that counts the reads of a row, where rows are not single reads."""
-    value = "TrStart" if side == "start" else "TrEnd"
-    given = reads.where("SSC is not null").groupBy(*KEY, value).agg((F.sum(n) if n else F.count("*")).alias("n"))
-    c = clusters(given, KEY, value, n="n").where("cluster is not null")
-    outer = F.col(value) if side == "start" else -F.col(value)
-    return c.groupBy(*KEY, "cluster").agg(F.min_by(value, F.struct(-F.col("n"), outer)).alias("site"), F.sum("n").alias("n"))
+    value = F.col("TrStart" if side == "start" else "TrEnd")
+    given = reads.where("SSC is not null").groupBy(*KEY, value.alias("value")).agg((F.sum(n) if n else F.count("*")).alias("n"))
+    return _sites(given, KEY, F.col("value") if side == "start" else -F.col("value"))
 
 
-def terminal_pairs(reads: DataFrame, n: str | None = None) -> DataFrame:
+def terminal_pairs(reads: DataFrame, n: str | None = None, paired: bool = False) -> DataFrame:
     """(chain, TrStart, TrEnd, frequency): pairs of clustered ends that reads have.
 
     One start and one end are a pair. Else pairs count that occur among the reads;
     a single one takes all reads, several share them by the distinct raw pairs
     nearest to each, rounded half to even, and without any the outermost clustered
     ends do. Chains without a cluster take their outermost reads. ``n`` is the column that
-    counts the reads of a row, where rows are not single reads. The counted pairs of ends
-    and the clustered ends are written once, for all that is made of them.
+    counts the reads of a row, where rows are not single reads; ``paired`` says that there is one
+    row for each chain and pair of ends, in a table that may be read several times. What a chain
+    must know of its ends, of which few are clustered, is written as one row. It comes to the pairs
+    in two joins: clustered ends, for the pairs that occur, and where several do, these.
     """
     staged = Staged(reads.sparkSession, "ends")
-    raw = staged.write(reads.where("SSC is not null").groupBy(*KEY, "TrStart", "TrEnd").agg((F.sum(n) if n else F.count("*")).alias("n")), "raw")
+    raw = reads.where("SSC is not null")
+    if paired:
+        raw = raw.select(*KEY, "TrStart", "TrEnd", F.col(n).alias("n") if n else F.lit(1).cast("bigint").alias("n"))
+    else:
+        raw = staged.write(raw.groupBy(*KEY, "TrStart", "TrEnd").agg((F.sum(n) if n else F.count("*")).alias("n")), "raw")
+    sides = F.array(F.struct(F.lit(True).alias("starts"), F.col("TrStart").alias("value")), F.struct(F.lit(False).alias("starts"), F.col("TrEnd").alias("value")))
+    values = raw.select(*KEY, "n", F.explode(sides).alias("x")).groupBy(*KEY, "x.starts", "x.value").agg(F.sum("n").alias("n"))
+    sites = _sites(values, [*KEY, "starts"], F.when(F.col("starts"), F.col("value")).otherwise(-F.col("value")))
+    lists = sites.groupBy(*KEY).agg(F.collect_list(F.when(F.col("starts"), F.col("site"))).alias("s"), F.collect_list(F.when(~F.col("starts"), F.col("site"))).alias("e"))
+    lists = staged.write(lists.where((F.size("s") > 0) & (F.size("e") > 0)), "sites")
+    pair = F.struct(F.col("TrStart").alias("s"), F.col("TrEnd").alias("e"))
+    seen = raw.join(lists.hint("shuffle_hash"), KEY).where(F.array_contains("s", F.col("TrStart")) & F.array_contains("e", F.col("TrEnd"))).groupBy(*KEY).agg(F.collect_list(pair).alias("seen"))
     whole = raw.groupBy(*KEY).agg(F.sum("n").alias("all"), F.count("*").alias("pairs"), F.min("TrStart").alias("lo"), F.max("TrEnd").alias("hi"))
-    s = staged.write(terminal_sites(raw, "start", "n").select(*KEY, F.col("site").alias("s")), "starts")
-    e = staged.write(terminal_sites(raw, "end", "n").select(*KEY, F.col("site").alias("e")), "ends")
-    both = s.join(e, KEY)
-    count = both.groupBy(*KEY).agg(F.count("*").alias("made"), F.min("s").alias("s0"), F.max("e").alias("e0"))
-    seen = both.join(raw.select(*KEY, F.col("TrStart").alias("s"), F.col("TrEnd").alias("e")), [*KEY, "s", "e"], "left_semi")
-    near = raw.join(seen, KEY).withColumn("d", (F.col("TrStart") - F.col("s")) ** 2 + (F.col("TrEnd") - F.col("e")) ** 2)
-    near = near.groupBy(*KEY, "TrStart", "TrEnd").agg(F.min_by(F.struct("s", "e"), F.struct("d", "s", "e")).alias("c")).groupBy(*KEY, "c.s", "c.e").agg(F.count("*").alias("own"))
-    several = near.join(whole, KEY).select(*KEY, F.col("s").alias("TrStart"), F.col("e").alias("TrEnd"), F.bround(F.col("all") * F.col("own") / F.col("pairs")).cast("bigint").alias("frequency"))
-    rest = whole.join(count, KEY, "left").join(near.select(*KEY).distinct(), KEY, "left_anti")
-    rest = rest.select(*KEY, F.coalesce("s0", "lo").alias("TrStart"), F.coalesce("e0", "hi").alias("TrEnd"), F.col("all").alias("frequency"))
-    return several.unionByName(rest)
+    chains = whole.join(lists.select(*KEY, F.array_min("s").alias("s0"), F.array_max("e").alias("e0")), KEY, "left").join(seen, KEY, "left")
+    chains = staged.write(chains, "chains")
+    several = chains.where("size(seen) > 1")
+    d = lambda x: (F.col("TrStart") - x["s"]) ** 2 + (F.col("TrEnd") - x["e"]) ** 2
+    near = F.array_min(F.transform("seen", lambda x: F.struct(d(x).alias("d"), x["s"].alias("s"), x["e"].alias("e"))))
+    own = raw.join(several.select(*KEY, "seen").hint("shuffle_hash"), KEY).select(*KEY, near.alias("c")).groupBy(*KEY, "c.s", "c.e").agg(F.count("*").alias("own"))
+    own = own.join(several.select(*KEY, "all", "pairs"), KEY).select(*KEY, F.col("s").alias("TrStart"), F.col("e").alias("TrEnd"), F.bround(F.col("all") * F.col("own") / F.col("pairs")).cast("bigint").alias("frequency"))
+    one = F.get("seen", F.lit(0))
+    rest = chains.where("seen is null or size(seen) = 1").select(*KEY, F.coalesce(one["s"], "s0", "lo").alias("TrStart"), F.coalesce(one["e"], "e0", "hi").alias("TrEnd"), F.col("all").alias("frequency"))
+    return own.unionByName(rest)
 
 
 def nearest_chains(reads: DataFrame, model: DataFrame, most: float = 15.0) -> DataFrame:
@@ -98,27 +124,30 @@ def nearest_ends(reads: DataFrame, model: DataFrame, tolerance: float = 50.0) ->
     return near.select(*KEY, "TrStart", "TrEnd", "n", F.when(close, F.col("x.ms")).alias("model_start"), F.when(close, F.col("x.me")).alias("model_end"))
 
 
-def correct_reads(reads: DataFrame, model: DataFrame, site_tolerance: float = 15.0, end_tolerance: float = 100.0) -> DataFrame:
+def correct_reads(reads: DataFrame, model: DataFrame, site_tolerance: float = 15.0, end_tolerance: float = 100.0, chains: DataFrame | None = None) -> DataFrame:
     """Spliced reads with the chain of the nearest model chain of their strand and size, then
     with the nearest model ends of that chain, where these lie within the tolerances.
 
     Columns and the number of rows stay; of equally near chains or ends the smaller is
     taken. Single-exon reads (SSC null) are left out. A read that is near nothing stays
     as it is, and an empty model changes no read. Distances of chains are found once for each
-    distinct chain; the model ends of a chain come to its reads as one array, so that reads are
-    moved once for their ends, and stay by chain for what counts them. Ends of reads may lie twice
-    as far off as those that ``nearest_ends`` takes for a terminal's.
+    distinct chain, which are those of ``chains`` where a table has them already. The chain that a
+    chain is moved to comes to its reads together with that one's model ends, as one array, so
+    that reads are joined once. Ends of reads may lie twice as far off as those that
+    ``nearest_ends`` takes for a terminal's.
     """
     names = reads.columns
     spliced = reads.where("SSC is not null")
-    chains = nearest_chains(spliced, model, site_tolerance).where("model_SSC <> SSC").select(*KEY, "model_SSC")
-    moved = spliced.join(chains, KEY, "left").withColumn("SSC", F.coalesce("model_SSC", "SSC")).select(*names)
+    moved = nearest_chains(spliced if chains is None else chains, model, site_tolerance).where("model_SSC <> SSC").select(*KEY, F.col("model_SSC").alias("_to"))
     ends = model.groupBy(*KEY).agg(F.collect_set(F.struct(F.col("TrStart").alias("s"), F.col("TrEnd").alias("e"))).alias("_ends"))
+    stays = model.select(*KEY, F.lit(None).cast("string").alias("_to"))
+    to = moved.unionByName(stays).groupBy(*KEY).agg(F.max("_to").alias("_to")).withColumn("_to", F.coalesce("_to", "SSC"))
+    to = to.join(ends.withColumnRenamed("SSC", "_to"), ["Chr", "Strand", "_to"])
     d = lambda x: F.sqrt((F.col("TrStart") - x["s"]) ** 2 + (F.col("TrEnd") - x["e"]) ** 2)
     near = F.array_min(F.transform("_ends", lambda x: F.struct(d(x).alias("d"), x["s"].alias("s"), x["e"].alias("e"))))
-    fixed = moved.join(ends, KEY, "left").withColumn("_near", near)
+    fixed = spliced.join(to.hint("shuffle_hash"), KEY, "left").withColumn("_near", near)
     close = F.col("_near.d") <= end_tolerance
-    return fixed.withColumns({"TrStart": F.coalesce(F.when(close, F.col("_near.s")), "TrStart"), "TrEnd": F.coalesce(F.when(close, F.col("_near.e")), "TrEnd")}).select(*names)
+    return fixed.withColumns({"SSC": F.coalesce("_to", "SSC"), "TrStart": F.coalesce(F.when(close, F.col("_near.s")), "TrStart"), "TrEnd": F.coalesce(F.when(close, F.col("_near.e")), "TrEnd")}).select(*names)
 
 
 def polya_fraction(reads: DataFrame, model: DataFrame, n: str | None = None, n_tails: str | None = None) -> DataFrame:

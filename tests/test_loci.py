@@ -116,3 +116,40 @@ def test_correction_reads_each_read_twice(spark, tmp_path):
     assert out._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 2
     got = sorted((tuple(r) for r in out.collect()), key=str)
     assert got == sorted([("c1", "+", "10-20", 4, 31), ("c1", "+", "10-20", 500, 600), ("c1", "+", "10-20", None, 30)], key=str)
+
+
+def test_clusters_keep_running_values_only(spark):
+    """Values are joined once, to what was found of them, and no frame goes from each value to the last one."""
+    rng = random.Random(4)
+    rows = [("c", rng.choice((50, 400, 430)) + rng.randint(-20, 20)) for _ in range(400)] + [("c", None), (None, 50), ("d", 7)]
+    df = spark.createDataFrame(rows, "k string, v long")
+    out = T.clusters(df, ["k"], "v")
+    plan = out._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("join") == 1 and "unboundedfollowing" not in plan.replace("unboundedpreceding$(), unboundedfollowing", "")
+    values = [v for k, v in rows if k == "c" and v is not None]
+    core = sorted(v for v in set(values) if sum(abs(x - v) <= 15 for x in values) >= 40)
+    of = {v: sum(b - a > 15 for a, b in zip(core, core[1:]) if b <= v) for v in core}
+    near = lambda v: of.get(min(core, key=lambda c: (abs(c - v), c)) if any(abs(c - v) <= 15 for c in core) else None)
+    assert len(set(of.values())) > 1
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([("c", v, near(v)) for v in values] + [("d", 7, None)], key=str)
+
+
+def test_paired_reads_are_read_as_they_lie(spark, tmp_path):
+    """Pairs of ends that are counted already are not counted again; reads are moved in one join, and those
+    whose chains are known are read once."""
+    rng = random.Random(6)
+    rows = [("c", "+", t, 100 * rng.randint(0, 2) + rng.randint(0, 9), 900 + 100 * rng.randint(0, 1) + rng.randint(0, 9)) for t in ("10-20", "12-20", "10-90") for _ in range(200)]
+    rows += [("c", "-", "10-20", 3, 50), ("c", "-", "10-20", None, 60), (None, "-", "10-20", 1, 9)]
+    reads = spark.createDataFrame(rows, "Chr string, Strand string, SSC string, TrStart long, TrEnd long")
+    reads.groupBy(*reads.columns).agg(F.count("*").alias("n")).write.parquet(str(tmp_path / "reads"))
+    counted = spark.read.parquet(str(tmp_path / "reads"))
+    listed = lambda df: sorted(map(tuple, df.collect()), key=str)
+    pairs = listed(T.terminal_pairs(reads))
+    assert listed(T.terminal_pairs(counted, "n", paired=True)) == pairs and len(pairs) > 6
+    columns = ["Chr", "Strand", "SSC", "TrStart", "TrEnd"]
+    model = spark.createDataFrame([p[:5] for p in pairs if p[2] != "12-20"], reads.schema)
+    chains = spark.createDataFrame([(c, s, t) for c, s, t in {r[:3] for r in rows}], "Chr string, Strand string, SSC string")
+    out = T.correct_reads(counted, model, chains=chains)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
+    assert listed(out) == listed(T.correct_reads(counted, model))
+    assert {r.SSC for r in out.where("Strand = '+'").select(*columns).collect()} == {"10-20", "10-90"}
