@@ -68,7 +68,7 @@ def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).withColumn("held_out", share(F.col("doc_id"), 5, 1))
     model = lm.train(docs.where("not held_out"))
-    out = lm.score(docs.select("doc_id", "held_out", "text"), model)
+    out = lm.score(docs.select("doc_id", "held_out", "text"), model, last=True)
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n_tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
