@@ -1,10 +1,11 @@
 """Collocations: phrases of frequent words that stand together more often than their parts.
 
-Texts are cut into slices whose words are numbered within the slice and counted. The
-slices' words add up to a dictionary of the words with at least ``least`` occurrences, each
-with a number below 2**31, and come back to their slices by a join on the word, so that the
-dictionary is never broadcast. Every phrase that is frequent enough consists of such
-words: pieces are broken elsewhere.
+Texts are cut into slices whose words are numbered within the slice and counted: a row a
+word, then rows with the slice's numbers in order, some thousand each. The slices' words add up to a dictionary
+of the words with at least ``least`` occurrences, each with a number below 2**31, and come back
+to their slices by a join on the word, so that the dictionary is never broadcast. They reach
+a slice's numbers as sorted rows, so that no row or list has the words of many texts. Every phrase
+that is frequent enough consists of such words: pieces are broken elsewhere.
 
 At every place of a piece the numbers of the next four words (0 after its end) are packed
 into a key of 128 bits, two longs. Equal keys of a task are counted before they leave it.
@@ -28,8 +29,10 @@ from isoloom.llm.common import UPPER, Staged
 BREAKS = ".,;:!?\n\x0b\x0c\r"
 LONGEST = 4
 _TABLE = bytes.maketrans((UPPER + BREAKS + "\t").encode(), (UPPER.lower() + "\n" * len(BREAKS) + " ").encode())
-_SLICES = "slice long, ids binary, words array<binary>, langs array<string>, counts array<long>"
+_SLICES = "slice long, local int, lang string, word binary, n long, ids binary"
 _LOW = (1 << 32) - 1
+#: Numbers in a row, if a piece ends there, and rows of an Arrow batch of keys.
+IDS, KEYS = 1 << 16, 1 << 17
 
 
 def numbered(texts: dict[str, list[bytes]]) -> tuple[np.ndarray, pa.Array, pa.Array, np.ndarray]:
@@ -51,15 +54,28 @@ def numbered(texts: dict[str, list[bytes]]) -> tuple[np.ndarray, pa.Array, pa.Ar
     return ids, pa.concat_arrays(words), pa.array(langs, pa.string()), np.bincount(ids[ids >= 0], minlength=first)
 
 
+def _parted(ids: np.ndarray) -> list[np.ndarray]:
+    """ids in parts of IDS at least, but for the last, that end with a piece."""
+    ends, cuts = np.flatnonzero(ids == -1) + 1, [0]
+    while len(ids) - cuts[-1] > IDS and (k := np.searchsorted(ends, cuts[-1] + IDS)) < len(ends):
+        cuts.append(int(ends[k]))
+    return np.split(ids, cuts[1:])
+
+
 def slices(docs: DataFrame, text_col: str, lang_col: str, most_bytes: int) -> DataFrame:
-    """Slices of at least a text and about ``most_bytes`` of them."""
+    """Slices of at least a text and about ``most_bytes`` of them: rows of a slice's words with their
+    numbers in it and their counts, and behind them rows with its ids, cut where a piece ends."""
 
     names = [f.split()[0] for f in _SLICES.split(", ")]
 
-    def row(at: int, texts: dict[str, list[bytes]]) -> pa.RecordBatch:
-        ids, *lists = numbered(texts)
-        lists[-1] = pa.array(lists[-1], pa.int64())
-        return pa.record_batch([pa.array([at]), pa.array([ids.tobytes()], pa.binary()), *[pa.ListArray.from_arrays([0, len(x)], x) for x in lists]], names=names)
+    def rows(at: int, texts: dict[str, list[bytes]]):
+        ids, words, langs, counts = numbered(texts)
+        n = len(words)
+        yield pa.record_batch([pa.array(np.full(n, at)), pa.array(np.arange(n, dtype=np.int32)), langs, words, pa.array(counts, pa.int64()), pa.nulls(n, pa.binary())], names=names)
+        for part in _parted(ids):
+            yield pa.record_batch([pa.array([at]), *[pa.nulls(1, x) for x in (pa.int32(), pa.string(), pa.binary(), pa.int64())], pa.array([part.tobytes()], pa.binary())], names=names)
+        del ids, words, langs, counts
+        pa.default_memory_pool().release_unused()
 
     def run(batches):
         at, size, texts = TaskContext.get().partitionId() << 32, 0, {}
@@ -68,10 +84,10 @@ def slices(docs: DataFrame, text_col: str, lang_col: str, most_bytes: int) -> Da
                 texts.setdefault(lang, []).append(batch.column(1)[i].as_py())
                 size += len(texts[lang][-1])
                 if size >= most_bytes:
-                    yield row(at, texts)
+                    yield from rows(at, texts)
                     at, size, texts = at + 1, 0, {}
         if texts:
-            yield row(at, texts)
+            yield from rows(at, texts)
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     return docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), text.alias("text")).mapInArrow(run, _SLICES)
@@ -98,31 +114,49 @@ def run_lengths(hi: np.ndarray, lo: np.ndarray, n: np.ndarray) -> tuple[np.ndarr
 
 
 def grams(coded: DataFrame, at_once: int = 1 << 20) -> DataFrame:
-    """(hi, lo, n) of the keys of slices (ids, local, id): numbers within the slice and in the
-    dictionary. Keys are counted ``at_once`` places at a time, each slice whole."""
+    """(hi, lo, n) of the keys of slices. Rows (slice, local, id, ids): a slice's words by their numbers in
+    the slice and in the dictionary, and behind them those with its ids. Keys are counted ``at_once``
+    places at a time."""
 
     def run(batches):
         held, places = [], 0
+        now, words, to = None, [], None
 
         def counted():
             hi, lo = (np.concatenate(x) for x in zip(*held))
-            return pa.record_batch([pa.array(x) for x in run_lengths(hi, lo, np.ones(len(hi), np.int64))], names=["hi", "lo", "n"])
+            found = run_lengths(hi, lo, np.ones(len(hi), np.int64))
+            for i in range(0, len(found[0]), KEYS):
+                yield pa.record_batch([pa.array(x[i : i + KEYS]) for x in found], names=["hi", "lo", "n"])
 
         for batch in batches:
-            for i in range(batch.num_rows):
-                ids = np.frombuffer(batch.column(0)[i].as_buffer(), np.int32)
-                local, known = (batch.column(k)[i].values.to_numpy() for k in (1, 2))
-                to = np.zeros(max(ids.max(initial=-1), local.max(initial=-1)) + 2, np.int64)  # the last is that of -1
-                to[local] = known
-                held.append(windows(to[ids]))
-                places += len(held[-1][0])
-                if places >= at_once:
-                    yield counted()
-                    held, places = [], 0
+            slices, there = batch.column(0).to_numpy(), batch.column(3).is_valid().to_numpy(zero_copy_only=False)
+            cuts = (np.flatnonzero((slices[1:] != slices[:-1]) | (there[1:] != there[:-1])) + 1).tolist()
+            for a, b in zip([0, *cuts], [*cuts, len(slices)]):
+                if a == b:
+                    continue
+                if now != slices[a]:
+                    now, words, to = slices[a], [], None
+                if not there[a]:  # no view of a batch is kept
+                    words.append([batch.column(k).slice(a, b - a).to_numpy().copy() for k in (1, 2)])
+                    continue
+                if not words:
+                    continue
+                if to is None:
+                    local, known = (np.concatenate(x) for x in zip(*words))
+                    to = np.zeros(local.max() + 2, np.int64)  # the last is that of all others
+                    to[local] = known
+                for i in range(a, b):
+                    ids = np.frombuffer(batch.column(3)[i].as_buffer(), np.int32)
+                    held.append(windows(to[np.where(ids < len(to) - 1, ids, -1)]))
+                    places += len(held[-1][0])
+                    if places >= at_once:
+                        yield from counted()
+                        held, places = [], 0
+                        pa.default_memory_pool().release_unused()
         if held:
-            yield counted()
+            yield from counted()
 
-    return coded.select("ids", "local", "id").mapInArrow(run, "hi long, lo long, n long")
+    return coded.select("slice", "local", "id", "ids").mapInArrow(run, "hi long, lo long, n long")
 
 
 def phrases_of(ranged: DataFrame, least: int) -> DataFrame:
@@ -189,7 +223,7 @@ def collocations(docs: DataFrame, least: int = 30, top: int = 2000, text_col: st
         raise ValueError("least must be at least 1")
     staged = Staged(docs.sparkSession, "phrases")
     cut = staged.write(slices(docs, text_col, lang_col, slice_bytes), "slices")
-    spots = cut.select("slice", F.posexplode(F.arrays_zip("words", "langs", "counts")).alias("local", "w")).select("slice", "local", F.col("w.langs").alias("lang"), F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
+    spots = cut.where(F.col("word").isNotNull()).drop("ids")
     counts = staged.write(spots.groupBy("lang", "word").agg(F.sum("n").alias("f")).select("lang", "word", "f", F.monotonically_increasing_id().alias("at")), "counts")
     totals = counts.groupBy("lang").agg(F.sum("f").alias("n"))
     # a number below 2**31 for each frequent word: its place in its partition of the table, interleaved
@@ -200,9 +234,10 @@ def collocations(docs: DataFrame, least: int = 30, top: int = 2000, text_col: st
     words = words.select("lang", "word", "f", (row * parts + part + 1).alias("id"))
     if (words.agg(F.max("id")).first()[0] or 0) >= 1 << 31:
         raise ValueError("more frequent words than numbers of 31 bits")
-    # each slice's frequent words, at most those that it has
-    known = spots.select("slice", "local", "lang", "word").join(words.select("lang", "word", "id"), ["lang", "word"]).groupBy("slice").agg(F.collect_list(F.struct("local", "id")).alias("k"))
-    coded = cut.select("slice", "ids").join(known, "slice").select("ids", F.col("k.local").alias("local"), F.col("k.id").alias("id"))
+    # each slice's frequent words, and then its ids
+    known = spots.select("slice", "local", "lang", "word").join(words.select("lang", "word", "id"), ["lang", "word"]).select("slice", "local", "id", F.lit(None).cast("binary").alias("ids"))
+    texts = cut.where(F.col("ids").isNotNull()).select("slice", "local", F.lit(None).cast("long").alias("id"), "ids")
+    coded = known.unionByName(texts).repartition("slice").sortWithinPartitions("slice", F.col("ids").isNotNull())
     keys = staged.write(grams(coded), "keys")
     staged.drop("slices")
     ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))

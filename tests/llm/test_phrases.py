@@ -101,3 +101,43 @@ def test_query(spark):
     assert out.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"] and {t for c, t in out.dtypes if c not in ("lang", "phrase")} == {"bigint"}
     rows = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("lang", "text").collect()]
     assert sorted(tuple(r) for r in out.collect()) == brute(rows, 30)
+
+
+def test_no_row_holds_a_slices_words(spark, monkeypatch):
+    """Memory of a task must not follow the words of its slices: they are rows, in tables and shuffles, not lists."""
+    plans = {}
+    write = phrases.Staged.write
+
+    def noted(self, df, name):
+        plans[name] = (df.schema.simpleString(), df._jdf.queryExecution().executedPlan().toString())
+        return write(self, df, name)
+
+    monkeypatch.setattr(phrases.Staged, "write", noted)
+    rows = made(60)
+    assert ours(spark.createDataFrame(rows, "lang string, text string").repartition(3), least=2, slice_bytes=100) == brute(rows, 2)
+    assert "array" not in plans["slices"][0] and "collect_list" not in plans["keys"][1] and "posexplode" not in plans["counts"][1]
+
+
+def test_words_and_ids_of_slices_over_batches(spark):
+    """A slice's words come in many batches, and a batch holds several slices."""
+    rows = made(80, seed=4)
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(2)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for n in ("1", "3", "10000"):
+            spark.conf.set(key, n)
+            assert ours(df, least=2, slice_bytes=400) == brute(rows, 2)
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_ids_are_parted_where_pieces_end():
+    rng = np.random.default_rng(3)
+    ids = np.where(rng.random(400_000) < 0.01, -1, rng.integers(0, 50, 400_000)).astype(np.int32)
+    parts = phrases._parted(ids)
+    assert (np.concatenate(parts) == ids).all() and all(p[-1] == -1 for p in parts[:-1])
+    assert len(parts) > 5 and all(phrases.IDS <= len(p) < phrases.IDS + 5000 for p in parts[:-1]) and len(parts[-1]) <= phrases.IDS + 5000
+    whole, apart = (phrases.windows(ids), [np.concatenate(x) for x in zip(*map(phrases.windows, parts))])
+    assert all((x == y).all() for x, y in zip(whole, apart))
+    assert [len(p) for p in phrases._parted(np.zeros(200_000, np.int32))] == [200_000] and [len(p) for p in phrases._parted(np.zeros(0, np.int32))] == [0]
